@@ -182,7 +182,7 @@ def festival_windows(df: DataFrame, calendar: DataFrame | None = None) -> DataFr
 
 def festival_long(df: DataFrame, calendar: DataFrame | None = None) -> DataFrame:
     values = ["revenue_before", "revenue_during", "revenue_after"]
-    return melt(festival_windows(df, calendar), ["festival", "year"], values, "window", "revenue")
+    return melt(festival_windows(df, calendar), ["festival", "year"], values, "period", "revenue")
 
 
 # --- age, price, delivery, returns --------------------------------------------------------------

@@ -11,6 +11,8 @@ from .. import functions as fn
 from ..functions import lexicon as lx
 from ..operators import duplicates, outliers, quality
 from ..operators.indexing import with_row_index
+from ..operators.reshape import melt
+from ..sources.readers import union_chunks
 from ..sources.resolve import pick_containing, pick_first, with_snake_headers
 
 MONEY = "decimal(18,4)"
@@ -25,6 +27,14 @@ class Cleaned:
     review: dict[str, DataFrame]
 
 
+@dataclass(frozen=True)
+class CleanedTransactions(Cleaned):
+    """Also the table with its repair marks and the groups of equal rows."""
+
+    repaired: DataFrame
+    duplicate_groups: DataFrame
+
+
 def money(text: Column | str) -> Column:
     return fn.clean_price(text).try_cast(MONEY)
 
@@ -78,7 +88,7 @@ def duplicate_key(names: list[str]) -> list[str]:
     return [k for k in lx.DUPLICATE_KEY if k in names]
 
 
-def clean_transactions(raw: DataFrame, order: list[str]) -> Cleaned:
+def clean_transactions(raw: DataFrame, order: list[str]) -> CleanedTransactions:
     """Whole transaction pipeline: values, duplicates, price repair. ``order`` tells rows apart.
 
     The duplicate and outlier steps each look at the table twice (measure, then apply), so a
@@ -88,18 +98,18 @@ def clean_transactions(raw: DataFrame, order: list[str]) -> Cleaned:
     valued = clean_values(named)
     names = valued.columns
     key, quantity = duplicate_key(names), pick_first(names, lx.RAW_QUANTITY_NAMES)
-    once = duplicates.dedupe(valued, key, quantity, order) if key else valued
-    review = {"duplicates": duplicates.duplicate_rows(valued, key, quantity, order)} if key else {}
-
-    amount = pick_first(names, ["final_amount"]) or next(iter(pick_containing(names, "price")), None)
-    table = once
-    if amount:
-        reference = pick_first(names, ["product_id"]) or next(iter(pick_containing(names, "category")), None)
-        repaired = outliers.repair_amounts(once, amount, reference, order)
-        review["repaired_amounts"] = repaired.filter("repair is not null and repair <> 'flag'")
-        review["flagged_amounts"] = repaired.filter("repair = 'flag'")
-        table = repaired.drop("ref_median", "repair", "amount_before")
-    return Cleaned(table, transaction_rejects(named), review)
+    once = duplicates.dedupe(valued, key, quantity, order)
+    amount = pick_first(names, ["final_amount"]) or pick_containing(names, "price")[0]
+    reference = pick_first(names, ["product_id"]) or next(iter(pick_containing(names, "category")), None)
+    repaired = outliers.repair_amounts(once, amount, reference, order)
+    return CleanedTransactions(
+        table=repaired.drop("ref_median", "repair", "amount_before"), rejects=transaction_rejects(named), repaired=repaired,
+        duplicate_groups=duplicates.key_groups(valued, key, quantity, order),
+        review={
+            "duplicates": duplicates.duplicate_rows(valued, key, quantity, order),
+            "repaired_amounts": repaired.filter("repair <> 'flag'"),
+            "flagged_amounts": repaired.filter("repair = 'flag'"),
+        })
 
 
 def with_product_ids(raw: DataFrame, order: list[str]) -> DataFrame:
@@ -156,18 +166,24 @@ def clean_products(raw: DataFrame, order: list[str]) -> Cleaned:
     return Cleaned(table, product_rejects(named), review)
 
 
-def cleaning_summary(transactions: Cleaned, products: Cleaned) -> DataFrame:
-    """Metric and value: rows kept, distinct rejected texts per rule, rows set aside."""
-    def total(df: DataFrame, metric: str) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias("value")).select(F.lit(metric).alias("metric"), "value")
+def cleaning_summary(
+    transactions: DataFrame, products: DataFrame, transaction_order: list[str], product_order: list[str],
+) -> DataFrame:
+    """Metric and value: rows kept, distinct rejected texts per rule, rows set aside for review.
+
+    Every stage is counted in one pass of its own instead of once per review table.
+    """
+    done, catalog = clean_transactions(transactions, transaction_order), clean_products(products, product_order)
+    repairs = done.repaired.agg(
+        F.count(F.lit(1)).alias("transactions_rows"), F.count_if(F.col("repair") != "flag").alias("review_repaired_amounts"),
+        F.count_if(F.col("repair") == "flag").alias("review_flagged_amounts"))
+    repeated = done.duplicate_groups.filter("erroneous").agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("review_duplicates"))
+    kept = catalog.table.agg(F.count(F.lit(1)).alias("products_rows"), F.count("category").alias("products_with_category"))
+    extreme = catalog.review["extreme_prices"].agg(F.count(F.lit(1)).alias("review_extreme_prices"))
 
     def per_rule(df: DataFrame, prefix: str) -> DataFrame:
         return df.groupBy("rule").agg(F.count(F.lit(1)).alias("value")).select(F.concat(F.lit(prefix), "rule").alias("metric"), "value")
 
-    parts = [total(transactions.table, "transactions_rows"), total(products.table, "products_rows"),
-             per_rule(transactions.rejects, "rejected_"), per_rule(products.rejects, "rejected_product_")]
-    parts += [total(df, f"review_{name}") for done in (transactions, products) for name, df in done.review.items()]
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
-    return whole
+    counted = [melt(df, [], df.columns, "metric", "value") for df in (repairs, repeated, kept, extreme)]
+    counted += [per_rule(done.rejects, "rejected_"), per_rule(catalog.rejects, "rejected_product_")]
+    return union_chunks(counted)

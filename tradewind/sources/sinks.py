@@ -11,8 +11,9 @@ REPORT_ROWS = 500
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Result table as CSV with a header."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """Result table as CSV with a header; blanks around texts are kept."""
+    kept = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode("overwrite").options(header=True, escape='"', **kept).csv(path)
 
 
 def export_rejects(rejects: DataFrame, rule: str, path: str, rows: int = REPORT_ROWS) -> None:
