@@ -11,7 +11,7 @@ from tradewind import functions as fn
 from tradewind.operators import customers, distribution, duplicates, outliers, quality
 from tradewind.plans import analysis, cleaning, dashboard, warehouse
 from tradewind.schemas import warehouse_schema
-from tradewind.session import scratch_path
+from tradewind.session import scratch_path, staged
 from tradewind.sources import bindings, readers, sinks
 from tradewind.sources.resolve import align, canonical_frame
 
@@ -202,7 +202,7 @@ KEY = ["customer_id", "product_id", "order_date", "final_amount"]
 
 
 def _valued(spark, folder, *columns):
-    return cleaning.clean_values(bindings.raw_transactions(spark, folder, *columns))
+    return staged(cleaning.clean_values(bindings.raw_transactions(spark, folder, *columns)))
 
 
 @query("dup_groups")
@@ -347,7 +347,8 @@ over_transactions("rating_by_product", analysis.rating_by_product, "product_id",
 
 
 def _journeys(transactions, catalog):
-    return customers.transitions(analysis.enrich(transactions, catalog, "category"), "category", "transaction_id")
+    named = analysis.enrich(transactions, catalog, "category")
+    return customers.transitions(named, "category", "transaction_id", orders=transactions)
 
 
 over_transactions("category_transitions", _journeys, "transaction_id", "customer_id", "product_id", "order_date", catalog=True)

@@ -8,16 +8,18 @@ NA_TOKENS = [
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 
-# Date formats by the shape of the text; a text has one shape at most.
-DATE_FORMATS = {
-    r"^\d{4}-\d{1,2}-\d{1,2}$": ["yyyy-M-d"],
-    r"^\d{1,2}/\d{1,2}/\d{4}$": ["d/M/yyyy"],
-    r"^\d{1,2}-\d{1,2}-\d{2}$": ["d-M-yy"],
-    r"^\d{1,2}-\d{1,2}-\d{4}$": ["d-M-yyyy"],
-    r"^\d{1,2}/\d{1,2}/\d{2}$": ["d/M/yy"],
-    r"^\d{4}/\d{1,2}/\d{1,2}$": ["yyyy/M/d"],
+# Shapes of dates in figures (yyyy-m-d, yyyy/m/d, d/m/yyyy, d-m-yyyy, d/m/yy, d-m-yy) and their ISO order.
+FIGURE_DATES = {
+    r"^(\d{4})([-/])(\d{1,2})\2(\d{1,2})$": "$1-$3-$4",
+    r"^(\d{1,2})([-/])(\d{1,2})\2(\d{4})$": "$4-$3-$1",
+}
+SHORT_FIGURE_DATE = r"^(\d{1,2})([-/])(\d{1,2})\2(\d{2})$"
+SHORT_FIGURE_ISO = "20$4-$3-$1"
+# Formats of dates with a month name, by shape.
+WORD_DATE_FORMATS = {
     r"^\d{1,2} [A-Za-z]+ \d{4}$": ["d MMM yyyy", "d MMMM yyyy"],
-    r"^[A-Za-z]+ \d{1,2},? \d{4}$": ["MMM d, yyyy", "MMMM d, yyyy", "MMM d yyyy", "MMMM d yyyy"],
+    r"^[A-Za-z]+ \d{1,2}, \d{4}$": ["MMM d, yyyy", "MMMM d, yyyy"],
+    r"^[A-Za-z]+ \d{1,2} \d{4}$": ["MMM d yyyy", "MMMM d yyyy"],
 }
 # "5th of June 2018" is read like "5 June 2018".
 ORDINAL = r"(?i)(\d)(?:st|nd|rd|th)\b(?:\s+of\b)?"
@@ -25,6 +27,7 @@ ISO_DATE_TIME = r"^\d{4}-\d{1,2}-\d{1,2}[T ]"
 LAST_TWO_DIGIT_YEAR = 2068
 
 # Price text.
+PLAIN_NUMBER = r"^[0-9]+(?:\.[0-9]+)?$"
 PRICE_ABSENT = r"(?i)price\s*on\s*request|not\s*available|\bna\b"
 CURRENCY_PREFIX = r"(?i)^\s*(₹|rs\.?|inr)\s*"
 PRICE_UNIT = r"(?i)([0-9]+(?:\.[0-9]+)?)\s*(lakh|lac|crore|cr|k|million|m|billion)\b"

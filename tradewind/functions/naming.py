@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import lexicon as lx
-from .parsing import as_column, first_match
+from .parsing import as_column, first_match, let
 
 
 def title_case(value: Column | str) -> Column:
@@ -24,24 +24,32 @@ def _squeeze(text: Column, drop: str, put: str) -> Column:
 
 def clean_city(value: Column | str) -> Column:
     """Standard city name: exact alias, else first alias contained, else title case."""
-    text = _squeeze(F.lower(F.trim(as_column(value))), r"[^a-z0-9\s]", " ")
-    exact = [(text == alias, F.lit(city)) for alias, city in lx.CITY_ALIASES.items()]
-    within = [(text.contains(alias), F.lit(city)) for alias, city in lx.CITY_ALIASES.items()]
-    return F.when(~text.isin(lx.MISSING_WORDS), first_match(exact + within, title_case(text)))
+    aliases = F.create_map(*[F.lit(part) for pair in lx.CITY_ALIASES.items() for part in pair])
+    squeezed = _squeeze(F.lower(as_column(value)), r"[^a-z0-9\s]", " ")
+
+    def name(text: Column) -> Column:
+        within = [(text.contains(alias), F.lit(city)) for alias, city in lx.CITY_ALIASES.items()]
+        return F.when(~text.isin(lx.MISSING_WORDS), F.coalesce(F.try_element_at(aliases, text), first_match(within, title_case(text))))
+
+    return let(squeezed, name)
 
 
 def clean_payment(value: Column | str) -> Column:
     """Payment family by the first keyword group that matches, else title case."""
-    text = F.regexp_replace(F.lower(as_column(value)), r"[^a-z0-9 ]", " ")
-    groups = [(text.rlike("|".join(words)), F.lit(name)) for name, words in lx.PAYMENT_GROUPS.items()]
-    return F.when(text.isNotNull(), first_match(groups, F.trim(title_case(text))))
+    def family(text: Column) -> Column:
+        groups = [(text.rlike("|".join(words)), F.lit(name)) for name, words in lx.PAYMENT_GROUPS.items()]
+        return F.when(text.isNotNull(), first_match(groups, F.trim(title_case(text))))
+
+    return let(F.regexp_replace(F.lower(as_column(value)), r"[^a-z0-9 ]", " "), family)
 
 
 def clean_category(value: Column | str) -> Column:
     """Product category by the first synonym contained, else title case."""
-    text = _squeeze(F.lower(as_column(value)), r"[^a-z0-9\s&]", " ")
-    within = [(text.contains(word), F.lit(name)) for word, name in lx.CATEGORY_SYNONYMS.items()]
-    return F.when(text.isNotNull(), first_match(within, title_case(text)))
+    def name(text: Column) -> Column:
+        within = [(text.contains(word), F.lit(label)) for word, label in lx.CATEGORY_SYNONYMS.items()]
+        return F.when(text.isNotNull(), first_match(within, title_case(text)))
+
+    return let(_squeeze(F.lower(as_column(value)), r"[^a-z0-9\s&]", " "), name)
 
 
 def clean_brand(value: Column | str) -> Column:

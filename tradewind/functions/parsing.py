@@ -6,6 +6,7 @@ NULL, never an exception, with ANSI mode on.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -25,10 +26,15 @@ def first_match(branches: list[tuple[Column, Column]], otherwise: Column | None
     return case if otherwise is None else case.otherwise(otherwise)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` over a value that is computed once per row, however often the body names it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def to_number(value: Column | str) -> Column:
     """Text as DOUBLE; what is not a number, NaN and infinities included, becomes NULL."""
     number = as_column(value).try_cast("double")
-    return F.when(~F.isnan(number) & (F.abs(number) != F.lit(float("inf"))), number)
+    return F.when(F.abs(number) < F.lit(float("inf")), number)
 
 
 def null_tokens(value: Column | str) -> Column:
@@ -46,20 +52,29 @@ def blank_to_null(value: Column | str) -> Column:
 def clean_date(value: Column | str) -> Column:
     """Calendar date out of mixed day-first formats; an incomplete date is NULL.
 
-    The shape of the text picks the format, so a row pays for one parse and not for a failed
-    attempt per format.
+    The shape of the text decides how it is read. Dates in figures are put into ISO order and cast,
+    which is much cheaper than trying one format after the other.
     """
-    text = F.regexp_replace(F.trim(as_column(value)), lx.ORDINAL, "$1")
+    def figures(text: Column, shape: str, iso: str) -> Column:
+        return F.regexp_replace(text, shape, iso).try_cast("date")
+
+    def short_year(date: Column) -> Column:
+        return F.when(F.year(date) > lx.LAST_TWO_DIGIT_YEAR, F.add_months(date, -1200)).otherwise(date)
+
+    def words(text: Column, formats: list[str]) -> Column:
+        return F.coalesce(*[F.to_date(F.try_to_timestamp(text, F.lit(fmt))) for fmt in formats])
 
-    def attempt(fmt: str) -> Column:
-        parsed = F.to_date(F.try_to_timestamp(text, F.lit(fmt)))
-        if fmt.endswith("yy") and not fmt.endswith("yyyy"):
-            return F.when(F.year(parsed) > lx.LAST_TWO_DIGIT_YEAR, F.add_months(parsed, -1200)).otherwise(parsed)
-        return parsed
+    def spoken(text: Column) -> Column:
+        date_time = (text.rlike(lx.ISO_DATE_TIME), F.to_date(F.try_to_timestamp(text)))
+        return first_match([date_time, *[(text.rlike(s), words(text, f)) for s, f in lx.WORD_DATE_FORMATS.items()]])
 
-    shapes = [(text.rlike(shape), F.coalesce(*map(attempt, formats))) for shape, formats in lx.DATE_FORMATS.items()]
-    date_time = (text.rlike(lx.ISO_DATE_TIME), F.to_date(F.try_to_timestamp(text)))
-    return first_match(shapes + [date_time])
+    def read(text: Column) -> Column:
+        shapes = [(text.rlike(shape), figures(text, shape, iso)) for shape, iso in lx.FIGURE_DATES.items()]
+        short = let(figures(text, lx.SHORT_FIGURE_DATE, lx.SHORT_FIGURE_ISO), short_year)
+        return first_match([*shapes, (text.rlike(lx.SHORT_FIGURE_DATE), short)],
+                           let(F.regexp_replace(text, lx.ORDINAL, "$1"), spoken))
+
+    return let(F.trim(as_column(value)), read)
 
 
 def iso_date(value: Column | str) -> Column:
@@ -68,54 +83,64 @@ def iso_date(value: Column | str) -> Column:
 
 def clean_price(value: Column | str) -> Column:
     """Price text as DOUBLE, with Indian and short-scale units."""
-    text = F.trim(as_column(value))
-    bare = F.regexp_replace(F.regexp_replace(text, lx.CURRENCY_PREFIX, ""), ",", "")
     factors = F.create_map(*[F.lit(part) for pair in lx.PRICE_UNITS.items() for part in pair])
-    factor = F.try_element_at(factors, F.lower(F.regexp_extract(bare, lx.PRICE_UNIT, 2)))
-    scaled = F.regexp_extract(bare, lx.PRICE_UNIT, 1).try_cast("double") * factor
-    digits = F.regexp_replace(bare, r"[^0-9.\-]", "")
-    # every dot after the first one goes
-    fraction = F.replace(F.regexp_extract(digits, r"\.(.*)", 1), F.lit("."), F.lit(""))
-    number = F.concat(F.substring_index(digits, ".", 1), F.lit("."), fraction).try_cast("double")
-    return F.when(~text.rlike(lx.PRICE_ABSENT), F.coalesce(scaled, number))
+
+    def digits_only(digits: Column) -> Column:
+        # every dot after the first one goes
+        fraction = F.translate(F.regexp_extract(digits, r"\.(.*)", 1), ".", "")
+        return F.concat(F.substring_index(digits, ".", 1), F.lit("."), fraction).try_cast("double")
+
+    def worded(bare: Column) -> Column:
+        factor = F.try_element_at(factors, F.lower(F.regexp_extract(bare, lx.PRICE_UNIT, 2)))
+        scaled = F.regexp_extract(bare, lx.PRICE_UNIT, 1).try_cast("double") * factor
+        number = let(F.regexp_replace(bare, r"[^0-9.\-]", ""), digits_only)
+        return F.when(bare.rlike(lx.PLAIN_NUMBER), bare.try_cast("double")).otherwise(F.coalesce(scaled, number))
+
+    bare = F.translate(F.regexp_replace(F.trim(as_column(value)), lx.CURRENCY_PREFIX, ""), ",", "")
+    return let(F.trim(as_column(value)), lambda text: (
+        F.when(text.rlike(lx.PLAIN_NUMBER), text.try_cast("double"))
+        .when(~text.rlike(lx.PRICE_ABSENT), let(bare, worded))))
 
 
 def clean_rating(value: Column | str) -> Column:
     """Rating text on a scale of 1 to 5."""
-    text = F.lower(F.trim(as_column(value)))
-    score = F.regexp_extract(text, lx.RATING_FRACTION, 1).try_cast("double")
-    base = F.regexp_extract(text, lx.RATING_FRACTION, 2).try_cast("double")
-    number = F.regexp_extract(text, lx.RATING_NUMBER, 1).try_cast("double")
-    return (
-        F.when(base.isNotNull() & (base > 0) & (base != 5), F.try_divide(score, base) * 5.0)
-        .when(base.isNotNull(), score)
-        .when(number.between(1.0, 5.0), number)
-        .when(number <= 10, F.least(F.lit(5.0), number / 2.0))
-    )
+    def number(text: Column, pattern: str, part: int) -> Column:
+        return F.regexp_extract(text, pattern, part).try_cast("double")
+
+    def fraction(score: Column, base: Column) -> Column:
+        return F.when((base > 0) & (base != 5), F.try_divide(score, base) * 5.0).otherwise(score)
+
+    def single(v: Column) -> Column:
+        return F.when(v.between(1.0, 5.0), v).when(v <= 10, F.least(F.lit(5.0), v / 2.0))
+
+    return let(F.trim(as_column(value)), lambda text: F.when(
+        text.rlike(lx.RATING_FRACTION), fraction(number(text, lx.RATING_FRACTION, 1), number(text, lx.RATING_FRACTION, 2))
+    ).otherwise(let(number(text, lx.RATING_NUMBER, 1), single)))
 
 
 def clean_delivery_days(value: Column | str) -> Column:
     """Delivery promise in days: the median of the numbers named, rounded half to even."""
-    text = F.lower(F.trim(as_column(value)))
-    days = F.array_sort(F.transform(F.regexp_extract_all(text, F.lit(r"(\d+)"), F.lit(1)), lambda d: d.cast("double")))
-    count = F.size(days)
-    low = F.try_element_at(days, F.floor((count + 1) / 2).cast("int"))
-    high = F.try_element_at(days, F.floor((count + 2) / 2).cast("int"))
-    median = F.bround((low + high) / 2.0)
-    return F.when(text.contains("same"), F.lit(0)).when(
-        (count > 0) & (median <= lx.MAX_DELIVERY_DAYS), median.try_cast("int")
-    )
+    def median(days: Column) -> Column:
+        count = F.size(days)
+        low = F.try_element_at(days, F.floor((count + 1) / 2).cast("int"))
+        high = F.try_element_at(days, F.floor((count + 2) / 2).cast("int"))
+        return F.when(count > 0, F.bround((low + high) / 2.0))
+
+    def believed(days: Column) -> Column:
+        return F.when(days <= lx.MAX_DELIVERY_DAYS, days.try_cast("int"))
+
+    text = F.lower(as_column(value))
+    numbers = F.array_sort(F.transform(F.regexp_extract_all(text, F.lit(r"(\d+)"), F.lit(1)), lambda d: d.cast("double")))
+    return F.when(text.contains("same"), F.lit(0)).otherwise(let(let(numbers, median), believed))
 
 
 def parse_flag(value: Column | str) -> Column:
     """Flag words as BOOLEAN, NULL when the text says neither."""
-    text = F.lower(F.trim(as_column(value).cast("string")))
-    return (
+    return let(F.lower(F.trim(as_column(value).cast("string"))), lambda text: (
         F.when(text.isin(lx.TRUE_WORDS), True)
         .when(text.isin(lx.FALSE_WORDS), False)
         .when(text.contains("prime"), True)
-        .otherwise(to_number(text) != 0)
-    )
+        .otherwise(to_number(text) != 0)))
 
 
 def clean_bool(value: Column | str) -> Column:

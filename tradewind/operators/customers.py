@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from .common import present, ratio, revenue, scalar
 from .indexing import with_row_index
-from .skew import HOT_KEYS
+from .skew import HOT_ROWS, hot_keys, row_counts
 
 
 def rfm(df: DataFrame) -> DataFrame:
@@ -106,32 +106,36 @@ def cohort_value(df: DataFrame) -> DataFrame:
     ).withColumn("clv", ratio(F.col("revenue"), F.col("customers")))
 
 
-def transitions(df: DataFrame, state: str, tie: str) -> DataFrame:
+def transitions(
+    df: DataFrame, state: str, tie: str, orders: DataFrame | None = None, hot_rows: int = HOT_ROWS,
+) -> DataFrame:
     """How often each state follows another in a customer's orders, taken by date and ``tie``.
 
-    Rows without a state are skipped and do not break the chain. Customers are ordered each in one
-    window, except the 1,000 with the most orders: theirs is cut into spans of one day and one
-    leading part of ``tie``, ordered span by span, and stitched together from the first and last
-    state of each span.
+    Rows without a state are skipped and do not break the chain. A customer's orders are ordered in
+    one window, except those of the customers with very many: theirs are cut into spans of one day
+    and one leading part of ``tie``, ordered span by span, and stitched together from the first and
+    last state of each span. ``orders`` may give a cheaper table to count the orders in.
     """
     steps = present(df, "customer_id", state).select("customer_id", "order_date", F.col(tie).alias("tie"), F.col(state).alias("state"))
-    busiest = steps.groupBy("customer_id").agg(F.count(F.lit(1)).alias("_orders")).orderBy(F.desc("_orders"), "customer_id").limit(HOT_KEYS)
-    marked = steps.join(F.broadcast(busiest), "customer_id", "left")
-    day = F.when(F.col("_orders").isNotNull(), F.coalesce(F.to_date("order_date"), F.date_from_unix_date(F.lit(2932896))))
-    part = F.when(F.col("_orders").isNotNull(), F.left(F.col("tie"), F.lit(3)))
-    spans = marked.withColumns({"_day": day, "_part": part})
-
-    # whole customers have one span with NULL marks
-    order = [F.asc_nulls_last("order_date"), F.asc("tie")]
-    inside = Window.partitionBy("customer_id", "_day", "_part").orderBy(*order)
-    walked = spans.withColumn("_before", F.lag("state").over(inside))
-    pairs = walked.filter("_before is not null").groupBy(F.col("_before").alias("from_state"), F.col("state").alias("to_state")).agg(
-        F.count(F.lit(1)).alias("transitions"))
-
-    place = F.struct(F.col("order_date").isNull().alias("undated"), "order_date", "tie")
-    ends = spans.filter("_orders is not null").groupBy("customer_id", "_day", "_part").agg(
-        F.min_by("state", place).alias("first"), F.max_by("state", place).alias("last"))
-    along = Window.partitionBy("customer_id").orderBy("_day", "_part")
-    seams = ends.withColumn("from_state", F.lag("last").over(along)).filter("from_state is not null").groupBy(
-        "from_state", F.col("first").alias("to_state")).agg(F.count(F.lit(1)).alias("transitions"))
-    return pairs.unionByName(seams).groupBy("from_state", "to_state").agg(F.sum("transitions").alias("transitions"))
+    counted = row_counts(present(steps if orders is None else orders, "customer_id"), ["customer_id"], "_orders")
+    marked = steps.join(F.broadcast(hot_keys(counted, ["customer_id"], "_orders", hot_rows)), "customer_id", "left")
+    busy = F.col("_orders").isNotNull()
+    # other customers have one span, with NULL marks; orders without a date come last
+    spans = marked.withColumns({
+        "_undated": F.when(busy, F.col("order_date").isNull()), "_day": F.when(busy, F.to_date("order_date")),
+        "_part": F.when(busy, F.left(F.col("tie"), F.lit(3))),
+    })
+    span = ["customer_id", "_undated", "_day", "_part"]
+    inside = Window.partitionBy(*span).orderBy(F.asc_nulls_last("order_date"), F.asc("tie"))
+    walked = spans.withColumn("from_state", F.lag("state").over(inside))
+
+    def tallied(pairs: DataFrame, to_state: str) -> DataFrame:
+        return pairs.filter("from_state is not null").groupBy("from_state", F.col(to_state).alias("to_state")).agg(
+            F.count(F.lit(1)).alias("transitions"))
+
+    place = F.struct("order_date", "tie")
+    ends = spans.filter(busy).groupBy(*span).agg(F.min_by("state", place).alias("first"), F.max_by("state", place).alias("last"))
+    along = Window.partitionBy("customer_id").orderBy("_undated", "_day", "_part")
+    seams = ends.withColumn("from_state", F.lag("last").over(along))
+    both = tallied(walked, "state").unionByName(tallied(seams, "first"))
+    return both.groupBy("from_state", "to_state").agg(F.sum("transitions").alias("transitions"))

@@ -42,21 +42,22 @@ def binned_mean(df: DataFrame, x: str, y: str, bins: int) -> DataFrame:
 
 
 def describe(df: DataFrame, columns: dict[str, int]) -> DataFrame:
-    """Count, mean, deviation, extremes and exact quartiles; ``columns`` gives each its decimal scale."""
-    parts = []
-    for name, scale in columns.items():
-        number = F.col(name).try_cast(f"decimal(28,{scale})")
-        basics = df.agg(
-            F.count(number).alias("count"), ratio(F.sum(number), F.count(number)).alias("mean"),
-            F.round(F.stddev_samp(number.cast("double")), 4).alias("std"),
-            F.min(number).cast("double").alias("min"), F.max(number).cast("double").alias("max"),
-        ).withColumn("column_name", F.lit(name))
-        quartiles = exact_quantiles(df, [], name, {"q25": 0.25, "q50": 0.5, "q75": 0.75}, scale)
-        parts.append(basics.withColumns({q: scalar(quartiles, F.round(q, 4)) for q in ("q25", "q50", "q75")}))
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
-    return whole.select("column_name", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
+    """Count, mean, deviation, extremes and exact quartiles; ``columns`` gives each its decimal scale.
+
+    All columns are laid under each other, so one plan serves them together.
+    """
+    cells = [
+        F.struct(F.lit(name).alias("column_name"), F.col(name).try_cast(f"decimal(28,{scale})").cast("decimal(32,4)").alias("v"))
+        for name, scale in columns.items()
+    ]
+    long = df.select(F.inline(F.array(*cells)))
+    basics = long.groupBy("column_name").agg(
+        F.count("v").alias("count"), ratio(F.sum("v"), F.count("v")).alias("mean"),
+        F.round(F.stddev_samp(F.col("v").cast("double")), 4).alias("std"),
+        F.min("v").cast("double").alias("min"), F.max("v").cast("double").alias("max"))
+    quartiles = exact_quantiles(long, ["column_name"], "v", {"q25": 0.25, "q50": 0.5, "q75": 0.75})
+    rounded = quartiles.select("column_name", *[F.round(q, 4).alias(q) for q in ("q25", "q50", "q75")])
+    return basics.join(rounded, "column_name", "left").select("column_name", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
 def box_statistics(df: DataFrame, key: str, value: str, weight: str, scale: int = 2) -> DataFrame:

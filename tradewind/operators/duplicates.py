@@ -41,7 +41,7 @@ def duplicate_rows(df: DataFrame, keys: list[str], quantity: str | None, order:
 
 def _marked(df: DataFrame, keys: list[str], quantity: str | None, order: list[str]) -> DataFrame:
     wrong = key_groups(df, keys, quantity, order).filter("erroneous").withColumnRenamed("first", "_first")
-    marked = attach(df, wrong, keys, ["_first"], wrong, spread_by=order)
+    marked = attach(df, wrong, keys, ["_first"], spread_by=order)
     return marked.withColumns({
         "_wrong": F.col("_first").isNotNull(),
         "_repeat": F.coalesce(F.col("_first") != _order_struct(order), F.lit(False)),

@@ -17,7 +17,7 @@ def with_reference_median(df: DataFrame, amount: str, reference: str | None, spr
     medians = exact_quantiles(df, [reference] if reference else [], amount, {"ref_median": 0.5})
     if reference is None:
         return df.withColumn("ref_median", scalar(medians, F.col("ref_median")))
-    return attach(df, medians, [reference], ["ref_median"], medians, spread_by=spread_by)
+    return attach(df, medians, [reference], ["ref_median"], spread_by=spread_by)
 
 
 def repair_amounts(df: DataFrame, amount: str, reference: str | None, spread_by: list[str]) -> DataFrame:

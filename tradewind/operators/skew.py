@@ -8,6 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_KEYS = 1000
+HOT_ROWS = 1_000_000
+
+
+def hot_keys(weighed: DataFrame, keys: list[str], weight: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The heaviest keys, 1,000 rows at most: those with more rows than a task takes in its stride."""
+    return weighed.filter(F.col(weight) > hot_rows).orderBy(F.desc(weight), *keys).limit(HOT_KEYS)
 
 
 def row_counts(df: DataFrame, keys: list[str], name: str = "rows") -> DataFrame:
@@ -15,43 +21,29 @@ def row_counts(df: DataFrame, keys: list[str], name: str = "rows") -> DataFrame:
 
 
 def attach(
-    rows: DataFrame,
-    lookup: DataFrame,
-    keys: list[str],
-    values: list[str],
-    weights: DataFrame,
-    weight: str = "rows",
-    spread_by: list[str] | None = None,
+    rows: DataFrame, lookup: DataFrame, keys: list[str], values: list[str], weight: str = "rows",
+    spread_by: list[str] | None = None, hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Left join of ``values`` from a lookup with one row per key, safe against hot keys.
 
-    ``weights`` has the keys and their row counts. The 1,000 heaviest keys are served by a
-    broadcast of at most 1,000 lookup rows; every key beyond them holds less than a thousandth of
-    the rows and goes through an ordinary join. Rows already served, and rows with a missing key,
-    enter that join under a salt that matches nothing and spreads them over all tasks. NULL keys
-    match NULL keys.
+    ``weight`` is the lookup's column with the number of rows per key. The heaviest keys are served
+    by a broadcast of 1,000 lookup rows at most; every key beyond them holds less than a thousandth
+    of the rows, or few rows, and goes through an ordinary join. Rows already served enter that join
+    in slots that match nothing and spread them over all tasks. NULL keys match NULL keys.
     """
-    packed = lookup.select(*keys, F.struct(*values).alias("_found"))
-    heaviest = weights.orderBy(F.desc(weight), *keys).limit(HOT_KEYS).select(*keys)
-
-    def same(left: str, right: str) -> Column:
-        return reduce(lambda a, b: a & b, [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys])
-
-    hot = (
-        packed.alias("l").join(F.broadcast(heaviest.alias("h")), same("l", "h"), "leftsemi")
-        .select(*[F.col(k).alias(f"_hot_{k}") for k in keys], F.col("_found").alias("_hot"), F.lit(1).alias("_is_hot"))
-    )
-    hot_match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
-    served = rows.join(F.broadcast(hot), hot_match, "left")
-
-    spread = F.abs(F.xxhash64(*(spread_by or rows.columns)) % 1_000_000) + 1
-    served = served.withColumn("_salt", F.when(F.col("_is_hot").isNotNull(), spread).otherwise(F.lit(0)))
-    # 0 for every key, computed so that the optimiser keeps it as a join key
-    cold = packed.select(
-        *[F.col(k).alias(f"_key_{k}") for k in keys], F.col("_found").alias("_cold"),
-        (F.hash(*keys) % 1).cast("long").alias("_no_salt"),
-    )
-    cold_match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
-    joined = served.join(cold, cold_match & (F.col("_salt") == F.col("_no_salt")), "left")
-    chosen = F.coalesce(F.col("_hot"), F.col("_cold"))
-    return joined.select(*rows.columns, *[chosen[v].alias(v) for v in values])
+    packed = lookup.select(*keys, F.struct(*values, F.col(weight).alias("_weight")).alias("_found"))
+    spread = spread_by or rows.columns
+
+    def matched(prefix: str) -> Column:
+        return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{prefix}{k}")) for k in keys])
+
+    def renamed(prefix: str) -> list[Column]:
+        return [F.col(k).alias(f"{prefix}{k}") for k in keys]
+
+    hot = hot_keys(packed.withColumn("_weight", F.col("_found._weight")), keys, "_weight", hot_rows).select(*renamed("_hot_"), F.col("_found").alias("_hot"))
+    served = rows.join(F.broadcast(hot), matched("_hot_"), "left").withColumn(
+        "_slot", F.when(F.col("_hot").isNotNull(), F.xxhash64(*spread)).otherwise(F.xxhash64(*keys)))
+    cold = packed.select(*renamed("_key_"), F.col("_found").alias("_cold"), F.xxhash64(*keys).alias("_key_slot"))
+    joined = served.join(cold, matched("_key_") & (F.col("_slot") == F.col("_key_slot")), "left")
+    found = F.coalesce("_hot", "_cold")
+    return joined.select(*rows.columns, *[found[v].alias(v) for v in values])

@@ -35,9 +35,8 @@ def _named(df: DataFrame, name: str) -> Column:
 
 def enrich(df: DataFrame, catalog: DataFrame, name: str) -> DataFrame:
     """Every transaction with a catalog attribute, safe against products with very many orders."""
-    values = catalog_values(catalog, name)
-    joined = attach(df, values, ["product_id"], [f"catalog_{name}"], row_counts(df, ["product_id"]),
-                    spread_by=[TIE] if TIE in df.columns else None)
+    weighed = row_counts(present(df, "product_id"), ["product_id"]).join(catalog_values(catalog, name), "product_id")
+    joined = attach(df, weighed, ["product_id"], [f"catalog_{name}"], spread_by=[TIE] if TIE in df.columns else None)
     return joined.withColumn(name, _named(df, name)).drop(f"catalog_{name}")
 
 
@@ -89,12 +88,17 @@ def monthly_totals(df: DataFrame) -> DataFrame:
 
 
 def category_seasonality(df: DataFrame, catalog: DataFrame, count: int = 6) -> DataFrame:
-    """Year by month matrix of each of the strongest categories."""
+    """Year by month matrix of each of the strongest categories.
+
+    A category carries its months (one entry per calendar month) through the ranking, so the
+    orders are read once.
+    """
     cells = revenue_by_attribute(df, catalog, "category", "order_year", "order_month")
-    strongest = top(cells.groupBy("category").agg(F.sum("revenue").alias("total")), count, "total", "category")
-    kept = cells.join(F.broadcast(strongest.select("category")), "category", "leftsemi")
-    wide = kept.groupBy("category", "order_year").pivot("order_month", list(range(1, 13))).agg(F.sum("revenue"))
-    return wide.select("category", "order_year", *[F.coalesce(F.col(f"`{m}`"), F.lit(0)).alias(f"m{m:02d}") for m in range(1, 13)])
+    packed = cells.groupBy("category").agg(
+        F.sum("revenue").alias("total"), F.collect_list(F.struct("order_year", "order_month", "revenue")).alias("months"))
+    strongest = top(packed, count, "total", "category").select("category", F.inline("months"))
+    months = {f"m{m:02d}": F.coalesce(F.sum(F.when(F.col("order_month") == m, F.col("revenue"))), F.lit(0)) for m in range(1, 13)}
+    return strongest.groupBy("category", "order_year").agg(*[value.alias(name) for name, value in months.items()])
 
 
 # --- payment, categories, prime, places ---------------------------------------------------------
@@ -215,7 +219,7 @@ def price_demand_correlation(df: DataFrame, catalog: DataFrame) -> DataFrame:
 def with_product_mean(df: DataFrame) -> DataFrame:
     """Every transaction with the mean order value of its product."""
     means = df.groupBy("product_id").agg(F.count(F.lit(1)).alias("rows"), mean().alias("avg_order_price"))
-    return attach(df, means, ["product_id"], ["avg_order_price"], means, spread_by=[TIE])
+    return attach(df, means, ["product_id"], ["avg_order_price"], spread_by=[TIE])
 
 
 def delivery_on_time(df: DataFrame, days: int = lx.ON_TIME_DAYS) -> DataFrame:
@@ -245,13 +249,13 @@ def top_brands(df: DataFrame, catalog: DataFrame, count: int = 20) -> DataFrame:
 def brand_monthly(df: DataFrame, catalog: DataFrame, count: int = 5) -> DataFrame:
     """Monthly revenue of the strongest brands, 0 in months without sales of one of them."""
     cells = revenue_by_attribute(df, catalog, "brand", fn.year_month("order_date").alias("order_ym"))
-    strongest = top(cells.groupBy("brand").agg(F.sum("revenue").alias("total")), count, "total", "brand")
-    place = F.row_number().over(Window.orderBy(F.desc("total"), "brand"))  # over `count` rows
-    placed = F.broadcast(strongest.select("brand", place.alias("place")))
-    wide = cells.join(placed, "brand").groupBy("order_ym").pivot("place", list(range(1, count + 1))).agg(F.sum("revenue"))
-    filled = wide.select("order_ym", *[F.coalesce(F.col(f"`{i}`"), F.lit(0)).alias(str(i)) for i in range(1, count + 1)])
-    long = filled.unpivot(["order_ym"], [F.col(f"`{i}`") for i in range(1, count + 1)], "place", "revenue")
-    return long.withColumn("place", F.col("place").cast("int")).join(placed, "place").select("order_ym", "brand", "revenue")
+    packed = cells.groupBy("brand").agg(
+        F.sum("revenue").alias("total"), F.map_from_entries(F.collect_list(F.struct("order_ym", "revenue"))).alias("months"))
+    strongest = top(packed, count, "total", "brand")
+    # over `count` rows: every month in which any of them sold
+    listed = F.array_distinct(F.flatten(F.collect_list(F.map_keys("months")).over(Window.partitionBy())))
+    filled = strongest.select("brand", "months", listed.alias("all_months")).select("brand", "months", F.explode("all_months").alias("order_ym"))
+    return filled.select("order_ym", "brand", F.coalesce(F.try_element_at("months", F.col("order_ym")), F.lit(0)).alias("revenue"))
 
 
 def top_brand_rows(df: DataFrame, count: int = 5) -> DataFrame:

@@ -12,6 +12,7 @@ from ..functions import lexicon as lx
 from ..operators import duplicates, outliers, quality
 from ..operators.indexing import with_row_index
 from ..operators.reshape import melt
+from ..session import staged
 from ..sources.readers import union_chunks
 from ..sources.resolve import pick_containing, pick_first, with_snake_headers
 
@@ -91,14 +92,14 @@ def duplicate_key(names: list[str]) -> list[str]:
 def clean_transactions(raw: DataFrame, order: list[str]) -> CleanedTransactions:
     """Whole transaction pipeline: values, duplicates, price repair. ``order`` tells rows apart.
 
-    The duplicate and outlier steps each look at the table twice (measure, then apply), so a
-    caller who writes all results should write ``clean_values`` first and continue from there.
+    The duplicate and outlier steps look at the table twice each (measure, then apply), so the
+    parsed table and the one without repeats are staged in the shared folder.
     """
     named = with_snake_headers(raw)
-    valued = clean_values(named)
+    valued = staged(clean_values(named), "cleaned-values")
     names = valued.columns
     key, quantity = duplicate_key(names), pick_first(names, lx.RAW_QUANTITY_NAMES)
-    once = duplicates.dedupe(valued, key, quantity, order)
+    once = staged(duplicates.dedupe(valued, key, quantity, order), "deduplicated")
     amount = pick_first(names, ["final_amount"]) or pick_containing(names, "price")[0]
     reference = pick_first(names, ["product_id"]) or next(iter(pick_containing(names, "category")), None)
     repaired = outliers.repair_amounts(once, amount, reference, order)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "tradewind", master: str | None = None, **extra: str) -> SparkSession:
@@ -49,3 +49,14 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_folder(spark).rstrip('/')}/{label}-{os.urandom(6).hex()}"
+
+
+def staged(df: DataFrame, label: str = "stage") -> DataFrame:
+    """The table written to the shared folder and read back.
+
+    Used between costly row work and operators that look at a table more than once: later passes
+    read only their columns, and a lost executor costs a re-read, not a re-computation.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
