@@ -29,8 +29,8 @@ def customers(transactions: DataFrame, order: list[str]) -> DataFrame:
     known = transactions.filter(F.col("customer_id").isNotNull())
     attributes = [c for c in lx.CUSTOMER_ATTRIBUTES if c in names]
     amount = pick_first(names, lx.CUSTOMER_AMOUNT_NAMES)
-    counted = "transaction_id" if "transaction_id" in names else "order_date"
-    measures = [F.count(counted).alias("total_orders")]
+    counted = pick_first(names, ["transaction_id", "order_date"])
+    measures = [F.count(counted or F.lit(1)).alias("total_orders")]
     if attributes:
         measures.append(F.min_by(F.struct(*attributes), F.struct(*order)).alias("_first"))
     if amount:
