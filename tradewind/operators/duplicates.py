@@ -31,15 +31,16 @@ def dedupe(df: DataFrame, keys: list[str], quantity: str | None, order: list[str
 
     ``order`` must tell all rows apart.
     """
-    return _marked(df, keys, quantity, order).filter(~F.col("_repeat")).drop("_repeat", "_wrong")
+    return once(mark(df, keys, quantity, order))
 
 
 def duplicate_rows(df: DataFrame, keys: list[str], quantity: str | None, order: list[str]) -> DataFrame:
     """All rows of erroneous groups, for review."""
-    return _marked(df, keys, quantity, order).filter("_wrong").drop("_repeat", "_wrong")
+    return for_review(mark(df, keys, quantity, order))
 
 
-def _marked(df: DataFrame, keys: list[str], quantity: str | None, order: list[str]) -> DataFrame:
+def mark(df: DataFrame, keys: list[str], quantity: str | None, order: list[str]) -> DataFrame:
+    """Adds ``_wrong`` (in an erroneous group) and ``_repeat`` (and not the first row there)."""
     wrong = key_groups(df, keys, quantity, order).filter("erroneous").withColumnRenamed("first", "_first")
     marked = attach(df, wrong, keys, ["_first"], spread_by=order)
     return marked.withColumns({
@@ -48,6 +49,14 @@ def _marked(df: DataFrame, keys: list[str], quantity: str | None, order: list[st
     }).drop("_first")
 
 
+def once(marked: DataFrame) -> DataFrame:
+    return marked.filter(~F.col("_repeat")).drop("_repeat", "_wrong")
+
+
+def for_review(marked: DataFrame) -> DataFrame:
+    return marked.filter("_wrong").drop("_repeat", "_wrong")
+
+
 def keep_most_complete(df: DataFrame, key: str, order: list[str], ignore: list[str] = ()) -> DataFrame:
     """One row per key: the one with the fewest gaps, then the earliest.
 

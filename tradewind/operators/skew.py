@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import staged
+
 HOT_KEYS = 1000
 HOT_ROWS = 1_000_000
 
@@ -30,8 +32,11 @@ def attach(
     by a broadcast of 1,000 lookup rows at most; every key beyond them holds less than a thousandth
     of the rows, or few rows, and goes through an ordinary join. Rows already served enter that join
     in slots that match nothing and spread them over all tasks. NULL keys match NULL keys.
+
+    The lookup is staged first: it is computed once, and its size is known when the join is
+    planned, so a small one is broadcast and the rows are not shuffled at all.
     """
-    packed = lookup.select(*keys, F.struct(*values, F.col(weight).alias("_weight")).alias("_found"))
+    packed = staged(lookup.select(*keys, F.struct(*values, F.col(weight).alias("_weight")).alias("_found")), "lookup")
     spread = spread_by or rows.columns
 
     def matched(prefix: str) -> Column:

@@ -93,13 +93,14 @@ def clean_transactions(raw: DataFrame, order: list[str]) -> CleanedTransactions:
     """Whole transaction pipeline: values, duplicates, price repair. ``order`` tells rows apart.
 
     The duplicate and outlier steps look at the table twice each (measure, then apply), so the
-    parsed table and the one without repeats are staged in the shared folder.
+    parsed table and the one with repeats marked are staged in the shared folder.
     """
     named = with_snake_headers(raw)
     valued = staged(clean_values(named), "cleaned-values")
     names = valued.columns
     key, quantity = duplicate_key(names), pick_first(names, lx.RAW_QUANTITY_NAMES)
-    once = staged(duplicates.dedupe(valued, key, quantity, order), "deduplicated")
+    marked = staged(duplicates.mark(valued, key, quantity, order), "marked-duplicates")
+    once = duplicates.once(marked)
     amount = pick_first(names, ["final_amount"]) or pick_containing(names, "price")[0]
     reference = pick_first(names, ["product_id"]) or next(iter(pick_containing(names, "category")), None)
     repaired = outliers.repair_amounts(once, amount, reference, order)
@@ -107,7 +108,7 @@ def clean_transactions(raw: DataFrame, order: list[str]) -> CleanedTransactions:
         table=repaired.drop("ref_median", "repair", "amount_before"), rejects=transaction_rejects(named), repaired=repaired,
         duplicate_groups=duplicates.key_groups(valued, key, quantity, order),
         review={
-            "duplicates": duplicates.duplicate_rows(valued, key, quantity, order),
+            "duplicates": duplicates.for_review(marked),
             "repaired_amounts": repaired.filter("repair <> 'flag'"),
             "flagged_amounts": repaired.filter("repair = 'flag'"),
         })
