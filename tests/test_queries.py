@@ -6,10 +6,12 @@ import pytest
 
 import __spark_entry__ as contract
 from checks.compare import database, difference
+from checks.oracles import ORACLES
+from checks.registry import QUERIES
 
 # python workers, cartesian products and joins without a key have no place in any plan
 UNWANTED = re.compile(r"BatchEvalPython|ArrowEvalPython|MapInPandas|MapInArrow|FlatMapGroups|CartesianProduct|BroadcastNestedLoopJoin")
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+
 
 
 @pytest.fixture(scope="module")
@@ -21,6 +23,10 @@ def test_entry(spark):
     assert contract.entry(spark).count() > 0
 
 
+def test_contract_has_every_query():
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql()) <= set(contract.queries())
+
+
 def test_only_the_seeded_clusters_have_no_oracle():
     assert set(QUERIES) - set(ORACLES) == {"rfm_segments", "rfm_segment_summary"} and set(ORACLES) <= set(QUERIES)
 
