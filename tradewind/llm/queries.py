@@ -5,9 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import mixing, simhash, tokens
 from .common import table
 
+TOKEN_LIMIT = 2048
+
+
+def tokenizer(name: str) -> str:
+    """Where the host keeps a public vocabulary."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = tokens.token_counts(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer("word_bpe_49k.json"))
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(table(spark, sf_dir, "documents"))
+
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -15,6 +33,8 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_token_counts": op3_token_counts,
+    "op7_mixing": op7_mixing,
     "op9_simhash": op9_simhash,
 }
 
