@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, simhash, tokens
+from . import mixing, secrets, simhash, tokens
 from .common import table
 
 TOKEN_LIMIT = 2048
@@ -18,6 +18,15 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, ledger = table(spark, sf_dir, "documents"), secrets.new_ledger(spark)
+    secrets.scan(docs, ledger)
+    found = secrets.findings(docs, ledger)
+    spans = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    counts = [F.coalesce(F.col("counts")[r.kind], F.lit(0)).cast("long").alias(f"n_{r.kind}") for r in secrets.BASE]
+    return found.select("doc_id", *counts, F.sha2(F.encode(spans, "UTF-8"), 256).alias("base_sha256"), spans.alias("spans"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = tokens.token_counts(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer("word_bpe_49k.json"))
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
@@ -33,6 +42,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_secret_scan": op1_secret_scan,
     "op3_token_counts": op3_token_counts,
     "op7_mixing": op7_mixing,
     "op9_simhash": op9_simhash,
