@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, secrets, simhash, tokens
+from . import mixing, output, secrets, simhash, tokens
 from .common import table
 
 TOKEN_LIMIT = 2048
@@ -41,11 +41,16 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return output.written(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op3_token_counts": op3_token_counts,
     "op7_mixing": op7_mixing,
     "op9_simhash": op9_simhash,
+    "op10_token_output": op10_token_output,
 }
 
 ORACLES: dict[str, str] = {}
