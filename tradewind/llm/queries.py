@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, output, secrets, simhash, tokens
+from . import mixing, output, quality, secrets, simhash, tokens, toxicity
 from .common import table
 
 TOKEN_LIMIT = 2048
@@ -32,6 +32,22 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
 
 
+def _scored(spark: SparkSession, sf_dir: str, model, label: str, folds: int, held: int) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    known = quality.teaching(table(spark, sf_dir, "labels"), label, folds, held)
+    found, score = model.scored(docs, known)
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(folds)) == held
+    return found.select("doc_id", held_out.alias("held_out"), F.col(score).alias("score"), (F.col(score) >= model.LIMIT).cast("int").alias("predicted"))
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scored(spark, sf_dir, quality, "quality", 5, 0)
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scored(spark, sf_dir, toxicity, "toxic", 4, 2)
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents"))
 
@@ -48,6 +64,8 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op3_token_counts": op3_token_counts,
+    "op4_quality": op4_quality,
+    "op5_toxicity": op5_toxicity,
     "op7_mixing": op7_mixing,
     "op9_simhash": op9_simhash,
     "op10_token_output": op10_token_output,
