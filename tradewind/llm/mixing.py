@@ -37,6 +37,7 @@ SEED = 42
 #: A source's documents are laid out bucket by bucket; more buckets, shorter runs in one task.
 BUCKETS = 1024
 SLOTS_A_ROW = 4096
+SLOTS_A_TASK = 1 << 20
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -106,8 +107,8 @@ def _laid_out(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return marked, totals.select("key", "bucket", "words", F.coalesce(before, F.lit(0)).alias("before"))
 
 
-def _plan(totals: DataFrame, weights, share, most, block, shards, seed) -> tuple[DataFrame, DataFrame]:
-    """Per source its size and target; the slots of all shards as ranges (key, blocks, first, count)."""
+def _plan(totals: DataFrame, weights, share, most, block, shards, seed) -> tuple[DataFrame, DataFrame, int]:
+    """Per source its size and target; the slots of all shards as ranges (key, blocks, first, count); all slots."""
     spark = totals.sparkSession
     sizes = sorted(((r["key"], int(r["words"])) for r in totals.groupBy("key").agg(F.sum("words").alias("words")).collect()), key=lambda x: (x[0][0] == "n", x[0]))
     wanted = targets([n for _, n in sizes], weights, share, most) if sizes else []
@@ -117,13 +118,13 @@ def _plan(totals: DataFrame, weights, share, most, block, shards, seed) -> tuple
     firsts = np.cumsum(shares, axis=0) - shares
     ranges = [(sizes[j][0], j, blocks[j], i, int(firsts[i, j]), int(shares[i, j])) for i in range(len(shares)) for j in range(len(sizes)) if shares[i, j]]
     per_source = spark.createDataFrame([(k, n, float(t)) for (k, n), t in zip(sizes, wanted)], "key string, source_size long, target double")
-    return per_source, spark.createDataFrame(ranges, "key string, rank int, blocks long, shard int, first long, slots long")
+    return per_source, spark.createDataFrame(ranges, "key string, rank int, blocks long, shard int, first long, slots long"), sum(quotas)
 
 
-def _slots(ranges: DataFrame, seed: int) -> DataFrame:
+def _slots(ranges: DataFrame, seed: int, tasks: int) -> DataFrame:
     """(key, shard, slot, block): every slot with the block it is mapped to."""
     rows = ranges.withColumn("row", F.explode(F.sequence(F.lit(0).cast("long"), ((F.col("slots") - 1) / SLOTS_A_ROW).cast("long"))))
-    rows = rows.repartition("key", "shard", "row")
+    rows = rows.repartition(tasks, "key", "shard", "row")
 
     def mapped(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -146,8 +147,10 @@ def taken_pieces(rows: DataFrame, weights=WEIGHTS, share=SHARE, most=MOST_TIMES,
     words there) and times; a row of size 0 has one line with neither block nor piece.
     """
     marked, totals = _laid_out(rows)
-    per_source, ranges = _plan(totals, weights, share, most, block, shards, seed)
-    times = _slots(ranges, seed).groupBy("key", "block").agg(F.count(F.lit(1)).alias("times"))
+    per_source, ranges, slots = _plan(totals, weights, share, most, block, shards, seed)
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, slots // SLOTS_A_TASK)
+    # the planner cannot foresee how many slots the few ranges become, so it must not broadcast them
+    times = _slots(ranges, seed, tasks).groupBy("key", "block").agg(F.count(F.lit(1)).alias("times")).hint("merge")
     order = Window.partitionBy("key", "bucket").orderBy("doc_id", "size", "tie").rowsBetween(Window.unboundedPreceding, -1)
     bucketed = totals.join(per_source, "key").select("key", "bucket", "before", "source_size", "target")
     placed = marked.withColumn("inside", F.coalesce(F.sum("size").over(order), F.lit(0))).join(bucketed, ["key", "bucket"])
