@@ -29,7 +29,7 @@ from pyspark.sql.types import DoubleType, StructField
 from ..session import staged
 from .common import append_columns, fresh, pieces, text_bytes
 from .quality import sampled
-from .words import tokens
+from .words import distinct, tokens
 
 PLACES = 1 << 20
 PREFIX = 6
@@ -83,7 +83,7 @@ def present(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     hashes, kind, doc, begins = tokens(texts, True, PREFIX)
     letters = kind == 1
     place = np.concatenate([hashes[letters], begins[letters]]) % np.uint64(PLACES)
-    both = np.unique(np.concatenate([doc[letters]] * 2).astype(np.uint64) * np.uint64(PLACES) + place)
+    both = distinct(np.concatenate([doc[letters]] * 2).astype(np.uint64) * np.uint64(PLACES) + place)
     return (both // np.uint64(PLACES)).astype(np.int64), (both % np.uint64(PLACES)).astype(np.int64)
 
 

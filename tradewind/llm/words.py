@@ -45,6 +45,12 @@ def tokens(texts: list[bytes], lower: bool, prefix: int = 0) -> tuple[np.ndarray
     return hashes[is_token], own[is_token], np.searchsorted(ends, border[is_token], side="right"), begins[is_token]
 
 
+def distinct(codes: np.ndarray) -> np.ndarray:
+    """Sorted, each once; by sorting, which is several times faster here than hashing."""
+    codes = np.sort(codes)
+    return codes[np.append(True, codes[1:] != codes[:-1])] if len(codes) else codes
+
+
 def word_hash(word: str) -> int:
     """The hash that ``tokens`` gives a single word."""
     return int(tokens([word.encode()], False)[0][0])
