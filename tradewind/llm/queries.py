@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, output, quality, secrets, simhash, tokens, toxicity
+from . import decontam, mixing, output, quality, secrets, simhash, tokens, toxicity
 from .common import table
 
 TOKEN_LIMIT = 2048
@@ -48,6 +48,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(spark, sf_dir, toxicity, "toxic", 4, 2)
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents"))
 
@@ -66,6 +70,7 @@ QUERIES = {
     "op3_token_counts": op3_token_counts,
     "op4_quality": op4_quality,
     "op5_toxicity": op5_toxicity,
+    "op6_decontamination": op6_decontamination,
     "op7_mixing": op7_mixing,
     "op9_simhash": op9_simhash,
     "op10_token_output": op10_token_output,
