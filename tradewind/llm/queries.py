@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, mixing, output, quality, secrets, simhash, tokens, toxicity
+from . import decontam, lines, mixing, output, quality, secrets, simhash, tokens, toxicity
 from .common import table
 
 TOKEN_LIMIT = 2048
@@ -27,6 +27,11 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(F.encode(spans, "UTF-8"), 256).alias("base_sha256"), spans.alias("spans"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, n_lines, n_deleted = lines.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "text", F.col(n_lines).alias("n_lines"), F.col(n_deleted).alias("n_deleted"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = tokens.token_counts(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer("word_bpe_49k.json"))
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
@@ -67,6 +72,7 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
+    "op2_line_dedup": op2_line_dedup,
     "op3_token_counts": op3_token_counts,
     "op4_quality": op4_quality,
     "op5_toxicity": op5_toxicity,
@@ -76,4 +82,4 @@ QUERIES = {
     "op10_token_output": op10_token_output,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op2_line_dedup": lines.ORACLE}
