@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, lines, mixing, output, quality, secrets, simhash, tokens, toxicity
+from . import ann, decontam, lines, mixing, output, quality, secrets, simhash, tokens, toxicity
 from .common import table
 
 TOKEN_LIMIT = 2048
@@ -61,6 +61,10 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents"))
 
 
+def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), every=20)
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -78,6 +82,7 @@ QUERIES = {
     "op5_toxicity": op5_toxicity,
     "op6_decontamination": op6_decontamination,
     "op7_mixing": op7_mixing,
+    "op8_nearest": op8_nearest,
     "op9_simhash": op9_simhash,
     "op10_token_output": op10_token_output,
 }
