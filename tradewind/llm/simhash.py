@@ -1,13 +1,14 @@
 """SimHash near-duplicates: fingerprints, a hierarchical index in Gray order, and groups of linked documents.
 
-Method: two fingerprints that differ in few bits agree on at least one of three parts of the bits.
+Method: two fingerprints that differ in d bits at most agree on at least one of d + 1 parts of the bits.
 Fingerprints are therefore filed under upper nodes, each a mask and the pattern its members share
 below that mask. Members stand in the order of their Gray rank, in which neighbours differ little;
 over them the task builds further levels, each node with the bits that all its members share, and
 compares whole nodes: the differing bits that two nodes share already are a lower bound, and a pair
 of nodes beyond the allowed number is dropped with everything below it. Upper nodes with too many
 members are filed again under larger masks; with 14 bits left a node has 2^14 members at most, so
-the size of what a task holds is bounded whatever the data.
+at a distance of 2 what a task holds is bounded whatever the data. (Larger distances need more masks
+and stop refining earlier; a node is then 8 bytes a distinct fingerprint.)
 
 Defined results: a null or wordless text has fingerprint zero and links like any other; repeated
 rows and ties share a fingerprint, hence a group; an empty table gives no rows; only ``doc_id`` and
@@ -37,6 +38,8 @@ SEED = 42
 #: An upper node with more members is filed again under larger masks.
 NODE_MEMBERS = 4096
 FREE_BITS = 14
+#: More masks are not refined further; at the registered distance of 2 the free bits run out first.
+MOST_MASKS = 1024
 FANOUT = 8
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -119,7 +122,7 @@ def upper_nodes(prints: DataFrame, members: int = NODE_MEMBERS, distance: int =
         choices = F.create_map(*[x for m, new in refined.items() for x in (F.lit(_signed(m)).cast("long"), F.array(*[F.lit(_signed(n)).cast("long") for n in new]))])
         filed = rest.select("fp", F.explode(choices[F.col("mask")]).alias("mask")).withColumn("pattern", F.col("fp").bitwiseAND(F.col("mask")))
         masks = sorted({n for new in refined.values() for n in new})
-        if min(m.bit_count() for m in masks) >= 64 - FREE_BITS:
+        if min(m.bit_count() for m in masks) >= 64 - FREE_BITS or len(masks) * (distance + 1) > MOST_MASKS:
             return filed if done is None else done.unionByName(filed)
         filed = staged(filed, "nodes")
         large = staged(filed.groupBy("mask", "pattern").count().filter(F.col("count") > members).select("mask", "pattern", F.lit(True).alias("large")), "large-nodes")
