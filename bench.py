@@ -9,13 +9,14 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from checks.registry import QUERIES  # noqa: E402
-from tradewind.session import build_session, shared_folder  # noqa: E402
+from tradewind.session import build_session, drop_stages, shared_folder  # noqa: E402
 
 HEADLINE = [
     "yearly_revenue_growth", "pivot_year_month", "category_seasonality", "rfm", "payment_monthly_share", "category_revenue",
@@ -32,7 +33,8 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "1"))
     spark = build_session("tradewind-bench", f"local[{cpus}]", spark__sql__shuffle__partitions=cpus, spark__driver__memory="16g",
-                          spark__ui__showConsoleProgress="false")
+                          spark__ui__showConsoleProgress="false",
+                          spark__checkpoint__dir=os.environ.get("BENCH_SHARED") or tempfile.mkdtemp(prefix="tradewind-bench-"))
     spark.sparkContext.setLogLevel("ERROR")
     shared_folder(spark)
     times = {}
@@ -42,6 +44,7 @@ def main() -> None:
             start = time.perf_counter()
             QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
             taken.append(time.perf_counter() - start)
+            drop_stages(spark)
         times[name] = round(statistics.median(taken[1:]), 3)
         print(name, times[name], file=sys.stderr, flush=True)
     print(json.dumps({

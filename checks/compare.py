@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import math
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -57,7 +58,8 @@ def difference(df, con, sql: str) -> str | None:
 
 def main(folder: str = "/root/testdata/sf0.01", *names: str) -> int:
     spark = build_session("tradewind-compare", "local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="8g",
-                          spark__ui__showConsoleProgress="false")
+                          spark__ui__showConsoleProgress="false",
+                          spark__checkpoint__dir=tempfile.mkdtemp(prefix="tradewind-compare-"))
     spark.sparkContext.setLogLevel("ERROR")
     shared_folder(spark)
     con, bad = database(folder), 0

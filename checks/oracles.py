@@ -473,6 +473,8 @@ on_t("discount_full", f"SELECT transaction_id, {d('original_price_inr')} AS orig
 on_t("discount_trend", f"""SELECT CAST(least(CAST(floor(50 * (x - lo) / (hi - lo)) AS BIGINT) + 1, 50) AS INTEGER) AS bin, count(*) AS rows, {mean('y')} AS mean_value
   FROM (SELECT {_PERCENT} AS x, final_amount AS y, min({_PERCENT}) OVER () AS lo, max({_PERCENT}) OVER () AS hi FROM t) GROUP BY 1""")
 on_t("rating_by_product", f"SELECT product_id, {mean('rating')} AS avg_rating, {total()} AS revenue FROM t GROUP BY product_id")
+ORACLES["category_transitions_timed"] = """SELECT from_state, to_state, count(*) AS transitions FROM (SELECT event_type AS to_state,
+  lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS from_state FROM events) WHERE from_state IS NOT NULL GROUP BY ALL"""
 on_t("category_transitions", """SELECT from_state, to_state, count(*) AS transitions FROM (SELECT category AS to_state,
   lag(category) OVER (PARTITION BY customer_id ORDER BY order_date, transaction_id) AS from_state FROM t) WHERE from_state IS NOT NULL GROUP BY ALL""")
 on_t("product_lifecycle", f"""SELECT product_id, strftime(min(order_date), '%Y-%m-%d %H:%M:%S') AS first_sale, strftime(max(order_date), '%Y-%m-%d %H:%M:%S') AS last_sale,

@@ -348,7 +348,15 @@ over_transactions("rating_by_product", analysis.rating_by_product, "product_id",
 
 def _journeys(transactions, catalog):
     named = analysis.enrich(transactions, catalog, "category")
-    return customers.transitions(named, "category", "transaction_id", orders=transactions)
+    return customers.transitions(named, "category", "transaction_id")
+
+
+@query("category_transitions_timed")
+def _(spark, folder):
+    """Which kind of event follows which, per user, by the time of day."""
+    events = spark.read.parquet(f"{folder}/events.parquet")
+    steps = events.select(F.col("user_id").cast("string").alias("customer_id"), F.col("ts").alias("order_date"), F.format_string("event-%012d", "event_id").alias("event"), "event_type")
+    return customers.transitions(steps, "event_type", "event")
 
 
 over_transactions("category_transitions", _journeys, "transaction_id", "customer_id", "product_id", "order_date", catalog=True)

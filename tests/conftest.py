@@ -1,4 +1,5 @@
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -11,7 +12,8 @@ from tradewind.session import build_session, shared_folder  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = build_session(
-        "tradewind-tests", "local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="6g"
+        "tradewind-tests", "local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="6g",
+        spark__checkpoint__dir=tempfile.mkdtemp(prefix="tradewind-tests-"),
     )
     session.sparkContext.setLogLevel("ERROR")
     shared_folder(session)

@@ -21,16 +21,34 @@ def rows(df, *order):
 # --- hot keys -------------------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("hot_rows", [0, 50, 10 ** 9])
-def test_attach_is_a_left_join(spark, hot_rows):
+@pytest.mark.parametrize("small_rows", [0, 10 ** 9])
+def test_attach_is_a_left_join(spark, small_rows):
     keys = ["a"] * 400 + ["b"] * 60 + ["c", "d", None, None]
     left = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "id int, k string")
     lookup = row_counts(left, ["k"]).filter("k is null or k <> 'd'").withColumn("v", F.concat(F.lit("v"), F.coalesce("k", F.lit("-"))))
-    found = attach(left, lookup, ["k"], ["v"], spread_by=["id"], hot_rows=hot_rows)
+    found = attach(left, lookup, ["k"], ["v"], spread_by=["id"], small_rows=small_rows)
     expected = [(i, k, None if k == "d" else f"v{k or '-'}") for i, k in enumerate(keys)]
     assert rows(found, "id") == expected
 
 
+@pytest.mark.parametrize("heavy", ["known", "unknown", None])
+def test_a_heavy_key_is_spread_over_tasks(spark, heavy):
+    """Without adaptive help: a key that the lookup has, one that it lacks, and NULL."""
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16"}
+    left = spark.range(60_000).select("id", F.when(F.col("id") % 2 == 0, F.lit(heavy)).otherwise(F.concat(F.lit("k"), F.col("id") % 5000)).alias("k"))
+    lookup = spark.range(5000).select(F.concat(F.lit("k"), "id").alias("k"), F.col("id").alias("v")).unionByName(spark.createDataFrame([("known", 1)], "k string, v long"))
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        found = attach(left, lookup, ["k"], ["v"], spread_by=["id"], small_rows=0)
+        tasks = [r["count"] for r in found.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert sum(tasks) == 60_000 and max(tasks) < 3 * sum(tasks) / 16
+
+
 @pytest.mark.parametrize("scale,digits", [(0, 4), (2, 14), (4, 21)])
 def test_exact_quantiles(spark, scale, digits):
     rng = np.random.default_rng(7)
@@ -130,13 +148,19 @@ def test_null_category_does_not_break_the_chain(spark):
     assert rows(customers.transitions(orders(spark, data), "s", "transaction_id")) == [("A", "B", 1), ("B", "A", 1)]
 
 
-@pytest.mark.parametrize("hot_rows", [0, 30, 10 ** 9])
-def test_transitions_against_brute_force(spark, hot_rows):
+@pytest.mark.parametrize("partitions", ["1", "3", "16"])
+def test_transitions_against_brute_force(spark, partitions):
     rng = random.Random(3)
-    data = [(rng.choice(["hot", "hot", "c1", "c2", "c3", None]), rng.choice([None, *[f"2020-01-{d:02d}" for d in range(1, 15)]]),
-             f"{rng.randrange(10 ** 6):06d}-{i}", rng.choice(["A", "B", "C", None])) for i in range(400)]
-    got = customers.transitions(orders(spark, data), "s", "transaction_id", hot_rows=hot_rows)
-    assert {(r.from_state, r.to_state): r.transitions for r in got.collect()} == dict(walk(data))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    data = [(rng.choice(["hot", "hot", "c1", "c2", "c3", None]), rng.choice([None, *[f"2020-01-{d:02d} {h:02d}:30:00" for d in range(1, 4) for h in range(0, 24, 4)]]),
+             f"order-{rng.randrange(10 ** 6):06d}-{i}", rng.choice(["A", "B", "C", None])) for i in range(400)]
+    try:
+        got = {(r.from_state, r.to_state): r.transitions for r in customers.transitions(orders(spark, data), "s", "transaction_id").collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert got == dict(walk(data))
 
 
 def test_transition_count_is_orders_minus_customers(spark, sf_dir):

@@ -9,9 +9,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import staged
 from .common import present, ratio, revenue, scalar
 from .indexing import with_row_index
-from .skew import HOT_ROWS, hot_keys, row_counts
 
 
 def rfm(df: DataFrame) -> DataFrame:
@@ -106,36 +106,26 @@ def cohort_value(df: DataFrame) -> DataFrame:
     ).withColumn("clv", ratio(F.col("revenue"), F.col("customers")))
 
 
-def transitions(
-    df: DataFrame, state: str, tie: str, orders: DataFrame | None = None, hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """How often each state follows another in a customer's orders, taken by date and ``tie``.
+def transitions(df: DataFrame, state: str, tie: str) -> DataFrame:
+    """How often each state follows another in a customer's orders, taken by date and ``tie``; undated orders come last.
 
-    Rows without a state are skipped and do not break the chain. A customer's orders are ordered in
-    one window, except those of the customers with very many: theirs are cut into spans of one day
-    and one leading part of ``tie``, ordered span by span, and stitched together from the first and
-    last state of each span. ``orders`` may give a cheaper table to count the orders in.
+    Rows without a state are skipped and do not break the chain. The steps are range-partitioned in
+    the order in which they are walked and staged, so a customer's chain is cut only at the borders
+    of partitions, however long it is. Inside a partition a step looks at the one before; the chains
+    of a customer in neighbouring partitions are stitched together from one first and last state per
+    customer and partition.
     """
+    order = [F.asc_nulls_last("order_date"), F.asc("tie"), F.asc("state")]
     steps = present(df, "customer_id", state).select("customer_id", "order_date", F.col(tie).alias("tie"), F.col(state).alias("state"))
-    counted = row_counts(present(steps if orders is None else orders, "customer_id"), ["customer_id"], "_orders")
-    marked = steps.join(F.broadcast(hot_keys(counted, ["customer_id"], "_orders", hot_rows)), "customer_id", "left")
-    busy = F.col("_orders").isNotNull()
-    # other customers have one span, with NULL marks; orders without a date come last
-    spans = marked.withColumns({
-        "_undated": F.when(busy, F.col("order_date").isNull()), "_day": F.when(busy, F.to_date("order_date")),
-        "_part": F.when(busy, F.left(F.col("tie"), F.lit(3))),
-    })
-    span = ["customer_id", "_undated", "_day", "_part"]
-    inside = Window.partitionBy(*span).orderBy(F.asc_nulls_last("order_date"), F.asc("tie"))
-    walked = spans.withColumn("from_state", F.lag("state").over(inside))
+    placed = staged(steps.repartitionByRange("customer_id", *order).withColumn("part", F.spark_partition_id()), "steps")
+    walked = placed.withColumn("from_state", F.lag("state").over(Window.partitionBy("customer_id", "part").orderBy(*order)))
 
     def tallied(pairs: DataFrame, to_state: str) -> DataFrame:
         return pairs.filter("from_state is not null").groupBy("from_state", F.col(to_state).alias("to_state")).agg(
             F.count(F.lit(1)).alias("transitions"))
 
-    place = F.struct("order_date", "tie")
-    ends = spans.filter(busy).groupBy(*span).agg(F.min_by("state", place).alias("first"), F.max_by("state", place).alias("last"))
-    along = Window.partitionBy("customer_id").orderBy("_undated", "_day", "_part")
-    seams = ends.withColumn("from_state", F.lag("last").over(along))
+    place = F.struct(F.col("order_date").isNull().alias("undated"), "order_date", "tie", "state")
+    ends = placed.groupBy("customer_id", "part").agg(F.min_by("state", place).alias("first"), F.max_by("state", place).alias("last"))
+    seams = ends.withColumn("from_state", F.lag("last").over(Window.partitionBy("customer_id").orderBy("part")))
     both = tallied(walked, "state").unionByName(tallied(seams, "first"))
     return both.groupBy("from_state", "to_state").agg(F.sum("transitions").alias("transitions"))

@@ -9,13 +9,10 @@ from pyspark.sql import functions as F
 
 from ..session import staged
 
-HOT_KEYS = 1000
-HOT_ROWS = 1_000_000
-
-
-def hot_keys(weighed: DataFrame, keys: list[str], weight: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The heaviest keys, 1,000 rows at most: those with more rows than a task takes in its stride."""
-    return weighed.filter(F.col(weight) > hot_rows).orderBy(F.desc(weight), *keys).limit(HOT_KEYS)
+#: Parts into which the rows of every key are dealt.
+SLOTS = 64
+#: A lookup of so few rows is broadcast; a larger one meets the rows slot by slot. The result is the same.
+SMALL_ROWS = 50_000
 
 
 def row_counts(df: DataFrame, keys: list[str], name: str = "rows") -> DataFrame:
@@ -23,32 +20,23 @@ def row_counts(df: DataFrame, keys: list[str], name: str = "rows") -> DataFrame:
 
 
 def attach(
-    rows: DataFrame, lookup: DataFrame, keys: list[str], values: list[str], weight: str = "rows",
-    spread_by: list[str] | None = None, hot_rows: int = HOT_ROWS,
+    rows: DataFrame, lookup: DataFrame, keys: list[str], values: list[str], spread_by: list[str] | None = None,
+    slots: int = SLOTS, small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
-    """Left join of ``values`` from a lookup with one row per key, safe against hot keys.
-
-    ``weight`` is the lookup's column with the number of rows per key. The heaviest keys are served
-    by a broadcast of 1,000 lookup rows at most; every key beyond them holds less than a thousandth
-    of the rows, or few rows, and goes through an ordinary join. Rows already served enter that join
-    in slots that match nothing and spread them over all tasks. NULL keys match NULL keys.
+    """Left join of ``values`` from a lookup with one row per key, safe against hot keys. NULL keys match NULL keys.
 
-    The lookup is staged first: it is computed once, and its size is known when the join is
-    planned, so a small one is broadcast and the rows are not shuffled at all.
+    The lookup is staged first, so it is computed once and its size is known before the join is
+    planned; the rows are not counted. A small lookup is broadcast. For a larger one the rows of
+    every key are dealt into slots by ``spread_by``: each (key, slot) that occurs fetches the lookup's
+    row once, and rows meet these pairs on key and slot. So no task gets more than one slot of a
+    key, whether the lookup knows the key or not, and NULL is a key like any other.
     """
-    packed = staged(lookup.select(*keys, F.struct(*values, F.col(weight).alias("_weight")).alias("_found")), "lookup")
-    spread = spread_by or rows.columns
-
-    def matched(prefix: str) -> Column:
-        return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{prefix}{k}")) for k in keys])
-
-    def renamed(prefix: str) -> list[Column]:
-        return [F.col(k).alias(f"{prefix}{k}") for k in keys]
-
-    hot = hot_keys(packed.withColumn("_weight", F.col("_found._weight")), keys, "_weight", hot_rows).select(*renamed("_hot_"), F.col("_found").alias("_hot"))
-    served = rows.join(F.broadcast(hot), matched("_hot_"), "left").withColumn(
-        "_slot", F.when(F.col("_hot").isNotNull(), F.xxhash64(*spread)).otherwise(F.xxhash64(*keys)))
-    cold = packed.select(*renamed("_key_"), F.col("_found").alias("_cold"), F.xxhash64(*keys).alias("_key_slot"))
-    joined = served.join(cold, matched("_key_") & (F.col("_slot") == F.col("_key_slot")), "left")
-    found = F.coalesce("_hot", "_cold")
-    return joined.select(*rows.columns, *[found[v].alias(v) for v in values])
+    packed = staged(lookup.select(*[F.col(k).alias(f"_key_{k}") for k in keys], F.struct(*values).alias("_found")), "lookup")
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
+    kept = [*rows.columns, *[F.col("_found")[v].alias(v) for v in values]]
+    if packed.limit(small_rows + 1).count() <= small_rows:
+        return rows.join(F.broadcast(packed), same, "left").select(*kept)
+    dealt = rows.withColumn("_slot", F.pmod(F.xxhash64(*(spread_by or rows.columns)), F.lit(slots)))
+    pairs = dealt.select(*keys, F.col("_slot").alias("_pair_slot")).distinct().join(packed, same)
+    carried = pairs.select("_pair_slot", *[F.col(f"_key_{k}") for k in keys], "_found")
+    return dealt.join(carried, same & (F.col("_slot") == F.col("_pair_slot")), "left").select(*kept)

@@ -14,7 +14,7 @@ from ..functions import lexicon as lx
 from ..operators import distribution
 from ..operators.common import growth, mean, present, ratio, revenue, scalar, top
 from ..operators.reshape import melt, share_of, spread_months
-from ..operators.skew import attach, row_counts
+from ..operators.skew import attach
 
 TIE = "transaction_id"
 
@@ -35,8 +35,7 @@ def _named(df: DataFrame, name: str) -> Column:
 
 def enrich(df: DataFrame, catalog: DataFrame, name: str) -> DataFrame:
     """Every transaction with a catalog attribute, safe against products with very many orders."""
-    weighed = row_counts(present(df, "product_id"), ["product_id"]).join(catalog_values(catalog, name), "product_id")
-    joined = attach(df, weighed, ["product_id"], [f"catalog_{name}"], spread_by=[TIE] if TIE in df.columns else None)
+    joined = attach(df, catalog_values(catalog, name), ["product_id"], [f"catalog_{name}"], spread_by=[TIE] if TIE in df.columns else None)
     return joined.withColumn(name, _named(df, name)).drop(f"catalog_{name}")
 
 

@@ -8,12 +8,11 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import customers, distribution
-from ..session import build_session
+from ..session import build_session, drop_stages
 from ..sources.readers import SEQUENCE, scan_text, try_scan
 from ..sources.resolve import canonical_frame
 from ..sources.sinks import export_rejects, write_csv, write_table
@@ -52,7 +51,7 @@ ANALYSES: Analysis = {
     "discount_trend": lambda t, c: analysis.discount_trend(t),
     "rating_histogram": lambda t, c: distribution.histogram(t, "rating", 20),
     "rating_by_product": lambda t, c: analysis.rating_by_product(t),
-    "category_transitions": lambda t, c: customers.transitions(analysis.enrich(t, c, "category"), "category", "transaction_id", orders=t),
+    "category_transitions": lambda t, c: customers.transitions(analysis.enrich(t, c, "category"), "category", "transaction_id"),
     "product_lifecycle": lambda t, c: analysis.product_lifecycle(t),
     "top_product_monthly": lambda t, c: analysis.top_product_monthly(t),
     "brand_price_box": analysis.brand_price_box,
@@ -88,28 +87,30 @@ def load(spark: SparkSession, cleaned: str, folder: str, order: list[str]) -> Da
 
 def run_all(transactions: DataFrame, catalog: DataFrame, folder: str, chosen: Analysis | None = None, csv: bool = False) -> dict[str, str]:
     """Every question into its own table; a failing one is reported and does not stop the others."""
-    facts = transactions.persist(StorageLevel.MEMORY_AND_DISK)
     outcome = {}
     for name, question in (chosen or ANALYSES).items():
         try:
-            table = question(facts, catalog)
+            table = question(transactions, catalog)
             write_csv(table, f"{folder}/{name}") if csv else write_table(table, f"{folder}/{name}")
             outcome[name] = "written"
         except (PySparkException, ValueError) as problem:
             outcome[name] = f"failed: {str(problem).splitlines()[0]}"
-    facts.unpersist()
     return outcome
 
 
-def main(transactions: str, products: str, folder: str) -> None:
+def main(transactions: str, products: str, folder: str) -> int:
+    """The whole run; the number of questions that failed, which is the exit status."""
     spark = build_session("tradewind-run")
     clean(spark, transactions, products, f"{folder}/cleaned")
     breaches = load(spark, f"{folder}/cleaned", f"{folder}/warehouse", ["order_date", "transaction_id"])
     write_table(breaches, f"{folder}/breaches")
     facts = canonical_frame(spark.read.parquet(f"{folder}/warehouse/transactions"))
-    for name, result in run_all(facts, spark.read.parquet(f"{folder}/warehouse/products"), f"{folder}/results").items():
+    outcome = run_all(facts, spark.read.parquet(f"{folder}/warehouse/products"), f"{folder}/results")
+    for name, result in outcome.items():
         print(name, result)
+    drop_stages(spark)
+    return sum(result != "written" for result in outcome.values())
 
 
 if __name__ == "__main__":
-    main(*sys.argv[1:4])
+    sys.exit(main(*sys.argv[1:4]))

@@ -30,20 +30,24 @@ def build_session(app: str = "tradewind", master: str | None = None, **extra: st
     return builder.getOrCreate()
 
 
+_STAGES: dict[str, list[str]] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only where the setting is absent (tests on one machine) a temporary folder is taken instead.
+    Without the setting a session on one machine takes a temporary folder; any other session has no
+    folder that all its executors share, and is refused.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     context = spark.sparkContext
-    if named:
-        if not context.getCheckpointDir():
-            context.setCheckpointDir(named)
-        return named
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="tradewind-checkpoint-"))
-    return context.getCheckpointDir()
+    if not named and not context.getCheckpointDir():
+        if not context.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        named = tempfile.mkdtemp(prefix="tradewind-checkpoint-")
+    if named and not context.getCheckpointDir():
+        context.setCheckpointDir(named)
+    return named or context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -57,6 +61,17 @@ def staged(df: DataFrame, label: str = "stage") -> DataFrame:
     Used between costly row work and operators that look at a table more than once: later passes
     read only their columns, and a lost executor costs a re-read, not a re-computation.
     """
-    path = scratch_path(df.sparkSession, label)
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    _STAGES.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_stages(spark: SparkSession) -> int:
+    """Delete this run's staged tables, once nothing reads them any more; how many there were."""
+    paths = _STAGES.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    return len(paths)
