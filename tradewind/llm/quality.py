@@ -11,7 +11,7 @@ size is fixed (``PLACES`` rows); only that table and the vectors of the sample r
 
 Defined results: a null, empty or wordless text has the zero vector and a score like any other; rows
 without label (null, or no row in ``labels``) teach nothing; of several labels of one id the smallest
-counts; without both classes among the labels every score is the share of label 1 (0.5 without
+counts, of several texts of one labelled id the smallest vector teaches; without both classes among the labels every score is the share of label 1 (0.5 without
 labels); repeated rows are scored each by itself; other columns, whatever their names, are not read.
 """
 
@@ -192,8 +192,8 @@ def scored(docs: DataFrame, known: DataFrame, most: int = MOST_LABELLED, seed: i
     vectors = word_vectors(*corpus_sums(docs, seed), seed)
     pooled_docs = staged(vectors_of(docs, vectors, vector), "pooled")
     chosen = sampled(known, most).withColumnRenamed("doc_id", "chosen_id")
-    lesson = pooled_docs.select(F.col("doc_id").alias("chosen_id"), F.col(vector).alias("x")).join(F.broadcast(chosen), "chosen_id").select("chosen_id", "x", "label")
-    rows = lesson.dropDuplicates(["chosen_id"]).toPandas().sort_values("chosen_id")
+    lesson = pooled_docs.select(F.col("doc_id").alias("chosen_id"), F.col(vector).alias("x")).join(F.broadcast(chosen), "chosen_id")
+    rows = lesson.groupBy("chosen_id", "label").agg(F.min("x").alias("x")).toPandas().sort_values("chosen_id")
     x = np.array(rows["x"].tolist(), np.float64).reshape(len(rows), DIMENSIONS)
     network = Network(x, rows["label"].to_numpy(np.float64), seed)
 

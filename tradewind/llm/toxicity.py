@@ -98,7 +98,8 @@ def _listed(doc: np.ndarray, place: np.ndarray, n: int) -> pa.Array:
 
 def lessons(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     """(doc_id, label, pair, side, places): a line for each chosen document (pair -1), two for each sentence pair."""
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text")
+    text = F.coalesce(F.col("text"), F.lit("")).alias("text")
+    rows = docs.select("doc_id", text).join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -175,15 +176,14 @@ class Model:
 def trained(docs: DataFrame, known: DataFrame, most: int = MOST_LABELLED, penalty: float = PENALTY, features: int = FEATURES) -> Model:
     chosen = sampled(known, most)
     lines = staged(lessons(docs, chosen), "lessons")
-    taught = lines.filter("pair = -1").select("doc_id", "label").distinct()
-    total, positive = taught.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0))).first()
+    total, positive = lines.filter("pair = -1").agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0))).first()
     places = chosen_features(lines, total, positive, features)
     model = Model(places, positive / total if total else 0.5)
     used = F.broadcast(lines.sparkSession.createDataFrame([(int(p),) for p in places], "place int"))
     kept = lines.withColumn("line", F.monotonically_increasing_id())
     slim = kept.select("line", F.explode("places").alias("place")).join(used, "place").groupBy("line").agg(F.collect_list("place").alias("places"))
     whole = kept.drop("places").join(slim, "line", "left").withColumn("places", F.coalesce("places", F.array().cast("array<int>")))
-    rows = whole.filter("pair = -1").dropDuplicates(["doc_id"]).select("doc_id", "label", "places").toPandas().sort_values("doc_id")
+    rows = whole.filter("pair = -1").select("doc_id", "label", "places").toPandas().sort_values("doc_id")
     both = whole.filter("pair >= 0").groupBy("doc_id", "pair").agg(F.max(F.when(F.col("side") == 0, F.col("places"))).alias("left"), F.max(F.when(F.col("side") == 1, F.col("places"))).alias("right"))
     both = both.orderBy(F.xxhash64("doc_id", "pair"), "doc_id", "pair").limit(MOST_PAIRS).toPandas()
     model.fit(rows["places"].tolist(), rows["label"].to_numpy(np.float64), both["left"].tolist(), both["right"].tolist(), penalty)
