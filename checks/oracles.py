@@ -371,9 +371,31 @@ on_t("fact_transactions", f"""SELECT transaction_id, {_STAMP} AS order_date, cus
   is_festival_sale, return_status, order_month, order_year, CAST(quarter(t.order_date) AS INTEGER) AS order_quarter,
   {d('CAST(final_amount AS DECIMAL(12,2))')} AS final_amount, """ + ", ".join(f"CAST(NULL AS {kind}) AS {c}" for kind, names in _NO.items() for c in names) + " FROM t")
 _COUNTS = """SELECT 'customers' AS table_name, count(DISTINCT customer_id) AS rows FROM t UNION ALL SELECT 'products', count(*) FROM part
-  UNION ALL SELECT 'time_dimension', date_diff('day', min(order_date), max(order_date)) + 1 FROM t UNION ALL SELECT 'transactions', count(*) FROM t"""
+  UNION ALL SELECT 'time_dimension', date_diff('day', min(order_date), max(order_date)) + 1 FROM t UNION ALL SELECT 'transactions', count(DISTINCT transaction_id) FROM t"""
 on_t("warehouse_row_counts", _COUNTS)
 on_t("warehouse_load", _COUNTS)
+ORACLES["warehouse_rejects"] = f"""WITH {R}, {P}, o AS (
+    SELECT transaction_id, copy, {date_of('order_date')} AS day, customer_id, CASE WHEN quantity = '9' THEN 'unknown' ELSE product_id END AS product_id,
+      CASE WHEN quantity = '7' THEN '99999999999.5' ELSE final_amount END AS final_amount, delivery_days, customer_rating FROM r),
+  fact AS (
+    SELECT transaction_id, copy, product_id, day IS NULL AS no_day, abs(round(CAST(final_amount AS DOUBLE), 2)) >= 1e10 AS wide, final_amount, delivery_days <> '45' AS no_days, delivery_days,
+      customer_rating, customer_rating IS NOT NULL AND (regexp_replace(customer_rating, '[^0-9.-]', '', 'g') = '' OR abs(try_cast(regexp_replace(customer_rating, '[^0-9.-]', '', 'g') AS DOUBLE)) >= 99.95) AS no_rating FROM o),
+  item AS (SELECT regexp_extract(sku, '[0-9]+') AS id, rating, row_no, copy,
+      rating IS NOT NULL AND (regexp_replace(rating, '[^0-9.-]', '', 'g') = '' OR abs(try_cast(regexp_replace(rating, '[^0-9.-]', '', 'g') AS DOUBLE)) >= 99.95) AS no_rating,
+      coalesce(regexp_extract(sku, '[0-9]+'), '') = '' AS no_id, sku IS NULL AS null_id FROM p),
+  fit_item AS (SELECT id, row_number() OVER (PARTITION BY id ORDER BY row_no, copy) AS n FROM item WHERE NOT no_rating AND NOT null_id),
+  fit AS (SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY copy) AS n FROM fact WHERE NOT no_day AND NOT wide AND NOT no_days AND NOT no_rating),
+  told AS (
+    SELECT 'transactions' AS table_name, 'missing' AS rule, 'order_date' AS column_name, CAST(NULL AS VARCHAR) AS raw FROM fact WHERE no_day
+    UNION ALL SELECT 'transactions', 'misfit', 'final_amount', final_amount FROM fact WHERE wide
+    UNION ALL SELECT 'transactions', 'misfit', 'delivery_days', delivery_days FROM fact WHERE no_days
+    UNION ALL SELECT 'transactions', 'misfit', 'customer_rating', customer_rating FROM fact WHERE no_rating
+    UNION ALL SELECT 'transactions', 'repeated', 'transaction_id', transaction_id FROM fit WHERE n > 1
+    UNION ALL SELECT 'transactions', 'orphan', 'product_id', product_id FROM fit WHERE n = 1 AND product_id NOT IN (SELECT id FROM fit_item WHERE n = 1)
+    UNION ALL SELECT 'products', 'missing', 'product_id', NULL FROM item WHERE null_id
+    UNION ALL SELECT 'products', 'misfit', 'rating', rating FROM item WHERE no_rating
+    UNION ALL SELECT 'products', 'repeated', 'product_id', id FROM fit_item WHERE n > 1)
+  SELECT table_name, rule, column_name, raw, count(*) AS rows FROM told GROUP BY ALL"""
 on_t("warehouse_checks", """SELECT 'transactions:repeated' AS check_name, transaction_id AS key, count(*) AS rows FROM t GROUP BY transaction_id HAVING count(*) > 1""")
 
 # --- joins ---------------------------------------------------------------------------------------

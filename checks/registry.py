@@ -279,7 +279,20 @@ def _(spark, folder):
 
 
 def _warehouse(spark, folder):
-    return warehouse.build(bindings.transactions(spark, folder), bindings.products(spark, folder), TIME_ORDER)
+    return warehouse.build(bindings.transactions(spark, folder), bindings.products(spark, folder), TIME_ORDER, ["product_id"])
+
+
+@query("warehouse_rejects")
+def _(spark, folder):
+    """Untidy order lines and an untidy catalog straight into the load."""
+    raw = bindings.raw_transactions(spark, folder, *ROW, "order_date", "customer_id", "product_id", "final_amount", "quantity", "delivery_days", "customer_rating")
+    odd = raw.withColumns({
+        "order_date": fn.clean_date("order_date").cast("timestamp_ntz"),
+        "final_amount": F.when(F.col("quantity") == "7", F.lit("99999999999.5")).otherwise(F.col("final_amount")),
+        "product_id": F.when(F.col("quantity") == "9", F.lit("unknown")).otherwise(F.col("product_id")),
+    })
+    catalog = bindings.raw_products(spark, folder).select(F.regexp_extract("sku", r"(\d+)", 1).alias("product_id"), "rating", *PRODUCT_ROW)
+    return warehouse.rejects(warehouse.build(odd, catalog, ROW, PRODUCT_ROW))
 
 
 @query("warehouse_row_counts")
@@ -289,7 +302,10 @@ def _(spark, folder):
 
 @query("warehouse_checks")
 def _(spark, folder):
-    return warehouse.checks(_warehouse(spark, folder))
+    transactions, catalog = bindings.transactions(spark, folder), bindings.products(spark, folder)
+    return warehouse.checks({
+        "products": warehouse.products(catalog), "customers": warehouse.customers(transactions, TIME_ORDER),
+        "transactions": warehouse.fact(transactions), "time_dimension": warehouse.calendar(transactions)})
 
 
 @query("warehouse_load")

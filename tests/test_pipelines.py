@@ -142,14 +142,30 @@ def test_warehouse_checks(spark):
     facts = spark.createDataFrame([("t1", "2020-01-01", "c1", "p1"), ("t2", "2020-01-02", None, "p1"), ("t3", "2020-01-03", "c1", "p9")],
                                   "transaction_id string, order_date string, customer_id string, product_id string")
     tables = warehouse.build(facts.withColumn("order_date", F.col("order_date").cast("timestamp_ntz")), spark.createDataFrame([("p1",)], "product_id string"), ["transaction_id"])
-    assert tables["rejected_transactions"].count() == 1
+    assert sorted((r.transaction_id, r.problems[0].rule, r.problems[0].raw) for r in tables["rejected_transactions"].collect()) == [("t2", "missing", None), ("t3", "orphan", "p9")]
     loaded = warehouse.load(spark, tables, scratch_path(spark, "test-warehouse"))
-    assert rows(warehouse.checks(loaded)) == [("orphan:product_id", "p9", 1)]
-    assert dict(rows(warehouse.row_counts(loaded))) == {"customers": 1, "products": 1, "transactions": 2, "time_dimension": 3}
+    assert rows(warehouse.checks(loaded)) == []
+    assert dict(rows(warehouse.row_counts(loaded))) == {"customers": 1, "products": 1, "transactions": 1, "time_dimension": 1}
     pruned = plan_of(loaded["transactions"].filter("order_year = 2020").select("transaction_id"))
     assert "PartitionFilters: [isnotnull(order_year" in pruned
 
 
+def test_every_row_is_loaded_or_rejected(spark):
+    facts = spark.createDataFrame([
+        ("t1", "2020-01-01", "c1", "p1", "99999999999.5", "3", "4.5", 0), ("t2", "2020-01-01", "c1", "p1", "10", "500", "abc", 1), ("t3", "2020-01-01", "c1", "p1", "10", " ", None, 2),
+        ("t3", "2020-01-02", "c1", "p1", "11", "3", "4", 3), (None, "2020-01-02", "c1", "p1", "11", "3", "4", 4), ("t4", "2020-01-02", "c2", "p2", "11", "3", "4", 5), ("t5", "2020-01-02", "c2", None, "11", "3", "4", 6)],
+        "transaction_id string, order_date string, customer_id string, product_id string, final_amount string, delivery_days string, customer_rating string, i int")
+    catalog = spark.createDataFrame([("p1", "4", 0), ("p1", "5", 1), ("p2", "bad", 2), (None, "1", 3)], "product_id string, rating string, i int")
+    tables = warehouse.build(facts, catalog, ["i"], ["i"])
+    assert tables["transactions"].count() + tables["rejected_transactions"].count() == facts.count()
+    assert tables["products"].count() + tables["rejected_products"].count() == catalog.count()
+    found = {(r.table_name, r.rule, r.column_name, r.raw): r.rows for r in warehouse.rejects(tables).collect()}
+    assert found == {
+        ("transactions", "misfit", "final_amount", "99999999999.5"): 1, ("transactions", "misfit", "delivery_days", "500"): 1, ("transactions", "misfit", "customer_rating", "abc"): 1,
+        ("transactions", "repeated", "transaction_id", "t3"): 1, ("transactions", "missing", "transaction_id", None): 1, ("transactions", "missing", "product_id", None): 1,
+        ("transactions", "orphan", "product_id", "p2"): 1, ("products", "repeated", "product_id", "p1"): 1, ("products", "misfit", "rating", "bad"): 1, ("products", "missing", "product_id", None): 1}
+
+
 # --- questions ------------------------------------------------------------------------------------
 
 

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from .. import functions as fn
 from ..functions import lexicon as lx
 from ..operators import quality
+from ..operators.skew import attach
 from ..schemas import warehouse_schema, warehouse_tables
-from ..sources.readers import table_columns
+from ..session import staged
 from ..sources.resolve import align, pick_first
 from ..sources.sinks import write_table
 
@@ -60,50 +61,127 @@ def calendar(transactions: DataFrame, date: str = "order_date") -> DataFrame:
         F.weekday("date_id").isin(5, 6).alias("is_weekend")), warehouse_schema("time_dimension"))
 
 
-def _conformed(df: DataFrame, table: str, numbers: list[str], integers: list[str] = ()) -> DataFrame:
-    """Text flags, stripped numbers and whole numbers, then the table's schema."""
+_PROBLEM = "array<struct<rule: string, column_name: string, raw: string>>"
+
+
+def _problem(rule: str, name: str, raw: Column | None = None) -> Column:
+    text = F.lit(None).cast("string") if raw is None else raw.cast("string")
+    return F.struct(F.lit(rule).alias("rule"), F.lit(name).alias("column_name"), text.alias("raw"))
+
+
+def reviewed(df: DataFrame, table: str, numbers: list[str], integers: list[str] = (), order: list[str] = ()) -> DataFrame:
+    """The table's columns, ``_problems`` and ``_order``: each column is built once, and what is lost on the way is told.
+
+    A value that is there but does not fit its column is a ``misfit``, a required one that is not
+    there is ``missing``. Blank text is not a value.
+    """
     kinds = dict(df.dtypes)
-    flags = [f.name for f in warehouse_schema(table) if f.dataType.typeName() == "boolean" and f.name in kinds]
-    values = {name: fn.flag_from_text(name) for name in flags if kinds[name] != "boolean"}
-    values |= {name: fn.strip_numeric(name) for name in numbers if kinds.get(name) == "string"}
-    values |= {name: fn.coerce_int(values.get(name, F.col(name))) for name in integers if name in kinds}
-    return align(df.withColumns(values) if values else df, warehouse_schema(table))
+    built, problems = [], []
+    for field in warehouse_schema(table):
+        name, kind = field.name, field.dataType.simpleString()
+        if name not in kinds:
+            built.append(F.lit(None).cast(kind).alias(name))
+            if not field.nullable:
+                problems.append(_problem("missing", name))
+            continue
+        source = F.col(name)
+        value = source
+        if kind == "boolean" and kinds[name] != "boolean":
+            value = fn.flag_from_text(name)
+        elif name in numbers and kinds[name] == "string":
+            value = fn.strip_numeric(name)
+        if name in integers:
+            value = fn.coerce_int(value)
+        cast = value if kinds[name] == kind and value is source else value.try_cast(kind)
+        built.append(cast.alias(name))
+        there = source.isNotNull() & (F.trim(source) != "") if kinds[name] == "string" else source.isNotNull()
+        if not (kinds[name] == kind and value is source):
+            problems.append(F.when(there & cast.isNull(), _problem("misfit", name, source)))
+        if not field.nullable:
+            problems.append(F.when(cast.isNull() & ~there, _problem("missing", name)))
+    found = F.filter(F.array(*problems), lambda p: p.isNotNull()) if problems else F.array()
+    place = F.struct(*order) if order else F.lit(None).cast("string")
+    return df.select(*built, found.cast(_PROBLEM).alias("_problems"), place.alias("_order"))
+
+
+def _plain(df: DataFrame, table: str) -> DataFrame:
+    return df.select(*warehouse_schema(table).names)
+
+
+def _with_dates(cleaned: DataFrame) -> DataFrame:
+    dates = {"order_year": F.year, "order_month": F.month, "order_quarter": F.quarter}
+    missing = {name: part("order_date") for name, part in dates.items() if name not in cleaned.columns}
+    return cleaned.withColumns(missing) if missing else cleaned
+
+
+def _reviewed_products(cleaned: DataFrame, order: list[str] = ()) -> DataFrame:
+    return reviewed(cleaned, "products", lx.PRODUCT_NUMERIC, order=order)
 
 
 def products(cleaned: DataFrame) -> DataFrame:
-    return _conformed(cleaned, "products", lx.PRODUCT_NUMERIC)
+    return _plain(_reviewed_products(cleaned), "products")
+
+
+def _reviewed_fact(cleaned: DataFrame, order: list[str] = ()) -> DataFrame:
+    return reviewed(_with_dates(cleaned), "transactions", lx.TRANSACTION_NUMERIC, lx.TRANSACTION_INTEGERS, order)
 
 
 def fact(cleaned: DataFrame) -> DataFrame:
     """Transactions in the warehouse layout, year, month and quarter taken from the date if absent."""
-    dates = {"order_year": F.year, "order_month": F.month, "order_quarter": F.quarter}
-    missing = {name: part("order_date") for name, part in dates.items() if name not in cleaned.columns}
-    return _conformed(cleaned.withColumns(missing) if missing else cleaned, "transactions", lx.TRANSACTION_NUMERIC, lx.TRANSACTION_INTEGERS)
+    return _plain(_reviewed_fact(cleaned), "transactions")
+
+
+def _without_repeats(df: DataFrame, key: str) -> DataFrame:
+    """Rows without problems whose key stood before, by ``_order``, get the problem ``repeated``."""
+    firsts = df.filter(F.size("_problems") == 0).groupBy(key).agg(F.count(F.lit(1)).alias("rows"), F.min("_order").alias("_first")).filter("rows > 1")
+    met = attach(df, firsts, [key], ["_first"], spread_by=["_order"])
+    again = (F.size("_problems") == 0) & F.col("_first").isNotNull() & (F.col("_order") != F.col("_first"))
+    return met.withColumn("_problems", F.when(again, F.array(_problem("repeated", key, F.col(key)))).otherwise(F.col("_problems"))).drop("_first")
+
+
+def _without_orphans(facts: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
+    """Rows without problems whose key the dimension lacks get the problem ``orphan``."""
+    met = attach(facts, dimension.select(key, F.lit(True).alias("_known")), [key], ["_known"], spread_by=["_order"])
+    lost = (F.size("_problems") == 0) & F.col("_known").isNull()
+    return met.withColumn("_problems", F.when(lost, F.array(_problem("orphan", key, F.col(key)))).otherwise(F.col("_problems"))).drop("_known")
+
 
+def build(transactions: DataFrame, catalog: DataFrame, order: list[str], product_order: list[str] | None = None) -> dict[str, DataFrame]:
+    """All tables in load order, dimensions before the fact, and the rows that may not be loaded.
 
-def loadable(rows: DataFrame, table: str) -> Column:
-    """Condition: everything the table declares NOT NULL is there."""
-    needed = [f.name for f in warehouse_schema(table) if not f.nullable]
-    condition = F.lit(True)
-    for name in needed:
-        condition = condition & F.col(name).isNotNull()
-    return condition
+    Every row of the input is loaded or rejected. A reject keeps its columns as far as they fit, with
+    ``problems``: misfits and missing values (all of a row's), else a repeated key (the first row by
+    ``order`` is loaded), else a product that the catalog lacks.
+    """
+    items = staged(_reviewed_products(catalog, product_order or catalog.columns), "reviewed-products")
+    items = staged(_without_repeats(items, "product_id"), "products")
+    facts = staged(_reviewed_fact(transactions, order), "reviewed-facts")
+    known = items.filter(F.size("_problems") == 0)
+    facts = staged(_without_orphans(_without_repeats(facts, "transaction_id"), known, "product_id"), "facts")
+    fit = facts.filter(F.size("_problems") == 0)
 
+    def rejected(df: DataFrame, table: str) -> DataFrame:
+        return df.filter(F.size("_problems") > 0).select(*warehouse_schema(table).names, F.col("_problems").alias("problems"))
 
-def build(transactions: DataFrame, catalog: DataFrame, order: list[str]) -> dict[str, DataFrame]:
-    """All tables in load order, dimensions before the fact; rows without required values are kept
-    apart as ``rejected_transactions``."""
-    facts = fact(transactions)
-    fit = loadable(facts, "transactions")
     return {
-        "products": products(catalog).filter(F.col("product_id").isNotNull()),
+        "products": _plain(known, "products"),
         "customers": customers(transactions, order),
-        "transactions": facts.filter(fit),
-        "time_dimension": calendar(facts.filter(fit)),
-        "rejected_transactions": facts.filter(~fit),
+        "transactions": _plain(fit, "transactions"),
+        "time_dimension": calendar(fit),
+        "rejected_products": rejected(items, "products"),
+        "rejected_transactions": rejected(facts, "transactions"),
     }
 
 
+def rejects(tables: dict[str, DataFrame]) -> DataFrame:
+    """``table_name, rule, column_name, raw, rows`` over the rejected rows of a built warehouse."""
+    listed = [
+        tables[f"rejected_{name}"].select(F.lit(name).alias("table_name"), F.explode("problems").alias("p")).select("table_name", "p.*")
+        for name in ("products", "transactions")
+    ]
+    return listed[0].unionByName(listed[1]).groupBy("table_name", "rule", "column_name", "raw").agg(F.count(F.lit(1)).alias("rows"))
+
+
 def checks(tables: dict[str, DataFrame]) -> DataFrame:
     """Key and reference breaches of a built warehouse: ``check_name, key, rows``."""
     keys = {"products": "product_id", "customers": "customer_id", "transactions": "transaction_id", "time_dimension": "date_id"}
@@ -138,7 +216,3 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     for part in parts[1:]:
         whole = whole.unionByName(part)
     return whole
-
-
-def catalog_columns(spark: SparkSession, table: str) -> dict[str, str]:
-    return table_columns(spark, table)
