@@ -35,9 +35,14 @@ T = f"""t AS (
 
 R = f"""r AS (
   SELECT {_ID} AS transaction_id, CAST(copy AS INTEGER) AS copy,
-    CASE o_orderkey % 6 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 1 THEN strftime(o_orderdate, '%d/%m/%Y')
+    CASE o_orderkey % 15 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 1 THEN strftime(o_orderdate, '%d/%m/%Y')
       WHEN 2 THEN strftime(o_orderdate, '%d-%m-%y') WHEN 3 THEN strftime(o_orderdate, '%Y/%m/%d')
-      WHEN 4 THEN strftime(o_orderdate, '%d %b %Y') ELSE 'garbage' END AS order_date,
+      WHEN 4 THEN strftime(o_orderdate, '%d %b %Y') WHEN 6 THEN strftime(o_orderdate, '%d/%m/%Y 14:30')
+      WHEN 7 THEN strftime(o_orderdate, '%d.%m.%Y') WHEN 8 THEN strftime(o_orderdate, '%Y%m%d')
+      WHEN 9 THEN strftime(o_orderdate, '%-d %B, %Y') WHEN 10 THEN strftime(o_orderdate, '%a %-d %b %Y')
+      WHEN 11 THEN strftime(o_orderdate, '%-d-%b-%Y') WHEN 12 THEN strftime(o_orderdate, '%d-%b-%y')
+      WHEN 13 THEN replace(strftime(o_orderdate, '%-d %b %Y'), 'Sep', 'Sept')
+      WHEN 14 THEN strftime(o_orderdate, '%b %-d, %Y 10:00 AM') ELSE 'garbage' END AS order_date,
     CAST(o_custkey AS VARCHAR) AS customer_id, CAST(l_partkey AS VARCHAR) AS product_id,
     CASE l_orderkey % 8 WHEN 0 THEN CAST({_PRICE} AS VARCHAR)
       WHEN 1 THEN concat('₹', CAST(floor(l_extendedprice / 1000) AS INTEGER), ',', lpad(CAST(l_linenumber AS VARCHAR), 3, '0'))
@@ -100,9 +105,13 @@ def ratio(a: str, b: str) -> str:
 
 def date_of(x: str) -> str:
     shapes = {r"\d{4}-\d{1,2}-\d{1,2}": "%Y-%m-%d", r"\d{1,2}/\d{1,2}/\d{4}": "%d/%m/%Y", r"\d{1,2}-\d{1,2}-\d{2}": "%d-%m-%y",
-              r"\d{4}/\d{1,2}/\d{1,2}": "%Y/%m/%d", r"\d{1,2} [A-Za-z]{3} \d{4}": "%d %b %Y"}
+              r"\d{4}/\d{1,2}/\d{1,2}": "%Y/%m/%d", r"\d{1,2} [A-Za-z]{3} \d{4}": "%d %b %Y", r"\d{2}/\d{2}/\d{4} 14:30": "%d/%m/%Y 14:30",
+              r"\d{2}\.\d{2}\.\d{4}": "%d.%m.%Y", r"\d{8}": "%Y%m%d", r"\d{1,2} [A-Za-z]+, \d{4}": "%d %B, %Y", r"[A-Z][a-z]{2} \d{1,2} [A-Za-z]{3} \d{4}": "%a %d %b %Y",
+              r"\d{1,2}-[A-Za-z]{3}-\d{4}": "%d-%b-%Y", r"\d{2}-[A-Za-z]{3}-\d{2}": "%d-%b-%y", r"\d{1,2} Sept \d{4}": "%d Sept %Y",
+              r"[A-Za-z]{3} \d{1,2}, \d{4} 10:00 AM": "%b %d, %Y 10:00 AM"}
     return "(CASE " + " ".join(
-        f"WHEN regexp_full_match({x}, '{shape}') THEN try_strptime({x}, '{fmt}')" for shape, fmt in shapes.items()) + " END)"
+        f"WHEN regexp_full_match({x}, '{shape}') THEN " + (f"try_strptime(replace({x}, ' Sept ', ' 9 '), '%d %m %Y')" if "Sept" in shape else f"try_strptime({x}, '{fmt}')")
+        for shape, fmt in shapes.items()) + " END)"
 
 
 def iso(x: str) -> str:

@@ -256,10 +256,30 @@ def test_clean_and_load_run(spark, sf_dir, tmp_path):
     sinks.write_csv(bindings.raw_transactions(spark, sf_dir).withColumn("product_id", F.concat(F.lit("P"), "product_id")), str(tmp_path / "t"))
     sinks.write_csv(bindings.raw_products(spark, sf_dir), str(tmp_path / "p"))
     jobs.clean(spark, str(tmp_path / "t"), str(tmp_path / "p"), str(tmp_path / "cleaned"))
+    assert jobs.load(spark, str(tmp_path / "cleaned"), str(tmp_path / "dw"), ["_seq"], ["_seq"]).count() == 0
     # copies of bulk orders share their id, and products without an id are unknown to the facts
-    breaches = {r.check_name for r in jobs.load(spark, str(tmp_path / "cleaned"), str(tmp_path / "dw"), ["order_date", "transaction_id"]).collect()}
-    assert breaches == {"transactions:repeated", "orphan:product_id"}
-    assert (tmp_path / "cleaned/samples/transactions-order_date").exists()
+    refused = spark.read.parquet(str(tmp_path / "dw/rejected_transactions"))
+    assert "orphan" in {r.rule for r in refused.select(F.explode("problems").alias("p")).select("p.rule").distinct().collect()}
+    assert spark.read.parquet(str(tmp_path / "dw/transactions")).count() + refused.count() == spark.read.parquet(str(tmp_path / "cleaned/transactions")).count()
+    summary = {r.metric: r.value for r in spark.read.parquet(str(tmp_path / "cleaned/summary")).collect()}
+    texts = spark.read.option("header", True).csv(str(tmp_path / "cleaned/rejected-texts/transactions"))
+    assert summary["transactions"] > 0 and summary["review/transactions-rating_pairs"] > 0 and summary["review/transactions-payment_pairs"] > 0
+    assert texts.count() == summary["rejects/transactions"] == sum(v for k, v in summary.items() if k.startswith("rejects/transactions/"))
+
+
+def test_append_and_reload_of_catalog_tables(spark, tmp_path):
+    for table in ("products", "transactions"):
+        sinks.create_table(spark, table, f"r_{table}", str(tmp_path / table))
+    catalog = warehouse.products(spark.createDataFrame([("p1",), ("p2",)], "product_id string"))
+    facts = warehouse.fact(spark.createDataFrame([("t1", "2020-01-01", "c", "p1"), ("t2", "2021-01-01", "c", "p2")], "transaction_id string, order_date string, customer_id string, product_id string"))
+    names = {"products": "r_products", "transactions": "r_transactions"}
+    for _ in range(2):
+        sinks.reload_tables({"products": catalog, "transactions": facts}, names)
+        assert (spark.table("r_products").count(), spark.table("r_transactions").count()) == (2, 2)
+    sinks.append_table(facts.withColumn("transaction_id", F.concat("transaction_id", F.lit("x"))), "r_transactions")
+    assert sorted(r.transaction_id for r in spark.table("r_transactions").filter("order_year = 2021").collect()) == ["t2", "t2x"]
+    for name in names.values():
+        spark.sql(f"DROP TABLE {name}")
 
 
 def test_one_failing_question_does_not_stop_the_run(spark, sf_dir, tmp_path):

@@ -8,19 +8,26 @@ NA_TOKENS = [
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 
-# Shapes of dates in figures (yyyy-m-d, yyyy/m/d, d/m/yyyy, d-m-yyyy, d/m/yy, d-m-yy) and their ISO order.
+# Shapes of dates in figures, parted by hyphens, slashes or dots (yyyy-m-d, d/m/yyyy, d.m.yy, yyyymmdd), and their ISO order.
 FIGURE_DATES = {
-    r"^(\d{4})([-/])(\d{1,2})\2(\d{1,2})$": "$1-$3-$4",
-    r"^(\d{1,2})([-/])(\d{1,2})\2(\d{4})$": "$4-$3-$1",
+    r"^(\d{4})([-/.])(\d{1,2})\2(\d{1,2})$": "$1-$3-$4",
+    r"^(\d{1,2})([-/.])(\d{1,2})\2(\d{4})$": "$4-$3-$1",
+    r"^(\d{4})(\d{2})(\d{2})$": "$1-$2-$3",
 }
-SHORT_FIGURE_DATE = r"^(\d{1,2})([-/])(\d{1,2})\2(\d{2})$"
+SHORT_FIGURE_DATE = r"^(\d{1,2})([-/.])(\d{1,2})\2(\d{2})$"
 SHORT_FIGURE_ISO = "20$4-$3-$1"
 # Formats of dates with a month name, by shape.
 WORD_DATE_FORMATS = {
     r"^\d{1,2} [A-Za-z]+ \d{4}$": ["d MMM yyyy", "d MMMM yyyy"],
-    r"^[A-Za-z]+ \d{1,2}, \d{4}$": ["MMM d, yyyy", "MMMM d, yyyy"],
     r"^[A-Za-z]+ \d{1,2} \d{4}$": ["MMM d yyyy", "MMMM d yyyy"],
 }
+SHORT_WORD_DATE = r"^\d{1,2} [A-Za-z]+ \d{2}$"
+SHORT_WORD_FORMATS = ["d MMM yy", "d MMMM yy"]
+# What may stand around a date: the name of the day before it, the time of day after it.
+WEEKDAY = r"(?i)^(?:mon|tue|tues|wed|wednes|thu|thur|thurs|fri|sat|satur|sun)(?:day)?\b[.,]?\s*"
+TIME_OF_DAY = r"(?i)[\sT,]+(?:[01]?\d|2[0-3]):[0-5]\d(?::[0-5]\d(?:\.\d+)?)?(?:\s*[ap]\.?m\.?)?$"
+DATE_SEPARATORS = r"[\s,.\-/]+"
+SEPTEMBER = r"(?i)\bsept\b"
 # "5th of June 2018" is read like "5 June 2018".
 ORDINAL = r"(?i)(\d)(?:st|nd|rd|th)\b(?:\s+of\b)?"
 ISO_DATE_TIME = r"^\d{4}-\d{1,2}-\d{1,2}[T ]"

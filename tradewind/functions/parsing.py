@@ -53,7 +53,8 @@ def clean_date(value: Column | str) -> Column:
     """Calendar date out of mixed day-first formats; an incomplete date is NULL.
 
     The shape of the text decides how it is read. Dates in figures are put into ISO order and cast,
-    which is much cheaper than trying one format after the other.
+    which is much cheaper than trying one format after the other. Only a text that is no such date
+    has the name of the day and the time of day removed and is looked at again, in figures or words.
     """
     def figures(text: Column, shape: str, iso: str) -> Column:
         return F.regexp_replace(text, shape, iso).try_cast("date")
@@ -65,14 +66,23 @@ def clean_date(value: Column | str) -> Column:
         return F.coalesce(*[F.to_date(F.try_to_timestamp(text, F.lit(fmt))) for fmt in formats])
 
     def spoken(text: Column) -> Column:
-        date_time = (text.rlike(lx.ISO_DATE_TIME), F.to_date(F.try_to_timestamp(text)))
-        return first_match([date_time, *[(text.rlike(s), words(text, f)) for s, f in lx.WORD_DATE_FORMATS.items()]])
+        short = (text.rlike(lx.SHORT_WORD_DATE), let(words(text, lx.SHORT_WORD_FORMATS), short_year))
+        return first_match([short, *[(text.rlike(s), words(text, f)) for s, f in lx.WORD_DATE_FORMATS.items()]])
 
-    def read(text: Column) -> Column:
+    def in_figures(text: Column) -> list[tuple[Column, Column]]:
         shapes = [(text.rlike(shape), figures(text, shape, iso)) for shape, iso in lx.FIGURE_DATES.items()]
-        short = let(figures(text, lx.SHORT_FIGURE_DATE, lx.SHORT_FIGURE_ISO), short_year)
-        return first_match([*shapes, (text.rlike(lx.SHORT_FIGURE_DATE), short)],
-                           let(F.regexp_replace(text, lx.ORDINAL, "$1"), spoken))
+        return [*shapes, (text.rlike(lx.SHORT_FIGURE_DATE), let(figures(text, lx.SHORT_FIGURE_DATE, lx.SHORT_FIGURE_ISO), short_year))]
+
+    def in_words(text: Column) -> Column:
+        plain = F.regexp_replace(F.regexp_replace(text, lx.ORDINAL, "$1"), lx.DATE_SEPARATORS, " ")
+        return let(F.trim(F.regexp_replace(plain, lx.SEPTEMBER, "Sep")), spoken)
+
+    def bare(text: Column) -> Column:
+        return let(F.trim(F.regexp_replace(F.regexp_replace(text, lx.WEEKDAY, ""), lx.TIME_OF_DAY, "")), lambda date: first_match(in_figures(date), in_words(date)))
+
+    def read(text: Column) -> Column:
+        date_time = (text.rlike(lx.ISO_DATE_TIME), F.to_date(F.try_to_timestamp(text)))
+        return first_match([*in_figures(text), date_time], bare(text))
 
     return let(F.trim(as_column(value)), read)
 

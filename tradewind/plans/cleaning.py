@@ -81,6 +81,28 @@ def clean_values(raw: DataFrame) -> DataFrame:
     })
 
 
+def _raw_of(name: str) -> str:
+    return f"_raw_{name}"
+
+
+def valued_with_raw(raw: DataFrame) -> DataFrame:
+    """Cleaned values with their raw texts beside them, parsed once for the table and its rejects.
+
+    ``_bad_`` tells a flag that could not be read, since unreadable flags count as false.
+    """
+    rules = transaction_rules(raw.columns)
+    flags = {name for name in rules if name.startswith("is_")}
+    parsed = raw.withColumns({_raw_of(name): F.col(source) for name, (source, _) in rules.items()}).withColumns({name: clean for name, (_, clean) in rules.items()})
+    return parsed.withColumns({f"_bad_{name}": F.col(name).isNull() for name in flags} | {name: F.coalesce(name, F.lit(False)) for name in flags})
+
+
+def valued_rejects(valued: DataFrame) -> DataFrame:
+    """Distinct texts that the rules could not read, from the raw texts kept in ``valued_with_raw``."""
+    names = [c.removeprefix("_raw_") for c in valued.columns if c.startswith("_raw_")]
+    read = {n: F.when(~F.col(f"_bad_{n}"), True) if f"_bad_{n}" in valued.columns else F.col(n) for n in names}
+    return quality.rejects(valued, {n: (_raw_of(n), read[n]) for n in names})
+
+
 def transaction_rejects(raw: DataFrame) -> DataFrame:
     return quality.rejects(raw, {name: (source, clean) for name, (source, clean) in transaction_rules(raw.columns).items()})
 
@@ -92,28 +114,37 @@ def duplicate_key(names: list[str]) -> list[str]:
 def clean_transactions(raw: DataFrame, order: list[str]) -> CleanedTransactions:
     """Whole transaction pipeline: values, duplicates, price repair. ``order`` tells rows apart.
 
-    The duplicate and outlier steps look at the table twice each (measure, then apply), so the
-    parsed table and the one with repeats marked are staged in the shared folder.
+    The raw table is parsed once and staged once, raw texts beside the values. The duplicate and
+    outlier steps measure on their few columns of it; what they find, repeated rows and medians, is
+    joined back when an output is written.
     """
     named = with_snake_headers(raw)
-    valued = staged(clean_values(named), "cleaned-values")
-    names = valued.columns
+    whole = staged(valued_with_raw(named), "cleaned-values")
+    names = named.columns + [c for c in transaction_rules(named.columns) if c not in named.columns]
+    valued = whole.select(*names)
     key, quantity = duplicate_key(names), pick_first(names, lx.RAW_QUANTITY_NAMES)
-    marked = staged(duplicates.mark(valued, key, quantity, order), "marked-duplicates")
+    marked = duplicates.mark(valued, key, quantity, order)
     once = duplicates.once(marked)
     amount = pick_first(names, ["final_amount"]) or pick_containing(names, "price")[0]
     reference = pick_first(names, ["product_id"]) or next(iter(pick_containing(names, "category")), None)
     repaired = outliers.repair_amounts(once, amount, reference, order)
     return CleanedTransactions(
-        table=repaired.drop("ref_median", "repair", "amount_before"), rejects=transaction_rejects(named), repaired=repaired,
+        table=repaired.drop("ref_median", "repair", "amount_before"), rejects=valued_rejects(whole), repaired=repaired,
         duplicate_groups=duplicates.key_groups(valued, key, quantity, order),
         review={
             "duplicates": duplicates.for_review(marked),
             "repaired_amounts": repaired.filter("repair <> 'flag'"),
             "flagged_amounts": repaired.filter("repair = 'flag'"),
+            **{f"{kind}_pairs": quality.mapping_pairs(whole, _raw_of(column), F.col(column)) for kind, column in _paired(names).items()},
         })
 
 
+def _paired(names: list[str]) -> dict[str, str]:
+    """Columns whose raw and cleaned texts are listed side by side for review."""
+    rating, payment = next(iter(pick_containing(names, "rating")), None), payment_column(names)
+    return {kind: column for kind, column in (("rating", rating), ("payment", payment)) if column}
+
+
 def with_product_ids(raw: DataFrame, order: list[str]) -> DataFrame:
     """Normalised ``product_id``; blanks become MISSING_1.., a table without ids gets PID_1.. ."""
     source = pick_first(raw.columns, lx.RAW_ID_NAMES)

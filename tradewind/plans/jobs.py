@@ -10,10 +10,11 @@ from collections.abc import Callable
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import customers, distribution
 from ..session import build_session, drop_stages
-from ..sources.readers import SEQUENCE, scan_text, try_scan
+from ..sources.readers import SEQUENCE, scan_text, try_scan, union_chunks
 from ..sources.resolve import canonical_frame
 from ..sources.sinks import export_rejects, write_csv, write_table
 from . import analysis, cleaning, dashboard, warehouse
@@ -63,25 +64,31 @@ ANALYSES: Analysis = {
 def clean(spark: SparkSession, transactions: str, products: str, folder: str) -> None:
     """Raw CSV files to cleaned tables, reject tables, review tables and a summary.
 
-    A missing input is skipped. The transaction fact is read once for all outputs.
+    A missing input is skipped. The raw transactions are parsed once for all outputs. The place of
+    each row in its file stays with it, for the load decides by it which row is the first.
     """
+    counted = []
     for name, path, pipeline in (("transactions", transactions, cleaning.clean_transactions), ("products", products, cleaning.clean_products)):
         raw = try_scan(scan_text, spark, path, sequence=True, required=False)
         if raw is None:
             continue
         done = pipeline(raw, [SEQUENCE])
-        write_table(done.table.drop(SEQUENCE), f"{folder}/{name}")
-        write_table(done.rejects, f"{folder}/rejects/{name}")
-        kept = spark.read.parquet(f"{folder}/rejects/{name}")
-        for rule in sorted(r.rule for r in kept.select("rule").distinct().collect()):  # one row per rule
-            export_rejects(kept, rule, f"{folder}/samples/{name}-{rule}")
-        for review, rows in done.review.items():
-            write_table(rows.drop(SEQUENCE), f"{folder}/review/{name}-{review}")
-
-
-def load(spark: SparkSession, cleaned: str, folder: str, order: list[str]) -> DataFrame:
+        outputs = {name: done.table, f"rejects/{name}": done.rejects}
+        outputs |= {f"review/{name}-{review}": rows.drop(SEQUENCE) for review, rows in done.review.items()}
+        for place, rows in outputs.items():
+            write_table(rows, f"{folder}/{place}")
+            written = spark.read.parquet(f"{folder}/{place}")
+            counted.append(written.agg(F.count(F.lit(1)).alias("value")).select(F.lit(place).alias("metric"), "value"))
+        rejects = spark.read.parquet(f"{folder}/rejects/{name}")
+        counted.append(rejects.groupBy("rule").agg(F.count(F.lit(1)).alias("value")).select(F.concat(F.lit(f"rejects/{name}/"), "rule").alias("metric"), "value"))
+        export_rejects(rejects, f"{folder}/rejected-texts/{name}")
+    if counted:
+        write_table(union_chunks(counted), f"{folder}/summary")
+
+
+def load(spark: SparkSession, cleaned: str, folder: str, order: list[str], product_order: list[str] | None = None) -> DataFrame:
     """Cleaned tables to the star schema; returns the breaches found in it."""
-    tables = warehouse.build(spark.read.parquet(f"{cleaned}/transactions"), spark.read.parquet(f"{cleaned}/products"), order)
+    tables = warehouse.build(spark.read.parquet(f"{cleaned}/transactions"), spark.read.parquet(f"{cleaned}/products"), order, product_order)
     return warehouse.checks(warehouse.load(spark, tables, folder))
 
 
@@ -102,7 +109,7 @@ def main(transactions: str, products: str, folder: str) -> int:
     """The whole run; the number of questions that failed, which is the exit status."""
     spark = build_session("tradewind-run")
     clean(spark, transactions, products, f"{folder}/cleaned")
-    breaches = load(spark, f"{folder}/cleaned", f"{folder}/warehouse", ["order_date", "transaction_id"])
+    breaches = load(spark, f"{folder}/cleaned", f"{folder}/warehouse", [SEQUENCE], [SEQUENCE])
     write_table(breaches, f"{folder}/breaches")
     facts = canonical_frame(spark.read.parquet(f"{folder}/warehouse/transactions"))
     outcome = run_all(facts, spark.read.parquet(f"{folder}/warehouse/products"), f"{folder}/results")

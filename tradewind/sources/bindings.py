@@ -123,10 +123,15 @@ _PRICE_TEXT = f"""case l_orderkey % 8
     when 2 then concat(cast(cast(l_quantity as int) as string), '.5 lakh')
     when 3 then concat('Rs. ', cast({_PRICE} as string))
     when 4 then 'Price on request' when 5 then '' when 6 then null else 'abc' end"""
-_DATE_TEXT = """case o_orderkey % 6
+_DATE_TEXT = """case o_orderkey % 15
     when 0 then date_format(o_orderdate, 'yyyy-MM-dd') when 1 then date_format(o_orderdate, 'dd/MM/yyyy')
     when 2 then date_format(o_orderdate, 'dd-MM-yy') when 3 then date_format(o_orderdate, 'yyyy/MM/dd')
-    when 4 then date_format(o_orderdate, 'dd MMM yyyy') else 'garbage' end"""
+    when 4 then date_format(o_orderdate, 'dd MMM yyyy') when 6 then date_format(o_orderdate, "dd/MM/yyyy '14:30'")
+    when 7 then date_format(o_orderdate, 'dd.MM.yyyy') when 8 then date_format(o_orderdate, 'yyyyMMdd')
+    when 9 then date_format(o_orderdate, 'd MMMM, yyyy') when 10 then date_format(o_orderdate, 'EEE d MMM yyyy')
+    when 11 then date_format(o_orderdate, 'd-MMM-yyyy') when 12 then date_format(o_orderdate, 'dd-MMM-yy')
+    when 13 then replace(date_format(o_orderdate, 'd MMM yyyy'), 'Sep', 'Sept')
+    when 14 then date_format(o_orderdate, "MMM d, yyyy '10:00 AM'") else 'garbage' end"""
 _RATING_TEXT = """case l_partkey % 6
     when 0 then concat(l_linenumber % 5 + 1, '/5') when 1 then concat(2 * (l_linenumber % 5 + 1), '/10')
     when 2 then concat(l_linenumber % 5 + 1, ' stars') when 3 then '7' when 4 then 'good' end"""

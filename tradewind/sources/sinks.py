@@ -7,18 +7,30 @@ from pyspark.sql import functions as F
 
 from ..schemas import warehouse_schema
 
-REPORT_ROWS = 500
-
-
-def write_csv(df: DataFrame, path: str) -> None:
+def write_csv(df: DataFrame, path: str, *partitions: str) -> None:
     """Result table as CSV with a header; blanks around texts are kept."""
     kept = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    df.write.mode("overwrite").options(header=True, escape='"', **kept).csv(path)
+    df.write.mode("overwrite").partitionBy(*partitions).options(header=True, escape='"', **kept).csv(path)
+
+
+def append_table(df: DataFrame, name: str) -> None:
+    """Rows added to a table of the catalog, columns matched by name; each write is committed whole."""
+    df.select(*df.sparkSession.table(name).columns).write.mode("append").insertInto(name)
+
+
+def reload_tables(tables: dict[str, DataFrame], names: dict[str, str] | None = None) -> None:
+    """Empty the catalog's tables, children before the tables they refer to, and load them again in the given order."""
+    named = {table: (names or {}).get(table, table) for table in tables}
+    for table in reversed(list(tables)):
+        spark = tables[table].sparkSession
+        spark.sql(f"TRUNCATE TABLE {named[table]}")
+    for table, df in tables.items():
+        append_table(df, named[table])
 
 
-def export_rejects(rejects: DataFrame, rule: str, path: str, rows: int = REPORT_ROWS) -> None:
-    """A reviewer's extract: the first rejected texts of one rule. The full table is kept elsewhere."""
-    write_csv(rejects.filter(F.col("rule") == rule).orderBy("raw").limit(rows), path)
+def export_rejects(rejects: DataFrame, path: str) -> None:
+    """All rejected texts for reviewers, as CSV in one folder per rule."""
+    write_csv(rejects, path, "rule")
 
 
 def append_jdbc(df: DataFrame, url: str, table: str, batch: int = 5000, **options: str) -> None:
