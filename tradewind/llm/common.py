@@ -10,11 +10,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+from ..session import scratch_path
+
 SLOTS = 64
 #: Rows of one batch are worked on in pieces of about this many bytes of text.
 PIECE_BYTES = 8 << 20
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Like ``staged``, packed more tightly: for tables that hold whole texts."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -7,7 +7,7 @@ Fingerprints that occur once in the corpus are dropped. Around each of the other
 extended both ways: every run of ``RUN`` lines whose minimum it is, told by the hashes of its lines,
 is joined with the earliest place where the same run stands. Runs that do not overlap that place are
 later copies; adjoining copies merge to runs of any length, and these are deleted. All of it is
-DataFrame functions; the corpus is exchanged as hashes only.
+DataFrame functions; fingerprints and runs are found on hashes only.
 
 Defined results: "earlier" goes by doc_id (null last), then by the row, then by the place in the
 text, so of repeated rows one keeps its text; a null text stays null, an empty one empty, both with
@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import staged
-from .common import fresh, spread_join
+from .common import fresh, spread_join, stored
 
 RUN = 3
 WRAP = 16
@@ -49,19 +49,18 @@ def _fingerprints(hashes: str, run: int) -> Column:
     return F.expr(f"array_distinct(transform({runs}, s -> case {place} end))")
 
 
-def repeated_runs(lined: DataFrame, run: int = RUN) -> DataFrame:
-    """(row, starts) of ``lined(doc_id, row, lines)``: the sorted starts of runs that are later copies."""
-    hashed = lined.select("doc_id", "row", _hashes("lines").alias("h")).withColumn("p", F.explode(_fingerprints("h", run)))
-    reach = F.lit(run - 1)
-    first = F.greatest(F.col("p") - reach, F.lit(0))
-    anchors = hashed.select("doc_id", "row", "p", F.element_at("h", F.col("p") + 1).alias("value"), first.alias("first"), F.slice("h", first + 1, F.col("p") - first + run).alias("around"))
-    anchors = staged(anchors, "fingerprints")
+def repeated_runs(hashed: DataFrame, run: int = RUN) -> DataFrame:
+    """(row, starts) of ``hashed(doc_id, row, h)``: the sorted starts of runs that are later copies."""
+    anchors = hashed.select("row", "h", F.explode(_fingerprints("h", run)).alias("p")).select("row", "p", F.element_at("h", F.col("p") + 1).alias("value"))
     shared = staged(anchors.groupBy("value").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("value", F.lit(True).alias("shared")), "shared-fingerprints")
-    met = spread_join(anchors.select("doc_id", "row", "p", "value", "first", "around"), shared, "value", ["row"]).filter("shared")
+    met = spread_join(anchors, shared, "value", ["row"]).filter("shared")
+    places = met.groupBy("row").agg(F.collect_set("p").alias("places"))  # of one text
     # the runs whose minimum the fingerprint is: it is the last of the smallest among their lines
-    inside = f"slice(around, s - first + 1, {run})"
-    runs = f"filter(sequence(first, first + size(around) - {run}), s -> array_min({inside}) = value and array_position(reverse({inside}), value) = s + {run} - p)"
-    windows = met.filter(F.size("around") >= run).withColumn("s", F.explode(F.expr(runs))).select("doc_id", "row", "s", F.expr(inside).alias("content"))
+    inside = f"slice(h, s + 1, {run})"
+    runs = (f"filter(sequence(greatest(p - {run - 1}, 0), least(p, size(h) - {run})), "
+            f"s -> array_min({inside}) = h[p] and array_position(reverse({inside}), h[p]) = s + {run} - p)")
+    around = hashed.join(places, "row").withColumn("p", F.explode("places"))
+    windows = around.withColumn("s", F.explode(F.expr(runs))).select("doc_id", "row", "s", F.expr(inside).alias("content"))
     windows = staged(windows, "runs")
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id"), F.col("row"), F.col("s"))
     earliest = windows.groupBy("content").agg(F.min(place).alias("source"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("content", "source")
@@ -79,10 +78,11 @@ def _kept(lines: str, starts: str, run: int) -> dict[str, Column]:
 
 def deduplicated(docs: DataFrame, run: int = RUN, wrap: int = WRAP) -> tuple[DataFrame, str, str]:
     """(all columns, ``text`` without repeated runs, and two more: lines and deleted lines; their names)."""
-    row, lines, starts, begins, ends, n_lines, n_deleted = fresh(docs, "row", "lines", "starts", "begins", "ends", "n_lines", "n_deleted")
-    lined = staged(docs.withColumn(row, F.monotonically_increasing_id()).withColumn(lines, lines_of(F.col("text"), wrap)).withColumn("text", F.col("text").isNull()), "lined")
-    repeated = repeated_runs(lined.select("doc_id", F.col(row).alias("row"), F.col(lines).alias("lines")), run)
-    met = lined.join(repeated.select(F.col("row").alias(row), F.col("starts").alias(starts)), row, "left")
+    row, lines, hashes, starts, begins, ends, n_lines, n_deleted = fresh(docs, "row", "lines", "hashes", "starts", "begins", "ends", "n_lines", "n_deleted")
+    cut = docs.withColumn(row, F.monotonically_increasing_id()).withColumn(lines, lines_of(F.col("text"), wrap)).withColumn("text", F.col("text").isNull())
+    lined = stored(cut.withColumn(hashes, _hashes(lines)), "lined")
+    repeated = repeated_runs(lined.select("doc_id", F.col(row).alias("row"), F.col(hashes).alias("h")), run)
+    met = lined.drop(hashes).join(repeated.select(F.col("row").alias(row), F.col("starts").alias(starts)), row, "left")
     for name, border in _kept(starts, starts, run).items():
         met = met.withColumn(begins if name == "begins" else ends, border)
     parts = F.expr(f"transform(sequence(0, size({begins})), k -> array_join(slice({lines}, if(k = 0, 0, {ends}[k - 1]) + 1, if(k = size({begins}), size({lines}), {begins}[k]) - if(k = 0, 0, {ends}[k - 1])), ''))")

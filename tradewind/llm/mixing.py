@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..session import staged
-from .common import fresh
+from .common import fresh, stored
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -184,7 +184,7 @@ def mixed(docs: DataFrame, block: int = BLOCK_WORDS, **plan) -> DataFrame:
     words that were taken, parted by line breaks. A column ``n_chars`` is brought up to date.
     """
     (row,) = fresh(docs, "row")
-    whole = staged(docs.withColumn(row, F.monotonically_increasing_id()), "to-mix")
+    whole = stored(docs.withColumn(row, F.monotonically_increasing_id()), "to-mix")
     sizes = whole.select("doc_id", "source", F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD)).cast("long").alias("size"), F.col(row).alias("tie"))
     pieces = taken_pieces(sizes, block=block, **plan).filter("times > 0")
     runs = pieces.groupBy("tie").agg(F.sort_array(F.collect_list(F.struct(F.greatest(F.col("block") * block - F.col("start"), F.lit(0)).alias("first"), F.col("piece"), F.col("times")))).alias("runs"))

@@ -31,7 +31,7 @@ from . import idcoder
 
 END = 2
 #: Ids after which a frame is closed.
-FRAME_IDS = 1 << 20
+FRAME_IDS = 1 << 21
 #: Remembered pieces are dropped beyond so many.
 MOST_PIECES = 1 << 19
 #: How byte-level vocabularies of this family cut a text into pieces.

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField
 
 from ..session import staged
-from .common import append_columns, fresh, pieces, spread_join, text_bytes
+from .common import append_columns, fresh, pieces, spread_join, stored, text_bytes
 
 WORDS = 3
 DISTANCE = 2
@@ -268,7 +268,7 @@ def keep_first(docs: DataFrame, members: int = NODE_MEMBERS, distance: int = DIS
     Rows with one id, repeated rows included, are told apart by their place in a written copy.
     """
     fp, row = fresh(docs, "fp", "row")
-    marked = staged(with_fingerprint(docs, fp).withColumn(row, F.monotonically_increasing_id()), "fingerprinted")
+    marked = stored(with_fingerprint(docs, fp).withColumn(row, F.monotonically_increasing_id()), "fingerprinted")
     order = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id"), F.col(row).alias("row"))
     prints = marked.select(F.col(fp).alias("fp"), order.alias("own"))
     kept = groups(prints, F.col("own"), members, distance).select(F.col("first.row").alias(row)).distinct()
