@@ -51,8 +51,15 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{os.urandom(6).hex()}"
+    """A fresh path below the shared folder, to be deleted by ``drop_stages``."""
+    path = f"{shared_folder(spark).rstrip('/')}/{label}-{os.urandom(6).hex()}"
+    _STAGES.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def stages(spark: SparkSession) -> list[str]:
+    """The scratch paths that this run has handed out and not deleted."""
+    return list(_STAGES.get(spark.sparkContext.applicationId, []))
 
 
 def staged(df: DataFrame, label: str = "stage") -> DataFrame:
@@ -64,14 +71,15 @@ def staged(df: DataFrame, label: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    _STAGES.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_stages(spark: SparkSession) -> int:
-    """Delete this run's staged tables, once nothing reads them any more; how many there were."""
-    paths = _STAGES.pop(spark.sparkContext.applicationId, [])
+def drop_stages(spark: SparkSession, paths: list[str] | None = None) -> int:
+    """Delete this run's scratch paths, or those given of them, once nothing reads them any more; how many there were."""
+    held = _STAGES.get(spark.sparkContext.applicationId, [])
+    paths = [p for p in held if paths is None or p in paths]
     for path in paths:
+        held.remove(path)
         place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
     return len(paths)
