@@ -2,7 +2,56 @@
 
 from __future__ import annotations
 
-from tradewind.functions import lexicon as lx
+# --- fixed values: written out here a second time, so that a wrong entry of the library shows ---------
+
+AGE_EDGES = [0, 18, 25, 35, 45, 55, 65, 200]
+AGE_LABELS = ['<18', '18-24', '25-34', '35-44', '45-54', '55-64', '65+']
+PRICE_UNITS = {'lakh': 100000.0,
+ 'lac': 100000.0,
+ 'crore': 10000000.0,
+ 'cr': 10000000.0,
+ 'k': 1000.0,
+ 'm': 1000000.0,
+ 'million': 1000000.0,
+ 'billion': 1000000000.0}
+CITY_ALIASES = {'bangalore': 'Bengaluru',
+ 'bengaluru': 'Bengaluru',
+ 'blr': 'Bengaluru',
+ 'mumbai': 'Mumbai',
+ 'bombay': 'Mumbai',
+ 'mum': 'Mumbai',
+ 'delhi': 'New Delhi',
+ 'new delhi': 'New Delhi',
+ 'ncr': 'New Delhi',
+ 'chennai': 'Chennai',
+ 'madras': 'Chennai',
+ 'kolkata': 'Kolkata',
+ 'calcutta': 'Kolkata',
+ 'pune': 'Pune',
+ 'hyderabad': 'Hyderabad',
+ 'ahmedabad': 'Ahmedabad',
+ 'gurgaon': 'Gurugram',
+ 'gurugram': 'Gurugram',
+ 'noida': 'Noida'}
+PAYMENT_GROUPS = {'UPI': ['upi', 'gpay', 'google pay', 'phonepe', 'paytm', 'bhim', 'tez', 'googlepay'],
+ 'COD': ['cash on delivery', 'cod', 'c o d'],
+ 'Credit Card': ['credit card', 'creditcard', '\\bcc\\b', 'visa', 'mastercard', 'amex'],
+ 'Debit Card': ['debit card', 'debitcard'],
+ 'NetBanking': ['netbank', 'net banking', 'netbanking', 'internet banking', 'bank transfer', 'neft', 'rtgs'],
+ 'Wallet': ['wallet', 'paytm wallet', 'mobikwik']}
+CATEGORY_SYNONYMS = {'electronics': 'Electronics',
+ 'electronic': 'Electronics',
+ 'electronics & accessories': 'Electronics',
+ 'mobiles': 'Mobiles & Accessories',
+ 'mobile': 'Mobiles & Accessories',
+ 'fashion': 'Fashion',
+ 'clothing': 'Fashion',
+ 'home & kitchen': 'Home & Kitchen',
+ 'home & living': 'Home & Kitchen',
+ 'books': 'Books',
+ 'beauty & personal care': 'Beauty & Personal Care'}
+NA_TOKENS = ['', '#N/A', '#N/A N/A', '#NA', '-1.#IND', '-1.#QNAN', '-NaN', '-nan', '1.#IND', '1.#QNAN', '<NA>', 'N/A', 'NA', 'NULL', 'NaN', 'None',
+ 'n/a', 'nan', 'null']
 
 # --- tables --------------------------------------------------------------------------------------
 
@@ -12,7 +61,7 @@ _ID = (f"concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, strftime
 
 
 def _age(x: str) -> str:
-    spans = zip(lx.AGE_EDGES, lx.AGE_EDGES[1:], lx.AGE_LABELS)
+    spans = zip(AGE_EDGES, AGE_EDGES[1:], AGE_LABELS)
     return "CASE " + " ".join(f"WHEN {x} > {lo} AND {x} <= {hi} THEN '{label}'" for lo, hi, label in spans) + " END"
 
 
@@ -122,7 +171,7 @@ def price_of(x: str) -> str:
     bare = rf"replace(regexp_replace(lower(trim({x})), '^(₹|rs\.?|inr)\s*', ''), ',', '')"
     unit = r"([0-9]+(?:\.[0-9]+)?)\s*(lakh|lac|crore|cr|k|million|m|billion)\b"
     digits = rf"regexp_replace({bare}, '[^0-9.\-]', '', 'g')"
-    factors = " ".join(f"WHEN '{name}' THEN {factor}" for name, factor in lx.PRICE_UNITS.items())
+    factors = " ".join(f"WHEN '{name}' THEN {factor}" for name, factor in PRICE_UNITS.items())
     return rf"""(CASE WHEN trim({x}) = '' OR regexp_matches(lower({x}), 'price\s*on\s*request|not\s*available|\bna\b') THEN NULL
       WHEN regexp_matches({bare}, '{unit}') THEN
         TRY_CAST(regexp_extract({bare}, '{unit}', 1) AS DOUBLE) * CASE regexp_extract({bare}, '{unit}', 2) {factors} END
@@ -154,8 +203,8 @@ def cases(pairs: list[tuple[str, str]], otherwise: str) -> str:
 
 def city_of(x: str) -> str:
     s = squeezed(f"lower({x})", r"[^a-z0-9\s]")
-    exact = [(f"{s} = '{alias}'", city) for alias, city in lx.CITY_ALIASES.items()]
-    part = [(f"contains({s}, '{alias}')", city) for alias, city in lx.CITY_ALIASES.items()]
+    exact = [(f"{s} = '{alias}'", city) for alias, city in CITY_ALIASES.items()]
+    part = [(f"contains({s}, '{alias}')", city) for alias, city in CITY_ALIASES.items()]
     return f"(CASE WHEN {s} IN ('', 'nan', 'none', 'na') THEN NULL WHEN {x} IS NOT NULL THEN {cases(exact + part, title_of(s))} END)"
 
 
@@ -174,13 +223,13 @@ def days_of(x: str) -> str:
 
 def payment_of(x: str) -> str:
     s = f"regexp_replace(lower({x}), '[^a-z0-9 ]', ' ', 'g')"
-    groups = [(" OR ".join(f"regexp_matches({s}, '{w}')" for w in words), name) for name, words in lx.PAYMENT_GROUPS.items()]
+    groups = [(" OR ".join(f"regexp_matches({s}, '{w}')" for w in words), name) for name, words in PAYMENT_GROUPS.items()]
     return f"({cases(groups, title_of(f'trim({s})'))})"
 
 
 def category_of(x: str) -> str:
     s = squeezed(f"lower({x})", r"[^a-z0-9\s&]")
-    groups = [(f"contains({s}, '{word}')", name) for word, name in lx.CATEGORY_SYNONYMS.items()]
+    groups = [(f"contains({s}, '{word}')", name) for word, name in CATEGORY_SYNONYMS.items()]
     return f"(CASE WHEN {x} IS NOT NULL THEN {cases(groups, title_of(s))} END)"
 
 
@@ -195,7 +244,7 @@ def whole(x: str) -> str:
 
 
 def tokens(x: str) -> str:
-    listed = ", ".join(f"'{token}'" for token in lx.NA_TOKENS)
+    listed = ", ".join(f"'{token}'" for token in NA_TOKENS)
     return f"(CASE WHEN trim({x}) NOT IN ({listed}) THEN {x} END)"
 
 
@@ -221,7 +270,8 @@ on_t("canonical_transactions", f"""SELECT transaction_id, {_STAMP} AS order_date
   product_id, product_name, category, customer_city, customer_state, customer_id, delivery_days, is_prime_member, rating,
   return_status, payment_method, {d('discount_percent')} AS discount_percent, is_festival_sale, CAST(NULL AS VARCHAR) AS festival_name,
   customer_age_group, {d('original_price_inr')} AS original_price_inr, quantity, brand FROM t""")
-on_p("scan_csv_strings", "SELECT " + ", ".join(f"{tokens(f'CAST({c} AS VARCHAR)')} AS {c}" for c in (
+_ODD_NAME = """CASE WHEN row_no % 4 = 0 THEN item_name || chr(10) || '"second, line"' ELSE item_name END"""
+on_p("scan_csv_strings", "SELECT " + ", ".join(f"{tokens(f'CAST({_ODD_NAME if c == 'item_name' else c} AS VARCHAR)')} AS {c}" for c in (
     "row_no", "copy", "sku", "item_name", "mrp", "brand_name", "category", "image_url", "rating")) + " FROM p")
 on_t("scan_cleaned", f"SELECT transaction_id, {_STAMP} AS order_date, customer_id, product_id, {d('final_amount')} AS final_amount, quantity, is_festival_sale FROM t")
 on_t("union_chunks", f"SELECT transaction_id, order_year, {d('final_amount')} AS final_amount FROM t")
@@ -462,7 +512,7 @@ F = """f AS (SELECT 'Diwali' AS festival, year,
 _WINDOWS = ("before", "during", "after")
 on_t("festival_windows", "SELECT festival, year, " + ", ".join(f"{d(f'revenue_{w}')} AS revenue_{w}" for w in _WINDOWS) + " FROM f", F)
 on_t("unpivot_festival", " UNION ALL ".join(f"SELECT festival, year, 'revenue_{w}' AS period, {d(f'revenue_{w}')} AS revenue FROM f" for w in _WINDOWS), F)
-_LABELS = ", ".join(f"('{label}')" for label in lx.AGE_LABELS)
+_LABELS = ", ".join(f"('{label}')" for label in AGE_LABELS)
 on_t("age_spending", f"""SELECT age_bucket, {total()} AS total, count(final_amount) AS orders, {mean()} AS avg_amount
   FROM (VALUES {_LABELS}) AS b(age_bucket) LEFT JOIN t ON customer_age_group = age_bucket GROUP BY age_bucket""")
 PD = "pd AS (SELECT product_id, min(price) AS price, count(*) AS orders, sum(final_amount) AS revenue FROM t GROUP BY product_id)"
@@ -548,6 +598,11 @@ M = f"""m AS (SELECT ym AS order_ym, sum(final_amount) AS revenue, count(*) AS o
     count(DISTINCT dayofmonth(order_date)) AS days_seen FROM t WHERE ym = (SELECT max(ym) FROM t) GROUP BY ym)"""
 on_t("month_monitor", f"SELECT order_ym, {d('revenue')} AS revenue, orders, active_customers, days_seen, {ratio('revenue', 'days_seen')} * 30 AS run_rate FROM m", M)
 on_t("target_alert", f"SELECT order_ym, {d('revenue')} AS revenue, 5000000.0::DOUBLE AS target, CASE WHEN revenue < 5000000 THEN 'below target' ELSE 'on track' END AS status FROM m", M)
+on_t("top_states_by_rows", "SELECT customer_state, count(*) AS orders FROM t GROUP BY customer_state ORDER BY orders DESC, customer_state LIMIT 20")
+on_t("festival_monthly_by_name", f"SELECT order_year, order_month, {total()} AS revenue, ym AS order_ym FROM t WHERE order_month IN (3, 10) GROUP BY order_year, order_month, ym")
+on_t("price_demand_no_catalog_price", f"SELECT product_id, {mean()} AS price, count(*) AS orders, {total()} AS revenue FROM t GROUP BY product_id")
+on_t("canonical_from_csv", f"""SELECT transaction_id, {_STAMP} AS order_date, order_year, order_month, {d('final_amount')} AS final_amount, customer_id, product_id, customer_state,
+  payment_method, return_status, CAST(NULL AS VARCHAR) AS rating FROM t""")
 on_t("top_states", f"SELECT customer_state, {total()} AS revenue FROM t GROUP BY customer_state ORDER BY revenue DESC, customer_state LIMIT 20")
 on_t("monthly_revenue", f"SELECT order_year, order_month, {total()} AS revenue, ym AS order_ym FROM t GROUP BY order_year, order_month, ym")
 _X, _YY = d("discount_percent"), d("final_amount")

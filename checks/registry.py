@@ -77,9 +77,21 @@ def _(spark, folder):
 
 @query("scan_csv_strings")
 def _(spark, folder):
+    """Names with quotes, commas and line breaks survive the way through a file."""
     path = scratch_path(spark, "catalog-csv")
-    sinks.write_csv(bindings.raw_products(spark, folder), path)
-    return readers.scan_text(spark, path)
+    odd = F.when(F.col("row_no") % 4 == 0, F.concat("item_name", F.lit('\n"second, line"'))).otherwise(F.col("item_name"))
+    sinks.write_csv(bindings.raw_products(spark, folder).withColumn("item_name", odd), path)
+    return readers.scan_text(spark, path, multiline=True)
+
+
+@query("canonical_from_csv")
+def _(spark, folder):
+    """A file with headers of its own."""
+    path = scratch_path(spark, "export-csv")
+    rows = bindings.transactions(spark, folder, "transaction_id", "order_date", "final_amount", "customer_id", "product_id", "customer_state", "payment_method", "return_status")
+    sinks.write_csv(rows.toDF("\ufeffTransaction ID", " Order Date ", "Final Amount", "CUSTOMER-ID", "product id", "Ship State", "Payment Method used", "Return/Status"), path)
+    found = canonical_frame(readers.scan_text(spark, path), lenient=True)
+    return found.select("transaction_id", "order_date", "order_year", "order_month", "final_amount", "customer_id", "product_id", "customer_state", "payment_method", "return_status", "rating")
 
 
 @query("scan_cleaned")
@@ -392,6 +404,21 @@ over_transactions("top_category", dashboard.top_category, "category", "final_amo
 over_transactions("month_monitor", dashboard.month_monitor, "order_date", "customer_id", "final_amount")
 over_transactions("target_alert", dashboard.target_alert, "order_date", "customer_id", "final_amount", target=5_000_000)
 over_transactions("category_share_top6", dashboard.category_share, "category", "final_amount")
+over_transactions("top_states_by_rows", lambda t: dashboard.top_states(canonical_frame(t)), "transaction_id", "order_date", "customer_state")
+
+
+@query("festival_monthly_by_name")
+def _(spark, folder):
+    rows = bindings.transactions(spark, folder, "order_date", "final_amount").withColumn("festival_name", F.expr("case month(order_date) when 10 then 'Diwali' when 3 then 'Holi' end"))
+    return dashboard.festival_monthly(canonical_frame(rows))
+
+
+@query("price_demand_no_catalog_price")
+def _(spark, folder):
+    catalog = warehouse.products(bindings.products(spark, folder).drop("price"))
+    return analysis.price_demand(canonical_frame(bindings.transactions(spark, folder, "transaction_id", "order_date", "product_id", "final_amount")), catalog)
+
+
 over_transactions("top_states", dashboard.top_states, "customer_state", "final_amount")
 over_transactions("monthly_revenue", dashboard.monthly_revenue, "order_year", "order_month", "final_amount")
 over_transactions("ols_discount", dashboard.discount_line, "discount_percent", "final_amount")

@@ -267,6 +267,15 @@ def test_clean_and_load_run(spark, sf_dir, tmp_path):
     assert texts.count() == summary["rejects/transactions"] == sum(v for k, v in summary.items() if k.startswith("rejects/transactions/"))
 
 
+def test_line_breaks_in_quotes(spark, tmp_path):
+    (tmp_path / "f.csv").write_text('\ufefforder_date,name\n2020-01-01,"a ""q"", b"\n2020-01-02,"two\nlines"\n2020-01-03,c\n')
+    path = str(tmp_path / "f.csv")
+    assert [tuple(r) for r in readers.scan_text(spark, path).orderBy("order_date").collect()] == [("2020-01-01", 'a "q", b'), ("2020-01-03", "c")]
+    assert sum(r.rows for r in readers.broken_records(spark, path).collect()) >= 1
+    assert [tuple(r) for r in readers.scan_text(spark, path, multiline=True).orderBy("order_date").collect()] == [("2020-01-01", 'a "q", b'), ("2020-01-02", "two\nlines"), ("2020-01-03", "c")]
+    assert readers.broken_records(spark, path, multiline=True).count() == 0
+
+
 def test_append_and_reload_of_catalog_tables(spark, tmp_path):
     for table in ("products", "transactions"):
         sinks.create_table(spark, table, f"r_{table}", str(tmp_path / table))

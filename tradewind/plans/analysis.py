@@ -15,6 +15,7 @@ from ..operators import distribution
 from ..operators.common import growth, mean, present, ratio, revenue, scalar, top
 from ..operators.reshape import melt, share_of, spread_months
 from ..operators.skew import attach
+from ..sources.resolve import resolved
 
 TIE = "transaction_id"
 
@@ -204,7 +205,7 @@ def price_demand(df: DataFrame, catalog: DataFrame) -> DataFrame:
     """Catalog price, orders and revenue per product; a catalog without prices gives mean order value."""
     orders = F.count(TIE if TIE in df.columns else "order_date").alias("orders")
     totals = present(df, "product_id").groupBy("product_id").agg(orders, revenue().alias("revenue"), mean().alias("_mean"))
-    if "price" in catalog.columns:
+    if resolved(catalog, "price"):
         totals = totals.join(catalog_values(catalog, "price"), "product_id", "left").withColumnRenamed("catalog_price", "price")
     else:
         totals = totals.withColumn("price", F.col("_mean"))

@@ -9,6 +9,7 @@ from .. import functions as fn
 from ..operators import distribution
 from ..operators.common import mean, present, ratio, revenue, scalar, top
 from ..operators.reshape import melt
+from ..sources.resolve import resolved
 from .analysis import place_revenue
 
 RUN_RATE_DAYS = 30
@@ -79,7 +80,7 @@ def category_share(df: DataFrame, count: int = 6) -> DataFrame:
 
 def top_states(df: DataFrame, count: int = 20) -> DataFrame:
     """States by revenue; by number of rows where there are no amounts."""
-    if "final_amount" in df.columns:
+    if resolved(df, "final_amount"):
         return place_revenue(df, "customer_state", count)
     totals = present(df, "customer_state").groupBy("customer_state").agg(F.count(F.lit(1)).alias("orders"))
     return top(totals, count, "orders", "customer_state")
@@ -114,7 +115,7 @@ def category_performance(df: DataFrame, count: int = 25) -> DataFrame:
 
 def festival_monthly(df: DataFrame) -> DataFrame:
     """Monthly revenue of orders marked as festival sales, or of those that name a festival."""
-    if "is_festival_sale" in df.columns:
+    if resolved(df, "is_festival_sale"):
         marked = df.filter(fn.lenient_flag("is_festival_sale"))
     else:
         marked = present(df, "festival_name")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..operators import customers, distribution
 from ..session import build_session, drop_stages
-from ..sources.readers import SEQUENCE, scan_text, try_scan, union_chunks
+from ..sources.readers import SEQUENCE, broken_records, scan_text, try_scan, union_chunks
 from ..sources.resolve import canonical_frame
 from ..sources.sinks import export_rejects, write_csv, write_table
 from . import analysis, cleaning, dashboard, warehouse
@@ -61,7 +61,7 @@ ANALYSES: Analysis = {
 }
 
 
-def clean(spark: SparkSession, transactions: str, products: str, folder: str) -> None:
+def clean(spark: SparkSession, transactions: str, products: str, folder: str, multiline: bool = False) -> None:
     """Raw CSV files to cleaned tables, reject tables, review tables and a summary.
 
     A missing input is skipped. The raw transactions are parsed once for all outputs. The place of
@@ -69,11 +69,11 @@ def clean(spark: SparkSession, transactions: str, products: str, folder: str) ->
     """
     counted = []
     for name, path, pipeline in (("transactions", transactions, cleaning.clean_transactions), ("products", products, cleaning.clean_products)):
-        raw = try_scan(scan_text, spark, path, sequence=True, required=False)
+        raw = try_scan(scan_text, spark, path, sequence=True, multiline=multiline, required=False)
         if raw is None:
             continue
         done = pipeline(raw, [SEQUENCE])
-        outputs = {name: done.table, f"rejects/{name}": done.rejects}
+        outputs = {name: done.table, f"rejects/{name}": done.rejects.unionByName(broken_records(spark, path, multiline))}
         outputs |= {f"review/{name}-{review}": rows.drop(SEQUENCE) for review, rows in done.review.items()}
         for place, rows in outputs.items():
             write_table(rows, f"{folder}/{place}")

@@ -11,7 +11,7 @@ from ..operators import quality
 from ..operators.skew import attach
 from ..schemas import warehouse_schema, warehouse_tables
 from ..session import staged
-from ..sources.resolve import align, pick_first
+from ..sources.resolve import absent, align, pick_first
 from ..sources.sinks import write_table
 
 
@@ -80,7 +80,7 @@ def reviewed(df: DataFrame, table: str, numbers: list[str], integers: list[str]
     for field in warehouse_schema(table):
         name, kind = field.name, field.dataType.simpleString()
         if name not in kinds:
-            built.append(F.lit(None).cast(kind).alias(name))
+            built.append(absent(name, kind))
             if not field.nullable:
                 problems.append(_problem("missing", name))
             continue

@@ -19,25 +19,55 @@ def csv_header(spark: SparkSession, path: str) -> list[str]:
     return spark.read.option("header", True).option("inferSchema", False).csv(path).columns
 
 
-def scan_text(spark: SparkSession, path: str, sequence: bool = False) -> DataFrame:
+BROKEN = "_broken_record"
+
+
+def _raw_csv(spark: SparkSession, path: str, multiline: bool) -> DataFrame:
+    """Every column as text, the record itself where it is broken, and the record's place in the input."""
+    names = csv_header(spark, path)
+    layout = ", ".join(f"`{name.replace('`', '``')}` STRING" for name in [*names, BROKEN])
+    place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("row")).alias(SEQUENCE)
+    options = {"escape": '"', "columnNameOfCorruptRecord": BROKEN}
+    if multiline:
+        return spark.read.schema(layout).options(header=True, multiLine=True, **options).csv(path).select("*", place)
+    lines = spark.read.text(path)
+    header = lines.first()
+    records = lines.filter((F.col("value") != (header[0] if header else "")) & (F.trim("value") != "")).select("value", place)
+    open_quote = F.length("value") % 2 != F.length(F.replace("value", F.lit('"'), F.lit(""))) % 2
+    parsed = records.withColumn("_record", F.from_csv("value", layout, options)).withColumn("_open", open_quote)
+    columns = [F.col("_record").getField(name).alias(name) for name in names]
+    broken = F.when(F.col("_open"), F.col("value")).otherwise(F.col("_record").getField(BROKEN))
+    return parsed.select(*columns, broken.alias(BROKEN), SEQUENCE)
+
+
+def broken_records(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    """Records with an unclosed quote or with too few or too many columns, such as the parts of one with a line break in quotes."""
+    raw = _raw_csv(spark, path, multiline)
+    # Spark refuses a scan of the broken records alone, so another column is looked at as well
+    broken = raw.filter(F.col(BROKEN).isNotNull() & (F.length(F.coalesce(F.col(f"`{raw.columns[0]}`"), F.lit(""))) >= 0))
+    return broken.groupBy(F.lit("record").alias("rule"), F.col(BROKEN).alias("raw")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def scan_text(spark: SparkSession, path: str, sequence: bool = False, multiline: bool = False) -> DataFrame:
     """CSV with every column as text and the usual missing-value tokens as NULL.
 
+    A file whose quoted texts hold line breaks needs ``multiline``, which reads each file in one
+    task. Otherwise the parts of such records are left out here and listed by ``broken_records``;
+    no part of one reaches another column.
+
     Files are split by Spark, so a large file needs no chunk loop. With ``sequence`` the place of
     each row in the input is kept as a sortable column (file, block, row in block), which does not
     depend on how splits are packed into tasks.
     """
-    raw = spark.read.option("header", True).option("escape", '"').option("inferSchema", False).csv(path)
-    columns = [null_tokens(F.col(f"`{name}`")).alias(name) for name in raw.columns]
-    if sequence:
-        place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("row"))
-        columns.append(place.alias(SEQUENCE))
-    return raw.select(*columns)
+    raw = _raw_csv(spark, path, multiline).filter(F.col(BROKEN).isNull())
+    columns = [null_tokens(F.col(f"`{name}`")).alias(name) for name in raw.columns if name not in (BROKEN, SEQUENCE)]
+    return raw.select(*columns, *([SEQUENCE] if sequence else []))
 
 
-def scan_typed(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "csv") -> DataFrame:
+def scan_typed(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "csv", multiline: bool = False) -> DataFrame:
     """Cleaned table with a declared schema; no inference pass."""
     reader = spark.read.schema(schema)
-    return reader.option("header", True).option("escape", '"').csv(path) if fmt == "csv" else reader.format(fmt).load(path)
+    return reader.option("header", True).option("escape", '"').option("multiLine", multiline).csv(path) if fmt == "csv" else reader.format(fmt).load(path)
 
 
 def union_chunks(chunks: list[DataFrame]) -> DataFrame:

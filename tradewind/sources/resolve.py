@@ -66,14 +66,27 @@ def find_column(names: list[str], candidates: list[str]) -> str | None:
     return None
 
 
+ABSENT = {"absent": True}
+
+
+def resolved(df: DataFrame, name: str) -> bool:
+    """Whether the column stems from the data. One that was only added for the sake of a fixed layout says so in its metadata."""
+    return name in df.columns and not df.schema[name].metadata.get("absent", False)
+
+
+def absent(name: str, kind: str | T.DataType) -> Column:
+    """The NULL column that stands for one the data does not have."""
+    return F.lit(None).cast(kind).alias(name, metadata=ABSENT)
+
+
 def align(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Exactly the schema's columns in its order; absent ones are NULL, unfit values become NULL."""
     kinds = dict(df.dtypes)
 
     def fit(field: T.StructField) -> Column:
         if field.name not in kinds:
-            value = F.lit(None).cast(field.dataType)
-        elif kinds[field.name] == field.dataType.simpleString():
+            return absent(field.name, field.dataType)
+        if kinds[field.name] == field.dataType.simpleString():
             value = F.col(field.name)
         else:
             value = F.col(field.name).try_cast(field.dataType)
@@ -82,9 +95,19 @@ def align(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*map(fit, schema))
 
 
-def canonical_frame(df: DataFrame) -> DataFrame:
-    """The analytics frame: known roles under fixed names, missing ones NULL, dates derived."""
+def canonical_frame(df: DataFrame, lenient: bool = False) -> DataFrame:
+    """The analytics frame: known roles under fixed names, missing ones NULL (``resolved`` tells them), dates derived.
+
+    ``lenient`` is for files with headers of their own: these are brought to plain lower-case names,
+    and a role without an exact name is looked for by meaning among the columns that no role has yet.
+    """
+    if lenient:
+        df = with_ascii_headers(df)
     found = {role: pick_first(df.columns, names) for role, names in lx.CANONICAL_NAMES.items()}
+    if lenient:
+        for role, names in lx.CANONICAL_NAMES.items():
+            if found[role] is None:
+                found[role] = find_column([c for c in df.columns if c not in found.values()], names)
     if found["order_date"] is None:
         found["order_date"] = next(iter(pick_containing(df.columns, "date")), None)
     if found["order_date"] is None:
@@ -95,7 +118,8 @@ def canonical_frame(df: DataFrame) -> DataFrame:
         if role == "order_date":
             column = F.col(name) if kinds[name] in ("date", "timestamp_ntz") else F.col(name).try_cast("timestamp_ntz")
         elif name is None:
-            column = F.lit(None).cast("string")
+            chosen.append(absent(role, "string"))
+            continue
         elif role == "final_amount" and kinds[name] == "string":
             column = F.regexp_replace(name, r"[^0-9.\-]", "").try_cast("decimal(14,4)")
         else:

@@ -22,8 +22,8 @@ def reload_tables(tables: dict[str, DataFrame], names: dict[str, str] | None = N
     """Empty the catalog's tables, children before the tables they refer to, and load them again in the given order."""
     named = {table: (names or {}).get(table, table) for table in tables}
     for table in reversed(list(tables)):
-        spark = tables[table].sparkSession
-        spark.sql(f"TRUNCATE TABLE {named[table]}")
+        columns = tables[table].sparkSession.table(named[table]).columns
+        tables[table].limit(0).select(*columns).write.insertInto(named[table], overwrite=True)
     for table, df in tables.items():
         append_table(df, named[table])
 
