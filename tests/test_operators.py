@@ -196,6 +196,13 @@ def test_segments(spark, sf_dir):
     assert len(found) == base.count() and {r.segment for r in found} == {0, 1, 2, 3}
     means = [np.mean([float(r.monetary) for r in found if r.segment == s]) for s in range(4)]
     assert means == sorted(means)
+    # a settled clustering: every customer is nearest to the mean of its own segment, but for a few at the borders
+    points = np.array([[r.recency, r.frequency, max(float(r.monetary), 0.0)] for r in found])
+    points = (points - points.mean(axis=0)) / points.std(axis=0, ddof=1)
+    own = np.array([r.segment for r in found])
+    centres = np.array([points[own == s].mean(axis=0) for s in range(4)])
+    nearest = ((points[:, None, :] - centres) ** 2).sum(axis=2).argmin(axis=1)
+    assert (nearest == own).mean() > 0.97
 
 
 # --- numbers --------------------------------------------------------------------------------------

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -38,21 +37,22 @@ def recency_quartile(customers: DataFrame) -> DataFrame:
 def segment(customers: DataFrame, k: int = 4, restarts: int = 10, seed: int = 42) -> DataFrame:
     """K-means segments over scaled recency, frequency and non-negative monetary value.
 
-    The best of several starts is kept. Segments are numbered by rising mean monetary value.
+    The starts run over the distinct points, weighted by their customers and staged, so all of them
+    see the same partitions; the best one is kept. Segments are numbered by rising mean monetary value.
     """
     usable = customers.dropna(subset=["recency"])
     numbers = usable.select(
         "*", F.greatest(F.col("monetary").cast("double"), F.lit(0.0)).alias("_money"))
     assembled = VectorAssembler(inputCols=["recency", "frequency", "_money"], outputCol="_raw").transform(numbers)
     scaler = StandardScaler(inputCol="_raw", outputCol="_point", withMean=True, withStd=True).fit(assembled)
-    # a fixed order of rows makes the seeded starts repeatable
-    points = scaler.transform(assembled).orderBy("customer_id").persist(StorageLevel.MEMORY_AND_DISK)
-    models = [KMeans(k=k, seed=seed + i, featuresCol="_point", predictionCol="_cluster").fit(points) for i in range(restarts)]
+    distinct = staged(numbers.groupBy("recency", "frequency", "_money").agg(F.count(F.lit(1)).cast("double").alias("_weight")), "points")
+    points = scaler.transform(VectorAssembler(inputCols=["recency", "frequency", "_money"], outputCol="_raw").transform(distinct))
+    models = [KMeans(k=k, seed=seed + i, featuresCol="_point", predictionCol="_cluster", weightCol="_weight").fit(points) for i in range(restarts)]
     best = min(models, key=lambda m: m.summary.trainingCost)
     # k centres live on the driver anyway; rank them by the monetary axis
     rank = {c: r for r, (c, _) in enumerate(sorted(enumerate(best.clusterCenters()), key=lambda item: item[1][2]))}
     label = F.element_at(F.create_map(*[F.lit(x) for pair in rank.items() for x in pair]), F.col("_cluster"))
-    return best.transform(points).select("customer_id", "recency", "frequency", "monetary", label.alias("segment"))
+    return best.transform(scaler.transform(assembled)).select("customer_id", "recency", "frequency", "monetary", label.alias("segment"))
 
 
 def scaled_points(customers: DataFrame) -> DataFrame:
