@@ -64,13 +64,13 @@ def repeated_runs(hashed: DataFrame, run: int = RUN) -> DataFrame:
     windows = staged(windows, "runs")
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id"), F.col("row"), F.col("s"))
     earliest = windows.groupBy("content").agg(F.min(place).alias("source"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("content", "source")
-    found = spread_join(windows.withColumn("place", place), staged(earliest, "earliest"), "content", ["row", "s"])
+    found = spread_join(windows, staged(earliest, "earliest"), "content", ["row", "s"]).withColumn("place", place)
     copies = found.filter((F.col("place") > F.col("source")) & ((F.col("row") != F.col("source.row")) | (F.col("s") >= F.col("source.s") + run)))
     return copies.groupBy("row").agg(F.sort_array(F.collect_set("s")).alias("starts"))
 
 
-def _kept(lines: str, starts: str, run: int) -> dict[str, Column]:
-    """Borders of the deleted parts and the text without them."""
+def _kept(starts: str, run: int) -> dict[str, Column]:
+    """Borders of the deleted parts."""
     begins = F.expr(f"filter({starts}, (x, i) -> i = 0 or x > {starts}[i - 1] + {run})")
     ends = F.expr(f"transform(filter({starts}, (x, i) -> i = size({starts}) - 1 or {starts}[i + 1] > x + {run}), x -> x + {run})")
     return {"begins": begins, "ends": ends}
@@ -79,16 +79,19 @@ def _kept(lines: str, starts: str, run: int) -> dict[str, Column]:
 def deduplicated(docs: DataFrame, run: int = RUN, wrap: int = WRAP) -> tuple[DataFrame, str, str]:
     """(all columns, ``text`` without repeated runs, and two more: lines and deleted lines; their names)."""
     row, lines, hashes, starts, begins, ends, n_lines, n_deleted = fresh(docs, "row", "lines", "hashes", "starts", "begins", "ends", "n_lines", "n_deleted")
-    cut = docs.withColumn(row, F.monotonically_increasing_id()).withColumn(lines, lines_of(F.col("text"), wrap)).withColumn("text", F.col("text").isNull())
-    lined = stored(cut.withColumn(hashes, _hashes(lines)), "lined")
-    repeated = repeated_runs(lined.select("doc_id", F.col(row).alias("row"), F.col(hashes).alias("h")), run)
-    met = lined.drop(hashes).join(repeated.select(F.col("row").alias(row), F.col("starts").alias(starts)), row, "left")
-    for name, border in _kept(starts, starts, run).items():
+    marked = docs.withColumn(row, F.monotonically_increasing_id()).withColumn(lines, lines_of(F.col("text"), wrap))
+    hashed = stored(marked.withColumn(hashes, _hashes(lines)).drop(lines), "hashed-lines")
+    repeated = repeated_runs(hashed.select("doc_id", F.col(row).alias("row"), F.col(hashes).alias("h")), run)
+    counted = hashed.withColumn(n_lines, F.size(hashes).cast("long")).drop(hashes)
+    met = counted.join(repeated.select(F.col("row").alias(row), F.col("starts").alias(starts)), row, "left")
+    # only a text that loses lines is cut again
+    met = met.withColumn(lines, F.when(F.col(starts).isNotNull(), lines_of(F.col("text"), wrap)))
+    for name, border in _kept(starts, run).items():
         met = met.withColumn(begins if name == "begins" else ends, border)
     parts = F.expr(f"transform(sequence(0, size({begins})), k -> array_join(slice({lines}, if(k = 0, 0, {ends}[k - 1]) + 1, if(k = size({begins}), size({lines}), {begins}[k]) - if(k = 0, 0, {ends}[k - 1])), ''))")
-    text = F.when(F.col("text"), F.lit(None).cast("string")).when(F.col(starts).isNull(), F.array_join(lines, "")).otherwise(F.array_join(parts, ""))
     gone = F.expr(f"aggregate(zip_with({ends}, {begins}, (e, b) -> e - b), 0, (a, x) -> a + x)")
-    out = met.withColumn("text", text).withColumn(n_lines, F.size(lines).cast("long")).withColumn(n_deleted, F.coalesce(gone, F.lit(0)).cast("long"))
+    out = met.withColumn("text", F.when(F.col(starts).isNull(), F.col("text")).otherwise(F.array_join(parts, "")))
+    out = out.withColumn(n_deleted, F.when(F.col(starts).isNull(), F.lit(0)).otherwise(gone).cast("long"))
     return out.select(*docs.columns, n_lines, n_deleted), n_lines, n_deleted
 
 
