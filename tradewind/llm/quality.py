@@ -25,8 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, FloatType, StructField
 
-from ..session import staged
-from .common import append_columns, fresh, pieces, text_bytes
+from .common import append_columns, fresh, pieces, stored, text_bytes
 from .words import tokens
 
 PLACES = 4096
@@ -190,7 +189,7 @@ def scored(docs: DataFrame, known: DataFrame, most: int = MOST_LABELLED, seed: i
     """(all columns and the score, the score's name): fitted to ``known(doc_id, label)``."""
     vector, score = fresh(docs, "vector", "score")
     vectors = word_vectors(*corpus_sums(docs, seed), seed)
-    pooled_docs = staged(vectors_of(docs, vectors, vector), "pooled")
+    pooled_docs = stored(vectors_of(docs, vectors, vector), "pooled")
     chosen = sampled(known, most).withColumnRenamed("doc_id", "chosen_id")
     lesson = pooled_docs.select(F.col("doc_id").alias("chosen_id"), F.col(vector).alias("x")).join(F.broadcast(chosen), "chosen_id")
     rows = lesson.groupBy("chosen_id", "label").agg(F.min("x").alias("x")).toPandas().sort_values("chosen_id")
