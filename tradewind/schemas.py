@@ -36,8 +36,3 @@ def warehouse_schema(table: str) -> T.StructType:
 
 def warehouse_tables() -> list[str]:
     return list(_FIELDS)
-
-
-def text_schema(names: list[str]) -> T.StructType:
-    """All columns as text, for raw files."""
-    return T.StructType([T.StructField(name, T.StringType()) for name in names])
