@@ -24,7 +24,8 @@ HEADLINE = [
     "brand_monthly_top5", "cohort_retention", "cohort_clv", "discount_trend", "rating_by_product", "category_transitions",
     "product_lifecycle", "brand_price_box", "kpis", "executive_summary", "month_monitor", "rfm_recency_quartile", "describe_rfm",
     "clean_date", "clean_price", "dedupe_transactions", "price_outliers_fixed", "clean_transactions", "clean_products",
-    "dim_customers", "dim_time", "fact_transactions",
+    "dim_customers", "dim_time", "fact_transactions", "category_transitions_timed", "enrich_category", "enrich_brand",
+    "avg_price_joinback", "rejects_all", "cleaning_summary", "warehouse_load", "warehouse_rejects", "rfm_segments",
 ]
 
 
