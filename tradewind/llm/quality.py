@@ -185,11 +185,14 @@ def vectors_of(docs: DataFrame, vectors: np.ndarray, name: str) -> DataFrame:
     return append_columns(docs, ["text"], [StructField(name, ArrayType(FloatType()))], make)
 
 
-def scored(docs: DataFrame, known: DataFrame, most: int = MOST_LABELLED, seed: int = SEED) -> tuple[DataFrame, str]:
-    """(all columns and the score, the score's name): fitted to ``known(doc_id, label)``."""
+def scored(docs: DataFrame, known: DataFrame, most: int = MOST_LABELLED, seed: int = SEED, keep: list[str] | None = None) -> tuple[DataFrame, str]:
+    """(the columns to keep, all by default, and the score; the score's name): fitted to ``known(doc_id, label)``.
+
+    The kept columns, among them ``doc_id``, are written once with the pooled vectors.
+    """
     vector, score = fresh(docs, "vector", "score")
     vectors = word_vectors(*corpus_sums(docs, seed), seed)
-    pooled_docs = stored(vectors_of(docs, vectors, vector), "pooled")
+    pooled_docs = stored(vectors_of(docs, vectors, vector).select(*(keep or docs.columns), vector), "pooled")
     chosen = sampled(known, most).withColumnRenamed("doc_id", "chosen_id")
     lesson = pooled_docs.select(F.col("doc_id").alias("chosen_id"), F.col(vector).alias("x")).join(F.broadcast(chosen), "chosen_id")
     rows = lesson.groupBy("chosen_id", "label").agg(F.min("x").alias("x")).toPandas().sort_values("chosen_id")

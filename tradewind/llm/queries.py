@@ -40,7 +40,7 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _scored(spark: SparkSession, sf_dir: str, model, label: str, folds: int, held: int) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     known = quality.teaching(table(spark, sf_dir, "labels"), label, folds, held)
-    found, score = model.scored(docs, known)
+    found, score = model.scored(docs, known, keep=["doc_id"])
     held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(folds)) == held
     return found.select("doc_id", held_out.alias("held_out"), F.col(score).alias("score"), (F.col(score) >= model.LIMIT).cast("int").alias("predicted"))
 

@@ -190,12 +190,12 @@ def trained(docs: DataFrame, known: DataFrame, most: int = MOST_LABELLED, penalt
     return model
 
 
-def scored(docs: DataFrame, known: DataFrame, most: int = MOST_LABELLED, penalty: float = PENALTY) -> tuple[DataFrame, str]:
-    """(all columns and the score, the score's name): fitted to ``known(doc_id, label)``."""
+def scored(docs: DataFrame, known: DataFrame, most: int = MOST_LABELLED, penalty: float = PENALTY, keep: list[str] | None = None) -> tuple[DataFrame, str]:
+    """(the columns to keep, all by default, and the score; the score's name): fitted to ``known(doc_id, label)``."""
     model = trained(docs, known, most, penalty)
     (score,) = fresh(docs, "score")
 
     def make(batch: pa.RecordBatch) -> list[pa.Array]:
         return [pa.array(model.score(text_bytes(batch.column(0))), pa.float64())]
 
-    return append_columns(docs, ["text"], [StructField(score, DoubleType())], make), score
+    return append_columns(docs, ["text"], [StructField(score, DoubleType())], make).select(*(keep or docs.columns), score), score
