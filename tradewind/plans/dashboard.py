@@ -17,10 +17,15 @@ RUN_RATE_DAYS = 30
 
 def in_period(df: DataFrame, year: int | None = None, month: int | None = None) -> DataFrame:
     """Rows of a year and/or month; no restriction where none is given."""
+    return df.filter(_period(year, month))
+
+
+def _period(year: int | None, month: int | None) -> Column:
+    condition = F.lit(True)
     for name, wanted in (("order_year", year), ("order_month", month)):
         if wanted is not None:
-            df = df.filter(F.col(name) == wanted)
-    return df
+            condition = condition & (F.col(name) == wanted)
+    return condition
 
 
 def top_category(df: DataFrame) -> DataFrame:
@@ -30,17 +35,24 @@ def top_category(df: DataFrame) -> DataFrame:
 
 
 def executive_summary(df: DataFrame, year: int | None = None, month: int | None = None) -> DataFrame:
-    """Metric and value as number and text; growth compares with the same months of the year before."""
-    chosen = in_period(df, year, month)
-    totals = chosen.agg(
-        revenue().alias("total_revenue"), F.count(F.lit(1)).alias("orders"),
-        F.count_distinct("customer_id").alias("active_customers"), mean().alias("avg_order_value"))
-    if year is None:
-        change: Column = F.lit(None).cast("double")
-    else:
-        before = scalar(in_period(df, year - 1, month), F.sum("final_amount"))
-        change = ratio(F.col("total_revenue") - before, before)
-    named = totals.withColumns({"growth": change, "top_category": scalar(top_category(chosen), F.max("category"))})
+    """Metric and value as number and text; growth compares with the same months of the year before.
+
+    One pass adds up both periods per category, from which all sums and the largest category follow;
+    only the customers are counted in a pass of their own.
+    """
+    now, before = _period(year, month), F.lit(False) if year is None else _period(year - 1, month)
+    amount, earlier = F.when(now, F.col("final_amount")), F.when(before, F.col("final_amount"))
+    per_category = df.filter(now | before).groupBy("category").agg(
+        F.sum(amount).alias("_sum"), F.count(amount).alias("_amounts"), F.count_if(now).alias("_rows"), F.sum(earlier).alias("_before"))
+    known = F.col("category").isNotNull() & (F.col("_rows") > 0)
+    totals = per_category.agg(
+        revenue("_sum").alias("total_revenue"), F.coalesce(F.sum("_rows"), F.lit(0)).alias("orders"), ratio(F.sum("_sum"), F.sum("_amounts")).alias("avg_order_value"),
+        F.sum("_before").alias("_before"), F.min(F.when(known, F.struct((-F.coalesce("_sum", F.lit(0))).alias("least"), "category"))).alias("_top"))
+    named = totals.withColumns({
+        "active_customers": scalar(in_period(df, year, month), F.count_distinct("customer_id")),
+        "growth": F.lit(None).cast("double") if year is None else ratio(F.col("total_revenue") - F.col("_before"), F.col("_before")),
+        "top_category": F.col("_top.category"),
+    })
     numbers = ["total_revenue", "growth", "orders", "active_customers", "avg_order_value"]
     shown = {
         "total_revenue": fn.format_currency(F.col("total_revenue").cast("double")), "growth": fn.format_percent("growth"),
