@@ -15,6 +15,7 @@ from ..operators import distribution
 from ..operators.common import growth, mean, present, ratio, revenue, scalar, top
 from ..operators.reshape import melt, share_of, spread_months
 from ..operators.skew import attach
+from ..session import staged
 from ..sources.resolve import resolved
 
 TIE = "transaction_id"
@@ -299,7 +300,8 @@ def top_product_monthly(df: DataFrame, count: int = 10) -> DataFrame:
 def brand_price_box(df: DataFrame, catalog: DataFrame, count: int = 8) -> DataFrame:
     """Price distribution over the orders of the strongest brands; empty for fewer than two brands."""
     totals = product_totals(df, catalog, ["brand", "price"])
-    usable = present(totals, "brand", "price").filter(F.trim("brand") != "")
+    # one row per product, brand and price, looked at for the brands, the quantiles and the whiskers
+    usable = staged(present(totals, "brand", "price").filter(F.trim("brand") != ""), "brand-prices")
     brands = usable.groupBy("brand").agg(F.sum("revenue").alias("total"))
     strongest = top(brands, count, "total", "brand").select("brand")
     kept = usable.join(F.broadcast(strongest), "brand", "leftsemi")
