@@ -146,46 +146,60 @@ def _levels(members: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     return levels
 
 
-def close_pairs(members: np.ndarray, distance: int = DISTANCE) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs a < b of members within ``distance``, by descent through pairs of nodes."""
-    levels = _levels(members)
-    n = len(levels[-1][0])
-    a, b = np.triu_indices(n)
-    stack = [(len(levels) - 1, a, b)]
+def _ranges(label: np.ndarray, depth: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Smallest and largest label below each node of each level."""
+    out = [(label, label)]
+    for _ in range(depth - 1):
+        low, high = out[-1]
+        starts = np.arange(0, len(low), FANOUT)
+        out.append((np.minimum.reduceat(low, starts), np.maximum.reduceat(high, starts)))
+    return out
+
+
+def _united(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Labels after the pairs' groups are joined; a group's label is its smallest member."""
+    while True:
+        one, two = label[a], label[b]
+        if (one == two).all():
+            return label
+        low = np.minimum(one, two)
+        np.minimum.at(label, one, low)
+        np.minimum.at(label, two, low)
+        while (label != label[label]).any():
+            label = label[label]
+
+
+def node_links(members: np.ndarray, distance: int = DISTANCE) -> tuple[np.ndarray, np.ndarray]:
+    """A link from each member of a linked group, but the smallest, to its group's smallest.
+
+    Pairs of nodes are descended into from the top; a pair goes when it is too far apart, and also
+    when all below it is in one group already, so a tight cluster costs no look at all its pairs.
+    """
+    levels, label = _levels(members), np.arange(len(members))
+    ranges = _ranges(label, len(levels))
+    stack = [(len(levels) - 1, *np.triu_indices(len(levels[-1][0])))]
     while stack:
         level, a, b = stack.pop()
-        if len(a) > 1 << 18:
-            stack += [(level, a[: len(a) // 2], b[: len(a) // 2]), (level, a[len(a) // 2:], b[len(a) // 2:])]
+        if len(a) > (1 << 12 if level else 1 << 17):
+            stack += [(level, a[len(a) // 2:], b[len(a) // 2:]), (level, a[: len(a) // 2], b[: len(a) // 2])]
             continue
+        low, high = ranges[level]
+        apart = (low[a] != high[b]) | (low[b] != high[a])
+        a, b = a[apart], b[apart]
         pattern, mask = levels[level]
         near = np.bitwise_count((pattern[a] ^ pattern[b]) & mask[a] & mask[b]) <= distance
         a, b = a[near], b[near]
+        if not len(a):
+            continue
         if level == 0:
-            apart = a < b
-            if apart.any():
-                yield a[apart], b[apart]
-        elif len(a):
-            below = len(levels[level - 1][0])
-            kid = np.arange(FANOUT)
+            label = _united(label, a, b)
+            ranges = _ranges(label, len(levels))
+        else:
+            below, kid = len(levels[level - 1][0]), np.arange(FANOUT)
             left = (a[:, None, None] * FANOUT + kid[:, None] + 0 * kid).reshape(-1)
             right = (b[:, None, None] * FANOUT + kid + 0 * kid[:, None]).reshape(-1)
             keep = (left <= right) & (left < below) & (right < below)
             stack.append((level - 1, left[keep], right[keep]))
-
-
-def node_links(members: np.ndarray, distance: int = DISTANCE) -> tuple[np.ndarray, np.ndarray]:
-    """A link from each member of a linked group, but the smallest, to its group's smallest."""
-    label = np.arange(len(members))
-    for a, b in close_pairs(members, distance):
-        while True:
-            low = np.minimum(label[a], label[b])
-            old_a, old_b = label[a], label[b]
-            if (old_a == old_b).all():
-                break
-            np.minimum.at(label, old_a, low)
-            np.minimum.at(label, old_b, low)
-            while (label != label[label]).any():
-                label = label[label]
     moved = np.flatnonzero(label != np.arange(len(members)))
     return members[label[moved]], members[moved]
 
