@@ -14,7 +14,7 @@ from ..session import scratch_path
 
 SLOTS = 64
 #: Rows of one batch are worked on in pieces of about this many bytes of text.
-PIECE_BYTES = 8 << 20
+PIECE_BYTES = 3 << 20
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
