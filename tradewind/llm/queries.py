@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontam, lines, mixing, output, quality, secrets, simhash, tokens, toxicity
+from . import ann, bytebpe, decontam, infill, lines, merkle, mixing, output, quality, secrets, simhash, tokens, toxicity
 from .common import table
 
 TOKEN_LIMIT = 2048
@@ -74,6 +74,30 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return output.written(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = tokenizer("byte_bpe_50k.tiktoken")
+    found, (ids,) = bytebpe.encoded(table(spark, sf_dir, "documents").select("doc_id", "text"), ranks, public_tokenizers.PATTERN, offsets=False)
+    back, (held,) = bytebpe.decoded(found.select("doc_id", ids), ids, ranks, text=False)
+    written = F.array_join(F.col(ids).cast("array<string>"), " ")
+    return back.select("doc_id", F.size(ids).cast("long").alias("n_tokens"), F.sha2(written, 256).alias("ids_sha256"), F.sha2(held, 256).alias("decoded_sha256"))
+
+
+def op12_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made, (n, form, output, prefix_chars, middle_chars) = infill.infilled(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return made.select("doc_id", F.col(n).alias("n"), F.col(form).alias("form"), F.col(prefix_chars).alias("prefix_chars"), F.col(middle_chars).alias("middle_chars"),
+                       F.sha2(output, 256).alias("output_sha256"), F.sha2(infill.restored(F.col(output), F.col(form)), 256).alias("restored_sha256"))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    lowered = merkle.digest([F.translate("text", letters, letters.lower()) if f == "text" else F.col(f) for f in merkle.FIELDS])
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, lowered)
+    return merkle.proofs(merkle.manifest(docs, claim=tampered))
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_line_dedup": op2_line_dedup,
@@ -85,6 +109,9 @@ QUERIES = {
     "op8_nearest": op8_nearest,
     "op9_simhash": op9_simhash,
     "op10_token_output": op10_token_output,
+    "op11_byte_bpe": op11_byte_bpe,
+    "op12_infill": op12_infill,
+    "op13_merkle": op13_merkle,
 }
 
-ORACLES: dict[str, str] = {"op2_line_dedup": lines.ORACLE}
+ORACLES: dict[str, str] = {"op2_line_dedup": lines.ORACLE, "op12_infill": infill.ORACLE, "op13_merkle": merkle.ORACLE}
