@@ -19,12 +19,6 @@ from tradewind.llm.queries import tokenizer
 from tradewind.session import drop_stages, scratch_path, stages
 
 
-#: Fingerprints of near copies, at five-word similarities of 0.8 and more, nearly always differ in so many bits or fewer.
-NEAR_BITS = 12
-#: Five-word similarity of near copies.
-NEAR_LIKE = 0.8
-
-
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 _LEFT: list[str] = []
 
@@ -53,8 +47,8 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @stage
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, told by their fingerprints and verified on their words."""
-    return simhash.keep_first(docs, distance=NEAR_BITS, like=NEAR_LIKE)
+    """One document of each group of near-duplicates: fingerprints of three-word shingles that differ in two bits at most."""
+    return simhash.keep_first(docs, distance=simhash.DISTANCE)
 
 
 @stage
