@@ -8,7 +8,7 @@ from tradewind.llm.queries import tokenizer
 from tradewind.session import staged
 
 from .test_decontam import plain
-from .test_simhash import roots, similar_roots
+from .test_simhash import roots
 
 
 def test_stages_against_plain_versions(spark, sf_dir):
@@ -26,7 +26,7 @@ def test_stages_against_plain_versions(spark, sf_dir):
 
     rows = sorted(good.collect(), key=lambda r: r["doc_id"])
     prints = [int(x) & (1 << 64) - 1 for x in simhash.fingerprints_of([(r["text"] or "").encode() for r in rows])]
-    first = sorted({rows[i]["doc_id"] for i in roots(prints, pipeline.NEAR_BITS)})
+    first = sorted({rows[i]["doc_id"] for i in roots(prints, simhash.DISTANCE)})
     single = staged(stages["near_duplicates"](spark, good, sf_dir), "test")
     assert sorted(r["doc_id"] for r in single.collect()) == first and single.columns == documents.columns
 
@@ -56,21 +56,3 @@ def test_stages_on_edges(spark, sf_dir, edges, nothing):
         assert stage(spark, nothing, sf_dir).count() == 0
         found = stage(spark, edges, sf_dir)
         assert found.count() > 0 and (name == "token_ids" or found.columns == edges.columns)
-
-
-def test_near_duplicates_are_told_by_their_words(spark, sf_dir):
-    """The stage and all after it, with groups by five-word similarity of pairs whose fingerprints are near."""
-    stages = dict(pipeline.STAGES)
-    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    rows = sorted(documents.collect(), key=lambda r: r["doc_id"])
-    expected = {rows[i]["doc_id"] for i in similar_roots([r["text"] for r in rows], pipeline.NEAR_BITS, pipeline.NEAR_LIKE)}
-    single = staged(stages["near_duplicates"](spark, documents, sf_dir), "test")
-    assert {r["doc_id"] for r in single.collect()} == expected and single.count() == len(expected) and single.columns == documents.columns
-
-    rows = single.collect()
-    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
-    leaking = {rows[k]["doc_id"] for k, _ in plain([r["text"] for r in rows], items)}
-    unseen = staged(stages["decontamination"](spark, single, sf_dir), "test")
-    assert leaking and {r["doc_id"] for r in unseen.collect()} == expected - leaking
-    written = stages["token_ids"](spark, staged(stages["mixing"](spark, unseen, sf_dir), "test"), sf_dir)
-    assert {r["doc_id"] for r in written.collect()} == {r["doc_id"] for r in mixing.mixture(unseen).collect() if r["taken"]}

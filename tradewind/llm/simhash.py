@@ -10,12 +10,6 @@ members are filed again under larger masks; with 14 bits left a node has 2^14 me
 at a distance of 2 what a task holds is bounded whatever the data. (Larger distances need more masks
 and stop refining earlier; a node is then 8 bytes a distinct fingerprint.)
 
-``keep_first`` with ``like`` takes near fingerprints as candidates only: distinct texts whose fingerprints
-differ in ``distance`` bits at most are linked if they also share that part of their runs of five
-words. At such distances neither masks nor a node's patterns tell much apart, so the pairs come from
-another index: texts that share a band of minimum hashes form families, whose members are dealt into
-blocks; each pair of blocks is compared by one task, which holds two blocks however large a family is.
-
 Defined results: a null or wordless text has fingerprint zero and links like any other; repeated
 rows and ties share a fingerprint, hence a group; an empty table gives no rows; only ``doc_id`` and
 ``text`` are read, so other columns may have any name; null ids belong to the group of their text
@@ -29,16 +23,14 @@ from collections.abc import Iterator
 from itertools import accumulate
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField
+from pyspark.sql.types import LongType, StructField
 
 from ..session import staged
 from .common import append_columns, fresh, pieces, spread_join, stored, text_bytes
-from .words import mixed
 
 WORDS = 3
 DISTANCE = 2
@@ -49,12 +41,6 @@ FREE_BITS = 14
 #: More masks are not refined further; at the registered distance of 2 the free bits run out first.
 MOST_MASKS = 1024
 FANOUT = 8
-#: Similarity of two texts: the shared part of their distinct runs of so many words.
-SIMILAR_WORDS = 5
-#: Bands of minimum hashes; two texts that are 0.8 alike share none in 3 of 10^6 cases.
-BANDS, BAND_HASHES = 24, 4
-#: Members of a family's block on average.
-BLOCK_MEMBERS = 128
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _ALL = (1 << 64) - 1
@@ -275,93 +261,12 @@ def components(edges: DataFrame) -> DataFrame:
 def groups(prints: DataFrame, order: Column, members: int = NODE_MEMBERS, distance: int = DISTANCE) -> DataFrame:
     """One row (fp, first) for each fingerprint of ``prints``: the smallest ``order`` of its linked group."""
     lowest = staged(prints.groupBy("fp").agg(F.min(order).alias("own")), "prints")
-    return _firsts(lowest, "fp", links(lowest.select("fp"), members, distance))
-
-
-def _firsts(lowest: DataFrame, key: str, edges: DataFrame) -> DataFrame:
-    """(key, first) for each row of ``lowest(key, own)``: the smallest ``own`` among the keys that ``edges`` join."""
-    roots = staged(components(edges).withColumnRenamed("node", key), "roots")
-    met = lowest.join(roots, key, "left")
+    roots = staged(components(links(lowest.select("fp"), members, distance)).withColumnRenamed("node", "fp"), "roots")
+    met = lowest.join(roots, "fp", "left")
     in_group = met.filter(F.col("root").isNotNull())
-    first = spread_join(in_group, in_group.groupBy("root").agg(F.min("own").alias("first")), "root", [key])
+    first = spread_join(in_group, in_group.groupBy("root").agg(F.min("own").alias("first")), "root", ["fp"])
     alone = met.filter(F.col("root").isNull())
-    return alone.select(key, F.col("own").alias("first")).unionByName(first.select(key, "first"))
-
-
-def five_word_runs(text: bytes) -> np.ndarray:
-    """Sorted hashes of the distinct runs of five words."""
-    return np.unique(np.array(shingle_hashes(text, SIMILAR_WORDS), np.uint64))
-
-
-def min_hashes(runs: np.ndarray) -> np.ndarray:
-    """Negative numbers, ``BANDS`` of them, of which two texts share each with the ``BAND_HASHES``-th power of their similarity."""
-    numbers = mixed(np.arange(1, BANDS * BAND_HASHES + 1, dtype=np.uint64))
-    least = ((runs[None] + numbers[:, None]) * (numbers[:, None] | np.uint64(1))).min(axis=1) if len(runs) else numbers
-    bands = np.bitwise_xor.reduce(mixed(least + numbers).reshape(BANDS, BAND_HASHES), axis=1)
-    return (bands | np.uint64(1 << 63)).view(np.int64)
-
-
-def similar_links(node: np.ndarray, fp: np.ndarray, block: np.ndarray, runs: list[np.ndarray], distance: int, like: float) -> tuple[np.ndarray, np.ndarray]:
-    """Links that join the texts of one block, or of two across, whose fingerprints and runs are alike; two wordless texts are."""
-    sizes = np.array([len(r) for r in runs])
-    known, place = np.unique(np.concatenate(runs), return_inverse=True)
-    owner = np.repeat(np.arange(len(runs)), sizes)
-    ends = np.cumsum(sizes)
-    two, label = len(np.unique(block)) > 1, np.arange(len(node))
-    held = np.zeros(len(known), bool)
-    for i in range(len(node) - 1):
-        rest = np.arange(i + 1, len(node))
-        open_pair = (np.bitwise_count(fp[i] ^ fp[rest]) <= distance) & (label[rest] != label[i])
-        if two:
-            open_pair &= block[rest] != block[i]
-        rest = rest[open_pair]
-        if not len(rest):
-            continue
-        own = place[ends[i] - sizes[i]: ends[i]]
-        held[own] = True
-        shared = np.bincount(owner[ends[i]:][held[place[ends[i]:]]], minlength=len(node))[rest]
-        held[own] = False
-        either = sizes[i] + sizes[rest] - shared
-        rest = rest[(shared == either) | (shared / np.maximum(either, 1) >= like)]
-        label = _united(label, np.full(len(rest), i), rest)
-    moved = np.flatnonzero(label != np.arange(len(node)))
-    return node[label[moved]], node[moved]
-
-
-def with_hashes(docs: DataFrame, name: str) -> DataFrame:
-    def make(batch: pa.RecordBatch) -> list[pa.Array]:
-        hashes = [min_hashes(five_word_runs(t)) for t in text_bytes(batch.column(0))]
-        offsets = np.arange(len(hashes) + 1, dtype=np.int32) * BANDS
-        return [pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(hashes) if hashes else np.zeros(0, np.int64)))]
-
-    return append_columns(docs, ["text"], [StructField(name, ArrayType(LongType()))], make)
-
-
-def families(hashed: DataFrame) -> DataFrame:
-    """(node, root) of the rows of ``hashed(node, hashes)``, nodes being 0 or more, that share a hash, directly or through others."""
-    edges = staged(hashed.select(F.col("node").alias("a"), F.explode("hashes").alias("b")), "minimum-hashes")
-    shared = edges.groupBy("b").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("b", F.lit(True).alias("shared"))
-    return components(spread_join(edges, staged(shared, "shared-hashes"), "b", ["a"]).filter("shared").select("a", "b")).filter("node >= 0")
-
-
-def verified(asked: DataFrame, related: DataFrame, distance: int, like: float, block: int = BLOCK_MEMBERS) -> DataFrame:
-    """Links (a, b) that join the rows of ``asked(node, fp, text)`` within ``distance`` whose five-word similarity is ``like``
-    or more; ``related(node, root)`` names their families."""
-    sizes = related.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
-    dealt = spread_join(related, staged(sizes, "family-sizes"), "root", ["node"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-
-    def make(batch: pa.RecordBatch) -> list[pa.Array]:
-        return [pa.array([five_word_runs(t).tobytes() for t in text_bytes(batch.column(0))], pa.binary())]
-
-    runs = append_columns(asked.join(dealt, "node").select("node", "fp", "root", "blocks", "block", "text"), ["text"], [StructField("runs", BinaryType())], make).drop("text")
-    paired = runs.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
-
-    def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        held = [np.frombuffer(r, np.uint64) for r in rows["runs"]]
-        a, b = similar_links(rows["node"].to_numpy(np.int64), rows["fp"].to_numpy(np.int64).view(np.uint64), rows["block"].to_numpy(), held, distance, like) if len(held) > 1 and (rows["low"].iloc[0] == rows["high"].iloc[0] or rows["block"].nunique() > 1) else ([], [])
-        return pd.DataFrame({"a": a, "b": b}, dtype="int64")
-
-    return paired.select("node", "fp", "root", "block", "low", "high", "runs").groupBy("root", "low", "high").applyInPandas(compare, "a long, b long")
+    return alone.select("fp", F.col("own").alias("first")).unionByName(first.select("fp", "first"))
 
 
 def near_duplicates(docs: DataFrame, members: int = NODE_MEMBERS, distance: int = DISTANCE) -> DataFrame:
@@ -371,24 +276,14 @@ def near_duplicates(docs: DataFrame, members: int = NODE_MEMBERS, distance: int
     return spread_join(prints, named, "fp", ["doc_id"]).select("doc_id", "fp", "component_id")
 
 
-def keep_first(docs: DataFrame, members: int = NODE_MEMBERS, distance: int = DISTANCE, like: float | None = None) -> DataFrame:
+def keep_first(docs: DataFrame, members: int = NODE_MEMBERS, distance: int = DISTANCE) -> DataFrame:
     """The documents without near-duplicates: of each group the row with the smallest id stays.
 
-    With ``like``, links within ``distance`` count only between texts of that five-word similarity.
     Rows with one id, repeated rows included, are told apart by their place in a written copy.
     """
     fp, row = fresh(docs, "fp", "row")
     marked = stored(with_fingerprint(docs, fp).withColumn(row, F.monotonically_increasing_id()), "fingerprinted")
     order = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id"), F.col(row).alias("row"))
-    if like is None:
-        prints = marked.select(F.col(fp).alias("fp"), order.alias("own"))
-        firsts = groups(prints, F.col("own"), members, distance)
-    else:
-        same = marked.select(F.md5(F.coalesce(F.col("text"), F.lit(""))).alias("content"), F.col(row).alias("node"), order.alias("own"))
-        texts = staged(same.groupBy("content").agg(F.min("node").alias("node"), F.min("own").alias("own")).drop("content"), "distinct-texts")
-        hashed = with_hashes(marked.select(F.col(row).alias("node"), "text"), "hashes").select("node", "hashes")
-        related = staged(families(hashed.join(texts, "node", "left_semi")), "families")
-        asked = marked.select(F.col(row).alias("node"), F.col(fp).alias("fp"), "text")
-        firsts = _firsts(texts.select("node", "own"), "node", verified(asked, related, distance, like))
+    firsts = groups(marked.select(F.col(fp).alias("fp"), order.alias("own")), F.col("own"), members, distance)
     kept = firsts.select(F.col("first.row").alias(row)).distinct()
     return marked.join(kept, row, "left_semi").select(*docs.columns)
