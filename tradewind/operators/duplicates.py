@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .skew import attach
+from .skew import attach_few
 
 
 def _order_struct(order: list[str]) -> Column:
@@ -40,9 +40,12 @@ def duplicate_rows(df: DataFrame, keys: list[str], quantity: str | None, order:
 
 
 def mark(df: DataFrame, keys: list[str], quantity: str | None, order: list[str]) -> DataFrame:
-    """Adds ``_wrong`` (in an erroneous group) and ``_repeat`` (and not the first row there)."""
+    """Adds ``_wrong`` (in an erroneous group) and ``_repeat`` (and not the first row there).
+
+    Groups are made of the compared columns alone, and whole rows are not exchanged for the marks.
+    """
     wrong = key_groups(df, keys, quantity, order).filter("erroneous").withColumnRenamed("first", "_first")
-    marked = attach(df, wrong, keys, ["_first"], spread_by=order)
+    marked = attach_few(df, wrong, keys, ["_first"], order, F.col("_first").isNotNull())
     return marked.withColumns({
         "_wrong": F.col("_first").isNotNull(),
         "_repeat": F.coalesce(F.col("_first") != _order_struct(order), F.lit(False)),

@@ -9,30 +9,27 @@ from ..functions import lexicon as lx
 from ..functions.parsing import first_match
 from .common import scalar
 from .quantiles import exact_quantiles
-from .skew import attach
+from .skew import attach_few
 
 
-def with_reference_median(df: DataFrame, amount: str, reference: str | None, spread_by: list[str]) -> DataFrame:
-    """Median amount of the row's reference group (all rows when there is none) as ``ref_median``."""
-    medians = exact_quantiles(df, [reference] if reference else [], amount, {"ref_median": 0.5})
-    if reference is None:
-        return df.withColumn("ref_median", scalar(medians, F.col("ref_median")))
-    return attach(df, medians, [reference], ["ref_median"], spread_by=spread_by)
-
+def repair_amounts(df: DataFrame, amount: str, reference: str | None, order: list[str]) -> DataFrame:
+    """Divide suspicious amounts by 10, 100 or 1000 where that lands near the median of their group (of all rows without ``reference``).
 
-def repair_amounts(df: DataFrame, amount: str, reference: str | None, spread_by: list[str]) -> DataFrame:
-    """Divide suspicious amounts by 10, 100 or 1000 where that lands near the median.
-
-    Adds ``ref_median``, ``repair`` (the divisor used, ``flag`` where none fits, else NULL) and
-    ``amount_before``.
+    Adds ``ref_median`` of suspicious rows, ``repair`` (the divisor used, ``flag`` where none fits,
+    else NULL) and ``amount_before``. ``order`` must tell all rows apart; whole rows are not exchanged.
     """
-    known = with_reference_median(df, amount, reference, spread_by)
+    medians = exact_quantiles(df, [reference] if reference else [], amount, {"ref_median": 0.5})
     value, middle = F.col(amount).cast("double"), F.col("ref_median")
+    suspicious = (middle > 0) & (value > middle * lx.OUTLIER_FACTOR)
+    if reference is None:
+        known = df.withColumn("ref_median", scalar(medians, F.col("ref_median"))).withColumn("ref_median", F.when(suspicious, middle))
+    else:
+        known = attach_few(df, medians, [reference], ["ref_median"], order, suspicious, [amount])
     fits = [
         ((value / d >= middle * lx.REPAIR_LOW) & (value / d <= middle * lx.REPAIR_HIGH), F.lit(str(d)))
         for d in lx.REPAIR_DIVISORS
     ]
-    verdict = F.when((middle > 0) & (value > middle * lx.OUTLIER_FACTOR), first_match(fits, F.lit("flag")))
+    verdict = F.when(middle.isNotNull(), first_match(fits, F.lit("flag")))
     kind = dict(df.dtypes)[amount]
     divided = first_match([
         (F.col("repair") == str(d), (F.col(amount) / d).cast(kind)) for d in lx.REPAIR_DIVISORS

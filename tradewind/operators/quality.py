@@ -2,24 +2,32 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.parsing import first_match
+
 
-def rejects(df: DataFrame, rules: dict[str, tuple[Column | str, Column]]) -> DataFrame:
+def rejects(df: DataFrame, rules: dict[str, tuple[Column | str, Column | None]], later: dict[str, Callable[[Column], Column]] | None = None) -> DataFrame:
     """Distinct texts that a cleaning rule could not read: ``rule, raw, rows``.
 
     ``rules`` maps a rule to its raw and its cleaned column. All rules share one pass, and equal
-    texts are merged before the shuffle.
+    texts are merged before the shuffle. Rules without a cleaned column are in ``later``: all their
+    texts are counted, and each is read once afterwards.
     """
     failed = [
         F.struct(F.lit(rule).alias("rule"), F.col(raw).alias("raw") if isinstance(raw, str) else raw.alias("raw"),
-                 clean.isNull().alias("bad"))
+                 (F.lit(True) if clean is None else clean.isNull()).alias("bad"))
         for rule, (raw, clean) in rules.items()
     ]
     # inline keeps the rules in one generator over the row
     listed = df.select(F.inline(F.array(*failed)))
-    return listed.filter("bad and raw is not null").groupBy("rule", "raw").agg(F.count(F.lit(1)).alias("rows"))
+    counted = listed.filter("bad and raw is not null").groupBy("rule", "raw").agg(F.count(F.lit(1)).alias("rows"))
+    if not later:
+        return counted
+    return counted.filter(first_match([(F.col("rule") == rule, read(F.col("raw")).isNull()) for rule, read in later.items()], F.lit(True)))
 
 
 def mapping_pairs(df: DataFrame, raw: str, clean: Column) -> DataFrame:

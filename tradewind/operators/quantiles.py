@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _STEP = 7
+#: Groups of so many rows at most are ordered whole.
+SMALL_GROUP = 100_000
 
 
 def exact_quantiles(
@@ -18,12 +20,18 @@ def exact_quantiles(
     value, then located from coarse buckets to fine ones: each step counts the buckets inside the
     ones chosen before, so no task ever orders more than ten million counts, however many rows a
     group has. ``digits`` is the usual number of digits of a value; longer values only make more
-    buckets on the first step. With ``weight`` a row stands for that many equal rows.
+    buckets on the first step. With ``weight`` a row stands for that many equal rows. Where no group
+    has more than ``SMALL_GROUP`` rows, each is ordered whole instead, with the same result.
     """
     group = keys or ["_all"]
     source = df if keys else df.withColumn("_all", F.lit(0))
     units = F.expr(f"cast(try_cast({value} as decimal(28,{scale})) * {10 ** scale} as bigint)")
     times = F.col(weight) if weight else F.lit(1)
+    if keys and not weight:
+        known = df.select(*keys, units.alias("_unit")).dropna(subset=[*keys, "_unit"])
+        largest = known.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
+        if largest <= SMALL_GROUP:
+            return _ordered(known, keys, probabilities, scale)
     counted = (
         source.select(*group, units.alias("_unit"), times.alias("_times")).dropna(subset=[*group, "_unit"])
         .groupBy(*group, "_unit").agg(F.sum("_times").cast("long").alias("_n"))
@@ -34,13 +42,27 @@ def exact_quantiles(
     columns = []
     for i, (name, p) in enumerate(probabilities.items()):
         low, high = (F.max(F.when(F.col("pick.slot") == 2 * i + side, F.col("_bucket"))) for side in (0, 1))
-        place = F.lit(float(p)) * (F.max("_rows") - 1)
-        low, high = ((unit / F.lit(10 ** scale)).cast("double") for unit in (low.cast("double"), high.cast("double")))
-        columns.append((low + (high - low) * (place - F.floor(place))).alias(name))
+        columns.append(_between(low, high, F.lit(float(p)) * (F.max("_rows") - 1), scale).alias(name))
     found = picks.groupBy(*group).agg(F.max("_rows").alias("rows"), *columns)
     return found if keys else found.drop("_all")
 
 
+def _between(low: Column, high: Column, place: Column, scale: int) -> Column:
+    low, high = ((unit.cast("double") / F.lit(10 ** scale)).cast("double") for unit in (low, high))
+    return low + (high - low) * (place - F.floor(place))
+
+
+def _ordered(known: DataFrame, keys: list[str], probabilities: dict[str, float], scale: int) -> DataFrame:
+    """The same from the ordered values of each group, for groups of bounded size."""
+    held = known.groupBy(*keys).agg(F.sort_array(F.collect_list("_unit")).alias("_units")).withColumn("rows", F.size("_units").cast("long"))
+    columns = []
+    for name, p in probabilities.items():
+        place = F.lit(float(p)) * (F.col("rows") - 1)
+        low, high = (F.element_at("_units", edge(place).cast("int") + 1) for edge in (F.floor, F.ceil))
+        columns.append(_between(low, high, place, scale).alias(name))
+    return held.select(*keys, "rows", *columns)
+
+
 def _locate(counted: DataFrame, group: list[str], widths: list[int], probabilities: list[float]) -> DataFrame:
     """One row per group and wanted rank, with the unit found there."""
     everything = Window.partitionBy(*group)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from .. import functions as fn
 from ..functions import lexicon as lx
 from ..operators import duplicates, outliers, quality
+from ..operators.dictionary import Dictionaries, Rules, learn, looked_up
 from ..operators.indexing import with_row_index
 from ..operators.reshape import melt
 from ..session import staged
@@ -21,11 +23,19 @@ MONEY = "decimal(18,4)"
 
 @dataclass(frozen=True)
 class Cleaned:
-    """A cleaned table, the texts its rules rejected and the rows set aside for review."""
+    """A cleaned table, and on demand the texts its rules rejected and the rows set aside for review."""
 
     table: DataFrame
-    rejects: DataFrame
-    review: dict[str, DataFrame]
+    find_rejects: Callable[[], DataFrame]
+    find_review: Callable[[], dict[str, DataFrame]]
+
+    @property
+    def rejects(self) -> DataFrame:
+        return self.find_rejects()
+
+    @property
+    def review(self) -> dict[str, DataFrame]:
+        return self.find_review()
 
 
 @dataclass(frozen=True)
@@ -40,71 +50,108 @@ def money(text: Column | str) -> Column:
     return fn.clean_price(text).try_cast(MONEY)
 
 
-def transaction_rules(names: list[str]) -> dict[str, tuple[str, Column]]:
-    """Cleaned column -> (raw column, expression), for the columns that are there."""
-    rules: dict[str, tuple[str, Column]] = {}
+def transaction_rules(names: list[str]) -> Rules:
+    """Cleaned column -> (raw column, function), for the columns that are there."""
+    rules: Rules = {}
     date = pick_first(names, ["order_date"]) or next(iter(pick_containing(names, "date")), None)
     if date:
-        rules["order_date"] = (date, fn.clean_date(date))
+        rules["order_date"] = (date, fn.clean_date)
     price = pick_first(names, lx.RAW_PRICE_NAMES)
     if price:
-        rules["original_price_inr_clean"] = (price, money(price))
+        rules["original_price_inr_clean"] = (price, money)
     amount = pick_first(names, ["final_amount", "final_amount_inr"])
     if amount:
-        rules["final_amount"] = (amount, money(amount))
+        rules["final_amount"] = (amount, money)
     for rating in pick_containing(names, "rating"):
-        rules[rating] = (rating, fn.clean_rating(rating))
+        rules[rating] = (rating, fn.clean_rating)
     city = pick_first(names, ["customer_city"]) or next(iter(pick_containing(names, "city")), None)
     if city:
-        rules[city] = (city, fn.clean_city(city))
+        rules[city] = (city, fn.clean_city)
     for flag in (n for n in names if n.startswith("is_") and ("prime" in n or "festival" in n)):
-        rules[flag] = (flag, fn.parse_flag(flag))
+        rules[flag] = (flag, fn.parse_flag)
     if "delivery_days" in names:
-        rules["delivery_days"] = ("delivery_days", fn.clean_delivery_days("delivery_days"))
+        rules["delivery_days"] = ("delivery_days", fn.clean_delivery_days)
     payment = payment_column(names)
     if payment:
-        rules[payment] = (payment, fn.clean_payment(payment))
+        rules[payment] = (payment, fn.clean_payment)
     return rules
 
 
+def of_few_texts(rules: Rules) -> list[str]:
+    """The rules whose columns usually hold few distinct texts: all but prices and amounts."""
+    return [rule for rule, (_, read) in rules.items() if read is not money]
+
+
 def payment_column(names: list[str]) -> str | None:
     likely = [n for n in names if "payment" in n or ("pay" in n and "method" in n)]
     return likely[0] if likely else pick_first(names, lx.RAW_PAYMENT_NAMES)
 
 
-def clean_values(raw: DataFrame) -> DataFrame:
-    """All column rules in one projection; unreadable flags count as false."""
-    rules = transaction_rules(raw.columns)
-    flags = {name for name in rules if name.startswith("is_")}
-    return raw.withColumns({
-        name: F.coalesce(clean, F.lit(False)) if name in flags else clean for name, (_, clean) in rules.items()
-    })
-
-
 def _raw_of(name: str) -> str:
     return f"_raw_{name}"
 
 
-def valued_with_raw(raw: DataFrame) -> DataFrame:
-    """Cleaned values with their raw texts beside them, parsed once for the table and its rejects.
-
-    ``_bad_`` tells a flag that could not be read, since unreadable flags count as false.
+@dataclass(frozen=True)
+class Values:
+    """A staged raw table in which the rules of many texts have been applied, and dictionaries for the others."""
+
+    held: DataFrame
+    names: list[str]
+    in_rows: Rules
+    known: Dictionaries
+
+    def table(self, *names: str) -> DataFrame:
+        """The cleaned columns (those named, or all); unreadable flags count as false."""
+        wanted = list(names) or self.names
+        sources = [raw for rule, (raw, _) in self.known.rules.items() if rule in wanted]
+        kept = [c for c in self.held.columns if c in wanted or c in sources]
+        found = looked_up(self.held.select(*kept), self.known, wanted)
+        flags = {rule for rule, (_, read) in (self.in_rows | self.known.rules).items() if read is fn.parse_flag}
+        return found.select(*[F.coalesce(n, F.lit(False)).alias(n) if n in flags else n for n in wanted])
+
+    def rejects(self) -> DataFrame:
+        """Distinct texts that the rules could not read, with the rows that hold them."""
+        in_rows = quality.rejects(self.held, {rule: (_raw_of(rule), F.col(rule)) for rule in self.in_rows})
+        return self.known.rejects().unionByName(in_rows) if self.in_rows else self.known.rejects()
+
+    def pairs(self, column: str) -> DataFrame:
+        """Distinct pairs of raw and cleaned text of a column, for review."""
+        if column in self.in_rows:
+            return quality.mapping_pairs(self.held, _raw_of(column), F.col(column))
+        raw, _ = self.known.rules[column]
+        return quality.mapping_pairs(looked_up(self.held.select(raw, F.col(raw).alias("_raw")), self.known, [column]), "_raw", F.col(column))
+
+
+def values(raw: DataFrame, few: list[str] | None = None) -> Values:
+    """All column rules over a raw table, which is staged once.
+
+    ``few`` names the cleaned columns whose raw texts repeat so much that each distinct one is read once
+    (``of_few_texts`` by default); the other rules are applied row by row before the table is staged.
     """
     rules = transaction_rules(raw.columns)
-    flags = {name for name in rules if name.startswith("is_")}
-    parsed = raw.withColumns({_raw_of(name): F.col(source) for name, (source, _) in rules.items()}).withColumns({name: clean for name, (_, clean) in rules.items()})
-    return parsed.withColumns({f"_bad_{name}": F.col(name).isNull() for name in flags} | {name: F.coalesce(name, F.lit(False)) for name in flags})
+    few = of_few_texts(rules) if few is None else few
+    in_rows = {rule: rules[rule] for rule in rules if rule not in few}
+    read = {rule: function(F.col(source)) for rule, (source, function) in in_rows.items()}
+    held = staged(raw.withColumns({_raw_of(rule): F.col(source) for rule, (source, _) in in_rows.items()}).withColumns(read), "raw-values")
+    names = raw.columns + [rule for rule in rules if rule not in raw.columns]
+    return Values(held, names, in_rows, learn(held, {rule: rules[rule] for rule in rules if rule in few}))
 
 
-def valued_rejects(valued: DataFrame) -> DataFrame:
-    """Distinct texts that the rules could not read, from the raw texts kept in ``valued_with_raw``."""
-    names = [c.removeprefix("_raw_") for c in valued.columns if c.startswith("_raw_")]
-    read = {n: F.when(~F.col(f"_bad_{n}"), True) if f"_bad_{n}" in valued.columns else F.col(n) for n in names}
-    return quality.rejects(valued, {n: (_raw_of(n), read[n]) for n in names})
+def clean_values(raw: DataFrame) -> DataFrame:
+    """The table with all column rules applied."""
+    return values(raw).table()
+
 
+def transaction_rejects(raw: DataFrame, few: list[str] | None = None) -> DataFrame:
+    """Distinct texts that the rules could not read: ``rule, raw, rows``.
 
-def transaction_rejects(raw: DataFrame) -> DataFrame:
-    return quality.rejects(raw, {name: (source, clean) for name, (source, clean) in transaction_rules(raw.columns).items()})
+    One pass counts all texts of columns with few of them, read once each afterwards, and the
+    unreadable ones among the others.
+    """
+    rules = transaction_rules(raw.columns)
+    few = of_few_texts(rules) if few is None else few
+    return quality.rejects(raw, {rule: (source, None if rule in few else read(F.col(source))) for rule, (source, read) in rules.items()},
+                           {rule: rules[rule][1] for rule in few})
 
 
 def duplicate_key(names: list[str]) -> list[str]:
@@ -114,28 +161,28 @@ def duplicate_key(names: list[str]) -> list[str]:
 def clean_transactions(raw: DataFrame, order: list[str]) -> CleanedTransactions:
     """Whole transaction pipeline: values, duplicates, price repair. ``order`` tells rows apart.
 
-    The raw table is parsed once and staged once, raw texts beside the values. The duplicate and
-    outlier steps measure on their few columns of it; what they find, repeated rows and medians, is
-    joined back when an output is written.
+    The raw table is staged once. Columns of few texts are read through dictionaries; the duplicate
+    and outlier steps measure on row keys and a few columns. What they find, repeated rows and
+    repairs, is put into the whole rows when an output is written, so these are never exchanged.
     """
     named = with_snake_headers(raw)
-    whole = staged(valued_with_raw(named), "cleaned-values")
-    names = named.columns + [c for c in transaction_rules(named.columns) if c not in named.columns]
-    valued = whole.select(*names)
+    read = values(named)
+    names = read.names
+    whole = read.table()
     key, quantity = duplicate_key(names), pick_first(names, lx.RAW_QUANTITY_NAMES)
-    marked = duplicates.mark(valued, key, quantity, order)
-    once = duplicates.once(marked)
+    compared = read.table(*dict.fromkeys([*order, *key, *([quantity] if quantity else [])]))
+    marked = duplicates.mark(whole, key, quantity, order)
     amount = pick_first(names, ["final_amount"]) or pick_containing(names, "price")[0]
     reference = pick_first(names, ["product_id"]) or next(iter(pick_containing(names, "category")), None)
-    repaired = outliers.repair_amounts(once, amount, reference, order)
+    repaired = outliers.repair_amounts(duplicates.once(marked), amount, reference, order)
     return CleanedTransactions(
-        table=repaired.drop("ref_median", "repair", "amount_before"), rejects=valued_rejects(whole), repaired=repaired,
-        duplicate_groups=duplicates.key_groups(valued, key, quantity, order),
-        review={
+        table=repaired.drop("ref_median", "repair", "amount_before"), find_rejects=read.rejects, repaired=repaired,
+        duplicate_groups=duplicates.key_groups(compared, key, quantity, order),
+        find_review=lambda: {
             "duplicates": duplicates.for_review(marked),
             "repaired_amounts": repaired.filter("repair <> 'flag'"),
             "flagged_amounts": repaired.filter("repair = 'flag'"),
-            **{f"{kind}_pairs": quality.mapping_pairs(whole, _raw_of(column), F.col(column)) for kind, column in _paired(names).items()},
+            **{f"{kind}_pairs": read.pairs(column) for kind, column in _paired(names).items()},
         })
 
 
@@ -192,11 +239,10 @@ def clean_products(raw: DataFrame, order: list[str]) -> Cleaned:
     """Whole catalog pipeline: ids, names, prices, brands, categories, then one row per product."""
     named = with_snake_headers(raw)
     table = duplicates.keep_most_complete(product_values(named, order), "product_id", order)
-    review = {
+    return Cleaned(table, lambda: product_rejects(named), lambda: {
         "extreme_prices": outliers.catalog_price_flags(table),
         "categories": table.select("product_id", "product_name", "category").distinct(),
-    }
-    return Cleaned(table, product_rejects(named), review)
+    })
 
 
 def cleaning_summary(
