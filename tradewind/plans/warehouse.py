@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import functions as fn
 from ..functions import lexicon as lx
 from ..operators import quality
+from ..operators.patching import Patch, patch
 from ..operators.skew import attach
 from ..schemas import warehouse_schema, warehouse_tables
 from ..session import staged
 from ..sources.resolve import absent, align, pick_first
-from ..sources.sinks import write_table
+from ..sources.sinks import publish, published
 
 
 def _numeric(df: DataFrame, name: str) -> Column:
@@ -131,19 +134,26 @@ def fact(cleaned: DataFrame) -> DataFrame:
     return _plain(_reviewed_fact(cleaned), "transactions")
 
 
-def _without_repeats(df: DataFrame, key: str) -> DataFrame:
-    """Rows without problems whose key stood before, by ``_order``, get the problem ``repeated``."""
-    firsts = df.filter(F.size("_problems") == 0).groupBy(key).agg(F.count(F.lit(1)).alias("rows"), F.min("_order").alias("_first")).filter("rows > 1")
-    met = attach(df, firsts, [key], ["_first"], spread_by=["_order"])
-    again = (F.size("_problems") == 0) & F.col("_first").isNotNull() & (F.col("_order") != F.col("_first"))
-    return met.withColumn("_problems", F.when(again, F.array(_problem("repeated", key, F.col(key)))).otherwise(F.col("_problems"))).drop("_first")
-
+def _verdicts(reviewed_rows: DataFrame, key: str, others: list[str] = (), known: dict[str, DataFrame] | None = None) -> tuple[Patch, DataFrame]:
+    """The rows that may not be loaded, by their place in ``_order``, with their problems; and the narrow rows that were looked at.
 
-def _without_orphans(facts: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
-    """Rows without problems whose key the dimension lacks get the problem ``orphan``."""
-    met = attach(facts, dimension.select(key, F.lit(True).alias("_known")), [key], ["_known"], spread_by=["_order"])
-    lost = (F.size("_problems") == 0) & F.col("_known").isNull()
-    return met.withColumn("_problems", F.when(lost, F.array(_problem("orphan", key, F.col(key)))).otherwise(F.col("_problems"))).drop("_known")
+    A row with misfits or missing values has these; else it may repeat a key (the first row by
+    ``_order`` is loaded), else lack its row in a dimension. Only ``_order``, keys and problems are staged and
+    exchanged; the rows themselves are neither.
+    """
+    known = known or {}
+    narrow = staged(reviewed_rows.select("_order", key, *known, *others, "_problems"), "review")
+    fit = narrow.filter(F.size("_problems") == 0)
+    firsts = fit.groupBy(key).agg(F.count(F.lit(1)).alias("rows"), F.min("_order").alias("_first")).filter("rows > 1")
+    met = attach(fit.select("_order", key), firsts, [key], ["_first"], spread_by=["_order"])
+    again = met.filter(F.col("_order") != F.col("_first"))
+    found = [narrow.filter(F.size("_problems") > 0).select("_order", F.lit(0).alias("_rank"), "_problems"),
+             again.select("_order", F.lit(1).alias("_rank"), F.array(_problem("repeated", key, F.col(key))).cast(_PROBLEM).alias("_problems"))]
+    for rank, (name, dimension) in enumerate(known.items(), 2):
+        lost = attach(fit.select("_order", name), dimension.select(name, F.lit(True).alias("_known")), [name], ["_known"], spread_by=["_order"]).filter("_known is null")
+        found.append(lost.select("_order", F.lit(rank).alias("_rank"), F.array(_problem("orphan", name, F.col(name))).cast(_PROBLEM).alias("_problems")))
+    verdicts = reduce(DataFrame.unionByName, found).groupBy("_order").agg(F.min_by("_problems", "_rank").alias("problems"))
+    return patch(verdicts, ["_order"], ["problems"]), narrow
 
 
 def build(transactions: DataFrame, catalog: DataFrame, order: list[str], product_order: list[str] | None = None) -> dict[str, DataFrame]:
@@ -151,25 +161,26 @@ def build(transactions: DataFrame, catalog: DataFrame, order: list[str], product
 
     Every row of the input is loaded or rejected. A reject keeps its columns as far as they fit, with
     ``problems``: misfits and missing values (all of a row's), else a repeated key (the first row by
-    ``order`` is loaded), else a product that the catalog lacks.
+    ``order`` is loaded), else a product that the catalog lacks. ``order`` must tell all rows apart. The tables are
+    computed from the input when they are written, so the fact is written once.
     """
-    items = staged(_reviewed_products(catalog, product_order or catalog.columns), "reviewed-products")
-    items = staged(_without_repeats(items, "product_id"), "products")
-    facts = staged(_reviewed_fact(transactions, order), "reviewed-facts")
-    known = items.filter(F.size("_problems") == 0)
-    facts = staged(_without_orphans(_without_repeats(facts, "transaction_id"), known, "product_id"), "facts")
-    fit = facts.filter(F.size("_problems") == 0)
+    items, facts = _reviewed_products(catalog, product_order or catalog.columns), _reviewed_fact(transactions, order)
+    item_verdicts, _ = _verdicts(items, "product_id")
+    judged_items = item_verdicts.put(items)
+    known = judged_items.filter("problems is null")
+    fact_verdicts, narrow = _verdicts(facts, "transaction_id", ["order_date"], {"product_id": known})
+    judged = fact_verdicts.put(facts)
 
     def rejected(df: DataFrame, table: str) -> DataFrame:
-        return df.filter(F.size("_problems") > 0).select(*warehouse_schema(table).names, F.col("_problems").alias("problems"))
+        return df.filter("problems is not null").select(*warehouse_schema(table).names, "problems")
 
     return {
         "products": _plain(known, "products"),
         "customers": customers(transactions, order),
-        "transactions": _plain(fit, "transactions"),
-        "time_dimension": calendar(fit),
-        "rejected_products": rejected(items, "products"),
-        "rejected_transactions": rejected(facts, "transactions"),
+        "transactions": _plain(judged.filter("problems is null"), "transactions"),
+        "time_dimension": calendar(fact_verdicts.put(narrow.select("_order", "order_date")).filter("problems is null")),
+        "rejected_products": rejected(judged_items, "products"),
+        "rejected_transactions": rejected(judged, "transactions"),
     }
 
 
@@ -199,12 +210,14 @@ def checks(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def load(spark: SparkSession, tables: dict[str, DataFrame], folder: str) -> dict[str, DataFrame]:
-    """Write all tables as Parquet, dimensions first, the fact by order year; return them as read back."""
-    for name, df in tables.items():
-        write_table(df, f"{folder}/{name}", "order_year" if name == "transactions" else None)
-    return {
-        name: align(spark.read.parquet(f"{folder}/{name}"), df.schema) for name, df in tables.items()
-    }
+    """Publish all tables as Parquet, dimensions first, the fact by order year; return them as read back."""
+    publish(spark, tables, folder, {"transactions": "order_year"})
+    return loaded(spark, folder)
+
+
+def loaded(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The tables of the warehouse's current version."""
+    return published(spark, folder)
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
