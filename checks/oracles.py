@@ -488,6 +488,42 @@ def zscore(x: str) -> str:
 
 
 on_t("rfm_zscores", f"SELECT customer_id, {zscore('recency')} AS recency_z, {zscore('frequency')} AS frequency_z, {zscore('greatest(monetary, 0)')} AS monetary_z FROM rfm", RFM)
+
+
+def clustered(k: int = 4, starts: int = 10, passes: int = 40, race: int = 5, tolerance: float = 1e-4) -> str:
+    """K-means over rfm as CTEs: ``named(customer_id, recency, frequency, monetary, segment)``."""
+    axes = ("r", "f", "m")
+    near = " + ".join(f"((CAST(p.{a} AS DOUBLE) - c.{a}) * s{a}) * ((CAST(p.{a} AS DOUBLE) - c.{a}) * s{a})" for a in axes)
+    out = ["""whole AS MATERIALIZED (SELECT customer_id, recency, frequency, monetary, CAST(recency AS BIGINT) AS r, CAST(frequency AS BIGINT) AS f,
+        CAST(trunc(greatest(monetary, 0) * 10000) AS BIGINT) AS m FROM rfm WHERE recency IS NOT NULL)""",
+        "points AS MATERIALIZED (SELECT r, f, m, count(*) AS w FROM whole GROUP BY r, f, m)",
+        "spreads AS MATERIALIZED (SELECT " + ", ".join(
+            f"""CASE WHEN v{a} > 0 THEN 1.0::DOUBLE / sqrt(v{a}) ELSE 0 END AS s{a}""" for a in axes) + " FROM (SELECT " + ", ".join(
+            f"q{a} / n - (t{a} / n) * (t{a} / n) AS v{a}" for a in axes) + " FROM (SELECT CAST(sum(w) AS DOUBLE) AS n, " + ", ".join(
+            f"CAST(sum(CAST({a} AS HUGEINT) * w) AS DOUBLE) AS t{a}, CAST(sum(CAST({a} AS HUGEINT) * {a} * w) AS DOUBLE) AS q{a}" for a in axes) + " FROM points)))",
+        f"""c0 AS MATERIALIZED (SELECT (i // {k}) AS start, (i % {k}) AS cluster, CAST(r AS DOUBLE) AS r, CAST(f AS DOUBLE) AS f, CAST(m AS DOUBLE) AS m, true AS moving, CAST(NULL AS DOUBLE) AS cost
+        FROM (SELECT r, f, m, row_number() OVER (ORDER BY md5(concat_ws('|', r, f, m)), r, f, m) - 1 AS i FROM points) WHERE i < {k * starts})"""]
+    for p in range(passes):
+        entering = f"c{p}" if p != race else f"(SELECT * FROM c{p} WHERE start = (SELECT arg_min(start, (cost, start)) FROM c{p}))"
+        means = ", ".join(f"CASE WHEN c.moving AND g.n IS NOT NULL THEN g.t{a} / g.n ELSE c.{a} END AS {a}" for a in axes)
+        shift = " + ".join(f"(({a} - was_{a}) * s{a}) * (({a} - was_{a}) * s{a})" for a in axes)
+        spent = " + ".join(f"(q{a} - n * {a} * {a}) * s{a} * s{a}" for a in axes)
+        out += [f"""e{p} AS MATERIALIZED (SELECT * FROM {entering})""",
+                f"""g{p} AS MATERIALIZED (SELECT start, cluster, CAST(sum(w) AS DOUBLE) AS n, {", ".join(f"CAST(sum(CAST({a} AS HUGEINT) * w) AS DOUBLE) AS t{a}, CAST(sum(CAST({a} AS HUGEINT) * {a} * w) AS DOUBLE) AS q{a}" for a in axes)}
+                FROM (SELECT p.r, p.f, p.m, p.w, c.start, c.cluster FROM points p, (SELECT * FROM e{p} WHERE moving) c, spreads
+                      QUALIFY row_number() OVER (PARTITION BY c.start, p.r, p.f, p.m ORDER BY {near}, c.cluster) = 1) GROUP BY start, cluster)""",
+                f"""c{p + 1} AS MATERIALIZED (SELECT start, cluster, r, f, m, moving AND sum({shift}) OVER (PARTITION BY start) > {tolerance} AS moving,
+                CASE WHEN moving THEN coalesce(sum({spent}) OVER (PARTITION BY start), 0) ELSE cost END AS cost
+                FROM (SELECT c.start, c.cluster, {means}, c.r AS was_r, c.f AS was_f, c.m AS was_m, c.moving, c.cost, g.* EXCLUDE (start, cluster) FROM e{p} c LEFT JOIN g{p} g ON c.start = g.start AND c.cluster = g.cluster), spreads)"""]
+    out.append(f"""ranked AS MATERIALIZED (SELECT *, CAST(row_number() OVER (ORDER BY m, cluster) - 1 AS INTEGER) AS segment FROM c{passes} WHERE start = (SELECT arg_min(start, (cost, start)) FROM c{passes}))""")
+    out.append(f"""named AS (SELECT p.customer_id, p.recency, p.frequency, p.monetary, c.segment FROM whole p, ranked c, spreads
+        QUALIFY row_number() OVER (PARTITION BY p.customer_id ORDER BY {near}, c.cluster) = 1)""")
+    return ", ".join(out)
+
+
+on_t("rfm_segments", f"SELECT customer_id, recency, frequency, {d('monetary')} AS monetary, segment FROM named", f"{RFM}, {clustered()}")
+on_t("rfm_segment_summary", """SELECT segment, count(*) AS customers, CAST(sum(recency) AS DOUBLE) / count(*) AS avg_recency, CAST(sum(frequency) AS DOUBLE) / count(*) AS avg_frequency,
+  CAST(sum(monetary) AS DOUBLE) / count(monetary) AS avg_monetary FROM named GROUP BY segment""", f"{RFM}, {clustered()}")
 on_t("rfm_recency_quartile", f"""SELECT customer_id, recency, frequency, {d('monetary')} AS monetary,
   CAST(greatest(ceil((place - 1) * 4.0 / (n - 1)) - 1, 0) AS INTEGER) AS recency_q
   FROM (SELECT *, row_number() OVER (ORDER BY recency, customer_id) AS place, count(*) OVER () AS n FROM rfm)""", RFM)

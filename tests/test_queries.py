@@ -27,8 +27,8 @@ def test_contract_has_every_query():
     assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql()) <= set(contract.queries())
 
 
-def test_only_the_seeded_clusters_have_no_oracle():
-    assert set(QUERIES) - set(ORACLES) == {"rfm_segments", "rfm_segment_summary"} and set(ORACLES) <= set(QUERIES)
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLES)
 
 
 @pytest.mark.parametrize("name", ORACLES)

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import staged
+from .clusters import fit
 from .common import present, ratio, revenue, scalar
 from .indexing import with_row_index
 
@@ -34,25 +34,24 @@ def recency_quartile(customers: DataFrame) -> DataFrame:
     return placed.select(*customers.columns, F.greatest(F.coalesce(quarter, F.lit(0)), F.lit(0)).cast("int").alias("recency_q"))
 
 
-def segment(customers: DataFrame, k: int = 4, restarts: int = 10, seed: int = 42) -> DataFrame:
-    """K-means segments over scaled recency, frequency and non-negative monetary value.
+def segment(customers: DataFrame, k: int = 4, restarts: int = 10) -> DataFrame:
+    """K-means segments over scaled recency, frequency and non-negative monetary value (in units of 0.0001).
 
-    The starts run over the distinct points, weighted by their customers and staged, so all of them
-    see the same partitions; the best one is kept. Segments are numbered by rising mean monetary value.
+    The starts run over the distinct points, weighted by their customers; the best one is kept.
+    Segments are numbered by rising mean monetary value.
     """
     usable = customers.dropna(subset=["recency"])
-    numbers = usable.select(
-        "*", F.greatest(F.col("monetary").cast("double"), F.lit(0.0)).alias("_money"))
-    assembled = VectorAssembler(inputCols=["recency", "frequency", "_money"], outputCol="_raw").transform(numbers)
-    scaler = StandardScaler(inputCol="_raw", outputCol="_point", withMean=True, withStd=True).fit(assembled)
-    distinct = staged(numbers.groupBy("recency", "frequency", "_money").agg(F.count(F.lit(1)).cast("double").alias("_weight")), "points")
-    points = scaler.transform(VectorAssembler(inputCols=["recency", "frequency", "_money"], outputCol="_raw").transform(distinct))
-    models = [KMeans(k=k, seed=seed + i, featuresCol="_point", predictionCol="_cluster", weightCol="_weight").fit(points) for i in range(restarts)]
-    best = min(models, key=lambda m: m.summary.trainingCost)
+    units = F.coalesce((F.greatest(F.col("monetary"), F.lit(0)) * 10_000).cast("bigint"), F.lit(0))
+    numbers = usable.withColumns({"_recency": F.col("recency").cast("bigint"), "_frequency": F.col("frequency").cast("bigint"), "_money": units})
+    axes = ["_recency", "_frequency", "_money"]
+    numbers = staged(numbers, "points")
+    found = fit(numbers.groupBy(*axes).agg(F.count(F.lit(1)).alias("_weight")).transform(lambda df: staged(df, "distinct-points")), axes, "_weight", k, restarts)
+    if not found.centres:
+        return usable.select("customer_id", "recency", "frequency", "monetary", F.lit(None).cast("int").alias("segment"))
     # k centres live on the driver anyway; rank them by the monetary axis
-    rank = {c: r for r, (c, _) in enumerate(sorted(enumerate(best.clusterCenters()), key=lambda item: item[1][2]))}
-    label = F.element_at(F.create_map(*[F.lit(x) for pair in rank.items() for x in pair]), F.col("_cluster"))
-    return best.transform(scaler.transform(assembled)).select("customer_id", "recency", "frequency", "monetary", label.alias("segment"))
+    rank = {c: r for r, (c, _) in enumerate(sorted(enumerate(found.centres), key=lambda item: item[1][2]))}
+    label = F.element_at(F.array(*[F.lit(rank[c]) for c in range(len(rank))]), found.nearest() + 1)
+    return numbers.select("customer_id", "recency", "frequency", "monetary", label.alias("segment"))
 
 
 def scaled_points(customers: DataFrame) -> DataFrame:
