@@ -8,10 +8,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tradewind.operators import customers, distribution, duplicates, outliers, quality
+from tradewind.operators import clusters, customers, dictionary, distribution, duplicates, outliers, patching, quality, quantiles
 from tradewind.operators.indexing import with_row_index
 from tradewind.operators.quantiles import exact_quantiles
-from tradewind.operators.skew import attach, row_counts
+from tradewind.operators.skew import attach, attach_few, row_counts
 
 
 def rows(df, *order):
@@ -76,6 +76,72 @@ def test_row_index_is_consecutive(spark):
     assert [r.n for r in with_row_index(frame, "x", name="n").orderBy("x").collect()] == list(range(1, 5001))
 
 
+# --- dictionaries and patches ---------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("most_texts, most_bytes, sent", [(10 ** 6, 10 ** 6, ["a", "made"]), (3, 10 ** 6, ["a"]), (10 ** 6, 0, [])])
+def test_dictionaries_read_each_text_once(spark, most_texts, most_bytes, sent):
+    texts = ["1", "x", None, "", "3", "1", "1"] * 30 + ["7", "8"]
+    df = spark.createDataFrame([(i, t, None if i % 5 else f"b{i % 7}") for i, t in enumerate(texts)], "id int, a string, b string")
+    rules = {"made": ("a", lambda c: c.try_cast("int")), "a": ("b", lambda c: F.upper(c))}
+    known = dictionary.learn(df, rules, most_texts, most_bytes)
+    assert sorted(known.sent) == sorted(sent) or (sent == ["a"] and len(known.sent) == 0)
+    found = dictionary.looked_up(df, known)
+    assert found.columns == ["id", "a", "b", "made"]
+    expected = df.select("id", F.upper("b").alias("a"), "b", F.col("a").try_cast("int").alias("made"))
+    assert rows(found, "id") == rows(expected, "id")
+    assert {(r.rule, r.raw, r.rows) for r in known.rejects().collect()} == {("made", "x", 30), ("made", "", 30)}
+    assert dictionary.looked_up(df, known, ["made"]).columns == ["id", "a", "b", "made"]
+    assert rows(dictionary.looked_up(df, known, ["made"]).select("id", "a"), "id") == rows(df.select("id", "a"), "id")
+    assert rows(dictionary.looked_up(df, dictionary.learn(df, {}), None), "id") == rows(df, "id")
+
+
+@pytest.mark.parametrize("small_rows, most_bits", [(10 ** 6, 1 << 29), (-1, 1 << 29), (-1, 64 * 512)])
+def test_patches_reach_their_rows_alone(spark, small_rows, most_bits):
+    base = spark.createDataFrame([(i if i % 11 else None, f"k{i % 3}", "wide" * 5) for i in range(1, 3001) if i % 11 or i < 12], "i int, k string, w string")
+    changes = base.filter("i is null or i % 100 < 4").select("i", "k", F.concat("k", F.lit("!")).alias("v"))
+    found = patching.patch(changes, ["i", "k"], ["v"]).put(base, small_rows=small_rows, most_bits=most_bits)
+    expected = [(r.i, r.k, r.w, f"{r.k}!" if r.i is None or r.i % 100 < 4 else None) for r in base.collect()]
+    assert sorted(map(str, rows(found))) == sorted(map(str, expected)) and found.columns == ["i", "k", "w", "v"]
+    assert patching.patch(changes.limit(0), ["i", "k"], ["v"]).put(base).filter("v is not null").count() == 0
+
+
+def test_the_bit_map_keeps_nearly_all_rows_where_they_are(spark):
+    keys = spark.range(100_000)
+    bits = 64 * 512
+    held = patching.key_bits(keys.filter("id % 50 = 0"), ["id"], bits)
+    assert held.count() == 1  # 2,000 keys: one row of 512 words
+    words = held.first()["_words"]
+    hashed = [r[0] for r in keys.select(F.pmod(F.xxhash64("id"), F.lit(bits))).collect()]
+    is_set = [words[h // 64] >> (h % 64) & 1 for h in hashed]
+    assert all(is_set[::50]) and sum(is_set) < 0.09 * len(is_set)
+
+
+def test_few_wanted_values_of_a_large_lookup(spark):
+    left = spark.createDataFrame([(i, f"k{i % 9}", i * 10) for i in range(300)] + [(1000, None, 5)], "i int, k string, x int")
+    lookup = spark.createDataFrame([(f"k{j}", 900 + j) for j in range(8)] + [(None, 1)], "k string, m int")
+    wanted = F.col("x") > F.col("m")
+    both = [rows(attach_few(left, lookup, ["k"], ["m"], ["i"], wanted, ["x"], small_rows=n), "i") for n in (0, 10 ** 6)]
+    table = {f"k{j}": 900 + j for j in range(8)} | {None: 1}
+    assert both[0] == both[1] == [(i, k, x, table[k] if k in table and x > table[k] else None) for i, k, x in rows(left, "i")]
+
+
+def test_whole_rows_are_not_exchanged_for_marks_and_repairs(spark):
+    frame = spark.createDataFrame([(1, "c", "p", "1", 5.0, "payload")] * 1, "i int, c string, p string, q string, v double, wide string").withColumn("v", F.col("v").cast("decimal(18,4)"))
+    done = outliers.repair_amounts(duplicates.once(duplicates.mark(frame, ["c", "p"], "q", ["i"])), "v", "p", ["i"])
+    plan = done._jdf.queryExecution().executedPlan().toString()
+    assert "wide" in plan and "Exchange hashpartitioning" not in plan and "Exchange rangepartitioning" not in plan
+
+
+def test_quantiles_of_small_groups_equal_those_in_steps(spark, monkeypatch):
+    rng = random.Random(4)
+    df = spark.createDataFrame([(f"g{i % 13}" if i % 17 else None, rng.choice([None, rng.uniform(-1e6, 1e6), 3.0])) for i in range(900)], "g string, v double")
+    asked = {"q1": 0.25, "q2": 0.5, "q3": 0.9}
+    ordered = rows(exact_quantiles(df, ["g"], "v", asked), "g")
+    monkeypatch.setattr(quantiles, "SMALL_GROUP", 0)
+    assert ordered == rows(exact_quantiles(df, ["g"], "v", asked), "g") and len(ordered) == 13
+
+
 # --- duplicates -----------------------------------------------------------------------------------
 
 DUPLICATES = [
@@ -205,6 +271,15 @@ def test_segments(spark, sf_dir):
     assert (nearest == own).mean() > 0.97
 
 
+def test_clusters_of_few_points(spark):
+    points = spark.createDataFrame([(1, 5, 2), (2, 5, 1), (100, 5, 7)], "x bigint, y bigint, w int")
+    found = clusters.fit(points, ["x", "y"], "w", 2)
+    near = {r.x: r.c for r in points.select("x", found.nearest().alias("c")).collect()}
+    assert near[1] == near[2] != near[100] and found.scales[1] == 0.0
+    assert len(clusters.fit(points.limit(1), ["x", "y"], "w", 4).centres) == 1
+    assert clusters.fit(points.limit(0), ["x", "y"], "w", 4).centres == []
+
+
 # --- numbers --------------------------------------------------------------------------------------
 
 

@@ -1,10 +1,13 @@
 """Column resolution, sources and sinks, pipelines, star schema and whole runs."""
 
 import datetime as dt
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from tradewind.functions import parsing
 from tradewind.operators.duplicates import keep_most_complete
 from tradewind.plans import analysis, cleaning, dashboard, jobs, warehouse
 from tradewind.schemas import warehouse_schema, warehouse_tables
@@ -258,9 +261,10 @@ def test_clean_and_load_run(spark, sf_dir, tmp_path):
     jobs.clean(spark, str(tmp_path / "t"), str(tmp_path / "p"), str(tmp_path / "cleaned"))
     assert jobs.load(spark, str(tmp_path / "cleaned"), str(tmp_path / "dw"), ["_seq"], ["_seq"]).count() == 0
     # copies of bulk orders share their id, and products without an id are unknown to the facts
-    refused = spark.read.parquet(str(tmp_path / "dw/rejected_transactions"))
+    tables = warehouse.loaded(spark, str(tmp_path / "dw"))
+    refused = tables["rejected_transactions"]
     assert "orphan" in {r.rule for r in refused.select(F.explode("problems").alias("p")).select("p.rule").distinct().collect()}
-    assert spark.read.parquet(str(tmp_path / "dw/transactions")).count() + refused.count() == spark.read.parquet(str(tmp_path / "cleaned/transactions")).count()
+    assert tables["transactions"].count() + refused.count() == spark.read.parquet(str(tmp_path / "cleaned/transactions")).count()
     summary = {r.metric: r.value for r in spark.read.parquet(str(tmp_path / "cleaned/summary")).collect()}
     texts = spark.read.option("header", True).csv(str(tmp_path / "cleaned/rejected-texts/transactions"))
     assert summary["transactions"] > 0 and summary["review/transactions-rating_pairs"] > 0 and summary["review/transactions-payment_pairs"] > 0
@@ -276,6 +280,119 @@ def test_line_breaks_in_quotes(spark, tmp_path):
     assert readers.broken_records(spark, path, multiline=True).count() == 0
 
 
+def test_folder_of_files_with_different_headers(spark, tmp_path):
+    (tmp_path / "1.csv").write_text("a,b\n1,x\na,b\n")
+    (tmp_path / "2.csv").write_text("b,a\ny,2\n")
+    (tmp_path / "3.csv").write_text("c,a\n\nz,3\n")
+    (tmp_path / "4.csv").write_text("")
+    for multiline in (False, True):
+        found = readers.scan_text(spark, str(tmp_path), multiline=multiline)
+        assert found.columns == ["a", "b", "c"]
+        assert sorted(map(str, rows(found))) == sorted(map(str, [("1", "x", None), ("a", "b", None), ("2", "y", None), ("3", None, "z")]))
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_quoted_line_breaks_across_blocks(spark, tmp_path, seed):
+    """Equal to the reader that takes a file in one task, with files cut into many blocks."""
+    rng = random.Random(seed)
+    for k in range(3):
+        lines = ["key,note,more"]
+        for i in range(400):
+            note = "".join(rng.choice(["w", " ", ",", '""', "\n", "\n\n", "\r\n", "é"]) for _ in range(rng.randrange(60)))
+            lines.append(f'{k}-{i},"{note}",{rng.choice(["x", "", chr(34) * 2])}')
+        (tmp_path / f"{k}.csv").write_text("\n".join(lines) + "\n", newline="")
+    whole = spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(str(tmp_path))
+    expected = rows(whole.select(*[parsing.null_tokens(F.col(c)).alias(c) for c in whole.columns]))
+    held = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700b")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1b")
+    try:
+        found = readers.scan_text(spark, str(tmp_path), sequence=True, multiline=True)
+        assert found.select(f"{readers.SEQUENCE}.file_block_start").distinct().count() > 10
+        assert sorted(map(str, rows(found.drop(readers.SEQUENCE)))) == sorted(map(str, expected)) and len(expected) == 1200
+        first = found.orderBy(readers.SEQUENCE).limit(401).collect()
+        assert [r.key for r in first] == [f"0-{i}" for i in range(400)] + ["1-0"]
+        assert readers.broken_records(spark, str(tmp_path), multiline=True).count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", held)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_a_quote_that_is_never_closed(spark, tmp_path):
+    (tmp_path / "f.csv").write_text('a,b\n1,"x\n2,y\n3,z\n')
+    lines = spark.read.text(str(tmp_path)).select("value", readers._place(F.monotonically_increasing_id()))
+    assert sorted(r.value for r in readers.joined_lines(lines).collect()) == ['1,"x\n2,y\n3,z', "a,b"]
+    assert sorted(r.value for r in readers.joined_lines(lines, longest=8).collect()) == ['1,"x', "2,y", "3,z", "a,b"]
+    assert sum(r.rows for r in readers.broken_records(spark, str(tmp_path), multiline=True).collect()) == 1
+
+
+def failing(df):
+    return df.select(*[F.when(F.rand() < 2, F.raise_error(F.lit("lost"))).cast(t).alias(n) for n, t in df.dtypes])
+
+
+def test_a_failure_leaves_the_old_tables_readable(spark, tmp_path):
+    catalog = warehouse.products(spark.createDataFrame([("p1",)], "product_id string"))
+    facts = warehouse.fact(spark.createDataFrame([("t1", "2020-01-01", "c", "p1")], "transaction_id string, order_date string, customer_id string, product_id string"))
+    more = warehouse.products(spark.createDataFrame([("p1",), ("p2",)], "product_id string"))
+    folder = str(tmp_path / "dw")
+    with pytest.raises(FileNotFoundError):
+        sinks.published(spark, folder)
+    first = sinks.publish(spark, {"products": catalog, "transactions": facts}, folder, {"transactions": "order_year"})
+    with pytest.raises(Exception, match="lost"):
+        sinks.publish(spark, {"products": more, "transactions": failing(facts)}, folder, {"transactions": "order_year"})
+    tables = sinks.published(spark, folder)
+    assert sinks.manifest(spark, folder)["version"] == first and (tables["products"].count(), tables["transactions"].count()) == (1, 1)
+    assert tables["products"].columns == catalog.columns and rows(tables["transactions"]) == rows(facts)
+    second = sinks.publish(spark, {"products": more, "transactions": facts}, folder, {"transactions": "order_year"})
+    assert sinks.published(spark, folder)["products"].count() == 2 and tables["products"].count() == 1
+    assert first in sinks.drop_versions(spark, folder, keep=1) and sinks.manifest(spark, folder)["version"] == second
+    assert sinks.published(spark, folder)["products"].count() == 2
+
+    for table in ("products", "transactions"):
+        sinks.create_table(spark, table, f"k_{table}", str(tmp_path / f"k_{table}"))
+    names = {"products": "k_products", "transactions": "k_transactions"}
+    sinks.reload_tables({"products": catalog, "transactions": facts}, names)
+    with pytest.raises(Exception, match="lost"):
+        sinks.reload_tables({"products": more, "transactions": failing(facts)}, names)
+    assert (spark.table("k_products").count(), spark.table("k_transactions").count()) == (1, 1)
+    for name in names.values():
+        spark.sql(f"DROP TABLE {name}")
+
+
+def test_a_load_exchanges_only_keys(spark):
+    facts = spark.createDataFrame([("t1", "2020-01-01", "c1", "p1", "UPI", 0), ("t1", "2020-01-02", "c1", "p1", "COD", 1)],
+                                  "transaction_id string, order_date string, customer_id string, product_id string, payment_method string, i int")
+    tables = warehouse.build(facts, spark.createDataFrame([("p1",)], "product_id string"), ["i"], ["product_id"])
+    plan = plan_of(tables["transactions"])
+    assert "payment_method" in plan and not re.search(r"Exchange (hash|range)partitioning", plan)
+    assert [(r.transaction_id, r.payment_method) for r in tables["transactions"].collect()] == [("t1", "UPI")]
+    assert [(r.payment_method, r.problems[0].rule) for r in tables["rejected_transactions"].collect()] == [("COD", "repeated")]
+
+
+def test_a_stopped_run_goes_on_where_it_stopped(spark, tmp_path):
+    asked = []
+
+    def question(name, stop=False):
+        def ask(t, c):
+            asked.append(name)
+            if stop:
+                raise KeyboardInterrupt
+            return t
+        return ask
+
+    t, folder = spark.range(3), str(tmp_path)
+    with pytest.raises(KeyboardInterrupt):
+        jobs.run_all(t, t, folder, {"a": question("a"), "b": question("b", stop=True), "c": question("c")}, run=jobs.Run(spark, folder, "x"))
+    again = jobs.run_all(t, t, folder, {"a": question("a"), "b": question("b"), "c": question("c")}, run=jobs.Run(spark, folder, "x"))
+    assert again == {"a": "kept", "b": "written", "c": "written"} and asked == ["a", "b", "b", "c"]
+    assert set(jobs.run_all(t, t, folder, {"a": question("a")}, run=jobs.Run(spark, folder, "y")).values()) == {"written"}
+    (tmp_path / "in.csv").write_text("a\n1\n")
+    one = jobs.inputs(spark, str(tmp_path / "in.csv"), str(tmp_path / "none"))
+    assert one == jobs.inputs(spark, str(tmp_path / "in.csv"), str(tmp_path / "none")) and "absent" in one
+    (tmp_path / "in.csv").write_text("a\n22\n")
+    assert one != jobs.inputs(spark, str(tmp_path / "in.csv"), str(tmp_path / "none"))
+
+
 def test_append_and_reload_of_catalog_tables(spark, tmp_path):
     for table in ("products", "transactions"):
         sinks.create_table(spark, table, f"r_{table}", str(tmp_path / table))
