@@ -21,19 +21,19 @@ import base64
 import json
 import os
 from codecs import getincrementaldecoder
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StringType, StructField
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StringType, StructField, StructType
 
-from .common import append_columns, fresh
+from .common import fresh
 
 #: Pieces that are remembered: of so many characters at most, so many of them.
-LONGEST_PIECE, MOST_PIECES = 64, 1 << 19
-#: Texts that are encoded at a time.
+LONGEST_PIECE, MOST_PIECES = 64, 1 << 18
+#: Texts that are worked on at a time.
 TEXTS = 256
 
 
@@ -127,23 +127,35 @@ def _lists(parts: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(starts), pa.array(np.concatenate([np.zeros(0, np.int32), *parts]).astype(np.int32)))
 
 
-def encoded(docs: DataFrame, path: str, pattern: str, offsets: bool = True) -> tuple[DataFrame, list[str]]:
-    """All columns and the ids of ``text``, and with ``offsets`` each token's borders in code points; the new names."""
+def _with_columns(docs: DataFrame, read: str, fields: list[StructField], make: Callable[[pa.Array], list[pa.Array]], drop: bool = False) -> DataFrame:
+    """The table and the columns that ``make`` derives from one, which goes with ``drop``; worked on in pieces of ``TEXTS`` rows, so that a task holds few of them."""
+    kept = [c for c in docs.columns if not (drop and c == read)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, TEXTS):
+                piece = batch.slice(start, TEXTS)
+                yield pa.RecordBatch.from_arrays([*piece.select(kept).columns, *make(piece.column(read))], names=[*kept, *[f.name for f in fields]])
+
+    return docs.mapInArrow(run, StructType([*[docs.schema[c] for c in kept], *fields]))
+
+
+def encoded(docs: DataFrame, path: str, pattern: str, offsets: bool = True, drop: bool = False) -> tuple[DataFrame, list[str]]:
+    """All columns (with ``drop`` without ``text``) and its ids, and with ``offsets`` each token's borders in code points; the new names."""
     vocabulary, names = compiled(path), fresh(docs, *["ids", "starts", "ends"][: 3 if offsets else 1])
     made: dict[str, object] = {}
 
-    def make(batch: pa.RecordBatch) -> list[pa.Array]:
+    def make(column: pa.Array) -> list[pa.Array]:
         if not made:
             made["encoder"], made["decoder"] = Encoder(vocabulary, pattern), Decoder(vocabulary) if offsets else None
-        texts = ["" if t is None else t for t in batch.column(0).to_pylist()]
-        ids = [one for i in range(0, len(texts), TEXTS) for one in made["encoder"].encode(texts[i:i + TEXTS])]
+        texts = ["" if t is None else t for t in column.to_pylist()]
+        ids = made["encoder"].encode(texts)
         if not offsets:
             return [_lists(ids)]
         borders = [made["decoder"].offsets(t.encode(), i) for t, i in zip(texts, ids)]
         return [_lists(ids), _lists([b[0] for b in borders]), _lists([b[1] for b in borders])]
 
-    fields = [StructField(n, ArrayType(IntegerType())) for n in names]
-    return append_columns(docs, ["text"], fields, make), names
+    return _with_columns(docs, "text", [StructField(n, ArrayType(IntegerType())) for n in names], make, drop), names
 
 
 def decoded(docs: DataFrame, ids: str, path: str, text: bool = True) -> tuple[DataFrame, list[str]]:
@@ -151,13 +163,11 @@ def decoded(docs: DataFrame, ids: str, path: str, text: bool = True) -> tuple[Da
     vocabulary, names = compiled(path), fresh(docs, *["decoded", "decoded_text"][: 2 if text else 1])
     made: dict[str, Decoder] = {}
 
-    def make(batch: pa.RecordBatch) -> list[pa.Array]:
+    def make(column: pa.Array) -> list[pa.Array]:
         if not made:
             made["decoder"] = Decoder(vocabulary)
-        column = batch.column(0)
         flat, ends = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
         held = [made["decoder"].decode(flat[a:b]) for a, b in zip(ends[:-1], ends[1:])]
         return [pa.array(held, pa.binary()), *([pa.array([h.decode("utf-8", "replace") for h in held], pa.string())] if text else [])]
 
-    fields = [StructField(n, t) for n, t in zip(names, [BinaryType(), StringType()])]
-    return append_columns(docs, [ids], fields, make), names
+    return _with_columns(docs, ids, [StructField(n, t) for n, t in zip(names, [BinaryType(), StringType()])], make), names

@@ -78,8 +78,8 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     ranks = tokenizer("byte_bpe_50k.tiktoken")
-    found, (ids,) = bytebpe.encoded(table(spark, sf_dir, "documents").select("doc_id", "text"), ranks, public_tokenizers.PATTERN, offsets=False)
-    back, (held,) = bytebpe.decoded(found.select("doc_id", ids), ids, ranks, text=False)
+    found, (ids,) = bytebpe.encoded(table(spark, sf_dir, "documents").select("doc_id", "text"), ranks, public_tokenizers.PATTERN, offsets=False, drop=True)
+    back, (held,) = bytebpe.decoded(found, ids, ranks, text=False)
     written = F.array_join(F.col(ids).cast("array<string>"), " ")
     return back.select("doc_id", F.size(ids).cast("long").alias("n_tokens"), F.sha2(written, 256).alias("ids_sha256"), F.sha2(held, 256).alias("decoded_sha256"))
 
