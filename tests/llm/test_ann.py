@@ -48,6 +48,16 @@ def test_clusters_copies_and_ties(spark):
     assert tied == [i for i in range(1501, 2300)][: len(tied)] and 1500 not in tied
 
 
+def test_all_ties_at_the_border_go_by_their_ids(spark):
+    rng = np.random.default_rng(7)
+    ones = {tuple(sorted(rng.choice(24, 6, replace=False).tolist())) for _ in range(400)}
+    rows = [(0, [1.0] * 24)] + [(100 + i, [float(d in one) for d in range(24)]) for i, one in enumerate(sorted(ones, key=str))]
+    found = by_query(ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), 10 ** 6))
+    assert found[0] == [(k + 1, 100 + k, 6.0) for k in range(20)]
+    ids, scores = ann._best(np.array([[1.0] * 24]), np.array([v for _, v in rows[1:]][::-1]), np.array([i for i, _ in rows[1:]][::-1]), 7)
+    assert ids[0].tolist() == list(range(100, 107)) and scores[0].tolist() == [6.0] * 7
+
+
 def test_rows_that_take_no_part(spark):
     rows = [(0, [1.0, 0.0]), (1, None), (2, [0.0, 0.0]), (3, [None, 1.0]), (4, [float("nan"), 1.0]), (5, [float("inf"), 1.0]), (6, [1.0, 2.0, 3.0]),
             (None, [1.0, 1.0]), (7, [2.0, 1.0]), (8, [2.0, 1.0]), (8, [2.0, 1.0]), (9, [-1.0, 0.0]), (20, [0.0, 3.0])]

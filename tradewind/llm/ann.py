@@ -114,11 +114,12 @@ def _best(queries: np.ndarray, rows: np.ndarray, ids: np.ndarray, most: int, ope
     scores = queries @ rows.T
     if open_rows is not None:
         scores[~open_rows] = -np.inf
-    keep = min(most + 4, len(rows))
-    at = np.argpartition(-scores, keep - 1, axis=1)[:, :keep]
+    border = np.partition(scores, -most, axis=1)[:, -most] if len(rows) > most else np.full(len(queries), -np.inf)
+    # whatever rounding could put at the border is looked at, however many rows tie there
+    slack = 1e-15 * (queries.shape[1] + 8) * np.linalg.norm(queries, axis=1) * np.linalg.norm(rows, axis=1).max(initial=0.0)
     out_ids, out_scores = [], []
-    for q, own in enumerate(at):
-        own = own[np.isfinite(scores[q, own])]
+    for q in range(len(queries)):
+        own = np.flatnonzero((scores[q] >= border[q] - slack[q]) & np.isfinite(scores[q]))
         exact = (rows[own] * queries[q]).sum(axis=1)
         order = np.lexsort((ids[own], -exact))[:most]
         out_ids.append(ids[own][order])
@@ -232,7 +233,7 @@ def search(vectors: DataFrame, every: int, nearest: int = NEAREST, recall: float
 
     def rank(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
-            return pd.DataFrame({"query": [], "found": []})
+            return pd.DataFrame({"query": pd.Series([], dtype="int64"), "found": pd.Series([], dtype=object)})
         x, ids, leaf = np.array(right["v"].tolist(), np.float64), right["entry"].to_numpy(np.int64), right["leaf"].to_numpy(np.int64) % span
         out = []
         for a in range(0, len(left), 256):
