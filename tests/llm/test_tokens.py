@@ -29,6 +29,14 @@ def test_counts_equal_the_library(library, chunk):
     assert [counter.count(t, chunk) for t in texts] == [len(e.ids) for e in library.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_every_character_is_lowered_as_the_library_lowers_it(library):
+    counter = tokens.Counter(tokenizer("word_bpe_49k.json"))
+    every = [chr(c) for c in range(0x20, 0x110000) if not 0xD800 <= c < 0xE000]
+    texts = ["".join(f"a{c} " for c in every[i:i + 64]) for i in range(0, len(every), 64)] + [f"x{c}y" for c in "\ua7cb\ua7dcΣİ"]
+    wrong = [t for t, e in zip(texts, library.encode_batch(texts, add_special_tokens=False)) if counter.count(t) != len(e.ids)]
+    assert not wrong and {"\ua7cb", "\ua7dc"} <= set(tokens.odd_characters(tokenizer("word_bpe_49k.json")))
+
+
 def test_state_maps_compose_in_any_grouping():
     counter = tokens.Counter(tokenizer("word_bpe_49k.json"))
     text = "one twothree  four, fivesix's seven\neight" * 5

@@ -159,11 +159,38 @@ WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 SPACE = regex.compile(r"\s")
 
 
+def _lowered(text: str) -> str:
+    return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+
+
+def odd_characters(path: str) -> str:
+    """Code points that the vocabulary's own normaliser treats in another way than ``_lowered``, which is several times faster."""
+    from tokenizers import Tokenizer
+
+    normal = Tokenizer.from_file(path).normalizer.normalize_str
+    every = [chr(c) for c in range(0x80, 0x110000) if not 0xD800 <= c < 0xE000 and not chr(c).isspace()]
+
+    def differing(chars: list[str]) -> list[str]:
+        joined = " ".join(chars)
+        if normal(joined) == _lowered(joined):
+            return []
+        return chars if len(chars) == 1 else differing(chars[: len(chars) // 2]) + differing(chars[len(chars) // 2:])
+
+    return "".join(c for i in range(0, len(every), 4096) for c in differing(every[i:i + 4096]))
+
+
 class Counter:
-    """Counts tokens of whole texts by composing the state maps of their chunks."""
+    """Counts tokens of whole texts by composing the state maps of their chunks.
 
-    def __init__(self, path: str):
-        self.machine = Transducer(path)
+    Texts with one of the ``odd`` characters are normalised by the vocabulary's own normaliser.
+    """
+
+    def __init__(self, path: str, odd: str | None = None):
+        from tokenizers import Tokenizer
+
+        self.machine, self.normal = Transducer(path), Tokenizer.from_file(path).normalizer.normalize_str
+        odd = odd_characters(path) if odd is None else odd
+        self.odd = regex.compile(f"[{''.join(map(regex.escape, odd))}]" if odd else r"(?!)")
         self.special = regex.compile("|".join(regex.escape(s) for s in sorted(self.machine.special, key=len, reverse=True)) or r"(?!)")
 
     def run(self, text: str) -> int:
@@ -192,7 +219,7 @@ class Counter:
         return maps[0] if maps else ("", 0, None)
 
     def segment(self, text: str, chunk: int) -> int:
-        text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        text = _lowered(text) if text.isascii() or not self.odd.search(text) else self.normal(text)
         if len(text) <= chunk:
             return self.run(text)
         head, count, tail = self.folded([self.chunk_map(text[i:i + chunk]) for i in range(0, len(text), chunk)])
@@ -207,10 +234,11 @@ def token_counts(docs: DataFrame, path: str, chunk: int = CHUNK) -> DataFrame:
     """All columns of the rows, with ``n_bytes`` and ``n_tokens`` under names that no column has."""
     n_bytes, n_tokens = fresh(docs, "n_bytes", "n_tokens")
     held: list[Counter] = []
+    odd = odd_characters(path)
 
     def make(batch: pa.RecordBatch) -> list[pa.Array]:
         if not held:
-            held.append(Counter(path))
+            held.append(Counter(path, odd))
         texts = [x or "" for x in batch.column(0).to_pylist()]
         return [pa.array([len(t.encode()) for t in texts], pa.int64()), pa.array([held[0].count(t, chunk) for t in texts], pa.int64())]
 
