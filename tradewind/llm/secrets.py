@@ -112,9 +112,10 @@ def findings(docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = BASE) -> Da
     place = F.create_map(*[F.lit(x) for i, r in enumerate(rules) for x in (r.kind, i)])
     held = read_ledger(docs.sparkSession, ledger).filter(F.col("version") == current[F.col("kind")])
     spans = F.transform(F.arrays_zip("starts", "ends"), lambda s: F.struct(s["starts"].alias("start"), place[F.col("kind")].alias("place"), F.col("kind").alias("kind"), s["ends"].alias("end")))
-    by_blob = held.groupBy("blob").agg(
-        F.map_from_entries(F.collect_list(F.struct("kind", F.size("starts").cast("long")))).alias("counts"),
-        F.sort_array(F.flatten(F.collect_list(spans))).alias("spans"))
+    # a pair that two scans have added stands in the ledger twice, with the same findings
+    by_blob = held.groupBy("blob").agg(F.collect_set(F.struct("kind", spans.alias("spans"))).alias("found")).select(
+        "blob", F.map_from_entries(F.transform("found", lambda f: F.struct(f["kind"], F.size(f["spans"]).cast("long")))).alias("counts"),
+        F.sort_array(F.flatten(F.transform("found", lambda f: f["spans"]))).alias("spans"))
     return spread_join(addressed(docs).drop("text"), by_blob, "blob", ["doc_id"])
 
 
