@@ -34,10 +34,10 @@ CASES = {
         )},
         **{text: dt.date(2019, 6, 5) for text in (
             "05/06/2019 14:30", "05.06.2019", "20190605", "5 June, 2019", "Wed 5 Jun 2019", "5-Jun-2019", "05-Jun-19", "Jun 5, 2019 10:00 AM",
-            "Wednesday, June 5th, 2019", "5.6.19", "5 jun 2019 9:05:07.25 p.m.",
+            "2019 Jun 5", "2019-June-05", "2019, Jun 5th", "Wednesday, June 5th, 2019", "5.6.19", "5 jun 2019 9:05:07.25 p.m.",
         )},
         "5 Sept 2019": dt.date(2019, 9, 5), "Sept 5 2019": dt.date(2019, 9, 5), "05-Jun-75": dt.date(1975, 6, 5), "31/06/2019 14:30": None, "31.06.2019": None,
-        "20190631": None, "31 June, 2019": None, "Wed 31 Jun 2019": None, "31-Jun-2019": None, "31-Jun-19": None, "31 Sept 2019": None, "Jun 31, 2019 10:00 AM": None,
+        "20190631": None, "2019 Jun 31": None, "2019 Jun": None, "2019 Juni 5": None, "31 June, 2019": None, "Wed 31 Jun 2019": None, "31-Jun-2019": None, "31-Jun-19": None, "31 Sept 2019": None, "Jun 31, 2019 10:00 AM": None,
         "05/06/2019 25:30": None, "5 Juni 2019": None, "Wed": None, "10:00": None,
         "01-02-75": dt.date(1975, 2, 1), "01-02-68": dt.date(2068, 2, 1), "5th of June 2018": dt.date(2018, 6, 5),
         "March 2019": None, "garbage": None, "2015-02-30": None, "2015-13-45": None, "2019": None, "": None,

@@ -252,6 +252,16 @@ def test_plans_prune_and_limit_early(spark, sf_dir):
     assert "WindowGroupLimit" in plan_of(best)
 
 
+def test_the_newest_month_reads_one_year(spark, sf_dir, tmp_path):
+    sinks.write_table(bindings.transactions(spark, sf_dir, "order_date", "order_year", "customer_id", "final_amount"), str(tmp_path / "facts"), "order_year")
+    facts = spark.read.parquet(str(tmp_path / "facts"))
+    assert facts.select("order_year").distinct().count() > 5
+    found = dashboard.month_monitor(facts, year="order_year")
+    assert rows(found) == rows(dashboard.month_monitor(facts))
+    scans = re.findall(r"PartitionFilters: \[([^\]]*)\]", found._jdf.queryExecution().executedPlan().toString())
+    assert any("order_year" in s and "subquery" in s.lower() for s in scans), scans
+
+
 # --- whole runs -----------------------------------------------------------------------------------
 
 

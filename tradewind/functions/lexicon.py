@@ -20,6 +20,7 @@ SHORT_FIGURE_ISO = "20$4-$3-$1"
 WORD_DATE_FORMATS = {
     r"^\d{1,2} [A-Za-z]+ \d{4}$": ["d MMM yyyy", "d MMMM yyyy"],
     r"^[A-Za-z]+ \d{1,2} \d{4}$": ["MMM d yyyy", "MMMM d yyyy"],
+    r"^\d{4} [A-Za-z]+ \d{1,2}$": ["yyyy MMM d", "yyyy MMMM d"],
 }
 SHORT_WORD_DATE = r"^\d{1,2} [A-Za-z]+ \d{2}$"
 SHORT_WORD_FORMATS = ["d MMM yy", "d MMMM yy"]

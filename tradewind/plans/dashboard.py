@@ -65,22 +65,28 @@ def executive_summary(df: DataFrame, year: int | None = None, month: int | None
     return named.select(F.inline(F.array(*cells)))
 
 
-def latest_month(df: DataFrame) -> DataFrame:
-    start = scalar(df, F.trunc(F.max("order_date").cast("date"), "MM"))
-    return df.filter(F.col("order_date") >= start.cast("timestamp_ntz"))
-
-
-def month_monitor(df: DataFrame) -> DataFrame:
-    """The newest month in the data: revenue, orders, customers and 30-day run rate."""
-    month = latest_month(df).groupBy(fn.year_month("order_date").alias("order_ym")).agg(
+def latest_month(df: DataFrame, year: str | None = None) -> DataFrame:
+    """The rows of the newest month. ``year`` names a column that holds the year of the order's date: the newest date is
+    then looked for in the newest year alone, and a table that is partitioned by it is read for that year only."""
+    if year is None:
+        start = scalar(df, F.trunc(F.max("order_date").cast("date"), "MM"))
+        return df.filter(F.col("order_date") >= start.cast("timestamp_ntz"))
+    newest = df.filter(F.col(year) == scalar(df.filter("order_date is not null"), F.max(year)))
+    start = scalar(newest, F.trunc(F.max("order_date").cast("date"), "MM"))
+    return newest.filter(F.col("order_date") >= start.cast("timestamp_ntz"))
+
+
+def month_monitor(df: DataFrame, year: str | None = None) -> DataFrame:
+    """The newest month in the data: revenue, orders, customers and 30-day run rate; ``year`` as in ``latest_month``."""
+    month = latest_month(df, year).groupBy(fn.year_month("order_date").alias("order_ym")).agg(
         revenue().alias("revenue"), F.count(F.lit(1)).alias("orders"), F.count_distinct("customer_id").alias("active_customers"),
         F.count_distinct(F.dayofmonth("order_date")).alias("days_seen"))
     return month.withColumn("run_rate", ratio(F.col("revenue"), F.col("days_seen")) * RUN_RATE_DAYS)
 
 
-def target_alert(df: DataFrame, target: float) -> DataFrame:
+def target_alert(df: DataFrame, target: float, year: str | None = None) -> DataFrame:
     """The newest month's revenue against a target."""
-    month = month_monitor(df).select("order_ym", "revenue", F.lit(float(target)).alias("target"))
+    month = month_monitor(df, year).select("order_ym", "revenue", F.lit(float(target)).alias("target"))
     return month.withColumn("status", F.when(F.col("revenue").cast("double") < F.col("target"), "below target").otherwise("on track"))
 
 
