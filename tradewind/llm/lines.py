@@ -1,19 +1,24 @@
 """Line dedup by winnowing: repeated runs of lines go, wherever they first stood stays.
 
-Method: a text is cut into lines, long ones wrapped at ``WRAP`` words, and the lines are hashed. Of
+Method: a text is cut into lines, and the lines are hashed. Long lines are cut where their words say so,
+not at counted places: a piece ends with the first word after ``LEAST`` - 1 others whose last character
+is one of ``ENDS``, at ``MOST`` words if there is none. So a passage is cut alike wherever it stands in a
+line, but for the words before the first place where both cuts meet. Of
 every ``RUN`` lines in a row the one with the smallest hash (of equal ones the last) is a
 fingerprint, so any two equal runs of ``RUN`` lines are guaranteed to share one at the same place.
 Fingerprints that occur once in the corpus are dropped. Around each of the others the match is
 extended both ways: every run of ``RUN`` lines whose minimum it is, told by the hashes of its lines,
 is joined with the earliest place where the same run stands. Runs that do not overlap that place are
 later copies; adjoining copies merge to runs of any length, and these are deleted. All of it is
-DataFrame functions; fingerprints and runs are found on hashes only.
+DataFrame functions; fingerprints and runs are found on hashes only, and only texts that lose lines
+are exchanged.
 
 Defined results: "earlier" goes by doc_id (null last), then by the row, then by the place in the
 text, so of repeated rows one keeps its text; a null text stays null, an empty one empty, both with
 no lines; texts of fewer than ``RUN`` lines keep all; white space at a line's end does not tell lines
 apart; texts of any length are deduplicated whole; an empty table gives no rows; further columns,
-whatever their names, pass unchanged.
+whatever their names, pass unchanged. Words that end in letters of other scripts end no piece, so
+lines without ``ENDS`` are cut at every ``MOST`` words.
 """
 
 from __future__ import annotations
@@ -21,19 +26,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.patching import patch
 from ..session import staged
 from .common import fresh, spread_join, stored
 
 RUN = 3
-WRAP = 16
-#: A line: up to WRAP words with the white space after them and its line breaks; or white space alone.
-LINE = r"(?:[^\x20\x09-\x0D]+[\x20\x09\x0B-\x0D]*){1,%d}\n*|[\x20\x09-\x0D]+"
+#: Words of a piece of a long line, and the characters of which one ends the last of them: signs and vowels.
+LEAST, MOST = 4, 16
+ENDS = ".,;:!?aeiouy"
+#: A line: words up to one that ends a piece, with the white space after them and the line breaks; else up to MOST words; or white space alone.
+LINE = (r"(?:[^\x20\x09-\x0D]+[\x20\x09\x0B-\x0D]+){%d,%d}?[^\x20\x09-\x0D]*[%s](?:[\x20\x09\x0B-\x0D]+\n*|\n+|\z)"
+        r"|(?:[^\x20\x09-\x0D]+[\x20\x09\x0B-\x0D]*){1,%d}\n*|[\x20\x09-\x0D]+")
 _WHITE = "\\u0020\\u0009\\u000A\\u000B\\u000C\\u000D"
 
 
-def lines_of(text: Column, wrap: int = WRAP) -> Column:
+def lines_of(text: Column) -> Column:
     """The text's lines; joined they are the text again."""
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(LINE % wrap), F.lit(0))
+    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(LINE % (LEAST - 1, MOST - 1, ENDS, MOST)), F.lit(0))
 
 
 def _hashes(lines: str) -> Column:
@@ -59,7 +68,7 @@ def repeated_runs(hashed: DataFrame, run: int = RUN) -> DataFrame:
     inside = f"slice(h, s + 1, {run})"
     runs = (f"filter(sequence(greatest(p - {run - 1}, 0), least(p, size(h) - {run})), "
             f"s -> array_min({inside}) = h[p] and array_position(reverse({inside}), h[p]) = s + {run} - p)")
-    around = hashed.join(places, "row").withColumn("p", F.explode("places"))
+    around = patch(places, ["row"], ["places"]).put(hashed).withColumn("p", F.explode("places"))
     windows = around.withColumn("s", F.explode(F.expr(runs))).select("doc_id", "row", "s", F.expr(inside).alias("content"))
     windows = staged(windows, "runs")
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id"), F.col("row"), F.col("s"))
@@ -76,30 +85,30 @@ def _kept(starts: str, run: int) -> dict[str, Column]:
     return {"begins": begins, "ends": ends}
 
 
-def deduplicated(docs: DataFrame, run: int = RUN, wrap: int = WRAP) -> tuple[DataFrame, str, str]:
+def deduplicated(docs: DataFrame, run: int = RUN) -> tuple[DataFrame, str, str]:
     """(all columns, ``text`` without repeated runs, and two more: lines and deleted lines; their names)."""
-    row, lines, hashes, starts, begins, ends, n_lines, n_deleted = fresh(docs, "row", "lines", "hashes", "starts", "begins", "ends", "n_lines", "n_deleted")
-    marked = docs.withColumn(row, F.monotonically_increasing_id()).withColumn(lines, lines_of(F.col("text"), wrap))
-    hashed = stored(marked.withColumn(hashes, _hashes(lines)).drop(lines), "hashed-lines")
-    repeated = repeated_runs(hashed.select("doc_id", F.col(row).alias("row"), F.col(hashes).alias("h")), run)
-    counted = hashed.withColumn(n_lines, F.size(hashes).cast("long")).drop(hashes)
-    met = counted.join(repeated.select(F.col("row").alias(row), F.col("starts").alias(starts)), row, "left")
+    n_lines, n_deleted = fresh(docs, "n_lines", "n_deleted")
+    whole = F.struct(*[F.col(c) for c in docs.columns]).alias("whole")
+    marked = docs.select(F.monotonically_increasing_id().alias("row"), whole, lines_of(F.col("text")).alias("lines"))
+    hashed = stored(marked.withColumn("h", _hashes("lines")).drop("lines"), "hashed-lines")
+    repeated = repeated_runs(hashed.select(F.col("whole.doc_id").alias("doc_id"), "row", "h"), run)
+    counted = hashed.select("row", "whole", F.size("h").cast("long").alias("n_lines"))
+    met = patch(repeated, ["row"], ["starts"]).put(counted)
     # only a text that loses lines is cut again
-    met = met.withColumn(lines, F.when(F.col(starts).isNotNull(), lines_of(F.col("text"), wrap)))
-    for name, border in _kept(starts, run).items():
-        met = met.withColumn(begins if name == "begins" else ends, border)
-    parts = F.expr(f"transform(sequence(0, size({begins})), k -> array_join(slice({lines}, if(k = 0, 0, {ends}[k - 1]) + 1, if(k = size({begins}), size({lines}), {begins}[k]) - if(k = 0, 0, {ends}[k - 1])), ''))")
-    gone = F.expr(f"aggregate(zip_with({ends}, {begins}, (e, b) -> e - b), 0, (a, x) -> a + x)")
-    out = met.withColumn("text", F.when(F.col(starts).isNull(), F.col("text")).otherwise(F.array_join(parts, "")))
-    out = out.withColumn(n_deleted, F.when(F.col(starts).isNull(), F.lit(0)).otherwise(gone).cast("long"))
-    return out.select(*docs.columns, n_lines, n_deleted), n_lines, n_deleted
+    met = met.withColumn("lines", F.when(F.col("starts").isNotNull(), lines_of(F.col("whole.text")))).withColumns(_kept("starts", run))
+    parts = F.expr("transform(sequence(0, size(begins)), k -> array_join(slice(lines, if(k = 0, 0, ends[k - 1]) + 1, if(k = size(begins), size(lines), begins[k]) - if(k = 0, 0, ends[k - 1])), ''))")
+    gone = F.expr("aggregate(zip_with(ends, begins, (e, b) -> e - b), 0, (a, x) -> a + x)")
+    text = F.when(F.col("starts").isNull(), F.col("whole.text")).otherwise(F.array_join(parts, ""))
+    deleted = F.when(F.col("starts").isNull(), F.lit(0)).otherwise(gone).cast("long")
+    kept = [text.alias(c) if c.lower() == "text" else F.col("whole")[c].alias(c) for c in docs.columns]
+    return met.select(*kept, F.col("n_lines").alias(n_lines), deleted.alias(n_deleted)), n_lines, n_deleted
 
 
 ORACLE = r"""
 WITH lined AS (
     SELECT doc_id, i, line, rtrim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS content
     FROM (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS i
-          FROM (SELECT doc_id, regexp_extract_all(text, '(?:[^\x20\x09-\x0D]+[\x20\x09\x0B-\x0D]*){1,16}\n*|[\x20\x09-\x0D]+') AS lines FROM documents WHERE text IS NOT NULL))
+          FROM (SELECT doc_id, regexp_extract_all(text, '(?:[^\x20\x09-\x0D]+[\x20\x09\x0B-\x0D]+){3,15}?[^\x20\x09-\x0D]*[.,;:!?aeiouy](?:[\x20\x09\x0B-\x0D]+\n*|\n+|\z)|(?:[^\x20\x09-\x0D]+[\x20\x09\x0B-\x0D]*){1,16}\n*|[\x20\x09-\x0D]+') AS lines FROM documents WHERE text IS NOT NULL))
 ), runs AS (
     SELECT doc_id, i AS s, content AS a, lead(content, 1) OVER w AS b, lead(content, 2) OVER w AS c
     FROM lined WINDOW w AS (PARTITION BY doc_id ORDER BY i)
