@@ -1,6 +1,8 @@
 import random
 import re
 
+import pytest
+
 from checks.compare import database, difference
 from tradewind.llm import lines
 from tradewind.llm.queries import ORACLES, QUERIES
@@ -46,12 +48,14 @@ def plain(texts, run=3):
     return out
 
 
-def test_equals_plain_version_on_edges(spark, edges):
+@pytest.mark.parametrize("most_bits", [lines.MOST_BITS, 0])
+def test_equals_plain_version_on_edges(spark, edges, most_bits):
     rows = [(i, f"{i % 7}\n{i % 3}\n{i % 5}\nx\ny{i}\n" * (i % 4)) for i in range(60)]
+    rows += [(60 + i, f"w v{i % 2} x \nu v \x0b\n\n o p q r\r\ns t a, {i % 2} b \n  \n c") for i in range(6)]
     docs = edges.select("doc_id", "text", "row", "lines").filter("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(
         spark.createDataFrame([(100 + i, t, None, "z") for i, t in rows], "doc_id long, text string, row string, lines string"))
     ordered = sorted(docs.collect(), key=lambda r: r["doc_id"])
-    found, n_lines, n_deleted = lines.deduplicated(docs)
+    found, n_lines, n_deleted = lines.deduplicated(docs, most_bits=most_bits)
     got = {r["doc_id"]: (r["text"], r[n_lines], r[n_deleted], r["lines"]) for r in found.collect()}
     for r, expected in zip(ordered, plain([r["text"] for r in ordered])):
         assert got[r["doc_id"]] == (*expected, r["lines"])

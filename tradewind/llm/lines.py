@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.patching import patch
+from ..operators.patching import BITS_A_ROW, MOST_BITS, key_bits, patch
 from ..session import staged
 from .common import fresh, spread_join, stored
 
@@ -34,46 +34,66 @@ RUN = 3
 #: Words of a piece of a long line, and the characters of which one ends the last of them: signs and vowels.
 LEAST, MOST = 4, 16
 ENDS = ".,;:!?aeiouy"
-#: A line: words up to one that ends a piece, with the white space after them and the line breaks; else up to MOST words; or white space alone.
-LINE = (r"(?:[^\x20\x09-\x0D]+[\x20\x09\x0B-\x0D]+){%d,%d}?[^\x20\x09-\x0D]*[%s](?:[\x20\x09\x0B-\x0D]+\n*|\n+|\z)"
-        r"|(?:[^\x20\x09-\x0D]+[\x20\x09\x0B-\x0D]*){1,%d}\n*|[\x20\x09-\x0D]+")
+#: A line: some words, then words that end no piece and one more; else up to MOST words; or white space alone.
+LINE = (r"(?:\S++[ \t\x0B\f\r]++){%d}+(?:\S++(?<![%s])[ \t\x0B\f\r]++){0,%d}+(?:\S++(?:[ \t\x0B\f\r]++|(?=\n)|\z))?+\n*+"
+        r"|(?:\S++[ \t\x0B\f\r]*+){1,%d}+\n*+|\s++")
 _WHITE = "\\u0020\\u0009\\u000A\\u000B\\u000C\\u000D"
 
 
 def lines_of(text: Column) -> Column:
     """The text's lines; joined they are the text again."""
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(LINE % (LEAST - 1, MOST - 1, ENDS, MOST)), F.lit(0))
+    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(LINE % (LEAST - 1, ENDS, MOST - LEAST, MOST)), F.lit(0))
 
 
 def _hashes(lines: str) -> Column:
     return F.expr(f"transform({lines}, x -> xxhash64(rtrim('{_WHITE}', x)))")
 
 
-def _fingerprints(hashes: str, run: int) -> Column:
+def _fingerprints(hashes: str, run: int) -> str:
     """Places of the minima of all runs, each once."""
     ats = [f"{hashes}[s + {i}]" for i in range(run)]
     least = f"array_min(array({', '.join(ats)}))" if run > 1 else ats[0]
     place = " ".join(f"when {ats[i]} = {least} then s + {i}" for i in reversed(range(run)))
     runs = f"if(size({hashes}) >= {run}, sequence(0, size({hashes}) - {run}), cast(array() as array<int>))"
-    return F.expr(f"array_distinct(transform({runs}, s -> case {place} end))")
+    return f"array_distinct(transform({runs}, s -> case {place} end))"
 
 
-def repeated_runs(hashed: DataFrame, run: int = RUN) -> DataFrame:
+def among(rows: DataFrame, key: str, few: DataFrame, spread_by: list[str], most_bits: int = MOST_BITS) -> DataFrame:
+    """The rows whose key is one of ``few(key)``, and perhaps some others.
+
+    A bit map of the keys is broadcast, 64 MB at most, and lets one in sixteen of the other rows by;
+    nothing is exchanged. More keys than it has room for are met by a join in slots.
+    """
+    few = staged(few, "few")
+    wanted, bits = BITS_A_ROW * few.count(), 1 << 15
+    if wanted > most_bits:
+        (hit,) = fresh(rows, "hit")
+        return spread_join(rows, few.withColumn(hit, F.lit(True)), key, spread_by).filter(hit).drop(hit)
+    while bits < wanted:
+        bits *= 2
+    marked = staged(key_bits(few, [key], bits), "few-bits")
+    met = rows.withColumn("_at", F.pmod(F.xxhash64(key), F.lit(bits))).join(F.broadcast(marked), F.expr("_at div 32768") == F.col("_bucket"))
+    return met.filter("shiftright(_words[cast(_at div 64 % 512 as int)], cast(_at % 64 as int)) & 1L = 1L").select(*rows.columns)
+
+
+def repeated_runs(hashed: DataFrame, run: int = RUN, most_bits: int = MOST_BITS) -> DataFrame:
     """(row, starts) of ``hashed(doc_id, row, h)``: the sorted starts of runs that are later copies."""
-    anchors = hashed.select("row", "h", F.explode(_fingerprints("h", run)).alias("p")).select("row", "p", F.element_at("h", F.col("p") + 1).alias("value"))
-    shared = staged(anchors.groupBy("value").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("value", F.lit(True).alias("shared")), "shared-fingerprints")
-    met = spread_join(anchors, shared, "value", ["row"]).filter("shared")
-    places = met.groupBy("row").agg(F.collect_set("p").alias("places"))  # of one text
+    fingerprints = _fingerprints("h", run)
+    shared = hashed.select(F.explode(F.expr(f"transform({fingerprints}, p -> h[p])")).alias("value")).groupBy("value").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("value")
+    # a fingerprint with the lines around it: all runs that hold it lie within
+    low = f"greatest(p - {run - 1}, 0)"
+    around = f"named_struct('value', h[p], 'p', p, 'low', {low}, 'near', slice(h, {low} + 1, p + {run} - {low}))"
+    anchors = hashed.select("doc_id", "row", F.explode(F.expr(f"transform({fingerprints}, p -> {around})")).alias("a")).select("doc_id", "row", "a.*")
     # the runs whose minimum the fingerprint is: it is the last of the smallest among their lines
-    inside = f"slice(h, s + 1, {run})"
-    runs = (f"filter(sequence(greatest(p - {run - 1}, 0), least(p, size(h) - {run})), "
-            f"s -> array_min({inside}) = h[p] and array_position(reverse({inside}), h[p]) = s + {run} - p)")
-    around = patch(places, ["row"], ["places"]).put(hashed).withColumn("p", F.explode("places"))
-    windows = around.withColumn("s", F.explode(F.expr(runs))).select("doc_id", "row", "s", F.expr(inside).alias("content"))
+    inside = f"slice(near, s + 1, {run})"
+    runs = (f"filter(sequence(0, least(p - low, size(near) - {run})), "
+            f"s -> array_min({inside}) = value and array_position(reverse({inside}), value) = s + {run} - p + low)")
+    windows = among(anchors, "value", shared, ["row", "p"], most_bits).withColumn("s", F.explode(F.expr(runs))).select("doc_id", "row", (F.col("low") + F.col("s")).alias("s"), F.expr(inside).alias("content"))
     windows = staged(windows, "runs")
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id"), F.col("row"), F.col("s"))
-    earliest = windows.groupBy("content").agg(F.min(place).alias("source"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("content", "source")
-    found = spread_join(windows, staged(earliest, "earliest"), "content", ["row", "s"]).withColumn("place", place)
+    earliest = staged(windows.groupBy("content").agg(F.min(place).alias("source"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("content", "source"), "earliest")
+    repeated = among(windows, "content", earliest.select("content"), ["row", "s"], most_bits)
+    found = spread_join(repeated, earliest, "content", ["row", "s"]).withColumn("place", place)
     copies = found.filter((F.col("place") > F.col("source")) & ((F.col("row") != F.col("source.row")) | (F.col("s") >= F.col("source.s") + run)))
     return copies.groupBy("row").agg(F.sort_array(F.collect_set("s")).alias("starts"))
 
@@ -85,13 +105,13 @@ def _kept(starts: str, run: int) -> dict[str, Column]:
     return {"begins": begins, "ends": ends}
 
 
-def deduplicated(docs: DataFrame, run: int = RUN) -> tuple[DataFrame, str, str]:
+def deduplicated(docs: DataFrame, run: int = RUN, most_bits: int = MOST_BITS) -> tuple[DataFrame, str, str]:
     """(all columns, ``text`` without repeated runs, and two more: lines and deleted lines; their names)."""
     n_lines, n_deleted = fresh(docs, "n_lines", "n_deleted")
     whole = F.struct(*[F.col(c) for c in docs.columns]).alias("whole")
     marked = docs.select(F.monotonically_increasing_id().alias("row"), whole, lines_of(F.col("text")).alias("lines"))
     hashed = stored(marked.withColumn("h", _hashes("lines")).drop("lines"), "hashed-lines")
-    repeated = repeated_runs(hashed.select(F.col("whole.doc_id").alias("doc_id"), "row", "h"), run)
+    repeated = repeated_runs(hashed.select(F.col("whole.doc_id").alias("doc_id"), "row", "h"), run, most_bits)
     counted = hashed.select("row", "whole", F.size("h").cast("long").alias("n_lines"))
     met = patch(repeated, ["row"], ["starts"]).put(counted)
     # only a text that loses lines is cut again
