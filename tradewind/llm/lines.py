@@ -7,7 +7,7 @@ line, but for the words before the first place where both cuts meet. Of
 every ``RUN`` lines in a row the one with the smallest hash (of equal ones the last) is a
 fingerprint, so any two equal runs of ``RUN`` lines are guaranteed to share one at the same place.
 Fingerprints that occur once in the corpus are dropped. Around each of the others the match is
-extended both ways: every run of ``RUN`` lines whose minimum it is, told by the hashes of its lines,
+extended both ways: every run of ``RUN`` lines whose minimum it is, told by 128 bits of its lines' hashes,
 is joined with the earliest place where the same run stands. Runs that do not overlap that place are
 later copies; adjoining copies merge to runs of any length, and these are deleted. All of it is
 DataFrame functions; fingerprints and runs are found on hashes only, and only texts that lose lines
@@ -28,9 +28,11 @@ from pyspark.sql import functions as F
 
 from ..operators.patching import BITS_A_ROW, MOST_BITS, key_bits, patch
 from ..session import staged
-from .common import fresh, spread_join, stored
+from .common import SLOTS, fresh, spread_join, stored
 
 RUN = 3
+#: A run that holds more than one of so many parts of all places is dealt into slots.
+SHARES = 20_000
 #: Words of a piece of a long line, and the characters of which one ends the last of them: signs and vowels.
 LEAST, MOST = 4, 16
 ENDS = ".,;:!?aeiouy"
@@ -77,23 +79,29 @@ def among(rows: DataFrame, key: str, few: DataFrame, spread_by: list[str], most_
 
 
 def repeated_runs(hashed: DataFrame, run: int = RUN, most_bits: int = MOST_BITS) -> DataFrame:
-    """(row, starts) of ``hashed(doc_id, row, h)``: the sorted starts of runs that are later copies."""
-    fingerprints = _fingerprints("h", run)
-    shared = hashed.select(F.explode(F.expr(f"transform({fingerprints}, p -> h[p])")).alias("value")).groupBy("value").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("value")
+    """(row, starts) of ``hashed(doc_id, row, h, marks)``, marks being the fingerprints' places: the sorted starts of runs that are later copies."""
+    shared = hashed.select(F.explode(F.expr("transform(marks, p -> h[p])")).alias("value")).groupBy("value").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("value")
     # a fingerprint with the lines around it: all runs that hold it lie within
     low = f"greatest(p - {run - 1}, 0)"
     around = f"named_struct('value', h[p], 'p', p, 'low', {low}, 'near', slice(h, {low} + 1, p + {run} - {low}))"
-    anchors = hashed.select("doc_id", "row", F.explode(F.expr(f"transform({fingerprints}, p -> {around})")).alias("a")).select("doc_id", "row", "a.*")
+    anchors = hashed.select("doc_id", "row", F.explode(F.expr(f"transform(marks, p -> {around})")).alias("a")).select("doc_id", "row", "a.*")
     # the runs whose minimum the fingerprint is: it is the last of the smallest among their lines
     inside = f"slice(near, s + 1, {run})"
     runs = (f"filter(sequence(0, least(p - low, size(near) - {run})), "
             f"s -> array_min({inside}) = value and array_position(reverse({inside}), value) = s + {run} - p + low)")
-    windows = among(anchors, "value", shared, ["row", "p"], most_bits).withColumn("s", F.explode(F.expr(runs))).select("doc_id", "row", (F.col("low") + F.col("s")).alias("s"), F.expr(inside).alias("content"))
-    windows = staged(windows, "runs")
+    windows = among(anchors, "value", shared, ["row", "p"], most_bits).withColumn("s", F.explode(F.expr(runs)))
+    content = F.struct(F.expr(f"xxhash64({inside})").alias("one"), F.expr(f"xxhash64(1, {inside})").alias("two")).alias("content")
+    windows = staged(windows.select("doc_id", "row", (F.col("low") + F.col("s")).alias("s"), content), "runs")
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id"), F.col("row"), F.col("s"))
-    earliest = staged(windows.groupBy("content").agg(F.min(place).alias("source"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("content", "source"), "earliest")
+    earliest = staged(windows.groupBy("content").agg(F.min(place).alias("source"), F.count(F.lit(1)).alias("n")).filter("n > 1"), "earliest")
     repeated = among(windows, "content", earliest.select("content"), ["row", "s"], most_bits)
-    found = spread_join(repeated, earliest, "content", ["row", "s"]).withColumn("place", place)
+    # a run with more than its share of all places is dealt into slots; so there are SHARES of them at most
+    total = windows.count()
+    hot = F.col("n") * SHARES > total
+    often = earliest.filter(hot).select("content", F.lit(SLOTS).alias("slots"))
+    dealt = repeated.join(F.broadcast(often), "content", "left").withColumn("slot", F.coalesce(F.pmod(F.xxhash64("row", "s"), "slots"), F.lit(0)).cast("int"))
+    copied = earliest.withColumn("slot", F.explode(F.when(hot, F.sequence(F.lit(0), F.lit(SLOTS - 1))).otherwise(F.array(F.lit(0)))))
+    found = dealt.join(copied, ["content", "slot"]).withColumn("place", place)
     copies = found.filter((F.col("place") > F.col("source")) & ((F.col("row") != F.col("source.row")) | (F.col("s") >= F.col("source.s") + run)))
     return copies.groupBy("row").agg(F.sort_array(F.collect_set("s")).alias("starts"))
 
@@ -110,8 +118,9 @@ def deduplicated(docs: DataFrame, run: int = RUN, most_bits: int = MOST_BITS) ->
     n_lines, n_deleted = fresh(docs, "n_lines", "n_deleted")
     whole = F.struct(*[F.col(c) for c in docs.columns]).alias("whole")
     marked = docs.select(F.monotonically_increasing_id().alias("row"), whole, lines_of(F.col("text")).alias("lines"))
-    hashed = stored(marked.withColumn("h", _hashes("lines")).drop("lines"), "hashed-lines")
-    repeated = repeated_runs(hashed.select(F.col("whole.doc_id").alias("doc_id"), "row", "h"), run, most_bits)
+    marked = marked.withColumn("h", _hashes("lines")).drop("lines").withColumn("marks", F.expr(_fingerprints("h", run)))
+    hashed = stored(marked, "hashed-lines")
+    repeated = repeated_runs(hashed.select(F.col("whole.doc_id").alias("doc_id"), "row", "h", "marks"), run, most_bits)
     counted = hashed.select("row", "whole", F.size("h").cast("long").alias("n_lines"))
     met = patch(repeated, ["row"], ["starts"]).put(counted)
     # only a text that loses lines is cut again
