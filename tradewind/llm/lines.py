@@ -23,6 +23,8 @@ lines without ``ENDS`` are cut at every ``MOST`` words.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,13 +53,21 @@ def _hashes(lines: str) -> Column:
     return F.expr(f"transform({lines}, x -> xxhash64(rtrim('{_WHITE}', x)))")
 
 
-def _fingerprints(hashes: str, run: int) -> str:
-    """Places of the minima of all runs, each once."""
-    ats = [f"{hashes}[s + {i}]" for i in range(run)]
-    least = f"array_min(array({', '.join(ats)}))" if run > 1 else ats[0]
-    place = " ".join(f"when {ats[i]} = {least} then s + {i}" for i in reversed(range(run)))
-    runs = f"if(size({hashes}) >= {run}, sequence(0, size({hashes}) - {run}), cast(array() as array<int>))"
-    return f"array_distinct(transform({runs}, s -> case {place} end))"
+def _surroundings(hashes: str, run: int) -> Column:
+    """For each place an array element with the hashes of the lines around it, NULL beyond the text: fields ``0`` to ``2 * run - 2``, its own in the middle."""
+    edge = f"array({', '.join(['cast(null as bigint)'] * (run - 1))})"
+    padded = f"concat({edge}, {hashes}, {edge})" if run > 1 else hashes
+    return F.expr(f"arrays_zip({', '.join(f'slice({padded}, {k + 1}, size({hashes}))' for k in range(2 * run - 1))})")
+
+
+def _is_minimum(around: str, run: int) -> list[Column]:
+    """For each run that holds the place, the earliest first: is the place the last of the smallest in it? NULL for a run beyond the text."""
+    own = F.col(around)[str(run - 1)]
+    out = []
+    for j in range(run):
+        tests = [own <= F.col(around)[str(k)] for k in range(j, run - 1)] + [own < F.col(around)[str(k)] for k in range(run, j + run)]
+        out.append(reduce(lambda a, b: a & b, tests, F.lit(True)))
+    return out
 
 
 def among(rows: DataFrame, key: str, few: DataFrame, spread_by: list[str], most_bits: int = MOST_BITS) -> DataFrame:
@@ -79,19 +89,16 @@ def among(rows: DataFrame, key: str, few: DataFrame, spread_by: list[str], most_
 
 
 def repeated_runs(hashed: DataFrame, run: int = RUN, most_bits: int = MOST_BITS) -> DataFrame:
-    """(row, starts) of ``hashed(doc_id, row, h, marks)``, marks being the fingerprints' places: the sorted starts of runs that are later copies."""
-    shared = hashed.select(F.explode(F.expr("transform(marks, p -> h[p])")).alias("value")).groupBy("value").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("value")
-    # a fingerprint with the lines around it: all runs that hold it lie within
-    low = f"greatest(p - {run - 1}, 0)"
-    around = f"named_struct('value', h[p], 'p', p, 'low', {low}, 'near', slice(h, {low} + 1, p + {run} - {low}))"
-    anchors = hashed.select("doc_id", "row", F.explode(F.expr(f"transform(marks, p -> {around})")).alias("a")).select("doc_id", "row", "a.*")
-    # the runs whose minimum the fingerprint is: it is the last of the smallest among their lines
-    inside = f"slice(near, s + 1, {run})"
-    runs = (f"filter(sequence(0, least(p - low, size(near) - {run})), "
-            f"s -> array_min({inside}) = value and array_position(reverse({inside}), value) = s + {run} - p + low)")
-    windows = among(anchors, "value", shared, ["row", "p"], most_bits).withColumn("s", F.explode(F.expr(runs)))
-    content = F.struct(F.expr(f"xxhash64({inside})").alias("one"), F.expr(f"xxhash64(1, {inside})").alias("two")).alias("content")
-    windows = staged(windows.select("doc_id", "row", (F.col("low") + F.col("s")).alias("s"), content), "runs")
+    """(row, starts) of ``hashed(doc_id, row, h)``: the sorted starts of runs that are later copies."""
+    minima = _is_minimum("around", run)
+    places = hashed.select("doc_id", "row", F.posexplode(_surroundings("h", run)).alias("p", "around")).filter(reduce(lambda a, b: a | b, minima))
+    fingerprints = places.withColumn("value", F.col("around")[str(run - 1)])
+    shared = fingerprints.groupBy("value").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("value")
+    # all runs whose minimum the fingerprint is
+    inside = [[F.col("around")[str(k)] for k in range(j, j + run)] for j in range(run)]
+    runs = [F.when(minima[j], F.struct((F.col("p") + (j - run + 1)).alias("s"), F.struct(F.xxhash64(*inside[j]).alias("one"), F.xxhash64(F.lit(1), *inside[j]).alias("two")).alias("content"))) for j in range(run)]
+    windows = among(fingerprints, "value", shared, ["row", "p"], most_bits).select("doc_id", "row", F.explode(F.array(*runs)).alias("run")).filter("run is not null")
+    windows = staged(windows.select("doc_id", "row", "run.*"), "runs")
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id"), F.col("row"), F.col("s"))
     earliest = staged(windows.groupBy("content").agg(F.min(place).alias("source"), F.count(F.lit(1)).alias("n")).filter("n > 1"), "earliest")
     repeated = among(windows, "content", earliest.select("content"), ["row", "s"], most_bits)
@@ -118,11 +125,11 @@ def deduplicated(docs: DataFrame, run: int = RUN, most_bits: int = MOST_BITS) ->
     n_lines, n_deleted = fresh(docs, "n_lines", "n_deleted")
     whole = F.struct(*[F.col(c) for c in docs.columns]).alias("whole")
     marked = docs.select(F.monotonically_increasing_id().alias("row"), whole, lines_of(F.col("text")).alias("lines"))
-    marked = marked.withColumn("h", _hashes("lines")).drop("lines").withColumn("marks", F.expr(_fingerprints("h", run)))
+    marked = marked.withColumn("h", _hashes("lines")).drop("lines")
     hashed = stored(marked, "hashed-lines")
-    repeated = repeated_runs(hashed.select(F.col("whole.doc_id").alias("doc_id"), "row", "h", "marks"), run, most_bits)
+    repeated = repeated_runs(hashed.select(F.col("whole.doc_id").alias("doc_id"), "row", "h"), run, most_bits)
     counted = hashed.select("row", "whole", F.size("h").cast("long").alias("n_lines"))
-    met = patch(repeated, ["row"], ["starts"]).put(counted)
+    met = patch(repeated, ["row"], ["starts"]).put(counted, small_rows=0)
     # only a text that loses lines is cut again
     met = met.withColumn("lines", F.when(F.col("starts").isNotNull(), lines_of(F.col("whole.text")))).withColumns(_kept("starts", run))
     parts = F.expr("transform(sequence(0, size(begins)), k -> array_join(slice(lines, if(k = 0, 0, ends[k - 1]) + 1, if(k = size(begins), size(lines), begins[k]) - if(k = 0, 0, ends[k - 1])), ''))")
