@@ -4,17 +4,21 @@ from tradewind.llm import decontam
 from tradewind.llm.queries import QUERIES
 
 
+def shingles(text):
+    words, _ = decontam.word_runs([text.encode()])
+    return set(decontam.shingles(words).tolist()), len(words)
+
+
 def plain(texts, items):
-    """Every pair whose share of the item's five-word shingles in the text is 0.8 or more."""
-    words, at = decontam.word_runs([(t or "").encode() for t in texts])
-    own, own_at = decontam.word_runs([(t or "").encode() for _, t in items])
+    """Every pair of which the text holds 0.8 of the shingles of the item, or of a part of 13 words or more."""
+    wanted = []
+    for item, text in items:
+        whole, parts = shingles(text or "")[0], [shingles(p) for p in decontam.question_and_answer(text or "")]
+        wanted.append((item, [w for w in [whole, *(p for p, n in parts if n >= 13)] if w]))
     out = set()
-    for k in range(len(texts)):
-        held = set(decontam.shingles(words[at[k]: at[k + 1]]).tolist())
-        for i, (item, _) in enumerate(items):
-            wanted = set(decontam.shingles(own[own_at[i]: own_at[i + 1]]).tolist())
-            if wanted and len(wanted & held) >= decontam.LIKE * len(wanted):
-                out.add((k, item))
+    for k, text in enumerate(texts):
+        held = shingles(text or "")[0]
+        out |= {(k, item) for item, parts in wanted if any(len(w & held) >= 0.8 * len(w) for w in parts)}
     return out
 
 
@@ -24,7 +28,8 @@ def test_index_finds_what_brute_force_finds(spark, sf_dir):
     texts = [r["text"] for r in docs]
     joined = ". ".join(t for _, t in items)  # one text that holds all items at uneven places
     altered = [" ".join(w if k % 40 != 20 else "changed" for k, w in enumerate(t.split())) for _, t in items]
-    texts += [joined, *altered, *("padding words before it " * 9 + t + " and words after" for _, t in items)]
+    parts = [p for _, t in items for p in decontam.question_and_answer(t)]
+    texts += [joined, *altered, *parts, *(f"{p} and then other words follow" for p in parts), *("padding words before it " * 9 + t + " and words after" for _, t in items)]
     index = decontam.Index([i for i, _ in items], [t for _, t in items])
     found = {(k, leak[0]) for k, leaks in enumerate(index.leaks([(t or "").encode() for t in texts])) for leak in leaks}
     assert found == plain(texts, items) and len(found) > 3 * len(items) // 2
@@ -32,10 +37,33 @@ def test_index_finds_what_brute_force_finds(spark, sf_dir):
     assert {(r["doc_id"], r["item_id"]) for r in rows} == {(docs[k]["doc_id"], i) for k, i in plain([r["text"] for r in docs], items)}
 
 
-def test_shards_give_the_same(spark, sf_dir):
+def test_shards_give_the_same_scores(spark, sf_dir):
     docs, items = spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    whole = {(r["doc_id"], r["item_id"]) for r in decontam.leaks(docs, items).collect()}
-    assert whole == {(r["doc_id"], r["item_id"]) for r in decontam.leaks(docs, items, shard_bytes=2000).collect()}
+    whole, parts = [{(r["doc_id"], r["item_id"]): r["score"] for r in decontam.leaks(docs, items, shard_bytes=n).collect()} for n in (1 << 20, 2000)]
+    assert whole and whole.keys() == parts.keys() and all(abs(whole[k] - parts[k]) < 1e-9 for k in whole)
+    held = {k for k, _ in whole}
+    left = [sorted(r["doc_id"] for r in decontam.clean(docs, items, shard_bytes=n).collect()) for n in (1 << 20, 2000)]
+    assert left[0] == left[1] == sorted(r["doc_id"] for r in docs.select("doc_id").collect() if r["doc_id"] not in held)
+
+
+def test_statistics_are_those_of_all_items(spark, sf_dir):
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    rows = sorted(items.collect(), key=lambda r: r["item_id"])
+    alone = decontam.Index([r["item_id"] for r in rows], [r["text"] for r in rows])
+    (index, last), = decontam._indexes(items, 1 << 24)
+    assert last and (index.terms == alone.terms).all() and np.allclose(index.weight, alone.weight, atol=1e-12)
+
+
+def test_parts_tell_by_themselves():
+    question, answer = [" ".join(f"{w}{i}" for i in range(n)) for w, n in (("q", 30), ("a", 60))]
+    index = decontam.Index([1, 2], [f"{question}? {answer}.", "Is it? It is not."])
+    half = " ".join(answer.split()[:35])
+    texts = {"question": f"see {question} here", "answer": f"{answer} it said", "both in part": f"{question}? {half} and so on", "half an answer": half,
+             "half a question": " ".join(question.split()[:15]), "a short part": "so it is, it is not"}
+    found = {name: [(i, q, a) for i, _, q, a in leaks] for name, leaks in zip(texts, index.leaks([t.encode() for t in texts.values()]))}
+    assert found["question"] == [(1, 1.0, 0.0)] and found["answer"] == [(1, 0.0, 1.0)]
+    assert found["both in part"][0][:2] == (1, 1.0) and 0.5 < found["both in part"][0][2] < 0.8
+    assert not found["half an answer"] and not found["half a question"] and not found["a short part"]
 
 
 def test_question_and_answer():
