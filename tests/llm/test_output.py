@@ -29,17 +29,47 @@ def test_blocks_round_trip():
     cases = [[np.array([], int)], [np.array([5])], [np.zeros(1024, int)], [np.full(700, 50256)], [rng.integers(0, 2, 900), np.arange(17)]]
     cases += [[rng.geometric(rng.uniform(0.001, 0.9), rng.integers(0, 600)).clip(0, 50256) for _ in range(rng.integers(1, 9))] for _ in range(40)]
     for blocks in cases:
-        coded = idcoder.encode(blocks, 50257)
-        assert all((a == b).all() for a, b in zip(blocks, idcoder.decode(coded, [len(b) for b in blocks], 50257)))
-    assert idcoder.encode([], 10) == [] and idcoder.decode([], [], 10) == []
+        prior = idcoder.Prior.of(blocks)
+        read = idcoder.Prior.from_bytes(prior.to_bytes())
+        assert (read.ids == prior.ids).all() and (read.counts == prior.counts).all()
+        coded = idcoder.encode(blocks, prior)
+        assert all((a == b).all() for a, b in zip(blocks, idcoder.decode(coded, [len(b) for b in blocks], read)))
+    empty = idcoder.Prior.from_bytes(idcoder.Prior.of([]).to_bytes())
+    assert idcoder.encode([], empty) == [] and idcoder.decode([], [], empty) == []
+
+
+def test_priors_of_wide_and_uneven_alphabets():
+    ids = np.concatenate([np.arange(0, 900_000, 7), np.zeros(3_000_000, int)])
+    prior = idcoder.Prior.of([ids])
+    assert prior.units.min() == 0 and prior.units[prior.ids].min() >= 1 and prior.units.sum() <= 1 << 20
+    assert (idcoder.Prior.from_bytes(prior.to_bytes()).counts == prior.counts).all()
+    blocks = [np.array([899_997, 0, 0, 7, 0, 14]), np.arange(0, 7000, 7)]
+    assert all((a == b).all() for a, b in zip(blocks, idcoder.decode(idcoder.encode(blocks, prior), [6, 1000], prior)))
+    with pytest.raises(ValueError, match="different ids"):
+        idcoder.Prior.of([np.arange(1 << 20)])
+    with pytest.raises(ValueError, match="damaged"):
+        idcoder.Prior.from_bytes(prior.to_bytes()[:-9] + b"123456789")
+
+
+def test_coded_ids_are_smaller_than_by_zlib_and_by_their_shares(sf_dir):
+    import pyarrow.parquet as pq
+
+    texts = pq.read_table(f"{sf_dir}/documents.parquet", columns=["text"])["text"].to_pylist()
+    ids = np.concatenate(output.Encoder(tokenizer("byte_bpe_50k.json")).encode([t or "" for t in texts]))
+    frame = output._frame(0, 0, [0], [ids])
+    held = len(frame["payload"]) + len(frame["prior"]) + 8 * len(frame["block_lengths"])
+    by_zlib = sum(len(zlib.compress(ids[i:i + 1024].astype("<u2").tobytes(), 9)) for i in range(0, len(ids), 1024))
+    share = np.unique(ids, return_counts=True)[1] / len(ids)
+    assert held < by_zlib * 0.85 and len(frame["payload"]) * 8 < -(share * np.log2(share)).sum() * len(ids)
 
 
 def test_blocks_are_independent_and_repeats_are_cheap():
     rng = np.random.default_rng(1)
     blocks = [rng.integers(0, 50257, 1024), np.tile(rng.integers(0, 50257, 8), 128)]
-    both = idcoder.encode(blocks, 50257)
-    assert [idcoder.encode([b], 50257)[0] for b in blocks] == both and len(both[1]) < len(both[0]) / 10
-    assert (idcoder.decode([both[1]], [1024], 50257)[0] == blocks[1]).all()
+    prior = idcoder.Prior.of(blocks)
+    both = idcoder.encode(blocks, prior)
+    assert [idcoder.encode([b], prior)[0] for b in blocks] == both and len(both[1]) < len(both[0]) / 5
+    assert (idcoder.decode([both[1]], [1024], prior)[0] == blocks[1]).all()
 
 
 def test_pieces_give_the_librarys_ids(library):
@@ -67,10 +97,26 @@ def test_damage_is_found(spark, edges):
     folder = scratch_path(spark, "test-ids")
     output.write(edges.filter("doc_id = 4"), folder, tokenizer("byte_bpe_50k.json"))
     frame = output.read(spark, folder).first().asDict()
-    payload = bytearray(frame["payload"])
-    payload[len(payload) // 2] ^= 255
+    for at in range(0, len(frame["payload"]) - 8, 7):
+        payload = bytearray(frame["payload"])
+        payload[at] ^= 255
+        with pytest.raises(ValueError, match="damaged"):
+            output.ids_of(frame | {"payload": bytes(payload)})
     with pytest.raises(ValueError, match="damaged"):
-        output.ids_of(frame | {"payload": bytes(payload)})
+        output.ids_of(frame | {"prior": frame["prior"][:-3] + b"abc"})
+
+
+def test_a_common_id_takes_several_tasks(spark):
+    docs = spark.range(4000).selectExpr("CASE WHEN id % 2 = 0 THEN NULL ELSE id END AS doc_id", "concat('text ', id) AS text")
+    folder = scratch_path(spark, "test-ids")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # which would make one task of so few rows
+    try:
+        output.write(docs, folder, tokenizer("byte_bpe_50k.json"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    frames = output.read(spark, folder).collect()
+    rows = [len(f["doc_ids"]) for f in frames]
+    assert sum(None in f["doc_ids"] for f in frames) > 1 and max(rows) <= 2 * sum(rows) / len(rows)
 
 
 def test_query(spark, sf_dir, library):

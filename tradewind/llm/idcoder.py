@@ -1,13 +1,13 @@
 """The block coder of the token-id files: context mixing and a range coder, many blocks side by side.
 
-A block is a run of ids that is coded with a model of its own, reset at its start. Three predictions
-are kept per block: the id that last followed the two ids before (order 2), the one that last
-followed the id before (order 1), each with a confidence, and the ids seen so far by hash place
-(order 0). What is coded is which order is right first, and then the place (order 0) or the id
-itself (none). The chances of the four outcomes are mixed from two adaptive tables, one under the
-confidences and one under the last two outcomes; the weight moves to the table that foresaw better.
-All of it is integer arithmetic, so the decoder follows the same states on any machine. Numpy
-advances all blocks of a call by one id a step.
+A block is a run of ids that is coded with a model of its own, reset at its start. Two predictions
+are learnt per block: the id that last followed the two ids before (order 2) and the one that last
+followed the id before (order 1), each with a confidence. Order 0 is the shares of all ids in the
+frame (``Prior``), which are stored beside the blocks. What is coded is which order is right first,
+and at order 0 then the id by its share. The chances of the three outcomes are mixed from two adaptive
+tables, one under the confidences and one under the last two outcomes; the weight moves to the table
+that foresaw better. All of it is integer arithmetic, so the decoder follows the same states on any
+machine. Numpy advances all blocks of a call by one id a step. Any block is read with the prior alone.
 """
 
 from __future__ import annotations
@@ -18,9 +18,10 @@ import numpy as np
 
 BLOCK = 1024
 _PLACES = 1024
-_SEEN = 256
 _U = np.uint64
-_TOTAL, _SEEN_BITS = _U(16), _U(8)
+_TOTAL, _PRIOR_BITS = _U(16), _U(20)
+_UNITS = 1 << 20
+_SPARE = 64  # of 2^16 parts, what is always left for the last outcome
 _LEAST, _MOST = np.int32(31), np.int32(4000)  # bounds of a chance, so that every outcome keeps a share
 _FULL = _U(0xFFFFFFFFFFFFFFFF)
 _TOP, _BOTTOM = _U(1 << 48), _U(1 << 32)
@@ -28,15 +29,53 @@ _WORD = _U(16)
 _LANES = np.arange(1 << 16)  # more blocks in one call are coded in turns
 
 
+class Prior:
+    """Shares of the ids of a frame in parts of 2^20; every id that occurs has one at least."""
+
+    def __init__(self, ids: np.ndarray, counts: np.ndarray):
+        if len(ids) >= _UNITS:
+            raise ValueError(f"{len(ids)} different ids in a frame, at most {_UNITS - 1} can be coded")
+        self.ids, self.counts = ids.astype(np.int64), counts.astype(np.int64)
+        units = 1 + self.counts * (_UNITS - len(ids)) // max(int(self.counts.sum()), 1)
+        self.below = np.cumsum(units) - units
+        alphabet = int(ids[-1]) + 1 if len(ids) else 1
+        self.start, self.units = np.zeros(alphabet, np.uint64), np.zeros(alphabet, np.uint64)
+        self.start[self.ids], self.units[self.ids] = self.below.astype(np.uint64), units.astype(np.uint64)
+
+    @classmethod
+    def of(cls, blocks: list[np.ndarray]) -> Prior:
+        return cls(*np.unique(np.concatenate(blocks) if blocks else np.zeros(0, np.int64), return_counts=True))
+
+    def to_bytes(self) -> bytes:
+        """Steps between the ids and the counts, seven bits a byte, after how many there are, packed by zlib and checked by it."""
+        values = np.concatenate([[len(self.ids)], np.diff(self.ids, prepend=0), self.counts])
+        parts = [values >> 7 * i & 127 | np.where(values >> 7 * (i + 1), 128, 0) for i in range(9)]
+        used = np.stack([np.ones(len(values), bool)] + [values >> 7 * i > 0 for i in range(1, 9)], axis=1)
+        return zlib.compress(np.stack(parts, axis=1)[used].astype(np.uint8).tobytes(), 9)
+
+    @classmethod
+    def from_bytes(cls, data: bytes) -> Prior:
+        try:
+            raw = np.frombuffer(zlib.decompress(data), np.uint8).astype(np.int64)
+        except zlib.error as error:
+            raise ValueError("damaged prior") from error
+        last = raw < 128
+        ends = np.flatnonzero(last)
+        begins = np.append(0, ends[:-1] + 1)
+        place = np.arange(len(raw)) - np.repeat(begins, ends - begins + 1)
+        values = np.add.reduceat((raw & 127) << 7 * place, begins)
+        n = int(values[0])
+        return cls(np.cumsum(values[1: n + 1]), values[n + 1:])
+
+
 class _Model:
     """The states of ``n`` blocks; chances of 2^12 that an order is right, given that none before it was."""
 
     def __init__(self, n: int):
         self.follow2, self.follow1 = np.zeros(n * _PLACES, np.int32), np.zeros(n * _PLACES, np.int32)
         self.sure2, self.sure1 = np.zeros(n * _PLACES, np.int8), np.zeros(n * _PLACES, np.int8)
-        self.seen = np.zeros(n * _SEEN, np.int32)
-        self.by_sure = [np.full(n * 16, 1024, np.int32) for _ in range(3)]
-        self.by_past = [np.full(n * 16, 1024, np.int32) for _ in range(3)]
+        self.by_sure = [np.full(n * 16, 1024, np.int32) for _ in range(2)]
+        self.by_past = [np.full(n * 16, 1024, np.int32) for _ in range(2)]
         self.weight = np.full(n, 16, np.int32)
         self.past, self.last1, self.last2 = (np.zeros(n, np.int32) for _ in range(3))
 
@@ -51,37 +90,30 @@ class _Model:
         self.row_a, self.row_b = rows + (self.s2 << 2 | self.s1), rows + self.past[:n]
         weight = self.weight[:n]
         self.a, self.b = [x.take(self.row_a) for x in self.by_sure], [x.take(self.row_b) for x in self.by_past]
-        p0, p1, p2 = (b + ((a - b) * weight >> 5) for a, b in zip(self.a, self.b))
-        self.share0 = p0 << 4
-        rest = 65536 - self.share0
-        self.share1 = (rest * p1 >> 12) + 1
-        rest -= self.share1
-        self.share2 = (rest * p2 >> 12) + 1
+        p0, p1 = (b + ((a - b) * weight >> 5) for a, b in zip(self.a, self.b))
+        rest = 65536 - _SPARE
+        self.share0 = rest * p0 >> 12
+        self.share1 = ((rest - self.share0) * p1 >> 12) + 1
         self.below2 = self.share0 + self.share1
-        self.below3 = self.below2 + self.share2
 
     def chosen(self, outcome: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(share below, share) of the outcomes."""
-        below = np.choose(outcome, (0, self.share0, self.below2, self.below3))
-        share = np.choose(outcome, (self.share0, self.share1, self.share2, 65536 - self.below3))
+        below = np.choose(outcome, (0, self.share0, self.below2))
+        share = np.choose(outcome, (self.share0, self.share1, 65536 - self.below2))
         return below.astype(np.uint64), share.astype(np.uint64)
 
-    def place(self, ids: np.ndarray) -> np.ndarray:
-        return (ids * 20021 >> 7) & (_SEEN - 1)
-
-    def learn(self, ids: np.ndarray, outcome: np.ndarray, place: np.ndarray) -> None:
+    def learn(self, ids: np.ndarray, outcome: np.ndarray) -> None:
         n = len(ids)
         stored = ids + 1
         for follow, sure, at, guess, s in ((self.follow2, self.sure2, self.at2, self.id2, self.s2), (self.follow1, self.sure1, self.at1, self.id1, self.s1)):
             sure[at] = np.where(guess == stored, np.minimum(s + 1, 3), 1)
             follow[at] = stored
-        self.seen[_LANES[:n] * _SEEN + place] = stored
         right = outcome == 0
         better = np.where(right, self.a[0] - self.b[0], self.b[0] - self.a[0])
         weight = self.weight[:n]
         weight += np.sign(better)
         np.clip(weight, 1, 31, out=weight)
-        for order in range(3):
+        for order in range(2):
             if order:
                 right, asked = outcome == order, outcome >= order
             for tables, row, chance in ((self.by_sure, self.row_a, self.a), (self.by_past, self.row_b, self.b)):
@@ -111,35 +143,35 @@ def _lengths(blocks: list[int]) -> tuple[np.ndarray, np.ndarray]:
     return order, lengths[order]
 
 
-def encode(blocks: list[np.ndarray], alphabet: int) -> list[bytes]:
-    """Each block of ids below ``alphabet`` as bytes."""
+def encode(blocks: list[np.ndarray], prior: Prior) -> list[bytes]:
+    """Each block as bytes; the prior knows all their ids."""
     if not blocks:
         return []
     if len(blocks) > len(_LANES):
-        return encode(blocks[: len(_LANES)], alphabet) + encode(blocks[len(_LANES):], alphabet)
+        return encode(blocks[: len(_LANES)], prior) + encode(blocks[len(_LANES):], prior)
     order, lengths = _lengths([len(b) for b in blocks])
     n, longest = len(blocks), int(lengths[0])
     ids = np.zeros((longest, n), np.int32)
     for lane, which in enumerate(order):
         ids[: lengths[lane], lane] = blocks[which]
     model, low, span = _Model(n), np.zeros(n, np.uint64), np.full(n, _FULL)
-    out_lane, out_word, ids_in_all = [], [], _U(alphabet)
+    out_lane, out_word = [], []
     alive = np.searchsorted(-lengths, -np.arange(longest), side="left")  # lanes longer than t
     for t in range(longest):
         m = int(alive[t])
         now = ids[t, :m]
         model.predict(m)
-        stored, place = now + 1, model.place(now)
-        known = model.seen.take(_LANES[:m] * _SEEN + place) == stored
-        outcome = np.where(model.id2 == stored, 0, np.where(model.id1 == stored, 1, np.where(known, 2, 3))).astype(np.int32)
+        stored = now + 1
+        outcome = np.where(model.id2 == stored, 0, np.where(model.id1 == stored, 1, 2)).astype(np.int32)
         lo, sp = low[:m], span[:m]
         below, share = model.chosen(outcome)
         part = sp >> _TOTAL
         lo += part * below
         np.multiply(part, share, out=sp)
-        by_place, by_id = sp >> _SEEN_BITS, sp // ids_in_all
-        lo += np.where(outcome == 2, by_place * place.astype(np.uint64), np.where(outcome == 3, by_id * now.astype(np.uint64), _U(0)))
-        sp[:] = np.where(outcome < 2, sp, np.where(outcome == 2, by_place, by_id))
+        at = np.flatnonzero(outcome == 2)
+        unit = sp[at] >> _PRIOR_BITS
+        lo[at] += unit * prior.start[now[at]]
+        sp[at] = unit * prior.units[now[at]]
         go = _unsettled(lo, sp)
         while len(go):
             one, two = lo[go], sp[go]
@@ -147,7 +179,7 @@ def encode(blocks: list[np.ndarray], alphabet: int) -> list[bytes]:
             out_word.append((one >> _U(48)).astype("<u2"))
             lo[go], sp[go] = one, two = _shifted(one, two)
             go = go[_unsettled(one, two)]
-        model.learn(now, outcome, place)
+        model.learn(now, outcome)
     for _ in range(4):
         out_lane.append(_LANES[:n])
         out_word.append((low >> _U(48)).astype("<u2"))
@@ -161,12 +193,12 @@ def encode(blocks: list[np.ndarray], alphabet: int) -> list[bytes]:
     return out
 
 
-def decode(coded: list[bytes], counts: list[int], alphabet: int) -> list[np.ndarray]:
-    """The ids of each block, ``counts`` of them."""
+def decode(coded: list[bytes], counts: list[int], prior: Prior) -> list[np.ndarray]:
+    """The ids of each block, ``counts`` of them, by the prior they were coded with."""
     if not coded:
         return []
     if len(coded) > len(_LANES):
-        return decode(coded[: len(_LANES)], counts[: len(_LANES)], alphabet) + decode(coded[len(_LANES):], counts[len(_LANES):], alphabet)
+        return decode(coded[: len(_LANES)], counts[: len(_LANES)], prior) + decode(coded[len(_LANES):], counts[len(_LANES):], prior)
     order, lengths = _lengths(counts)
     n, longest = len(coded), int(lengths[0])
     words = np.frombuffer(b"".join(coded[i] for i in order) + bytes(16), "<u2").astype(np.uint64)
@@ -176,7 +208,6 @@ def decode(coded: list[bytes], counts: list[int], alphabet: int) -> list[np.ndar
     for _ in range(4):
         code = code << _WORD | words[np.minimum(at, len(words) - 1)]
         at += 1
-    ids_in_all = _U(alphabet)
     model, ids = _Model(n), np.zeros((longest, n), np.int32)
     alive = np.searchsorted(-lengths, -np.arange(longest), side="left")
     for t in range(longest):
@@ -185,19 +216,18 @@ def decode(coded: list[bytes], counts: list[int], alphabet: int) -> list[np.ndar
         lo, sp, co = low[:m], span[:m], code[:m]
         part = sp >> _TOTAL
         want = np.minimum((co - lo) // part, _U(65535)).astype(np.int32)
-        outcome = (want >= model.share0).astype(np.int32) + (want >= model.below2) + (want >= model.below3)
+        outcome = (want >= model.share0).astype(np.int32) + (want >= model.below2)
         below, share = model.chosen(outcome)
         lo += part * below
         np.multiply(part, share, out=sp)
-        by_place, by_id = sp >> _SEEN_BITS, sp // ids_in_all
-        unit = np.where(outcome < 2, sp, np.where(outcome == 2, by_place, by_id))
-        most = np.where(outcome == 2, _U(_SEEN - 1), ids_in_all - _U(1))
-        detail = np.where(outcome < 2, _U(0), np.minimum((co - lo) // unit, most))
-        lo += unit * detail
-        sp[:] = unit
-        detail = detail.astype(np.int32)
-        seen = model.seen.take(_LANES[:m] * _SEEN + (detail & (_SEEN - 1)))
-        now = np.choose(outcome, (model.id2, model.id1, seen, detail + 1)) - 1
+        now = np.where(outcome == 0, model.id2, model.id1) - 1
+        by_share = np.flatnonzero(outcome == 2)
+        unit = sp[by_share] >> _PRIOR_BITS
+        found = prior.ids[np.searchsorted(prior.below, ((co[by_share] - lo[by_share]) // unit).astype(np.int64), side="right") - 1]
+        lo[by_share] += unit * prior.start[found]
+        sp[by_share] = unit * prior.units[found]
+        now[by_share] = found
+        np.clip(now, 0, len(prior.units) - 1, out=now)  # a damaged block may lead anywhere
         go = _unsettled(lo, sp)
         while len(go):
             one, two = lo[go], sp[go]
@@ -206,7 +236,7 @@ def decode(coded: list[bytes], counts: list[int], alphabet: int) -> list[np.ndar
             at[go] += 1
             go = go[_unsettled(one, two)]
         ids[t, :m] = now
-        model.learn(now, outcome, model.place(now))
+        model.learn(now, outcome)
     out: list = [None] * n
     for lane, which in enumerate(order):
         out[which] = ids[: lengths[lane], lane].astype("<u4")

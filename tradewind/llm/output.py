@@ -3,12 +3,12 @@
 Method: documents are dealt to ranges of their ids and sorted; a task turns its texts into ids, ends
 each document with an end id, and cuts the stream into frames of whole documents. A frame's ids are
 coded in blocks of a fixed length, each with its own model, reset, and its own checksum
-(``idcoder``). A frame is one row of the file table: place (part, frame), the documents' ids and
-lengths, the blocks' sizes and checksums, and the coded bytes, so any frame and any block can be read
-alone. Spark's committer writes the files; an executor that is lost costs its tasks only.
+(``idcoder``), under the shares of the frame's ids. A frame is one row of the file table: place (part,
+frame), those shares, the documents' ids and lengths, the blocks' sizes and checksums, and the coded
+bytes, so any frame, and any block of it, can be read alone. Spark's committer writes the files; an executor that is lost costs its tasks only.
 
 Defined results: a null text is an empty one, which has the end id only; null doc_ids come first;
-rows with equal ids are ordered by their texts' hash, repeated rows are documents of their own; very
+rows with equal ids are dealt to tasks and ordered by their texts' hash, repeated rows are documents of their own; very
 long texts are one frame; an empty table gives files without frames and no rows; only ``doc_id`` and
 ``text`` are read, so other columns may have any name. A block whose checksum is wrong raises.
 """
@@ -36,7 +36,7 @@ FRAME_IDS = 1 << 21
 MOST_PIECES = 1 << 19
 #: How byte-level vocabularies of this family cut a text into pieces.
 PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-FRAMES = ("part int, frame int, alphabet int, doc_ids array<long>, doc_lengths array<long>, "
+FRAMES = ("part int, frame int, prior binary, doc_ids array<long>, doc_lengths array<long>, "
           "block_lengths array<int>, block_bytes array<int>, block_checksums array<long>, payload binary")
 DOCUMENTS = "part int, frame int, doc_id long, first long, n_tokens long, ids_crc32 long"
 
@@ -51,7 +51,6 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.special = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(special, key=len, reverse=True)) + ")") if special else None
-        self.alphabet = max(self.library.get_vocab_size(with_added_tokens=True), END + 1)
         self.known: dict[str, bytes] = {}
 
     def pieces(self, text: str) -> list[str]:
@@ -76,18 +75,19 @@ class Encoder:
         return [np.frombuffer(b"".join([*map(known, pieces), end]), "<u4") for pieces in cut]
 
 
-def _frame(part: int, frame: int, alphabet: int, doc_ids: list, ids: list[np.ndarray]) -> dict:
+def _frame(part: int, frame: int, doc_ids: list, ids: list[np.ndarray]) -> dict:
     stream = np.concatenate(ids)
     blocks = [stream[i:i + idcoder.BLOCK] for i in range(0, len(stream), idcoder.BLOCK)]
-    coded = idcoder.encode(blocks, alphabet)
-    return {"part": part, "frame": frame, "alphabet": alphabet, "doc_ids": doc_ids, "doc_lengths": [len(x) for x in ids],
+    prior = idcoder.Prior.of(blocks)
+    coded = idcoder.encode(blocks, prior)
+    return {"part": part, "frame": frame, "prior": prior.to_bytes(), "doc_ids": doc_ids, "doc_lengths": [len(x) for x in ids],
             "block_lengths": [len(b) for b in blocks], "block_bytes": [len(c) for c in coded],
             "block_checksums": [idcoder.checksum(b) for b in blocks], "payload": b"".join(coded)}
 
 
 def _frame_type() -> pa.Schema:
     longs, ints = pa.list_(pa.int64()), pa.list_(pa.int32())
-    return pa.schema([("part", pa.int32()), ("frame", pa.int32()), ("alphabet", pa.int32()), ("doc_ids", longs), ("doc_lengths", longs),
+    return pa.schema([("part", pa.int32()), ("frame", pa.int32()), ("prior", pa.binary()), ("doc_ids", longs), ("doc_lengths", longs),
                       ("block_lengths", ints), ("block_bytes", ints), ("block_checksums", longs), ("payload", pa.binary())])
 
 
@@ -98,7 +98,7 @@ def write(docs: DataFrame, folder: str, path: str, frame_ids: int = FRAME_IDS) -
         doc_ids, ids, held = [], [], 0
 
         def row() -> pa.RecordBatch:
-            return pa.RecordBatch.from_pylist([_frame(part, frame, encoder.alphabet, doc_ids, ids)], _frame_type())
+            return pa.RecordBatch.from_pylist([_frame(part, frame, doc_ids, ids)], _frame_type())
 
         for batch in batches:
             keys, texts = batch.column("doc_id").to_pylist(), batch.column("text")
@@ -114,7 +114,8 @@ def write(docs: DataFrame, folder: str, path: str, frame_ids: int = FRAME_IDS) -
             yield row()
 
     text = F.coalesce(F.col("text"), F.lit("")).alias("text")
-    sorted_docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text).repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
+    order = ("doc_id", F.xxhash64("text"))  # the hash lets a common or null id take more than one task
+    sorted_docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text).repartitionByRange(*order).sortWithinPartitions(*order)
     sorted_docs.mapInArrow(run, FRAMES).write.parquet(folder)
 
 
@@ -127,7 +128,7 @@ def ids_of(frame: dict) -> np.ndarray:
     """The ids of one frame, every block decoded and held against its checksum."""
     ends = np.cumsum(frame["block_bytes"])
     coded = [frame["payload"][e - n: e] for e, n in zip(ends, frame["block_bytes"])]
-    blocks = idcoder.decode(coded, frame["block_lengths"], frame["alphabet"])
+    blocks = idcoder.decode(coded, frame["block_lengths"], idcoder.Prior.from_bytes(frame["prior"]))
     wrong = [i for i, (b, c) in enumerate(zip(blocks, frame["block_checksums"])) if idcoder.checksum(b) != c]
     if wrong:
         raise ValueError(f"part {frame['part']}, frame {frame['frame']}: damaged blocks {wrong}")
