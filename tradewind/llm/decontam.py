@@ -83,9 +83,15 @@ def answer_words(text: str) -> int:
 
 
 def segments_of(words: np.ndarray, answer: int) -> list[np.ndarray]:
-    """The segments of an item whose last ``answer`` words are its answer: of the whole and of the longer parts."""
+    """The segments of an item whose last ``answer`` words are its answer.
+
+    Of the longer parts, and of the whole unless these make up 0.8 of it: a text that holds 0.8 of
+    the whole then holds about as much of one of them.
+    """
     question = len(words) - answer
-    runs = [words] + [part for part in (words[:question], words[question:]) if PART <= len(part) < len(words)]
+    runs = [part for part in (words[:question], words[question:]) if len(part) >= PART]
+    if sum(map(len, runs)) < LIKE * len(words):
+        runs.append(words)
     return [cut for run in runs for cut in np.array_split(run, -(-len(run) // SEGMENT))]
 
 
