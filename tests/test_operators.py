@@ -133,6 +133,15 @@ def test_whole_rows_are_not_exchanged_for_marks_and_repairs(spark):
     assert "wide" in plan and "Exchange hashpartitioning" not in plan and "Exchange rangepartitioning" not in plan
 
 
+def test_rows_of_keys_that_stand_alone_are_left_out_before_groups_are_made(spark):
+    frame = spark.range(20_000).select(F.when(F.col("id") % 1000 < 2, F.col("id") % 1000 + 7).otherwise(F.col("id") + 5000).alias("k"), F.col("id").alias("i"))
+    frame = frame.withColumn("k", F.when(F.col("k") != 8, F.col("k")))
+    kept = patching.possibly_repeated(frame, ["k"])
+    again = {r.i for r in frame.collect() if r.k in (7, None)}
+    assert again <= {r.i for r in kept.collect()} and kept.count() < len(again) + 400
+    assert rows(duplicates.key_groups(frame, ["k"], None, ["i"]).select("k", "rows"), "k") == [(None, 20), (7, 20)]
+
+
 def test_quantiles_of_small_groups_equal_those_in_steps(spark, monkeypatch):
     rng = random.Random(4)
     df = spark.createDataFrame([(f"g{i % 13}" if i % 17 else None, rng.choice([None, rng.uniform(-1e6, 1e6), 3.0])) for i in range(900)], "g string, v double")

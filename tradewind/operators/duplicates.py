@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .patching import possibly_repeated
 from .skew import attach_few
 
 
@@ -15,12 +16,14 @@ def _order_struct(order: list[str]) -> Column:
 def key_groups(df: DataFrame, keys: list[str], quantity: str | None, order: list[str]) -> DataFrame:
     """All key groups with more than one row (NULL keys are equal): rows, quantity, first row.
 
-    Rows are counted and reduced before the shuffle, so the size of a group does not matter.
+    Rows are counted and reduced before the shuffle, so the size of a group does not matter. Of rows
+    whose keys' hash stands alone nothing but that hash is exchanged.
     """
     counted = [F.count(F.lit(1)).alias("rows"), F.min(_order_struct(order)).alias("first")]
     if quantity:
         counted.append(F.coalesce(F.sum(F.col(quantity).try_cast("decimal(18,3)")), F.lit(0)).alias("quantity"))
-    groups = df.groupBy(*keys).agg(*counted).filter("rows > 1")
+    compared = df.select(*dict.fromkeys([*keys, *order, *([quantity] if quantity else [])]))
+    groups = possibly_repeated(compared, keys).groupBy(*keys).agg(*counted).filter("rows > 1")
     if quantity:
         return groups.withColumn("erroneous", F.col("quantity") <= 1)
     return groups.withColumn("quantity", F.lit(None).cast("decimal(28,3)")).withColumn("erroneous", F.lit(True))
@@ -39,12 +42,14 @@ def duplicate_rows(df: DataFrame, keys: list[str], quantity: str | None, order:
     return for_review(mark(df, keys, quantity, order))
 
 
-def mark(df: DataFrame, keys: list[str], quantity: str | None, order: list[str]) -> DataFrame:
+def mark(df: DataFrame, keys: list[str], quantity: str | None, order: list[str], groups: DataFrame | None = None) -> DataFrame:
     """Adds ``_wrong`` (in an erroneous group) and ``_repeat`` (and not the first row there).
 
-    Groups are made of the compared columns alone, and whole rows are not exchanged for the marks.
+    Groups are made of the compared columns alone, unless ``key_groups`` have been found before, and
+    whole rows are not exchanged for the marks.
     """
-    wrong = key_groups(df, keys, quantity, order).filter("erroneous").withColumnRenamed("first", "_first")
+    found = key_groups(df, keys, quantity, order) if groups is None else groups
+    wrong = found.filter("erroneous").withColumnRenamed("first", "_first")
     marked = attach_few(df, wrong, keys, ["_first"], order, F.col("_first").isNotNull())
     return marked.withColumns({
         "_wrong": F.col("_first").isNotNull(),

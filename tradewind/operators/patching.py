@@ -24,10 +24,38 @@ def _place(key: list[Column], bits: int) -> Column:
 def key_bits(patch: DataFrame, key: list[str], bits: int) -> DataFrame:
     """``_bucket, _words``: a bit map of the keys' hashes, 512 words of 64 bits a row. Its size hangs on ``bits`` alone."""
     placed = patch.select(_place([F.col(k) for k in key], bits).alias("_at"))
-    words = placed.groupBy(F.expr(f"_at div {_WORD}").alias("_word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(_at % {_WORD} as int))")).alias("_set"))
-    packed = words.groupBy(F.expr(f"_word div {_WORDS}").alias("_bucket")).agg(
-        F.map_from_entries(F.collect_list(F.struct(F.expr(f"cast(_word % {_WORDS} as int)"), "_set"))).alias("_held"))
-    return packed.select("_bucket", F.expr(f"transform(sequence(0, {_WORDS - 1}), w -> coalesce(_held[w], 0L))").alias("_words"))
+    marks = placed.select(F.expr(f"_at div {_WORD}").alias("_word"), F.expr(f"shiftleft(1L, cast(_at % {_WORD} as int))").alias("_bit"))
+    # every word of a row is there, so that the words need only be put in order
+    marked = marks.select(F.expr(f"_word div {_WORDS}").alias("_bucket")).distinct()
+    blank = marked.select(F.explode(F.expr(f"sequence(_bucket * {_WORDS}, _bucket * {_WORDS} + {_WORDS - 1})")).alias("_word"), F.lit(0).cast("long").alias("_bit"))
+    words = marks.union(blank).groupBy("_word").agg(F.bit_or("_bit").alias("_set"))
+    packed = words.groupBy(F.expr(f"_word div {_WORDS}").alias("_bucket")).agg(F.sort_array(F.collect_list(F.struct("_word", "_set"))).alias("_held"))
+    return packed.select("_bucket", F.col("_held")["_set"].alias("_words"))
+
+
+def _marked(rows: DataFrame, key: list[str], held: DataFrame, held_key: list[str], count: int, most_bits: int) -> tuple[DataFrame, Column]:
+    """The rows beside their part of a broadcast bit map of the held keys, and whether their bit is set."""
+    bits = _WORD * _WORDS
+    while bits < min(BITS_A_ROW * count, most_bits):
+        bits *= 2
+    marked = staged(key_bits(held, held_key, bits), "patch-bits")
+    placed = rows.withColumn("_at", _place([F.col(k) for k in key], bits))
+    met = placed.join(F.broadcast(marked), F.expr(f"_at div {_WORD * _WORDS}") == F.col("_bucket"), "left")
+    return met, F.expr(f"coalesce(shiftright(_words[cast(_at div {_WORD} % {_WORDS} as int)], cast(_at % {_WORD} as int)) & 1L, 0L) = 1L")
+
+
+def possible(rows: DataFrame, key: list[str], held: DataFrame, held_key: list[str], most_bits: int = MOST_BITS) -> DataFrame:
+    """The rows whose key is among the held ones (staged), and few others. Nothing but the bit map is exchanged."""
+    met, is_set = _marked(rows, key, held, held_key, held.count(), most_bits)
+    return met.filter(is_set).select(*rows.columns)
+
+
+def possibly_repeated(rows: DataFrame, key: list[str]) -> DataFrame:
+    """All rows of keys that stand in more than one row, and few others: a first pass exchanges only the keys' hashes."""
+    hashes = rows.select(F.xxhash64(*key).alias("_hash")).groupBy("_hash").agg(F.count(F.lit(1)).alias("_rows"))
+    again = staged(hashes.filter("_rows > 1").select("_hash"), "repeated")
+    hashed = rows.withColumn("_hash", F.xxhash64(*key))
+    return possible(hashed, ["_hash"], again, ["_hash"]).drop("_hash")
 
 
 @dataclass(frozen=True)
@@ -52,13 +80,7 @@ class Patch:
         kept = [*rows.columns, *[F.col("_patch")[c].alias(c) for c in self.columns]]
         if self.rows <= small_rows and self.bytes <= small_bytes:
             return rows.join(F.broadcast(self.packed), same, "left").select(*kept)
-        bits = _WORD * _WORDS
-        while bits < min(BITS_A_ROW * self.rows, most_bits):
-            bits *= 2
-        marked = staged(key_bits(self.packed, [f"_patch_{k}" for k in self.key], bits), "patch-bits")
-        placed = rows.withColumn("_at", _place([F.col(k) for k in self.key], bits))
-        met = placed.join(F.broadcast(marked), F.expr(f"_at div {_WORD * _WORDS}") == F.col("_bucket"), "left")
-        is_set = F.expr(f"coalesce(shiftright(_words[cast(_at div {_WORD} % {_WORDS} as int)], cast(_at % {_WORD} as int)) & 1L, 0L) = 1L")
+        met, is_set = _marked(rows, self.key, self.packed, [f"_patch_{k}" for k in self.key], self.rows, most_bits)
         types = self.packed.schema["_patch"].dataType
         untouched = met.filter(~is_set).select(*rows.columns, *[F.lit(None).cast(types[c].dataType).alias(c) for c in self.columns])
         return untouched.union(met.filter(is_set).select(*rows.columns).join(self.packed, same, "left").select(*kept))

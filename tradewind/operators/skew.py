@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import staged
-from .patching import patch
+from .patching import patch, possible
 
 #: Parts into which the rows of every key are dealt.
 SLOTS = 64
@@ -45,14 +45,14 @@ def attach_few(
     """Like ``attach``, for values of which few rows are ``wanted``; in the others they are NULL.
 
     A small lookup is broadcast to the rows. For a larger one only ``order``, which tells the rows
-    apart, the keys and the columns ``beside`` that ``wanted`` looks at are exchanged; what is wanted is then put into the
-    whole rows as a patch.
+    apart, the keys and the columns ``beside`` that ``wanted`` looks at are exchanged, and these only of rows whose keys
+    a bit map of the lookup's keys holds; what is wanted is then put into the whole rows as a patch.
     """
     packed = _packed(lookup, keys, values)
     if _is_small(packed, small_rows):
         met = _met(rows, packed, keys, values, None, SLOTS, True)
         return met.select(*rows.columns, *[F.when(wanted, F.col(v)).alias(v) for v in values])
-    narrow = rows.select(*dict.fromkeys([*order, *keys, *beside]))
+    narrow = possible(rows.select(*dict.fromkeys([*order, *keys, *beside])), keys, packed, [f"_key_{k}" for k in keys])
     met = _met(narrow, packed, keys, values, order, SLOTS, False).filter(wanted)
     return patch(met, order, values).put(rows)
 
