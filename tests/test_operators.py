@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tradewind import session
 from tradewind.operators import clusters, customers, dictionary, distribution, duplicates, outliers, patching, quality, quantiles
 from tradewind.operators.indexing import with_row_index
 from tradewind.operators.quantiles import exact_quantiles
@@ -238,6 +239,17 @@ def test_transitions_against_brute_force(spark, partitions):
     assert got == dict(walk(data))
 
 
+@pytest.mark.parametrize("long_chain", [0, 40, 10 ** 6])
+def test_chains_longer_than_one_task_walks_are_stitched(spark, monkeypatch, long_chain):
+    monkeypatch.setattr(customers, "LONG_CHAIN", long_chain)
+    rng = random.Random(5)
+    data = [(rng.choice(["hot", "hot", "c1", "c2", "c3"]), f"2020-01-{rng.randrange(1, 4):02d} 10:00:00", f"o{i}", rng.choice(["A", "B", None])) for i in range(200)]
+    before = set(session.stages(spark))
+    found = customers.transitions(orders(spark, data), "s", "transaction_id")
+    assert {(r.from_state, r.to_state): r.transitions for r in found.collect()} == dict(walk(data))
+    assert any("long-steps" in p for p in session.stages(spark) if p not in before) == (long_chain < 10 ** 6)
+
+
 def test_transition_count_is_orders_minus_customers(spark, sf_dir):
     from tradewind.sources import bindings
     df = bindings.transactions(spark, sf_dir, "customer_id", "order_date", "transaction_id", "category")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
@@ -12,6 +14,9 @@ from .clusters import fit
 from .common import present, ratio, revenue, scalar
 from .indexing import with_row_index
 
+#: A customer's chain of so many steps at most is walked by one task.
+LONG_CHAIN = 100_000
+
 
 def rfm(df: DataFrame) -> DataFrame:
     """Per customer: days since the last order (seen from the day after the last of all), number of
@@ -108,23 +113,30 @@ def cohort_value(df: DataFrame) -> DataFrame:
 def transitions(df: DataFrame, state: str, tie: str) -> DataFrame:
     """How often each state follows another in a customer's orders, taken by date and ``tie``; undated orders come last.
 
-    Rows without a state are skipped and do not break the chain. The steps are range-partitioned in
+    Rows without a state are skipped and do not break the chain. The steps are staged and counted by
+    customer. Chains of ``LONG_CHAIN`` steps at most are walked whole. The steps of longer ones are range-partitioned in
     the order in which they are walked and staged, so a customer's chain is cut only at the borders
     of partitions, however long it is. Inside a partition a step looks at the one before; the chains
     of a customer in neighbouring partitions are stitched together from one first and last state per
     customer and partition.
     """
     order = [F.asc_nulls_last("order_date"), F.asc("tie"), F.asc("state")]
-    steps = present(df, "customer_id", state).select("customer_id", "order_date", F.col(tie).alias("tie"), F.col(state).alias("state"))
-    placed = staged(steps.repartitionByRange("customer_id", *order).withColumn("part", F.spark_partition_id()), "steps")
-    walked = placed.withColumn("from_state", F.lag("state").over(Window.partitionBy("customer_id", "part").orderBy(*order)))
+    steps = staged(present(df, "customer_id", state).select("customer_id", "order_date", F.col(tie).alias("tie"), F.col(state).alias("state")), "steps")
+    counted = steps.groupBy("customer_id").agg(F.count(F.lit(1)).alias("steps"))
+    long = staged(counted.filter(F.col("steps") > LONG_CHAIN).select("customer_id"), "long-chains")
 
     def tallied(pairs: DataFrame, to_state: str) -> DataFrame:
         return pairs.filter("from_state is not null").groupBy("from_state", F.col(to_state).alias("to_state")).agg(
             F.count(F.lit(1)).alias("transitions"))
 
-    place = F.struct(F.col("order_date").isNull().alias("undated"), "order_date", "tie", "state")
-    ends = placed.groupBy("customer_id", "part").agg(F.min_by("state", place).alias("first"), F.max_by("state", place).alias("last"))
-    seams = ends.withColumn("from_state", F.lag("last").over(Window.partitionBy("customer_id").orderBy("part")))
-    both = tallied(walked, "state").unionByName(tallied(seams, "first"))
-    return both.groupBy("from_state", "to_state").agg(F.sum("transitions").alias("transitions"))
+    short = steps.join(F.broadcast(long), "customer_id", "left_anti")
+    parts = [tallied(short.withColumn("from_state", F.lag("state").over(Window.partitionBy("customer_id").orderBy(*order))), "state")]
+    if not long.isEmpty():
+        cut = steps.join(F.broadcast(long), "customer_id", "left_semi").repartitionByRange("customer_id", *order)
+        placed = staged(cut.withColumn("part", F.spark_partition_id()), "long-steps")
+        walked = placed.withColumn("from_state", F.lag("state").over(Window.partitionBy("customer_id", "part").orderBy(*order)))
+        place = F.struct(F.col("order_date").isNull().alias("undated"), "order_date", "tie", "state")
+        ends = placed.groupBy("customer_id", "part").agg(F.min_by("state", place).alias("first"), F.max_by("state", place).alias("last"))
+        seams = ends.withColumn("from_state", F.lag("last").over(Window.partitionBy("customer_id").orderBy("part")))
+        parts += [tallied(walked, "state"), tallied(seams, "first")]
+    return reduce(DataFrame.unionByName, parts).groupBy("from_state", "to_state").agg(F.sum("transitions").alias("transitions"))
