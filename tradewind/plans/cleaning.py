@@ -171,13 +171,14 @@ def clean_transactions(raw: DataFrame, order: list[str]) -> CleanedTransactions:
     whole = read.table()
     key, quantity = duplicate_key(names), pick_first(names, lx.RAW_QUANTITY_NAMES)
     compared = read.table(*dict.fromkeys([*order, *key, *([quantity] if quantity else [])]))
-    marked = duplicates.mark(whole, key, quantity, order)
+    groups = staged(duplicates.key_groups(compared, key, quantity, order), "groups")
+    marked = duplicates.mark(whole, key, quantity, order, groups)
     amount = pick_first(names, ["final_amount"]) or pick_containing(names, "price")[0]
     reference = pick_first(names, ["product_id"]) or next(iter(pick_containing(names, "category")), None)
     repaired = outliers.repair_amounts(duplicates.once(marked), amount, reference, order)
     return CleanedTransactions(
         table=repaired.drop("ref_median", "repair", "amount_before"), find_rejects=read.rejects, repaired=repaired,
-        duplicate_groups=duplicates.key_groups(compared, key, quantity, order),
+        duplicate_groups=groups,
         find_review=lambda: {
             "duplicates": duplicates.for_review(marked),
             "repaired_amounts": repaired.filter("repair <> 'flag'"),
