@@ -438,3 +438,15 @@ def test_stream_agrees_with_batch(spark, sf_dir, tmp_path):
     batch = events.groupBy(F.to_date("ts").alias("day")).agg(F.sum("amount").alias("revenue"), F.count(F.lit(1)).alias("orders"))
     assert rows(days.select("day", "revenue", "orders")) == rows(batch)
     assert monitor.month_so_far(days).collect()[0].orders == events.filter("date_format(ts, 'yyyy-MM') = '2024-01'").count()
+
+
+def test_the_load_stages_its_input_once_and_exchanges_no_whole_rows(spark, sf_dir, tmp_path):
+    from tradewind import session
+    before = set(session.stages(spark))
+    built = warehouse.build(bindings.transactions(spark, sf_dir), bindings.products(spark, sf_dir), ["order_date", "transaction_id"], ["product_id"])
+    labels = [p.rsplit("/", 1)[1].rsplit("-", 1)[0] for p in session.stages(spark) if p not in before]
+    assert labels.count("orders") == 1 and "review" not in labels
+    plan = built["transactions"]._jdf.queryExecution().executedPlan().toString()
+    assert "lineitem.parquet" not in plan and "Exchange hashpartitioning" not in plan
+    loaded = warehouse.load(spark, built, str(tmp_path / "w"))
+    assert loaded["transactions"].count() == bindings.transactions(spark, sf_dir, "transaction_id").count()

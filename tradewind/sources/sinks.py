@@ -43,7 +43,7 @@ def reload_tables(tables: dict[str, DataFrame], names: dict[str, str] | None = N
 MANIFEST, VERSIONS = "manifest.json", "versions"
 
 
-def publish(spark: SparkSession, tables: dict[str, DataFrame], folder: str, partitions: dict[str, str] | None = None) -> str:
+def publish(spark: SparkSession, tables: dict[str, DataFrame], folder: str, partitions: dict[str, str] | None = None, rebalanced: bool = True) -> str:
     """Write all tables as a new version below the folder, then make it the current one; the version's name.
 
     Readers find tables through the manifest, which one rename replaces, so they see all tables of the old version or all
@@ -51,7 +51,7 @@ def publish(spark: SparkSession, tables: dict[str, DataFrame], folder: str, part
     """
     version = f"{time.strftime('%Y%m%d-%H%M%S', time.gmtime())}-{os.urandom(4).hex()}"
     for name, df in tables.items():
-        write_table(df, f"{folder}/{VERSIONS}/{version}/{name}", (partitions or {}).get(name))
+        write_table(df, f"{folder}/{VERSIONS}/{version}/{name}", (partitions or {}).get(name), rebalanced=rebalanced)
     schemas = {name: df.schema.jsonValue() for name, df in tables.items()}
     replace_file(spark, f"{folder}/{MANIFEST}", json.dumps({"version": version, "tables": schemas}))
     return version
@@ -138,10 +138,11 @@ def create_table(spark: SparkSession, table: str, name: str | None = None, path:
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name or table} ({columns}) USING parquet{partition}{location}")
 
 
-def write_table(df: DataFrame, path: str, partition: str | None = None, mode: str = "overwrite") -> None:
+def write_table(df: DataFrame, path: str, partition: str | None = None, mode: str = "overwrite", rebalanced: bool = True) -> None:
     """Parquet table. A partitioned one is rebalanced first, so that no year makes one huge file or
-    thousands of small ones; adaptive execution splits the years that are too large."""
+    thousands of small ones; adaptive execution splits the years that are too large. Where tasks of even size
+    hold few values each, that exchange of all rows can be left out."""
     if partition:
-        df.hint("rebalance", F.col(partition)).write.mode(mode).partitionBy(partition).parquet(path)
+        (df.hint("rebalance", F.col(partition)) if rebalanced else df).write.mode(mode).partitionBy(partition).parquet(path)
     else:
         df.write.mode(mode).parquet(path)
