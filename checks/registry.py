@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tradewind import functions as fn
 from tradewind.operators import customers, distribution, duplicates, outliers, quality
+from tradewind.operators.dictionary import learn, looked_up
 from tradewind.plans import analysis, cleaning, dashboard, warehouse
 from tradewind.schemas import warehouse_schema
 from tradewind.session import scratch_path, staged
@@ -297,9 +298,10 @@ def _warehouse(spark, folder):
 @query("warehouse_rejects")
 def _(spark, folder):
     """Untidy order lines and an untidy catalog straight into the load."""
-    raw = bindings.raw_transactions(spark, folder, *ROW, "order_date", "customer_id", "product_id", "final_amount", "quantity", "delivery_days", "customer_rating")
-    odd = raw.withColumns({
-        "order_date": fn.clean_date("order_date").cast("timestamp_ntz"),
+    raw = staged(bindings.raw_transactions(spark, folder, *ROW, "order_date", "customer_id", "product_id", "final_amount", "quantity", "delivery_days", "customer_rating"))
+    dated = looked_up(raw, learn(raw, {"order_date": ("order_date", fn.clean_date)}))
+    odd = dated.withColumns({
+        "order_date": F.col("order_date").cast("timestamp_ntz"),
         "final_amount": F.when(F.col("quantity") == "7", F.lit("99999999999.5")).otherwise(F.col("final_amount")),
         "product_id": F.when(F.col("quantity") == "9", F.lit("unknown")).otherwise(F.col("product_id")),
     })
