@@ -1,8 +1,10 @@
 import os
+import time
 import zlib
 
 import numpy as np
 import pytest
+import regex
 
 from tradewind.llm import idcoder, output
 from tradewind.llm.queries import QUERIES, tokenizer
@@ -77,6 +79,48 @@ def test_pieces_give_the_librarys_ids(library):
     assert all(a.tolist() == ids_of(library, t).tolist() for a, t in zip(output.Encoder(tokenizer("byte_bpe_50k.json")).encode(texts), texts))
 
 
+PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+
+
+def test_cuts_are_those_of_the_pattern(library):
+    rng, letters = np.random.default_rng(3), ["'", "'", "s", "t", "r", "e", "v", "l", "m", "d", " ", " ", "\n", "\u3000", "\x1c", "\x85", "A", "é", "Ǆ", "\u0301", "7", "½", "٣", "-", "。", "😀", "\x00"]
+    texts = ["".join(rng.choice(letters, n)) for n in rng.integers(0, 14, 4000)]
+    joined = "".join(texts)
+    begins = np.cumsum([0] + [len(t) for t in texts])
+    first = np.zeros(len(joined), bool)
+    first[[b for b, t in zip(begins, texts) if t]] = True
+    cuts = output._cuts(np.frombuffer(joined.encode("utf-32-le"), "<u4"), first).tolist()
+    assert [joined[a:b] for a, b in zip(cuts, [*cuts[1:], len(joined)])] == [p for t in texts for p in PIECE.findall(t)]
+    texts = [t.replace("A", "<|endoftext|>") for t in texts] + ["", "<|endoftext|>", " <|endoftext|> <|endoftext|><|endoftext|>"]
+    assert all(a.tolist() == ids_of(library, t).tolist() for a, t in zip(output.Encoder(tokenizer("byte_bpe_50k.json")).encode(texts), texts))
+
+
+def test_forgotten_pieces_are_asked_for_again(library, monkeypatch):
+    monkeypatch.setattr(output, "MOST_PIECES", 50)
+    encoder, texts = output.Encoder(tokenizer("byte_bpe_50k.json")), random_texts(300, 12)
+    for a in range(0, 300, 20):
+        assert all(x.tolist() == ids_of(library, t).tolist() for x, t in zip(encoder.encode(texts[a:a + 20]), texts[a:a + 20]))
+
+
+def test_carries_run_through_whole_words():
+    rng = np.random.default_rng(5)
+    blocks = [np.where(rng.random(1024) < 0.999, 50_000, rng.integers(0, 50_000, 1024)) for _ in range(400)] + [rng.integers(0, 3, 1024) for _ in range(400)]
+    prior = idcoder.Prior.of(blocks)
+    assert all((a == b).all() for a, b in zip(blocks, idcoder.decode(idcoder.encode(blocks, prior), [1024] * 800, prior)))
+
+
+def test_cost_of_an_id(spark):
+    """Turning texts into coded ids and back takes a few times what cutting them by the pattern alone takes."""
+    texts = [r["text"] or "" for r in spark.read.parquet("/root/testdata/sf0.1/documents.parquet").limit(1600).collect()]
+    path, took = tokenizer("byte_bpe_50k.json"), []
+    encoder = output.Encoder(path)
+    for work in (lambda: [PIECE.findall(t) for t in texts], lambda: output.ids_of(output._frame(0, 0, [0], encoder.encode(texts)))):
+        start = time.process_time()
+        work()
+        took.append(time.process_time() - start)
+    assert took[1] < 5 * took[0], took
+
+
 def test_files_hold_all_documents_in_order(spark, edges, nothing, library):
     folder = scratch_path(spark, "test-ids")
     output.write(edges, folder, tokenizer("byte_bpe_50k.json"), frame_ids=500)

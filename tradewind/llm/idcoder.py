@@ -4,10 +4,13 @@ A block is a run of ids that is coded with a model of its own, reset at its star
 are learnt per block: the id that last followed the two ids before (order 2) and the one that last
 followed the id before (order 1), each with a confidence. Order 0 is the shares of all ids in the
 frame (``Prior``), which are stored beside the blocks. What is coded is which order is right first,
-and at order 0 then the id by its share. The chances of the three outcomes are mixed from two adaptive
+and at order 0 then the id by its share. The bounds between the three outcomes are mixed from two adaptive
 tables, one under the confidences and one under the last two outcomes; the weight moves to the table
 that foresaw better. All of it is integer arithmetic, so the decoder follows the same states on any
 machine. Numpy advances all blocks of a call by one id a step. Any block is read with the prior alone.
+
+An id's outcome and share are one step of the range coder, whose carries are added to the words at the end.
+A prediction and its confidence are one number, and so are the two bounds, one in each half.
 """
 
 from __future__ import annotations
@@ -18,17 +21,30 @@ import numpy as np
 
 BLOCK = 1024
 _PLACES = 1024
+_PRIOR_BITS = 20
+_UNITS = 1 << _PRIOR_BITS
+_ALL = 1 << 16  # parts of all outcomes
+_RATE = 5
+_HALF, _KEPT = 32, 0x7FF | 0x7FF << 32  # where the second bound begins, and what a step of both may take off
+_SPAN, _LOW = 62, 46  # bits of the widest span, and those under which 16 bits are sure but for a carry
+_MASK = (1 << _LOW) - 1
+_TILE = 64  # ids of all blocks that are turned at once
 _U = np.uint64
-_TOTAL, _PRIOR_BITS = _U(16), _U(20)
-_UNITS = 1 << 20
-_SPARE = 64  # of 2^16 parts, what is always left for the last outcome
-_LEAST, _MOST = np.int32(31), np.int32(4000)  # bounds of a chance, so that every outcome keeps a share
-_FULL = _U(0xFFFFFFFFFFFFFFFF)
-_TOP, _BOTTOM = _U(1 << 48), _U(1 << 32)
-_WORD = _U(16)
 _LANES = np.arange(1 << 16)  # more blocks in one call are coded in turns
 
 
+def _bounds(first: int, second: int) -> int:
+    return first | second << _HALF
+
+
+#: What an outcome adds to the bounds; at least 64 parts are left for the first and the last outcome, and one for the other.
+_ADDED = np.array([_bounds(2043, 2045), _bounds(2, 2045), _bounds(2, 4)])
+#: The bounds at the start under the confidences (of order 2 four times, then of order 1) and under the last two outcomes.
+_RIGHT2, _RIGHT1 = (0.002, 0.08, 0.5, 0.9), (0.002, 0.06, 0.3, 0.6)
+_BY_SURE = np.array([_bounds(int(64000 * p), int(64000 * (p + (1 - p) * q)) + 1) for p in _RIGHT2 for q in _RIGHT1])
+_BY_PAST = np.array([_bounds(int(64000 * p), int(64000 * (p + (1 - p) * q)) + 1) for p, q in zip((0.9, 0.5, 0.4, 0, 0.4, 0.2, 0.1, 0, 0.4, 0.1, 0.02, 0, 0, 0, 0, 0), (0.3, 0.3, 0.3, 0, 0.3, 0.3, 0.2, 0, 0.3, 0.1, 0.05, 0, 0, 0, 0, 0))])
+
+
 class Prior:
     """Shares of the ids of a frame in parts of 2^20; every id that occurs has one at least."""
 
@@ -37,10 +53,9 @@ class Prior:
             raise ValueError(f"{len(ids)} different ids in a frame, at most {_UNITS - 1} can be coded")
         self.ids, self.counts = ids.astype(np.int64), counts.astype(np.int64)
         units = 1 + self.counts * (_UNITS - len(ids)) // max(int(self.counts.sum()), 1)
-        self.below = np.cumsum(units) - units
         alphabet = int(ids[-1]) + 1 if len(ids) else 1
-        self.start, self.units = np.zeros(alphabet, np.uint64), np.zeros(alphabet, np.uint64)
-        self.start[self.ids], self.units[self.ids] = self.below.astype(np.uint64), units.astype(np.uint64)
+        self.start, self.units = np.zeros(alphabet, np.int64), np.zeros(alphabet, np.int64)
+        self.start[self.ids], self.units[self.ids] = np.cumsum(units) - units, units
 
     @classmethod
     def of(cls, blocks: list[np.ndarray]) -> Prior:
@@ -69,72 +84,44 @@ class Prior:
 
 
 class _Model:
-    """The states of ``n`` blocks; chances of 2^12 that an order is right, given that none before it was."""
+    """The states of ``n`` blocks: what followed each place, and the bounds of the outcomes in parts of 2^16."""
 
     def __init__(self, n: int):
         self.follow2, self.follow1 = np.zeros(n * _PLACES, np.int32), np.zeros(n * _PLACES, np.int32)
-        self.sure2, self.sure1 = np.zeros(n * _PLACES, np.int8), np.zeros(n * _PLACES, np.int8)
-        self.by_sure = [np.full(n * 16, 1024, np.int32) for _ in range(2)]
-        self.by_past = [np.full(n * 16, 1024, np.int32) for _ in range(2)]
-        self.weight = np.full(n, 16, np.int32)
-        self.past, self.last1, self.last2 = (np.zeros(n, np.int32) for _ in range(3))
-
-    def predict(self, n: int) -> None:
-        """Predictions for the first ``n`` blocks, and the shares of the outcomes of 2^16."""
-        lane, last1, last2 = _LANES[:n], self.last1[:n], self.last2[:n]
-        self.at2 = lane * _PLACES + (((last1 * 20021 + last2 * 15013) >> 3) & (_PLACES - 1))
-        self.at1 = lane * _PLACES + ((last1 * 20021 >> 5) & (_PLACES - 1))
-        self.id2, self.id1 = self.follow2.take(self.at2), self.follow1.take(self.at1)
-        self.s2, self.s1 = self.sure2.take(self.at2), self.sure1.take(self.at1)
-        rows = lane * 16
-        self.row_a, self.row_b = rows + (self.s2 << 2 | self.s1), rows + self.past[:n]
-        weight = self.weight[:n]
-        self.a, self.b = [x.take(self.row_a) for x in self.by_sure], [x.take(self.row_b) for x in self.by_past]
-        p0, p1 = (b + ((a - b) * weight >> 5) for a, b in zip(self.a, self.b))
-        rest = 65536 - _SPARE
-        self.share0 = rest * p0 >> 12
-        self.share1 = ((rest - self.share0) * p1 >> 12) + 1
-        self.below2 = self.share0 + self.share1
-
-    def chosen(self, outcome: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(share below, share) of the outcomes."""
-        below = np.choose(outcome, (0, self.share0, self.below2))
-        share = np.choose(outcome, (self.share0, self.share1, 65536 - self.below2))
-        return below.astype(np.uint64), share.astype(np.uint64)
-
-    def learn(self, ids: np.ndarray, outcome: np.ndarray) -> None:
-        n = len(ids)
-        stored = ids + 1
-        for follow, sure, at, guess, s in ((self.follow2, self.sure2, self.at2, self.id2, self.s2), (self.follow1, self.sure1, self.at1, self.id1, self.s1)):
-            sure[at] = np.where(guess == stored, np.minimum(s + 1, 3), 1)
-            follow[at] = stored
-        right = outcome == 0
-        better = np.where(right, self.a[0] - self.b[0], self.b[0] - self.a[0])
-        weight = self.weight[:n]
-        weight += np.sign(better)
-        np.clip(weight, 1, 31, out=weight)
-        for order in range(2):
-            if order:
-                right, asked = outcome == order, outcome >= order
-            for tables, row, chance in ((self.by_sure, self.row_a, self.a), (self.by_past, self.row_b, self.b)):
-                step = (np.where(right, _MOST, _LEAST) - chance[order]) >> 5
-                tables[order][row] = chance[order] + (step * asked if order else step)
+        self.by_sure, self.by_past = np.tile(_BY_SURE, n), np.tile(_BY_PAST, n)
+        self.weight, self.past = np.full(n, 2048), np.full(n, 10)
+        self.rows = _LANES[:n] * 16
+
+    def predict(self, at2: np.ndarray, at1: np.ndarray) -> None:
+        """Predictions for the first blocks, by the places of the ids before, and the bounds of the outcomes."""
+        n = len(at2)
+        rows = self.rows[:n]
+        self.at2, self.at1, self.guess2, self.guess1 = at2, at1, self.follow2.take(at2), self.follow1.take(at1)
+        self.sure2, self.sure1 = self.guess2 & 3, self.guess1 & 3
+        self.row_a, self.row_b = rows + (self.sure2 << 2 | self.sure1), rows + self.past[:n]
+        self.a, self.b = self.by_sure.take(self.row_a), self.by_past.take(self.row_b)
+        apart = self.a - self.b
+        self.behind = apart.astype(np.int32) < 0  # of the lower halves: the first bound of a is below that of b
+        mixed = apart * (self.weight[:n] >> 6) + (self.b << 6)
+        self.first, self.second = mixed >> 6 & 0xFFFF, mixed >> 6 + _HALF
+
+    def learn(self, stored: np.ndarray, right2: np.ndarray, right1: np.ndarray, outcome: np.ndarray) -> None:
+        """Go on by one id, of which ``stored`` is one more."""
+        n, stored = len(stored), stored << 2
+        self.follow2[self.at2] = stored + np.minimum(self.sure2 * right2 + 1, 3)
+        self.follow1[self.at1] = stored + np.minimum(self.sure1 * right1 + 1, 3)
+        weight, a, b = self.weight[:n], self.a, self.b
+        weight += (self.behind ^ right2) * 4095 - weight >> _RATE
+        added = _ADDED.take(outcome)
+        self.by_sure[self.row_a] = a - (a >> _RATE & _KEPT) + added
+        self.by_past[self.row_b] = b - (b >> _RATE & _KEPT) + added
         self.past[:n] = (self.past[:n] & 3) << 2 | outcome
-        self.last2[:n] = self.last1[:n]
-        self.last1[:n] = stored
-
 
-def _unsettled(low: np.ndarray, span: np.ndarray) -> np.ndarray:
-    """Lanes whose next 16 bits are sure, or whose span has to be cut short so that they become sure."""
-    return np.flatnonzero(((low ^ (low + span)) < _TOP) | (span < _BOTTOM))
 
-
-def _shifted(low: np.ndarray, span: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Both without the 16 bits that have become sure."""
-    short = (low ^ (low + span)) >= _TOP
-    if short.any():
-        span = np.where(short, -low & (_BOTTOM - _U(1)), span)
-    return low << _WORD, span << _WORD
+def _places(last1: np.ndarray, last2: np.ndarray, lane: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the model keeps what followed the last two ids, and the last; ``lane`` is the block's first place."""
+    one = last1 * 20021
+    return lane + (one + last2 * 15013 >> 3 & _PLACES - 1), lane + (one >> 5 & _PLACES - 1)
 
 
 def _lengths(blocks: list[int]) -> tuple[np.ndarray, np.ndarray]:
@@ -151,43 +138,49 @@ def encode(blocks: list[np.ndarray], prior: Prior) -> list[bytes]:
         return encode(blocks[: len(_LANES)], prior) + encode(blocks[len(_LANES):], prior)
     order, lengths = _lengths([len(b) for b in blocks])
     n, longest = len(blocks), int(lengths[0])
-    ids = np.zeros((longest, n), np.int32)
+    held = np.zeros((n, longest), np.int32)
     for lane, which in enumerate(order):
-        ids[: lengths[lane], lane] = blocks[which]
-    model, low, span = _Model(n), np.zeros(n, np.uint64), np.full(n, _FULL)
+        held[lane, : lengths[lane]] = blocks[which]
+    ids = np.zeros((longest + 2, n), np.int64)  # one more than the id, after two places of none
+    for t in range(0, longest, _TILE):
+        np.add(held[:, t: t + _TILE].T, 1, out=ids[t + 2: t + 2 + _TILE])
+    model, lane, low, span = _Model(n), _LANES[:n] * _PLACES, np.zeros(n, np.int64), np.full(n, (1 << _SPAN) - 1)
     out_lane, out_word = [], []
     alive = np.searchsorted(-lengths, -np.arange(longest), side="left")  # lanes longer than t
     for t in range(longest):
         m = int(alive[t])
-        now = ids[t, :m]
-        model.predict(m)
-        stored = now + 1
-        outcome = np.where(model.id2 == stored, 0, np.where(model.id1 == stored, 1, 2)).astype(np.int32)
+        now = ids[t + 2, :m]
+        model.predict(*_places(ids[t + 1, :m], ids[t, :m], lane[:m]))
+        right2, right1 = model.guess2 >> 2 == now, model.guess1 >> 2 == now
+        outcome = np.where(right2, 0, 2 - right1)
+        by_share, first, second = outcome == 2, model.first, model.second
+        below = np.where(by_share, second, first * ~right2)
+        share = np.where(by_share, _ALL, np.where(right2, first, second)) - below
         lo, sp = low[:m], span[:m]
-        below, share = model.chosen(outcome)
-        part = sp >> _TOTAL
-        lo += part * below
-        np.multiply(part, share, out=sp)
-        at = np.flatnonzero(outcome == 2)
-        unit = sp[at] >> _PRIOR_BITS
-        lo[at] += unit * prior.start[now[at]]
-        sp[at] = unit * prior.units[now[at]]
-        go = _unsettled(lo, sp)
+        part = sp >> 16 + _PRIOR_BITS
+        unit = part * share
+        at = now - 1
+        lo += (part * below << _PRIOR_BITS) + unit * (prior.start.take(at) * by_share)
+        np.multiply(unit, np.where(by_share, prior.units.take(at), _UNITS), out=sp)
+        go = np.flatnonzero(sp <= _MASK)
         while len(go):
-            one, two = lo[go], sp[go]
-            out_lane.append(go)
-            out_word.append((one >> _U(48)).astype("<u2"))
-            lo[go], sp[go] = one, two = _shifted(one, two)
-            go = go[_unsettled(one, two)]
-        model.learn(now, outcome)
+            one, two = lo[go], sp[go] << 16
+            out_lane.append(go.astype(np.uint16))
+            out_word.append((one >> _LOW).astype(np.uint32))
+            lo[go], sp[go] = (one & _MASK) << 16, two
+            go = go[two <= _MASK]
+        model.learn(now, right2, right1, outcome)
     for _ in range(4):
-        out_lane.append(_LANES[:n])
-        out_word.append((low >> _U(48)).astype("<u2"))
-        low <<= _WORD
+        out_lane.append(_LANES[:n].astype(np.uint16))
+        out_word.append((low >> _LOW).astype(np.uint32))
+        low = (low & _MASK) << 16
     lanes, words = np.concatenate(out_lane), np.concatenate(out_word)
-    by_lane = np.argsort(lanes, kind="stable")
     ends = np.cumsum(np.bincount(lanes, minlength=n))
-    data, out = words[by_lane], [b""] * n
+    words = words[np.argsort(lanes, kind="stable")]
+    while len(over := np.flatnonzero(words > 0xFFFF)):  # a block's first word has no carry
+        words[over] &= 0xFFFF
+        words[over - 1] += 1
+    data, out = words.astype("<u2"), [b""] * n
     for lane, which in enumerate(order):
         out[which] = data[ends[lane - 1] if lane else 0: ends[lane]].tobytes()
     return out
@@ -201,45 +194,53 @@ def decode(coded: list[bytes], counts: list[int], prior: Prior) -> list[np.ndarr
         return decode(coded[: len(_LANES)], counts[: len(_LANES)], prior) + decode(coded[len(_LANES):], counts[len(_LANES):], prior)
     order, lengths = _lengths(counts)
     n, longest = len(coded), int(lengths[0])
-    words = np.frombuffer(b"".join(coded[i] for i in order) + bytes(16), "<u2").astype(np.uint64)
+    words = np.frombuffer(b"".join(coded[i] for i in order) + bytes(32), "<u2").astype(np.uint64)
     sizes = np.array([len(coded[i]) // 2 for i in order], np.int64)
     at = np.cumsum(sizes) - sizes
-    low, span, code = np.zeros(n, np.uint64), np.full(n, _FULL), np.zeros(n, np.uint64)
-    for _ in range(4):
-        code = code << _WORD | words[np.minimum(at, len(words) - 1)]
-        at += 1
-    model, ids = _Model(n), np.zeros((longest, n), np.int32)
+    # a span of 62 bits begins with three words and 14 bits, so the next 16 bits always lie in two words
+    w0, w1, w2, w3 = (words[np.minimum(at + i, len(words) - 1)] for i in range(4))
+    code = w0 << _U(46) | w1 << _U(30) | w2 << _U(14) | w3 >> _U(2)
+    nexts = (words[:-1] << _U(14) | words[1:] >> _U(2)) & _U(0xFFFF)
+    at += 3
+    symbols, start, units = np.repeat(prior.ids, prior.units[prior.ids]), prior.start.view(np.uint64), prior.units.view(np.uint64)
+    model, lane, span, ids = _Model(n), _LANES[:n] * _PLACES, np.full(n, (1 << _SPAN) - 1, np.uint64), np.zeros((longest + 2, n), np.int64)
     alive = np.searchsorted(-lengths, -np.arange(longest), side="left")
     for t in range(longest):
         m = int(alive[t])
-        model.predict(m)
-        lo, sp, co = low[:m], span[:m], code[:m]
-        part = sp >> _TOTAL
-        want = np.minimum((co - lo) // part, _U(65535)).astype(np.int32)
-        outcome = (want >= model.share0).astype(np.int32) + (want >= model.below2)
-        below, share = model.chosen(outcome)
-        lo += part * below
-        np.multiply(part, share, out=sp)
-        now = np.where(outcome == 0, model.id2, model.id1) - 1
-        by_share = np.flatnonzero(outcome == 2)
-        unit = sp[by_share] >> _PRIOR_BITS
-        found = prior.ids[np.searchsorted(prior.below, ((co[by_share] - lo[by_share]) // unit).astype(np.int64), side="right") - 1]
-        lo[by_share] += unit * prior.start[found]
-        sp[by_share] = unit * prior.units[found]
-        now[by_share] = found
-        np.clip(now, 0, len(prior.units) - 1, out=now)  # a damaged block may lead anywhere
-        go = _unsettled(lo, sp)
+        model.predict(*_places(ids[t + 1, :m], ids[t, :m], lane[:m]))
+        sp, co = span[:m], code[:m]
+        first, second = model.first.view(np.uint64), model.second.view(np.uint64)
+        part = sp >> _U(16 + _PRIOR_BITS)
+        wide = part << _U(_PRIOR_BITS)
+        bound1, bound2 = wide * first, wide * second
+        right2, by_share = co < bound1, co >= bound2
+        now = np.where(right2, model.guess2, model.guess1).astype(np.int64) >> 2
+        right1 = model.guess1 >> 2 == now
+        co -= np.where(by_share, bound2, np.where(right2, _U(0), bound1))
+        np.copyto(sp, np.where(right2, bound1, bound2 - bound1))
+        shared = np.flatnonzero(by_share)
+        rest = co[shared]
+        unit = part[shared] * (_U(_ALL) - second[shared])
+        found = symbols.take((rest // unit).view(np.int64), mode="clip")
+        co[shared] = rest - unit * start.take(found)
+        sp[shared] = unit * units.take(found)
+        now[shared] = found + 1
+        np.maximum(now, 1, out=now)  # a damaged block may lead anywhere
+        go = np.flatnonzero(sp <= _U(_MASK))
         while len(go):
-            one, two = lo[go], sp[go]
-            lo[go], sp[go] = one, two = _shifted(one, two)
-            co[go] = co[go] << _WORD | words[np.minimum(at[go], len(words) - 1)]
-            at[go] += 1
-            go = go[_unsettled(one, two)]
-        ids[t, :m] = now
-        model.learn(now, outcome)
+            two, where = sp[go] << _U(16), at[go]
+            co[go] = co[go] << _U(16) | nexts.take(where, mode="clip")
+            sp[go], at[go] = two, where + 1
+            go = go[two <= _U(_MASK)]
+        ids[t + 2, :m] = now
+        right1[shared] = False
+        model.learn(now, right2, right1, np.where(right2, 0, 1 + by_share))
+    held = np.zeros((n, longest), "<u4")
+    for t in range(0, longest, _TILE):
+        held[:, t: t + _TILE] = ids[t + 2: t + 2 + _TILE].T - 1
     out: list = [None] * n
     for lane, which in enumerate(order):
-        out[which] = ids[: lengths[lane], lane].astype("<u4")
+        out[which] = held[lane, : lengths[lane]]
     return out
 
 

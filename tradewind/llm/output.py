@@ -18,6 +18,8 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
+from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,51 +30,163 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from . import idcoder
+from .common import pieces
 
 END = 2
 #: Ids after which a frame is closed.
 FRAME_IDS = 1 << 21
 #: Remembered pieces are dropped beyond so many.
-MOST_PIECES = 1 << 19
-#: How byte-level vocabularies of this family cut a text into pieces.
-PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+MOST_PIECES = 1 << 20
+#: Unknown pieces that the library is given at once.
+WORDS = 256
+#: Byte-level vocabularies of this family cut a text into the pieces
+#: 's|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+
+SPACE, LETTER, NUMBER = r"\s", r"\p{L}", r"\p{N}"
+SHORT, LONG = "stmd", ("re", "ve", "ll")
 FRAMES = ("part int, frame int, prior binary, doc_ids array<long>, doc_lengths array<long>, "
           "block_lengths array<int>, block_bytes array<int>, block_checksums array<long>, payload binary")
 DOCUMENTS = "part int, frame int, doc_id long, first long, n_tokens long, ids_crc32 long"
 
 
+@cache
+def _kinds() -> np.ndarray:
+    """Of every code point: 1 space, 2 letter, 3 number, 0 anything else."""
+    every = np.arange(0x110000, dtype="<u4")
+    every[0xD800:0xE000] = 0  # no text has surrogates
+    every, out = every.tobytes().decode("utf-32-le"), np.zeros(0x110000, np.uint8)
+    for kind, what in enumerate((SPACE, LETTER, NUMBER), 1):
+        for run in regex.finditer(f"{what}+", every):
+            out[run.start(): run.end()] = kind
+    return out
+
+
+def _cuts(points: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Where pieces begin in texts that follow each other; ``first`` marks where the texts begin."""
+    kind = _kinds().take(points)
+    turns = first.copy()
+    turns[1:] |= kind[1:] != kind[:-1]
+    begins = turns.copy()
+    # the last space of several is a piece by itself, and a blank goes with what follows it
+    last = np.flatnonzero((kind[:-1] == 1) & turns[1:] & ~first[1:])
+    begins[last] = True
+    begins[last[points[last] == 32] + 1] = False
+    # 's and the like are cut off what follows
+    marks = np.flatnonzero(points[:-1] == 39)
+    marks = marks[begins[marks] & ~first[marks + 1] & (kind[marks + 1] == 2)]
+    if len(marks):
+        padded = np.append(points, [0, 0])
+        one, two, whole = padded[marks + 1], padded[marks + 2], ~np.append(first, [True, True])[marks + 2]
+        short = np.isin(one, [ord(c) for c in SHORT])
+        long = np.logical_or.reduce([(one == ord(a)) & (two == ord(b)) for a, b in LONG]) & whole
+        cut = marks[short | long]
+        begins[cut + 1] = False
+        ends = np.append(marks[short] + 2, marks[long] + 3)
+        begins[ends[ends < len(points)]] = True
+    return np.flatnonzero(begins)
+
+
+@cache
+def _letters() -> np.ndarray:
+    """The code points that stand for bytes in byte-level vocabularies."""
+    kept = np.r_[33:127, 161:173, 174:256]
+    out = np.zeros(256, "<u2")
+    out[kept] = kept
+    out[out == 0] = 256 + np.arange(256 - len(kept))
+    return out
+
+
 class Encoder:
-    """Ids of whole texts by the tokenizers library, which is asked once for each distinct piece."""
+    """Ids of whole texts by the tokenizers library, whose model is asked once for each distinct piece."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.special = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(special, key=len, reverse=True)) + ")") if special else None
-        self.known: dict[str, bytes] = {}
-
-    def pieces(self, text: str) -> list[str]:
-        if self.special is None:
-            return PIECE.findall(text)
-        parts = self.special.split(text)
-        if len(parts) == 1:
-            return PIECE.findall(text)
-        out = []
-        for i, part in enumerate(parts):
-            out += [part] if i % 2 else PIECE.findall(part)
-        return out
+        self.model = Tokenizer(self.library.model)  # for texts that are cut and spelt in letters already
+        self.specials = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.special = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(self.specials, key=len, reverse=True)) + ")") if self.specials else None
+        vocabulary = self.library.get_vocab()
+        self.n_bytes = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
+        self.n_bytes[list(vocabulary.values())] = [len(token) for token in vocabulary]
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.ids, self.lengths = np.zeros(0, "<u4"), np.zeros(0, np.int64)
+
+    def _ids(self, unknown: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces, and how many each has: an id stands for a known number of bytes, and none for bytes of two pieces."""
+        ends = np.cumsum([len(p) for p in unknown])
+        spelt, at = _letters().take(np.frombuffer(b"".join(unknown), np.uint8)).tobytes().decode("utf-16-le"), [0, *ends.tolist()]
+        words = [spelt[a:b] for a, b in zip(at[:-1], at[1:])]
+        found = self.model.encode_batch_fast([words[i:i + WORDS] for i in range(0, len(words), WORDS)], is_pretokenized=True, add_special_tokens=False)
+        ids = np.array(list(chain.from_iterable(f.ids for f in found)), "<u4")
+        stands = np.cumsum(self.n_bytes[ids])
+        last = np.searchsorted(stands, ends)
+        if len(stands) == 0 or stands[-1] != ends[-1] or (stands[last] != ends).any():  # not of this family
+            return self._ids_one_by_one(unknown)
+        return ids, np.diff(last, prepend=-1)
+
+    def _ids_one_by_one(self, unknown: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        found = [f.ids for f in self.library.encode_batch_fast([p.decode() for p in unknown], add_special_tokens=False)]
+        return np.array(list(chain.from_iterable(found)), "<u4"), np.array([len(ids) for ids in found], np.int64)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [self.pieces(t) for t in texts]
+        parts, owner, whole = texts, None, None
+        joined = "".join(texts)
+        if any(s in joined for s in self.specials):
+            cut = [self.special.split(t) for t in texts]
+            parts = [p for c in cut for p in c]
+            owner = np.repeat(np.arange(len(texts)), [len(c) for c in cut])
+            whole = np.concatenate([np.arange(len(c)) % 2 == 1 for c in cut])
+        lengths = np.array([len(p) for p in parts], np.int64)
+        begins = np.cumsum(lengths) - lengths
+        n_pieces = np.zeros(len(parts), np.int64)
+        places = np.zeros(0, np.int64)
+        if joined:
+            first = np.zeros(len(joined), bool)
+            first[begins[lengths > 0]] = True
+            cuts = _cuts(np.frombuffer(joined.encode("utf-32-le"), "<u4"), first)
+            if whole is not None:  # a special text is one piece
+                part = np.searchsorted(begins, cuts, side="right") - 1
+                cuts = cuts[~whole[part] | (cuts == begins[part])]
+            n_pieces = np.diff(np.searchsorted(cuts, np.append(begins, len(joined))))
+            places = self._places(joined.encode("utf-8"), cuts)
+        if owner is not None:
+            n_pieces = np.bincount(owner, n_pieces, len(texts)).astype(np.int64)
+        ends = np.cumsum(n_pieces)
+        counts = self.lengths.take(places)
+        held = np.append(0, np.cumsum(counts))
+        starts = np.append(0, np.cumsum(self.lengths)[:-1]) if len(self.lengths) else np.zeros(0, np.int64)
+        flat = self.ids.take(np.repeat(starts.take(places) - held[:-1], counts) + np.arange(held[-1]))
+        bounds = held[np.append(0, ends)]
+        end = np.array([END], "<u4")
+        return [np.append(flat[a:b], end) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+
+    def _places(self, joined: bytes, cuts: np.ndarray) -> np.ndarray:
+        """Which remembered piece each piece is; those that are new are encoded and remembered."""
+        raw = np.frombuffer(joined, np.uint8)
+        at = np.flatnonzero((raw & 0xC0) != 0x80)[cuts]
+        offsets = pa.py_buffer(np.append(at, len(raw)).astype(np.int64))
+        found = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(cuts), [None, offsets, pa.py_buffer(joined)]).dictionary_encode()
+        distinct = found.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self.known) > MOST_PIECES:
-            self.known.clear()
-        missing = list(set().union(*cut).difference(self.known)) if cut else []
-        for piece, found in zip(missing, self.library.encode_batch_fast(missing, add_special_tokens=False)):
-            self.known[piece] = np.array(found.ids, "<u4").tobytes()
-        end, known = np.array([END], "<u4").tobytes(), self.known.__getitem__
-        return [np.frombuffer(b"".join([*map(known, pieces), end]), "<u4") for pieces in cut]
+            self._forget()
+        new = [p for p in distinct if p not in self.known]
+        specials = {s.encode() for s in self.specials}
+        for unknown, ask in (([p for p in new if p not in specials], self._ids), ([p for p in new if p in specials], self._ids_one_by_one)):
+            if unknown:
+                ids, lengths = ask(unknown)
+                self.known.update(zip(unknown, range(len(self.lengths), len(self.lengths) + len(unknown))))
+                self.ids, self.lengths = np.append(self.ids, ids), np.append(self.lengths, lengths)
+        return np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct)).take(found.indices.to_numpy())
+
+
+@cache
+def _encoder(path: str) -> Encoder:
+    """One for all tasks of a worker, so that what it remembers serves the next task too."""
+    return Encoder(path)
 
 
 def _frame(part: int, frame: int, doc_ids: list, ids: list[np.ndarray]) -> dict:
@@ -94,7 +208,7 @@ def _frame_type() -> pa.Schema:
 def write(docs: DataFrame, folder: str, path: str, frame_ids: int = FRAME_IDS) -> None:
     """Write the ids of all documents, in the order of doc_id, as files below ``folder``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, frame, encoder = TaskContext.get().partitionId(), 0, Encoder(path)
+        part, frame, encoder = TaskContext.get().partitionId(), 0, _encoder(path)
         doc_ids, ids, held = [], [], 0
 
         def row() -> pa.RecordBatch:
@@ -102,8 +216,8 @@ def write(docs: DataFrame, folder: str, path: str, frame_ids: int = FRAME_IDS) -
 
         for batch in batches:
             keys, texts = batch.column("doc_id").to_pylist(), batch.column("text")
-            for start in range(0, len(keys), 256):
-                for key, one in zip(keys[start:start + 256], encoder.encode(texts.slice(start, 256).to_pylist())):
+            for start, stop in pieces(texts.cast(pa.binary()).to_pylist()):
+                for key, one in zip(keys[start:stop], encoder.encode(texts.slice(start, stop - start).to_pylist())):
                     doc_ids.append(key)
                     ids.append(one)
                     held += len(one)
