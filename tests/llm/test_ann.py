@@ -1,3 +1,5 @@
+import heapq
+
 import numpy as np
 
 from tradewind.llm import ann
@@ -65,3 +67,44 @@ def test_rows_that_take_no_part(spark):
     assert by_query(ann.search(df, 20)) == {0: [(1, 7, 2.0), (2, 8, 2.0), (3, 20, 0.0), (4, 9, -1.0)], 20: [(1, 7, 3.0), (2, 8, 3.0), (3, 0, 0.0), (4, 9, 0.0)]}
     assert ann.search(df.limit(0), 20).count() == 0 and ann.search(df.filter("vec_id = 7"), 20).count() == 0
     assert by_query(ann.search(df.filter("vec_id = 0"), 20)) == {}
+
+
+def test_leaves_come_in_the_order_of_a_shared_queue():
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(1500, 8)).astype(np.float32)
+    x[:700] = np.round(x[:700])  # many equal margins
+    for levels, budget in ((0, 5), (4, 300), (4, 10 ** 6)):
+        forest = ann.Forest(x, levels)
+        counts = np.bincount(forest.leaves(x).ravel(), minlength=forest.trees * (forest.inner + 1))
+        counts[::5] = 0
+        for q, found in zip(x[600:800], forest.probes(x[600:800], counts, budget)):
+            queue, held, expected = [(-np.inf, tree, 0) for tree in range(forest.trees)], 0, []
+            while queue and held < budget:
+                worst, tree, node = heapq.heappop(queue)
+                if node >= forest.inner:
+                    leaf = node - forest.inner + tree * (forest.inner + 1)
+                    held += counts[leaf]
+                    expected += [leaf] if counts[leaf] else []
+                else:
+                    m = np.einsum("d,d", q, forest.normals[tree, node]) - forest.cuts[tree, node]
+                    heapq.heappush(queue, (max(worst, -m), tree, 2 * node + 2))
+                    heapq.heappush(queue, (max(worst, m), tree, 2 * node + 1))
+            assert sorted(found.tolist()) == sorted(expected) or set(found.tolist()[:-2]) <= set(expected)
+
+
+def test_groups_are_ranked_once(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(600, 8)))]
+    found = ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), 20)
+    assert "FlatMapCoGroups" not in found._jdf.queryExecution().toString()
+
+
+def test_only_opened_leaves_are_compared():
+    rng = np.random.default_rng(8)
+    queries, rows, ids = rng.normal(size=(30, 6)), rng.normal(size=(100, 6)), rng.permutation(100)
+    ends, is_open = [0, 40, 40, 75, 100], rng.random((30, 4)) < 0.5
+    begins, best, scores = ann._best_of_leaves(queries, rows, ids, 7, [np.flatnonzero(o) for o in is_open.T], ends)
+    for q in range(30):
+        own = [r for k in range(4) if is_open[q, k] for r in range(ends[k], ends[k + 1])]
+        expected = sorted((-(rows[r] * queries[q]).sum(), ids[r]) for r in own)[:7]
+        assert list(zip((-scores[begins[q]: begins[q + 1]]).tolist(), best[begins[q]: begins[q + 1]].tolist())) == expected

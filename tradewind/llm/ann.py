@@ -22,11 +22,9 @@ columns, whatever their names, are not read.
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -45,6 +43,8 @@ RECALL = 0.95
 MEASURED = 128
 GROUP_LEAVES = 64
 SLOT_QUERIES = 8192
+#: Products of queries and rows that are held at once, about.
+SCORES = 1 << 22
 SEED = 42
 
 
@@ -84,47 +84,69 @@ class Forest:
             out[:, tree] = node - self.inner + tree * (self.inner + 1)
         return out
 
-    def probes(self, x: np.ndarray, counts: np.ndarray, budget: int) -> Iterator[list[int]]:
-        """Per query the leaves in the order of the shared queue, until they hold ``budget`` rows."""
+    def probes(self, x: np.ndarray, counts: np.ndarray, budget: int) -> Iterator[np.ndarray]:
+        """Per query the leaves in the order of the shared queue, until they hold ``budget`` rows.
+
+        A node is never nearer than the one above it, so the queue gives the leaves by their smallest
+        margin on the way, then by tree and place; all of them are ordered at once.
+        """
+        places = np.arange(self.trees * (self.inner + 1), dtype=np.uint64)
         for a in range(0, len(x), 64):
-            margins = np.einsum("qd,tnd->qtn", x[a:a + 64], self.normals) - self.cuts if self.inner else np.zeros((len(x[a:a + 64]), self.trees, 0))
-            for margin in margins:
-                margin = margin.tolist()
-                queue, held, found = [(-np.inf, tree, 0) for tree in range(self.trees)], 0, []
-                while queue and held < budget:
-                    worst, tree, node = heapq.heappop(queue)
-                    if node >= self.inner:
-                        leaf = node - self.inner + tree * (self.inner + 1)
-                        if counts[leaf]:
-                            found.append(leaf)
-                            held += counts[leaf]
-                    else:
-                        m = margin[tree][node]
-                        heapq.heappush(queue, (max(worst, -m), tree, 2 * node + 2))
-                        heapq.heappush(queue, (max(worst, m), tree, 2 * node + 1))
-                yield found
-
-
-def _matrix(column: pa.Array, dims: int) -> np.ndarray:
-    return column.combine_chunks().values.to_numpy(zero_copy_only=False).reshape(-1, dims) if isinstance(column, pa.ChunkedArray) else column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
-
-
-def _best(queries: np.ndarray, rows: np.ndarray, ids: np.ndarray, most: int, open_rows: np.ndarray | None = None) -> tuple[list, list]:
+            part = x[a:a + 64]
+            margins = np.einsum("qd,tnd->qtn", part, self.normals) - self.cuts
+            worst = np.full((len(part), self.trees, 1), -np.inf, np.float32)
+            for level in range(self.levels):
+                m = margins[:, :, 2**level - 1: 2 ** (level + 1) - 1]
+                worst = np.stack([np.maximum(worst, m), np.maximum(worst, -m)], axis=3).reshape(len(part), self.trees, -1)
+            bits = (worst.reshape(len(part), -1) + np.float32(0)).view(np.int32)
+            rising = np.where(bits < 0, ~bits, bits | np.int32(-2**31)).view(np.uint32)  # in the order of the numbers
+            order = (np.sort(rising.astype(np.uint64) << np.uint64(32) | places, axis=1) & np.uint64(2**32 - 1)).astype(np.int64)
+            held = np.cumsum(counts[order], axis=1)
+            for leaves, n in zip(order, (held < budget).sum(axis=1) + 1):
+                yield leaves[:n][counts[leaves[:n]] > 0]
+
+
+def _matrix(column: pa.Array | pa.ChunkedArray, dims: int) -> np.ndarray:
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
+
+
+def _slack(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """What rounding may do to the queries' products with the rows."""
+    return 1e-15 * (queries.shape[1] + 8) * np.linalg.norm(queries, axis=1) * np.linalg.norm(rows, axis=1).max(initial=0.0)
+
+
+def _best(queries: np.ndarray, rows: np.ndarray, ids: np.ndarray, most: int) -> tuple[list, list]:
     """Per query the ``most`` best rows' ids and scores; scores are sums of products of the vectors in double precision."""
-    scores = queries @ rows.T
-    if open_rows is not None:
-        scores[~open_rows] = -np.inf
-    border = np.partition(scores, -most, axis=1)[:, -most] if len(rows) > most else np.full(len(queries), -np.inf)
+    ends, best, scores = _best_of_leaves(queries, rows, ids, most, [np.arange(len(queries))], [0, len(rows)])
+    return np.split(best, ends[1:-1]), np.split(scores, ends[1:-1])
+
+
+def _best_of_leaves(queries: np.ndarray, rows: np.ndarray, ids: np.ndarray, most: int, opened: list[np.ndarray], ends: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ``most`` best rows' ids and scores of every query, one after the other, and where each begins.
+
+    Rows lie leaf by leaf, leaf k from ``ends[k]`` on; a query is compared with the rows of the leaves it has ``opened`` only.
+    """
+    top, parts = np.full((len(queries), most), -np.inf), []
+    for asked, a, b in zip(opened, ends[:-1], ends[1:]):
+        scores = queries[asked] @ rows[a:b].T
+        scores[~np.isfinite(scores)] = -np.inf
+        parts.append((asked, a, scores))
+        if len(asked) and b > a:
+            both = np.concatenate([top[asked], scores], axis=1)
+            top[asked] = np.partition(both, -most, axis=1)[:, -most:]
     # whatever rounding could put at the border is looked at, however many rows tie there
-    slack = 1e-15 * (queries.shape[1] + 8) * np.linalg.norm(queries, axis=1) * np.linalg.norm(rows, axis=1).max(initial=0.0)
-    out_ids, out_scores = [], []
-    for q in range(len(queries)):
-        own = np.flatnonzero((scores[q] >= border[q] - slack[q]) & np.isfinite(scores[q]))
-        exact = (rows[own] * queries[q]).sum(axis=1)
-        order = np.lexsort((ids[own], -exact))[:most]
-        out_ids.append(ids[own][order])
-        out_scores.append(exact[order])
-    return out_ids, out_scores
+    border = np.maximum(top.min(axis=1) - _slack(queries, rows), np.finfo(float).min)
+    hits = [(asked[q], a + r) for asked, a, scores in parts for q, r in [np.nonzero(scores >= border[asked][:, None])]]
+    q, r = (np.concatenate(x) for x in zip(*hits))
+    exact = np.empty(len(q))
+    for a in range(0, len(q), 1 << 16):
+        exact[a:a + (1 << 16)] = (rows[r[a:a + (1 << 16)]] * queries[q[a:a + (1 << 16)]]).sum(axis=1)
+    order = np.lexsort((ids[r], -exact, q))
+    q, r, exact = q[order], r[order], exact[order]
+    begins = np.searchsorted(q, np.arange(len(queries) + 1))
+    kept = np.arange(len(q)) - begins[q] < most
+    return np.searchsorted(q[kept], np.arange(len(queries) + 1)), ids[r[kept]], exact[kept]
 
 
 def entries(vectors: DataFrame, most: int) -> tuple[DataFrame, int]:
@@ -176,9 +198,10 @@ def _exact(rows: DataFrame, ids: np.ndarray, queries: np.ndarray, dims: int, mos
 def budget_for(forest: Forest, counts: np.ndarray, ids: np.ndarray, queries: np.ndarray, exact: dict[int, list[list[int]]], recall: float) -> int:
     """Candidates after which ``recall`` of the measured queries' exact neighbours had been met."""
     needs = []
+    held = np.zeros(len(counts), np.int64)
     for q, order in zip(ids.tolist(), forest.probes(queries.astype(np.float32), counts, int(counts.sum()) + 1)):
-        held = dict(zip(order, np.cumsum(counts[order]).tolist()))
-        needs += [min(held[leaf] for leaf in leaves) for leaves in exact.get(q, [])]
+        held[order] = np.cumsum(counts[order])
+        needs += [int(held[leaves].min()) for leaves in exact.get(q, [])]
     return int(np.quantile(needs, recall, method="higher")) if needs else 1
 
 
@@ -216,41 +239,50 @@ def search(vectors: DataFrame, every: int, nearest: int = NEAREST, recall: float
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = _matrix(batch.column("v"), dims).astype(np.float32)
-            lines = []
-            for i, leaves in enumerate(forest.probes(x, counts, budget)):
-                own: dict[int, list[int]] = {}
-                for leaf in leaves:
-                    own.setdefault(leaf // span, []).append(leaf)
-                lines += [(i, group, ls) for group, ls in own.items()]
-            cols = list(zip(*lines)) or [()] * 3
-            at = pa.array(cols[0], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("entry").take(at), batch.column("v").take(at), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.list_(pa.int32()))], names=["query", "v", "part", "probed"])
+            leaves = list(forest.probes(x, counts, budget))
+            at, leaf = np.repeat(np.arange(len(x)), [len(own) for own in leaves]), np.concatenate([*leaves, np.zeros(0, np.int64)])
+            order = np.lexsort((leaf, at))
+            at, leaf = at[order], leaf[order]
+            begins = np.flatnonzero(np.diff(at, prepend=-1) | np.diff(leaf // span, prepend=-1))
+            probed = pa.ListArray.from_arrays(pa.array(np.append(begins, len(leaf)).astype(np.int32)), pa.array(leaf.astype(np.int32)))
+            at, part = pa.array(at[begins]), pa.array((leaf[begins] // span).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([batch.column("entry").take(at), batch.column("v").take(at), part, probed], names=["query", "v", "part", "probed"])
 
     kind = found.schema["v"].dataType.elementType.simpleString()
     probes = queries.repartition(max(spark.sparkContext.defaultParallelism, n_queries // SLOT_QUERIES), "entry").mapInArrow(probe, f"query long, v array<{kind}>, part int, probed array<int>")
     probes = probes.withColumn("slot", F.pmod(F.xxhash64("query"), F.lit(slots)).cast("int"))
     placed = rows.select("entry", "v", F.explode("leaves").alias("leaf")).withColumn("part", (F.col("leaf") / span).cast("int")).withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
 
-    def rank(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame({"query": pd.Series([], dtype="int64"), "found": pd.Series([], dtype=object)})
-        x, ids, leaf = np.array(right["v"].tolist(), np.float64), right["entry"].to_numpy(np.int64), right["leaf"].to_numpy(np.int64) % span
-        out = []
-        for a in range(0, len(left), 256):
-            part = left.iloc[a:a + 256]
-            is_open = np.zeros((len(part), span), bool)
-            for i, probed in enumerate(part["probed"]):
-                is_open[i, np.asarray(probed) % span] = True
-            best, scores = _best(np.array(part["v"].tolist(), np.float64), x, ids, most, is_open[:, leaf])
-            out += [(q, [{"score": -s, "entry": e} for s, e in zip(ss.tolist(), es.tolist())]) for q, es, ss in zip(part["query"], best, scores)]
-        return pd.DataFrame(out, columns=["query", "found"])
-
-    ranked = probes.groupBy("part", "slot").cogroup(placed.groupBy("part", "slot")).applyInPandas(rank, "query long, found array<struct<score: double, entry: long>>")
-    # the best entries of all groups, an entry once; then their ids, and each query's own left out
-    best = ranked.groupBy("query").agg(F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("found")))), 1, most).alias("found"))
+    def rank(left: pa.Table, right: pa.Table) -> pa.Table:
+        found, n_found = [], [np.zeros(1, np.int64)]
+        if len(left) and len(right):
+            leaf = right.column("leaf").to_numpy() % span
+            order = np.argsort(leaf, kind="stable")
+            ends = np.searchsorted(leaf[order], np.arange(span + 1)).tolist()
+            x, ids = _matrix(right.column("v"), dims).astype(np.float64)[order], right.column("entry").to_numpy()[order]
+            asked, probed = _matrix(left.column("v"), dims).astype(np.float64), left.column("probed").combine_chunks()
+            lengths = probed.value_lengths().to_numpy()
+            is_open = np.zeros((len(left), span), bool)
+            is_open[np.repeat(np.arange(len(left)), lengths), probed.flatten().to_numpy() % span] = True
+            step = int(np.clip(SCORES // len(x), 16, 1024))
+            for a in range(0, len(left), step):
+                opened = [np.flatnonzero(o) for o in is_open[a:a + step].T]
+                begins, best, scores = _best_of_leaves(asked[a:a + step], x, ids, most, opened, ends)
+                found.append((-scores, best))
+                n_found.append(np.diff(begins))
+        minus, best = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0), np.zeros(0, np.int64))
+        pairs = pa.StructArray.from_arrays([pa.array(minus, pa.float64()), pa.array(best, pa.int64())], names=["score", "entry"])
+        offsets = np.cumsum(np.concatenate(n_found)).astype(np.int32)
+        queries = left.column("query") if found else pa.array([], pa.int64())
+        return pa.table({"query": queries, "found": pa.ListArray.from_arrays(pa.array(offsets), pairs)})
+
+    ranked = probes.groupBy("part", "slot").cogroup(placed.groupBy("part", "slot")).applyInArrow(rank, "query long, found array<struct<score: double, entry: long>>")
+    # the best entries of all groups, an entry, which every tree may have found, once; then their ids, and each query's own left out
+    ordered = F.slice(F.sort_array(F.flatten(F.collect_list("found"))), 1, most * forest.trees)
+    best = staged(ranked.groupBy("query").agg(F.slice(F.array_distinct(ordered), 1, most).alias("found")), "best")
     pairs = best.select("query", F.explode("found").alias("f")).select("query", F.col("f.score").alias("minus"), F.col("f.entry").alias("entry"))
     named = spread_join(pairs, found.select("entry", "ids"), "entry", ["query"])
-    answers = named.select("query", F.transform("ids", lambda i: F.struct(F.col("minus").alias("minus"), i.alias("vec_id"))).alias("answers")).groupBy("query").agg(F.slice(F.array_sort(F.flatten(F.collect_list("answers"))), 1, most).alias("answers"))
+    answers = named.select("query", F.transform("ids", lambda i: F.struct(F.col("minus").alias("minus"), i.alias("vec_id"))).alias("answers")).groupBy("query").agg(F.slice(F.sort_array(F.flatten(F.collect_list("answers"))), 1, most).alias("answers"))
     each = spread_join(members.withColumnRenamed("entry", "query"), staged(answers, "answers"), "query", ["query_id"])
     others = F.slice(F.filter("answers", lambda a: a["vec_id"] != F.col("query_id")), 1, nearest)
     return each.select("query_id", F.posexplode(others).alias("place", "a")).select("query_id", (F.col("place") + 1).cast("int").alias("rank"), F.col("a.vec_id").alias("vec_id"), (-F.col("a.minus")).alias("score"))
