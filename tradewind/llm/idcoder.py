@@ -59,7 +59,12 @@ class Prior:
 
     @classmethod
     def of(cls, blocks: list[np.ndarray]) -> Prior:
-        return cls(*np.unique(np.concatenate(blocks) if blocks else np.zeros(0, np.int64), return_counts=True))
+        stream = np.concatenate(blocks) if blocks else np.zeros(0, np.int64)
+        if len(stream) and stream.max() < _UNITS:  # one place an id
+            counts = np.bincount(stream)
+            ids = np.flatnonzero(counts)
+            return cls(ids, counts[ids])
+        return cls(*np.unique(stream, return_counts=True))
 
     def to_bytes(self) -> bytes:
         """Steps between the ids and the counts, seven bits a byte, after how many there are, packed by zlib and checked by it."""
@@ -202,7 +207,7 @@ def decode(coded: list[bytes], counts: list[int], prior: Prior) -> list[np.ndarr
     code = w0 << _U(46) | w1 << _U(30) | w2 << _U(14) | w3 >> _U(2)
     nexts = (words[:-1] << _U(14) | words[1:] >> _U(2)) & _U(0xFFFF)
     at += 3
-    symbols, start, units = np.repeat(prior.ids, prior.units[prior.ids]), prior.start.view(np.uint64), prior.units.view(np.uint64)
+    symbols, start, units = np.repeat(prior.ids.astype(np.min_scalar_type(len(prior.units))), prior.units[prior.ids]), prior.start.view(np.uint64), prior.units.view(np.uint64)
     model, lane, span, ids = _Model(n), _LANES[:n] * _PLACES, np.full(n, (1 << _SPAN) - 1, np.uint64), np.zeros((longest + 2, n), np.int64)
     alive = np.searchsorted(-lengths, -np.arange(longest), side="left")
     for t in range(longest):

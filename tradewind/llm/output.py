@@ -33,7 +33,7 @@ from . import idcoder
 from .common import pieces
 
 END = 2
-#: Ids after which a frame is closed.
+#: Ids after which a frame is closed; what is left, up to half as many, goes with the last one.
 FRAME_IDS = 1 << 21
 #: Remembered pieces are dropped beyond so many.
 MOST_PIECES = 1 << 20
@@ -209,10 +209,10 @@ def write(docs: DataFrame, folder: str, path: str, frame_ids: int = FRAME_IDS) -
     """Write the ids of all documents, in the order of doc_id, as files below ``folder``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, frame, encoder = TaskContext.get().partitionId(), 0, _encoder(path)
-        doc_ids, ids, held = [], [], 0
+        doc_ids, ids, held, full, full_held = [], [], 0, 0, 0
 
-        def row() -> pa.RecordBatch:
-            return pa.RecordBatch.from_pylist([_frame(part, frame, doc_ids, ids)], _frame_type())
+        def row(n: int) -> pa.RecordBatch:
+            return pa.RecordBatch.from_pylist([_frame(part, frame, doc_ids[:n], ids[:n])], _frame_type())
 
         for batch in batches:
             keys, texts = batch.column("doc_id").to_pylist(), batch.column("text")
@@ -221,11 +221,16 @@ def write(docs: DataFrame, folder: str, path: str, frame_ids: int = FRAME_IDS) -
                     doc_ids.append(key)
                     ids.append(one)
                     held += len(one)
-                    if held >= frame_ids:
-                        yield row()
-                        doc_ids, ids, held, frame = [], [], 0, frame + 1
+                    if not full and held >= frame_ids:
+                        full, full_held = len(ids), held
+                    # a full frame is written when half of another is there, so that the last one is no short one
+                    if full and held - full_held >= frame_ids // 2:
+                        yield row(full)
+                        doc_ids, ids, held, full, frame = doc_ids[full:], ids[full:], held - full_held, 0, frame + 1
+                        if held >= frame_ids:
+                            full, full_held = len(ids), held
         if doc_ids:
-            yield row()
+            yield row(len(doc_ids))
 
     text = F.coalesce(F.col("text"), F.lit("")).alias("text")
     order = ("doc_id", F.xxhash64("text"))  # the hash lets a common or null id take more than one task
