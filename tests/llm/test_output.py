@@ -102,6 +102,28 @@ def test_forgotten_pieces_are_asked_for_again(library, monkeypatch):
         assert all(x.tolist() == ids_of(library, t).tolist() for x, t in zip(encoder.encode(texts[a:a + 20]), texts[a:a + 20]))
 
 
+def test_a_piece_is_asked_for_once_by_all_tasks_of_a_worker(library, monkeypatch):
+    path, asked, ids = tokenizer("byte_bpe_50k.json"), [], output.Encoder._ids
+    monkeypatch.setattr(output, "CUT", 200)
+    monkeypatch.setattr(output, "WORDS", 3)
+    monkeypatch.setattr(output, "GROUPS", 5)
+    monkeypatch.setattr(output.Encoder, "_ids", lambda self, unknown: asked.extend(unknown) or ids(self, unknown))
+    output._encoder.cache_clear()
+    texts = ["", *random_texts(300, 13), "<|endoftext|> a", ""]
+    for part in (texts[:200], texts[100:], ["", ""], []):
+        assert all(x.tolist() == ids_of(library, t).tolist() for x, t in zip(output._encoder(path).encode(part), part, strict=True))
+    assert 1000 < len(asked) == len(set(asked))
+    assert output._encoder(path).known.nbytes < 40 * len(asked)  # bytes and places, no object each
+    output._encoder.cache_clear()
+
+
+def test_what_is_less_than_a_frame_goes_with_the_last_one(spark):
+    docs, folder = spark.range(300).selectExpr("id AS doc_id", "' of the' AS text"), scratch_path(spark, "test-ids")
+    output.write(docs, folder, tokenizer("byte_bpe_50k.json"), frame_ids=500)  # 900 ids, in one task
+    frames = output.read(spark, folder).collect()
+    assert [sum(f["doc_lengths"]) for f in frames] == [900] and output.ids_of(frames[0].asDict()).tolist() == [286, 262, 2] * 300
+
+
 def test_carries_run_through_whole_words():
     rng = np.random.default_rng(5)
     blocks = [np.where(rng.random(1024) < 0.999, 50_000, rng.integers(0, 50_000, 1024)) for _ in range(400)] + [rng.integers(0, 3, 1024) for _ in range(400)]

@@ -26,8 +26,11 @@ _UNITS = 1 << _PRIOR_BITS
 _ALL = 1 << 16  # parts of all outcomes
 _RATE = 5
 _HALF, _KEPT = 32, 0x7FF | 0x7FF << 32  # where the second bound begins, and what a step of both may take off
+_FIELD, _IN_FIELD = 20, (1 << 20) - 1  # where outcomes' bounds stand side by side
 _SPAN, _LOW = 62, 46  # bits of the widest span, and those under which 16 bits are sure but for a carry
 _MASK = (1 << _LOW) - 1
+_LEFT = np.array([-1, _MASK << 16])  # what stays of a low end, without and after a word
+_IN_HALF = (1 << _HALF) - 1
 _TILE = 64  # ids of all blocks that are turned at once
 _U = np.uint64
 _LANES = np.arange(1 << 16)  # more blocks in one call are coded in turns
@@ -57,6 +60,10 @@ class Prior:
         self.start, self.units = np.zeros(alphabet, np.int64), np.zeros(alphabet, np.int64)
         self.start[self.ids], self.units[self.ids] = np.cumsum(units) - units, units
 
+    def places(self) -> np.ndarray:
+        """Start and units of each id in one number, behind a first one that takes all units, for ids that are foreseen."""
+        return np.append(_UNITS, self.start << _HALF | self.units)
+
     @classmethod
     def of(cls, blocks: list[np.ndarray]) -> Prior:
         stream = np.concatenate(blocks) if blocks else np.zeros(0, np.int64)
@@ -92,7 +99,8 @@ class _Model:
     """The states of ``n`` blocks: what followed each place, and the bounds of the outcomes in parts of 2^16."""
 
     def __init__(self, n: int):
-        self.follow2, self.follow1 = np.zeros(n * _PLACES, np.int32), np.zeros(n * _PLACES, np.int32)
+        # filled, so that it lies in large pages
+        self.follow2, self.follow1 = np.full(n * _PLACES, 0, np.int32), np.full(n * _PLACES, 0, np.int32)
         self.by_sure, self.by_past = np.tile(_BY_SURE, n), np.tile(_BY_PAST, n)
         self.weight, self.past = np.full(n, 2048), np.full(n, 10)
         self.rows = _LANES[:n] * 16
@@ -110,6 +118,12 @@ class _Model:
         mixed = apart * (self.weight[:n] >> 6) + (self.b << 6)
         self.first, self.second = mixed >> 6 & 0xFFFF, mixed >> 6 + _HALF
 
+    def parts_of(self, outcome: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Parts below the outcomes, and their own parts."""
+        bounds, field = self.second << _FIELD | self.first, outcome * _FIELD
+        below = (bounds << _FIELD) >> field & _IN_FIELD
+        return below, ((bounds | _ALL << 2 * _FIELD) >> field & _IN_FIELD) - below
+
     def learn(self, stored: np.ndarray, right2: np.ndarray, right1: np.ndarray, outcome: np.ndarray) -> None:
         """Go on by one id, of which ``stored`` is one more."""
         n, stored = len(stored), stored << 2
@@ -125,8 +139,8 @@ class _Model:
 
 def _places(last1: np.ndarray, last2: np.ndarray, lane: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where the model keeps what followed the last two ids, and the last; ``lane`` is the block's first place."""
-    one = last1 * 20021
-    return lane + (one + last2 * 15013 >> 3 & _PLACES - 1), lane + (one >> 5 & _PLACES - 1)
+    one = np.multiply(last1, 20021, dtype=np.int64)
+    return lane + (one + np.multiply(last2, 15013, dtype=np.int64) >> 3 & _PLACES - 1), lane + (one >> 5 & _PLACES - 1)
 
 
 def _lengths(blocks: list[int]) -> tuple[np.ndarray, np.ndarray]:
@@ -146,42 +160,49 @@ def encode(blocks: list[np.ndarray], prior: Prior) -> list[bytes]:
     held = np.zeros((n, longest), np.int32)
     for lane, which in enumerate(order):
         held[lane, : lengths[lane]] = blocks[which]
-    ids = np.zeros((longest + 2, n), np.int64)  # one more than the id, after two places of none
+    ids = np.zeros((longest + 2, n), np.int32)  # one more than the id, after two places of none
     for t in range(0, longest, _TILE):
         np.add(held[:, t: t + _TILE].T, 1, out=ids[t + 2: t + 2 + _TILE])
-    model, lane, low, span = _Model(n), _LANES[:n] * _PLACES, np.zeros(n, np.int64), np.full(n, (1 << _SPAN) - 1)
-    out_lane, out_word = [], []
+    del held
+    model, lane, low, span, places = _Model(n), _LANES[:n] * _PLACES, np.zeros(n, np.int64), np.full(n, (1 << _SPAN) - 1), prior.places()
+    room = longest * (16 + _PRIOR_BITS) // 16 + 8  # words of a lane at most
+    words, at = np.zeros(n * room, np.uint32), _LANES[:n] * room
     alive = np.searchsorted(-lengths, -np.arange(longest), side="left")  # lanes longer than t
     for t in range(longest):
         m = int(alive[t])
-        now = ids[t + 2, :m]
+        now = ids[t + 2, :m].astype(np.int64)
         model.predict(*_places(ids[t + 1, :m], ids[t, :m], lane[:m]))
         right2, right1 = model.guess2 >> 2 == now, model.guess1 >> 2 == now
-        outcome = np.where(right2, 0, 2 - right1)
-        by_share, first, second = outcome == 2, model.first, model.second
-        below = np.where(by_share, second, first * ~right2)
-        share = np.where(by_share, _ALL, np.where(right2, first, second)) - below
-        lo, sp = low[:m], span[:m]
+        by_share = ~(right2 | right1)
+        outcome = np.add(~right2, by_share, dtype=np.int64)
+        below, share = model.parts_of(outcome)
+        lo, sp, where = low[:m], span[:m], at[:m]
         part = sp >> 16 + _PRIOR_BITS
+        part_of = places.take(now * by_share)
         unit = part * share
-        at = now - 1
-        lo += (part * below << _PRIOR_BITS) + unit * (prior.start.take(at) * by_share)
-        np.multiply(unit, np.where(by_share, prior.units.take(at), _UNITS), out=sp)
+        lo += (part * below << _PRIOR_BITS) + unit * (part_of >> _HALF)
+        np.multiply(unit, part_of & _IN_HALF, out=sp)
+        full = sp <= _MASK
+        words[where] = lo >> _LOW  # written over by the next one unless it is full
+        where += full
+        shift = full * 16
+        lo <<= shift
+        lo &= _LEFT.take(full)
+        sp <<= shift
         go = np.flatnonzero(sp <= _MASK)
         while len(go):
-            one, two = lo[go], sp[go] << 16
-            out_lane.append(go.astype(np.uint16))
-            out_word.append((one >> _LOW).astype(np.uint32))
+            one, two, place = lo[go], sp[go] << 16, where[go]
+            words[place], where[go] = one >> _LOW, place + 1
             lo[go], sp[go] = (one & _MASK) << 16, two
             go = go[two <= _MASK]
         model.learn(now, right2, right1, outcome)
     for _ in range(4):
-        out_lane.append(_LANES[:n].astype(np.uint16))
-        out_word.append((low >> _LOW).astype(np.uint32))
+        words[at] = low >> _LOW
+        at += 1
         low = (low & _MASK) << 16
-    lanes, words = np.concatenate(out_lane), np.concatenate(out_word)
-    ends = np.cumsum(np.bincount(lanes, minlength=n))
-    words = words[np.argsort(lanes, kind="stable")]
+    sizes = at - _LANES[:n] * room
+    ends = np.cumsum(sizes)
+    words = np.concatenate([words[a - k: a] for a, k in zip(at.tolist(), sizes.tolist())])
     while len(over := np.flatnonzero(words > 0xFFFF)):  # a block's first word has no carry
         words[over] &= 0xFFFF
         words[over - 1] += 1
@@ -207,39 +228,42 @@ def decode(coded: list[bytes], counts: list[int], prior: Prior) -> list[np.ndarr
     code = w0 << _U(46) | w1 << _U(30) | w2 << _U(14) | w3 >> _U(2)
     nexts = (words[:-1] << _U(14) | words[1:] >> _U(2)) & _U(0xFFFF)
     at += 3
-    symbols, start, units = np.repeat(prior.ids.astype(np.min_scalar_type(len(prior.units))), prior.units[prior.ids]), prior.start.view(np.uint64), prior.units.view(np.uint64)
-    model, lane, span, ids = _Model(n), _LANES[:n] * _PLACES, np.full(n, (1 << _SPAN) - 1, np.uint64), np.zeros((longest + 2, n), np.int64)
+    code, nexts = code.view(np.int64), nexts.view(np.int64)
+    symbols, places = np.repeat(prior.ids.astype(np.min_scalar_type(len(prior.units) + 1)) + 1, prior.units[prior.ids]), prior.places()
+    model, lane, span, ids = _Model(n), _LANES[:n] * _PLACES, np.full(n, (1 << _SPAN) - 1), np.zeros((longest + 2, n), np.int32)
     alive = np.searchsorted(-lengths, -np.arange(longest), side="left")
     for t in range(longest):
         m = int(alive[t])
         model.predict(*_places(ids[t + 1, :m], ids[t, :m], lane[:m]))
-        sp, co = span[:m], code[:m]
-        first, second = model.first.view(np.uint64), model.second.view(np.uint64)
-        part = sp >> _U(16 + _PRIOR_BITS)
-        wide = part << _U(_PRIOR_BITS)
-        bound1, bound2 = wide * first, wide * second
-        right2, by_share = co < bound1, co >= bound2
-        now = np.where(right2, model.guess2, model.guess1).astype(np.int64) >> 2
-        right1 = model.guess1 >> 2 == now
-        co -= np.where(by_share, bound2, np.where(right2, _U(0), bound1))
-        np.copyto(sp, np.where(right2, bound1, bound2 - bound1))
-        shared = np.flatnonzero(by_share)
-        rest = co[shared]
-        unit = part[shared] * (_U(_ALL) - second[shared])
-        found = symbols.take((rest // unit).view(np.int64), mode="clip")
-        co[shared] = rest - unit * start.take(found)
-        sp[shared] = unit * units.take(found)
-        now[shared] = found + 1
-        np.maximum(now, 1, out=now)  # a damaged block may lead anywhere
-        go = np.flatnonzero(sp <= _U(_MASK))
-        while len(go):
-            two, where = sp[go] << _U(16), at[go]
-            co[go] = co[go] << _U(16) | nexts.take(where, mode="clip")
-            sp[go], at[go] = two, where + 1
-            go = go[two <= _U(_MASK)]
+        sp, co, where = span[:m], code[:m], at[:m]
+        part = sp >> 16 + _PRIOR_BITS
+        wide = part << _PRIOR_BITS
+        wrong2, by_share = co >= wide * model.first, co >= wide * model.second
+        outcome = np.add(wrong2, by_share, dtype=np.int64)
+        below, share = model.parts_of(outcome)
+        co -= wide * below
+        unit = part * share
+        foreseen = np.where(wrong2, model.guess1, model.guess2) >> 2
+        found = symbols.take(co // unit, mode="clip")
+        now = np.maximum(np.where(by_share, found, foreseen), 1).astype(np.int64)  # a damaged block may lead anywhere
         ids[t + 2, :m] = now
-        right1[shared] = False
-        model.learn(now, right2, right1, np.where(right2, 0, 1 + by_share))
+        right2, right1 = ~wrong2, (model.guess1 >> 2 == now) & ~by_share
+        part_of = places.take(now * by_share)
+        co -= unit * (part_of >> _HALF)
+        np.multiply(unit, part_of & _IN_HALF, out=sp)
+        full = sp <= _MASK
+        shift = full * 16
+        co <<= shift
+        co |= nexts.take(where, mode="clip") * full
+        sp <<= shift
+        where += full
+        go = np.flatnonzero(sp <= _MASK)
+        while len(go):
+            two, place = sp[go] << 16, where[go]
+            co[go] = co[go] << 16 | nexts.take(place, mode="clip")
+            sp[go], where[go] = two, place + 1
+            go = go[two <= _MASK]
+        model.learn(now, right2, right1, outcome)
     held = np.zeros((n, longest), "<u4")
     for t in range(0, longest, _TILE):
         held[:, t: t + _TILE] = ids[t + 2: t + 2 + _TILE].T - 1

@@ -33,12 +33,14 @@ from . import idcoder
 from .common import pieces
 
 END = 2
-#: Ids after which a frame is closed; what is left, up to half as many, goes with the last one.
-FRAME_IDS = 1 << 21
+#: Ids after which a frame is closed; what is left, if fewer, goes with the last one. The coder takes all blocks of a frame at once, so it costs less an id in a large one.
+FRAME_IDS = 1 << 22
+#: A task encodes texts of about so many bytes at once, so that each new piece is met once in them, and cuts so many characters at once.
+TEXTS, CUT = 16 << 20, 1 << 20
 #: Remembered pieces are dropped beyond so many.
-MOST_PIECES = 1 << 19
-#: Unknown pieces that the library is given at once.
-WORDS = 256
+MOST_PIECES = 1 << 20
+#: Unknown pieces that the library is given as one text, and texts that it is given at once.
+WORDS, GROUPS = 256, 64
 #: Byte-level vocabularies of this family cut a text into the pieces
 #: 's|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+
 SPACE, LETTER, NUMBER = r"\s", r"\p{L}", r"\p{N}"
@@ -96,7 +98,10 @@ def _letters() -> np.ndarray:
 
 
 class Encoder:
-    """Ids of whole texts by the tokenizers library, whose model is asked once for each distinct piece."""
+    """Ids of whole texts by the tokenizers library, whose model is asked once for each distinct piece.
+
+    Pieces are remembered as one Arrow array, without a Python object each, so a worker may keep them from task to task.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -112,16 +117,20 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.ids, self.lengths = np.zeros(0, "<u4"), np.zeros(0, np.int64)
+        self.known = pa.array([], pa.large_binary())
+        self.starts, self.ids = np.zeros(1, np.int64), np.zeros(0, "<u4")
 
     def _ids(self, unknown: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of pieces, and how many each has: an id stands for a known number of bytes, and none for bytes of two pieces."""
         ends = np.cumsum([len(p) for p in unknown])
         spelt, at = _letters().take(np.frombuffer(b"".join(unknown), np.uint8)).tobytes().decode("utf-16-le"), [0, *ends.tolist()]
         words = [spelt[a:b] for a, b in zip(at[:-1], at[1:])]
-        found = self.model.encode_batch_fast([words[i:i + WORDS] for i in range(0, len(words), WORDS)], is_pretokenized=True, add_special_tokens=False)
-        ids = np.array(list(chain.from_iterable(f.ids for f in found)), "<u4")
+        ids = [np.zeros(0, "<u4")]
+        for start in range(0, len(words), WORDS * GROUPS):  # what the library returns takes much memory
+            asked = words[start: start + WORDS * GROUPS]
+            found = self.model.encode_batch_fast([asked[i:i + WORDS] for i in range(0, len(asked), WORDS)], is_pretokenized=True, add_special_tokens=False)
+            ids.append(np.fromiter(chain.from_iterable(f.ids for f in found), "<u4"))
+        ids = np.concatenate(ids)
         stands = np.cumsum(self.n_bytes[ids])
         last = np.searchsorted(stands, ends)
         if len(stands) == 0 or stands[-1] != ends[-1] or (stands[last] != ends).any():  # not of this family
@@ -133,6 +142,23 @@ class Encoder:
         return np.array(list(chain.from_iterable(found)), "<u4"), np.array([len(ids) for ids in found], np.int64)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
+        cut = [self._cut(texts[start:stop]) for start, stop in pieces(texts, CUT)]
+        places, at, out = self._places([found for found, _ in cut]), 0, []
+        n_ids, end = np.diff(self.starts), np.array([END], "<u4")
+        for found, n_pieces in cut:
+            place = places[at: at + len(found)]
+            at += len(found)
+            counts = n_ids.take(place)
+            held = np.append(0, np.cumsum(counts))
+            flat = self.ids.take(np.repeat(self.starts.take(place) - held[:-1], counts) + np.arange(held[-1]))
+            bounds = held[np.append(0, np.cumsum(n_pieces))].tolist()
+            out += [np.concatenate([flat[a:b], end]) for a, b in zip(bounds[:-1], bounds[1:])]
+        del cut, places
+        pa.default_memory_pool().release_unused()  # the coder needs much next
+        return out
+
+    def _cut(self, texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+        """The pieces of texts as UTF-8, one text after another, and how many each text has."""
         parts, owner, whole = texts, None, None
         joined = "".join(texts)
         if any(s in joined for s in self.specials):
@@ -140,47 +166,50 @@ class Encoder:
             parts = [p for c in cut for p in c]
             owner = np.repeat(np.arange(len(texts)), [len(c) for c in cut])
             whole = np.concatenate([np.arange(len(c)) % 2 == 1 for c in cut])
+        if not joined:
+            return self.known[:0], np.zeros(len(texts), np.int64)
         lengths = np.array([len(p) for p in parts], np.int64)
         begins = np.cumsum(lengths) - lengths
-        n_pieces = np.zeros(len(parts), np.int64)
-        places = np.zeros(0, np.int64)
-        if joined:
-            first = np.zeros(len(joined), bool)
-            first[begins[lengths > 0]] = True
-            cuts = _cuts(np.frombuffer(joined.encode("utf-32-le"), "<u4"), first)
-            if whole is not None:  # a special text is one piece
-                part = np.searchsorted(begins, cuts, side="right") - 1
-                cuts = cuts[~whole[part] | (cuts == begins[part])]
-            n_pieces = np.diff(np.searchsorted(cuts, np.append(begins, len(joined))))
-            places = self._places(joined.encode("utf-8"), cuts)
+        first = np.zeros(len(joined), bool)
+        first[begins[lengths > 0]] = True
+        cuts = _cuts(np.frombuffer(joined.encode("utf-32-le"), "<u4"), first)
+        if whole is not None:  # a special text is one piece
+            part = np.searchsorted(begins, cuts, side="right") - 1
+            cuts = cuts[~whole[part] | (cuts == begins[part])]
+        n_pieces = np.diff(np.searchsorted(cuts, np.append(begins, len(joined))))
         if owner is not None:
             n_pieces = np.bincount(owner, n_pieces, len(texts)).astype(np.int64)
-        ends = np.cumsum(n_pieces)
-        counts = self.lengths.take(places)
-        held = np.append(0, np.cumsum(counts))
-        starts = np.append(0, np.cumsum(self.lengths)[:-1]) if len(self.lengths) else np.zeros(0, np.int64)
-        flat = self.ids.take(np.repeat(starts.take(places) - held[:-1], counts) + np.arange(held[-1]))
-        bounds = held[np.append(0, ends)]
-        end = np.array([END], "<u4")
-        return [np.append(flat[a:b], end) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
-
-    def _places(self, joined: bytes, cuts: np.ndarray) -> np.ndarray:
-        """Which remembered piece each piece is; those that are new are encoded and remembered."""
-        raw = np.frombuffer(joined, np.uint8)
-        at = np.flatnonzero((raw & 0xC0) != 0x80)[cuts]
+        encoded = joined.encode("utf-8")
+        raw = np.frombuffer(encoded, np.uint8)
+        at = cuts if len(raw) == len(joined) else np.flatnonzero((raw & 0xC0) != 0x80)[cuts]
         offsets = pa.py_buffer(np.append(at, len(raw)).astype(np.int64))
-        found = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(cuts), [None, offsets, pa.py_buffer(joined)]).dictionary_encode()
-        distinct = found.dictionary.to_numpy(zero_copy_only=False).tolist()
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(cuts), [None, offsets, pa.py_buffer(encoded)]), n_pieces
+
+    def _places(self, found: list[pa.Array]) -> np.ndarray:
+        """Which remembered piece each piece is; those that are new are encoded and remembered."""
         if len(self.known) > MOST_PIECES:
             self._forget()
-        new = [p for p in distinct if p not in self.known]
-        specials = {s.encode() for s in self.specials}
-        for unknown, ask in (([p for p in new if p not in specials], self._ids), ([p for p in new if p in specials], self._ids_one_by_one)):
-            if unknown:
-                ids, lengths = ask(unknown)
-                self.known.update(zip(unknown, range(len(self.lengths), len(self.lengths) + len(unknown))))
-                self.ids, self.lengths = np.append(self.ids, ids), np.append(self.lengths, lengths)
-        return np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct)).take(found.indices.to_numpy())
+        n = len(self.known)
+        # what is remembered comes first, each piece once, so it keeps its places and new pieces get those behind
+        seen = pa.chunked_array([a for a in (self.known, *found) if len(a)], pa.large_binary()).dictionary_encode().chunks
+        if seen and len(seen[0].dictionary) > n:
+            self.known = seen[0].dictionary
+            new, specials = self.known[n:].to_numpy(zero_copy_only=False).tolist(), {s.encode() for s in self.specials}
+            special = np.array([p in specials for p in new])
+            lengths, parts = np.zeros(len(new), np.int64), []
+            runs = np.flatnonzero(np.diff(special, prepend=not special[0])).tolist()
+            for start, stop in zip(runs, [*runs[1:], len(new)]):
+                ids, lengths[start:stop] = (self._ids_one_by_one if special[start] else self._ids)(new[start:stop])
+                parts.append(ids)
+            self.ids = np.concatenate([self.ids, *parts])
+            self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
+        return np.concatenate([np.zeros(0, np.int32), *(c.indices.to_numpy() for c in seen)])[n:]
+
+
+@cache
+def _encoder(path: str) -> Encoder:
+    """The worker's encoder, which all its tasks share."""
+    return Encoder(path)
 
 
 def _frame(part: int, frame: int, doc_ids: list, ids: list[np.ndarray]) -> dict:
@@ -202,7 +231,7 @@ def _frame_type() -> pa.Schema:
 def write(docs: DataFrame, folder: str, path: str, frame_ids: int = FRAME_IDS) -> None:
     """Write the ids of all documents, in the order of doc_id, as files below ``folder``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, frame, encoder = TaskContext.get().partitionId(), 0, Encoder(path)
+        part, frame, encoder = TaskContext.get().partitionId(), 0, _encoder(path)
         doc_ids, ids, held, full, full_held = [], [], 0, 0, 0
 
         def row(n: int) -> pa.RecordBatch:
@@ -210,15 +239,15 @@ def write(docs: DataFrame, folder: str, path: str, frame_ids: int = FRAME_IDS) -
 
         for batch in batches:
             keys, texts = batch.column("doc_id").to_pylist(), batch.column("text")
-            for start, stop in pieces(texts.cast(pa.binary()).to_pylist()):
+            for start, stop in pieces(texts.cast(pa.binary()).to_pylist(), TEXTS):
                 for key, one in zip(keys[start:stop], encoder.encode(texts.slice(start, stop - start).to_pylist())):
                     doc_ids.append(key)
                     ids.append(one)
                     held += len(one)
                     if not full and held >= frame_ids:
                         full, full_held = len(ids), held
-                    # a full frame is written when half of another is there, so that the last one is no short one
-                    if full and held - full_held >= frame_ids // 2:
+                    # a full frame is written when another one is there, so that the last one is no short one
+                    if full and held - full_held >= frame_ids:
                         yield row(full)
                         doc_ids, ids, held, full, frame = doc_ids[full:], ids[full:], held - full_held, 0, frame + 1
                         if held >= frame_ids:
